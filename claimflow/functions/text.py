@@ -67,9 +67,10 @@ def tokenize(clean, stop_words=ENGLISH_STOP_WORDS, remove_stopwords: bool = True
              min_length: int = MIN_TOKEN_LENGTH) -> Column:
     """Word tokens of cleaned text minus stop words and short tokens."""
     toks = F.regexp_extract_all(F.coalesce(_col(clean), F.lit("")), F.lit(TOKEN_PATTERN), F.lit(0))
-    stops = F.array(*[F.lit(w) for w in stop_words])
     if remove_stopwords:
-        return F.filter(toks, lambda t: (F.length(t) >= min_length) & ~F.array_contains(stops, t))
+        # ``isin`` over many literals becomes a hash-set lookup (InSet).
+        stops = list(stop_words)
+        return F.filter(toks, lambda t: (F.length(t) >= min_length) & ~t.isin(stops))
     return F.filter(toks, lambda t: F.length(t) >= min_length)
 
 

@@ -1,7 +1,7 @@
-"""Weak labeling (L1-L10) as column expressions over a broadcast rules row.
+"""Weak labeling (L1-L10) as column expressions over the rule-set columns.
 
 Input rows carry ``text``, ``source``, ``domain_type`` and ``niche``; the
-rule set is attached by a broadcast equi-join on ``niche`` (see
+rule set is attached as literal columns or a broadcast join on ``niche`` (see
 ``claimflow.sources.rules.with_rules``), so labeling is a map-only stage:
 no shuffle, whatever the size of the text table.
 """
@@ -129,12 +129,12 @@ def quality_report(stats: DataFrame, rules: DataFrame) -> DataFrame:
     t = F.col("total_samples")
     cols = ["positive_labeled", "negative_labeled", "unlabeled",
             "domain_matches", "phrase_matches", "conflicts"]
-    r = rules.select(
-        "niche", "positive_label", "negative_label",
-        *[F.array_join(F.slice(c, 1, 5), ", ").alias(f"{c}_head")
-          for c in ("positive_phrases", "negative_phrases", "positive_domains", "negative_domains")])
-    return (stats.join(F.broadcast(r), "niche")
-            .select("*", *[percent_1dp(F.col(c), t).alias(f"{c}_pct") for c in cols]))
+    lists = ("positive_phrases", "negative_phrases", "positive_domains", "negative_domains")
+    x = with_rules(stats, rules, ["positive_label", "negative_label", *lists])
+    return x.select(
+        *stats.columns, "positive_label", "negative_label",
+        *[F.array_join(F.slice(c, 1, 5), ", ").alias(f"{c}_head") for c in lists],
+        *[percent_1dp(F.col(c), t).alias(f"{c}_pct") for c in cols])
 
 
 def preview(labeled: DataFrame, key: str = "id", n: int = 10, width: int = 100) -> DataFrame:
@@ -150,8 +150,7 @@ def min_sample_gate(labeled: DataFrame, rules: DataFrame) -> DataFrame:
     counts = labeled.groupBy("niche").agg(
         F.count_if(F.col("label") == F.col("positive_label")).alias("positive_count"),
         F.count_if(F.col("label") == F.col("negative_label")).alias("negative_count"))
-    r = rules.select("niche", "positive_label", "negative_label", "min_samples_per_class")
-    return (counts.join(F.broadcast(r), "niche")
+    return (with_rules(counts, rules, ["positive_label", "negative_label", "min_samples_per_class"])
             .withColumn("passed", (F.col("positive_count") >= F.col("min_samples_per_class"))
                         & (F.col("negative_count") >= F.col("min_samples_per_class"))))
 
@@ -172,8 +171,8 @@ def verdict_to_binary(df: DataFrame, col: str = "label", out: str = "label_binar
 
 def niche_label_to_binary(df: DataFrame, rules: DataFrame, out: str = "label_binary") -> DataFrame:
     """Positive label -> 1, negative -> 0 per niche; others dropped."""
-    r = rules.select("niche", F.col("positive_label").alias("_pl"), F.col("negative_label").alias("_nl"))
-    x = df.join(F.broadcast(r), "niche")
-    return (x.withColumn(out, F.when(F.col("label") == F.col("_pl"), 1)
-                         .when(F.col("label") == F.col("_nl"), 0).cast("int"))
-             .na.drop(subset=[out]).drop("_pl", "_nl"))
+    x = with_rules(df.drop("positive_label", "negative_label"), rules,
+                   ["positive_label", "negative_label"])
+    return (x.withColumn(out, F.when(F.col("label") == F.col("positive_label"), 1)
+                         .when(F.col("label") == F.col("negative_label"), 0).cast("int"))
+             .na.drop(subset=[out]).drop("positive_label", "negative_label"))

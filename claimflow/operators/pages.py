@@ -6,11 +6,11 @@ projection, an explode, an aggregation or a broadcast equi-join.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimflow.functions.text import html_title, html_to_text, url_authority
-from claimflow.sources.rules import with_rules
+from claimflow.sources.rules import rule_sets_of, with_rules
 
 MIN_PAGE_TEXT = 50  # a page is kept when its text is longer than this
 NO_CONTENT = "No content found"
@@ -29,12 +29,14 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     One frame carries both outcomes (``success`` and ``error``); callers
     take ``where(success)`` for kept pages and the rest as rejects.
     """
-    return pages.select(
-        "page_id", "url",
+    # The derived columns come out of a one-row ``inline``: a later filter on
+    # ``text`` (P3) then stays above it instead of being pushed below the
+    # projection, which would run the regex chain twice per page.
+    derived = F.inline(F.array(F.struct(
         html_title("html").alias("title"),
         html_to_text("html").alias("text"),
-        url_authority("url").alias("source"),
-    ).withColumn("success", F.length("text") > MIN_PAGE_TEXT) \
+        url_authority("url").alias("source"))))
+    return pages.select("page_id", "url", derived).withColumn("success", F.length("text") > MIN_PAGE_TEXT) \
      .withColumn("error", F.when(~F.col("success"), F.lit(NO_CONTENT)))
 
 
@@ -106,8 +108,17 @@ def host_suffixes(host: Column) -> Column:
                        lambda i: F.array_join(F.slice(parts, i, n - i + 1), "."))
 
 
-def rule_domains(rules: DataFrame) -> DataFrame:
-    """(niche, domain, domain_type) from the rules' domain lists."""
+def rule_domains(rules) -> DataFrame:
+    """(niche, domain, domain_type) from the rules' domain lists.
+
+    Its size is the total length of the domain lists, known on the driver."""
+    if not isinstance(rules, DataFrame):
+        sets = rule_sets_of(rules)
+        rows = sorted({(r.niche, d, t) for r in sets
+                       for t, ds in (("positive", r.positive_domains), ("negative", r.negative_domains))
+                       for d in ds})
+        spark = SparkSession.getActiveSession()
+        return spark.createDataFrame(rows, "niche string, domain string, domain_type string")
     pos = rules.select("niche", F.explode("positive_domains").alias("domain"),
                        F.lit("positive").alias("domain_type"))
     neg = rules.select("niche", F.explode("negative_domains").alias("domain"),
@@ -132,8 +143,7 @@ def tag_domains(pages: DataFrame, rules: DataFrame, source_col: str = "source")
 def length_gate(df: DataFrame, rules: DataFrame, text_col: str = "text") -> DataFrame:
     """Keep rows whose text length (code points) lies in the niche's
     inclusive [min, max] range."""
-    r = rules.select("niche", "min_text_length", "max_text_length")
-    x = df.join(F.broadcast(r), "niche")
+    x = with_rules(df, rules, ["min_text_length", "max_text_length"])
     n = F.length(F.coalesce(F.col(text_col), F.lit("")))
     return x.where(n.between(F.col("min_text_length"), F.col("max_text_length"))) \
             .drop("min_text_length", "max_text_length")
@@ -155,7 +165,7 @@ def collection_summary(tagged: DataFrame, order_col: str = "page_id", n_sources:
 def label_pages_input(pages_text: DataFrame, rules: DataFrame) -> DataFrame:
     """Pages as labeling input: ``domain_type`` from the rules' domain lists
     by the same substring test as L1 (positive first, else negative)."""
-    x = with_rules(pages_text, rules)
+    x = with_rules(pages_text, rules, ["positive_domains", "negative_domains"])
     sl = F.lower(F.coalesce(F.col("source"), F.lit("")))
     pos = F.exists(F.col("positive_domains"), lambda d: sl.contains(d))
     neg = F.exists(F.col("negative_domains"), lambda d: sl.contains(d))

@@ -94,8 +94,7 @@ def min_sample_gate(spark, sf_dir):
 @query("binary_labels")
 def binary_labels(spark, sf_dir):
     """Niche labels to 1/0, unlabeled rows dropped."""
-    x = L.niche_label_to_binary(_doc_labels(spark, sf_dir).drop("positive_label", "negative_label"),
-                                I.doc_rules(spark))
+    x = L.niche_label_to_binary(_doc_labels(spark, sf_dir), I.doc_rules(spark))
     return x.select("id", "label", "label_binary")
 
 
@@ -149,7 +148,7 @@ def feed_entries(spark, sf_dir):
 def page_domain_tags(spark, sf_dir):
     """Pages tagged by host suffix against the rules' domain lists."""
     pages = I.page_texts(spark, sf_dir).select("page_id", "source")
-    rules = I.page_rules(spark).unionByName(I.doc_rules(spark))
+    rules = I.page_rules(spark) + I.doc_rules(spark)
     return P.tag_domains(pages, rules).select("page_id", "source", "niche", "matched_domain",
                                               "domain_type")
 
@@ -167,3 +166,84 @@ def collection_summary(spark, sf_dir):
     tagged = P.tag_domains(I.page_texts(spark, sf_dir).where(F.col("success"))
                            .select("page_id", "source"), I.page_rules(spark))
     return P.collection_summary(tagged)
+
+
+# ----------------------------- splits (M) and counts (A) --------------------
+
+def labeled_documents(spark, sf_dir) -> DataFrame:
+    """documents with the quality target of ``labels`` (the M/E target)."""
+    d = read_table(spark, sf_dir, "documents")
+    lab = read_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    return d.join(lab, "doc_id")
+
+
+def _split_docs(spark, sf_dir):
+    from claimflow.operators.split import stratified_split
+    return stratified_split(labeled_documents(spark, sf_dir).select("doc_id", "label"),
+                            "label", key="doc_id", seed=42)
+
+
+@query("stratified_split")
+def stratified_split_q(spark, sf_dir):
+    """M1: exact 70/15/15 per class, ranked by md5(doc_id:42); CV fold."""
+    return _split_docs(spark, sf_dir).select("doc_id", "label", "split", "fold",
+                                             F.col("rank").cast("long").alias("rank"))
+
+
+@query("split_class_counts")
+def split_class_counts(spark, sf_dir):
+    """A1: class distribution by split."""
+    return _split_docs(spark, sf_dir).groupBy("split", "label").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _unified(spark, sf_dir):
+    """J2 + L10: labeled documents and pages under their niches, 1/0 target."""
+    docs = L.niche_label_to_binary(_doc_labels(spark, sf_dir), I.doc_rules())
+    pages = L.niche_label_to_binary(_page_labels(spark, sf_dir), I.page_rules())
+    cols = ["id", "niche", "label", "label_binary", "text"]
+    return docs.select(*cols).unionByName(pages.select(*cols))
+
+
+@query("unified_split_counts")
+def unified_split_counts(spark, sf_dir):
+    """M2 + A2: split stratified by (label, niche); rows by niche within split
+    with rollup totals."""
+    from claimflow.operators.split import stratified_split
+    x = stratified_split(_unified(spark, sf_dir), ["label_binary", "niche"], key="id", seed=42)
+    return (x.rollup("split", "niche").agg(F.count(F.lit(1)).alias("n"))
+            .select(F.coalesce("split", F.lit("(all)")).alias("split"),
+                    F.coalesce("niche", F.lit("(all)")).alias("niche"), "n"))
+
+
+@query("class_weights")
+def class_weights(spark, sf_dir):
+    """A3: balanced weights n / (k * n_c) on the training split."""
+    from claimflow.operators.aggregates import balanced_weights
+    train = _split_docs(spark, sf_dir).where(F.col("split") == "train")
+    return balanced_weights(train, "label").select("label", "n_c", F.round("weight", 6).alias("weight"))
+
+
+# ----------------------------- features (F) ---------------------------------
+
+def _preprocessed(spark, sf_dir):
+    return preprocessed_documents(spark, sf_dir).select("doc_id", "text_processed")
+
+
+def _fitted(spark, sf_dir):
+    from claimflow.operators.features import add_terms, fit_tfidf
+    docs = add_terms(_preprocessed(spark, sf_dir))
+    return docs, fit_tfidf(docs, min_df=3, max_df=0.95, max_features=10_000)
+
+
+@query("tfidf_vocabulary")
+def tfidf_vocabulary(spark, sf_dir):
+    """F3 + F7: kept terms with index, df, corpus frequency and idf."""
+    _, model = _fitted(spark, sf_dir)
+    return model.vocab.select("term", "idx", "df", "cf", F.round("idf", 6).alias("idf"))
+
+
+@query("tfidf_weights")
+def tfidf_weights(spark, sf_dir):
+    """Long-form L2-normalised weights for every document."""
+    docs, model = _fitted(spark, sf_dir)
+    return model.transform(docs).select("doc_id", "term", "idx", F.round("weight", 6).alias("weight"))

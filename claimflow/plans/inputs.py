@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimflow.operators.pages import extract_pages, label_pages_input
-from claimflow.sources.rules import load_rule_set, rules_frame
+from claimflow.sources.rules import load_rule_set
 from claimflow.sources.tables import read_table
 
 DOC_NICHE = "synthetic_documents"
@@ -28,12 +28,12 @@ def page_rule_set():
     return load_rule_set(PAGE_NICHE)
 
 
-def doc_rules(spark: SparkSession) -> DataFrame:
-    return rules_frame(spark, [doc_rule_set()])
+def doc_rules(spark: SparkSession | None = None) -> list:
+    return [doc_rule_set()]
 
 
-def page_rules(spark: SparkSession) -> DataFrame:
-    return rules_frame(spark, [page_rule_set()])
+def page_rules(spark: SparkSession | None = None) -> list:
+    return [page_rule_set()]
 
 
 def doc_domain_type(doc_id) -> F.Column:

@@ -177,3 +177,69 @@ def _tags_sql(rule_sets, success_only: bool) -> str:
 
 
 _build()
+
+
+# ----------------------------- splits and features --------------------------
+
+def split_sql(input_sql: str, strata: str, key: str, n_folds: int = 5) -> str:
+    """Plain per-stratum window: the definition the bucketed plan must equal."""
+    held = "CAST(ceil(n * CAST(0.3 AS DOUBLE)) AS BIGINT)"
+    return (f"SELECT * EXCLUDE (n, n_train, n_val), "
+            f"CASE WHEN rank <= n_train THEN 'train' WHEN rank <= n_train + n_val THEN 'validation' ELSE 'test' END AS split, "
+            f"CASE WHEN rank <= n_train THEN CAST((rank - 1) % {n_folds} AS INTEGER) END AS fold "
+            f"FROM (SELECT *, n - {held} AS n_train, {held} - CAST(ceil({held} * CAST(0.5 AS DOUBLE)) AS BIGINT) AS n_val "
+            f"FROM (SELECT *, row_number() OVER (PARTITION BY {strata} ORDER BY md5(CAST({key} AS VARCHAR) || ':42'), {key}) AS rank, "
+            f"count(*) OVER (PARTITION BY {strata}) AS n FROM ({input_sql})))")
+
+
+def doc_split_sql() -> str:
+    return split_sql("SELECT d.doc_id, l.quality AS label FROM documents d JOIN labels l USING (doc_id)",
+                     "label", "doc_id")
+
+
+def preprocessed_sql() -> str:
+    return (f"SELECT doc_id, array_to_string(tokens, ' ') AS text_processed "
+            f"FROM (SELECT doc_id, {tokenize_sql(clean_text_sql('text'))} AS tokens FROM documents) WHERE len(tokens) > 0")
+
+
+def tfidf_ctes(min_df=3, max_df=0.95, max_features=10_000) -> str:
+    from claimflow.functions.stopwords import ENGLISH_STOP_WORDS
+    from claimflow.operators.features import MODEL_TOKEN_PATTERN
+    stops = _list(ENGLISH_STOP_WORDS)
+    return (
+        f"pre AS ({preprocessed_sql()}), "
+        f"mt AS (SELECT doc_id, list_filter(regexp_extract_all(lower(text_processed), {q(MODEL_TOKEN_PATTERN)}, 0), "
+        f"lambda t: NOT list_contains({stops}, t)) AS t FROM pre), "
+        f"tm AS (SELECT doc_id, list_concat(t, list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1])) AS terms FROM mt), "
+        f"tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(terms) AS term FROM tm) GROUP BY doc_id, term), "
+        f"nd AS (SELECT count(*) AS n FROM pre), "
+        f"st AS (SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS cf FROM tf GROUP BY term), "
+        f"kept AS (SELECT st.*, nd.n FROM st, nd WHERE df >= {min_df} AND df <= {max_df} * n "
+        f"ORDER BY cf DESC, term LIMIT {max_features}), "
+        f"vocab AS (SELECT term, CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS idx, df, cf, "
+        f"ln(CAST(1 + n AS DOUBLE) / CAST(1 + df AS DOUBLE)) + 1 AS idf FROM kept), "
+        f"w AS (SELECT doc_id, term, idx, (1 + ln(CAST(tf AS DOUBLE))) * idf AS w FROM tf JOIN vocab USING (term))")
+
+
+def _build_more():
+    o = ORACLE
+    o["stratified_split"] = f"SELECT doc_id, label, split, fold, CAST(rank AS BIGINT) AS rank FROM ({doc_split_sql()})"
+    o["split_class_counts"] = f"SELECT split, label, count(*) AS n FROM ({doc_split_sql()}) GROUP BY split, label"
+    unified = (f"SELECT niche || '_' || CAST(doc_id AS VARCHAR) AS id, niche, label, "
+               f"CAST(CASE WHEN label = positive_label THEN 1 ELSE 0 END AS INTEGER) AS label_binary "
+               f"FROM ({doc_scored_sql()}) WHERE label IN (positive_label, negative_label) UNION ALL "
+               f"SELECT niche || '_' || CAST(page_id AS VARCHAR), niche, label, "
+               f"CAST(CASE WHEN label = positive_label THEN 1 ELSE 0 END AS INTEGER) "
+               f"FROM ({page_scored_sql()}) WHERE label IN (positive_label, negative_label)")
+    o["unified_split_counts"] = (
+        f"SELECT coalesce(split, '(all)') AS split, coalesce(niche, '(all)') AS niche, count(*) AS n "
+        f"FROM ({split_sql(unified, 'label_binary, niche', 'id')}) GROUP BY ROLLUP (split, niche)")
+    o["class_weights"] = (
+        f"SELECT label, n_c, round(CAST(sum(n_c) OVER () AS DOUBLE) / (count(*) OVER () * n_c), 6) AS weight "
+        f"FROM (SELECT label, count(*) AS n_c FROM ({doc_split_sql()}) WHERE split = 'train' GROUP BY label)")
+    o["tfidf_vocabulary"] = f"WITH {tfidf_ctes()} SELECT term, idx, df, cf, round(idf, 6) AS idf FROM vocab"
+    o["tfidf_weights"] = (f"WITH {tfidf_ctes()} SELECT doc_id, term, idx, "
+                          f"round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM w")
+
+
+_build_more()

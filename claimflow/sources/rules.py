@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pathlib import Path
 
 import yaml
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +24,7 @@ DEFAULT_MAX_TEXT_LENGTH = 2000
 DEFAULT_MIN_SAMPLES = 300
 DEFAULT_MAX_PER_SOURCE = 200
 MAX_BROADCAST_RULES = 10_000
+MAX_INLINE_RULES = 64  # beyond this, a broadcast join beats a CASE per column
 
 RULE_SCHEMA = T.StructType([
     T.StructField("niche", T.StringType(), False),
@@ -124,11 +125,59 @@ def list_niches(spark: SparkSession, rules_dir=None) -> DataFrame:
             .select("niche", "description").orderBy("niche"))
 
 
-def with_rules(df: DataFrame, rules: DataFrame) -> DataFrame:
-    """Attach each row's rule set by an equi-join on ``niche``.
+RULE_COLUMNS = [f.name for f in RULE_SCHEMA.fields if f.name != "niche"]
+_RULE_TYPES = {f.name: f.dataType for f in RULE_SCHEMA.fields}
 
-    The rules table is bounded by the number of rule files
-    (``MAX_BROADCAST_RULES``), so the join is always a broadcast hash join
-    and the text side is never shuffled.
+
+def _literal(value, dtype) -> Column:
+    if isinstance(dtype, T.ArrayType):
+        return F.array(*[F.lit(v) for v in value]).cast(dtype)
+    return F.lit(value).cast(dtype)
+
+
+def with_rules(df: DataFrame, rules, columns=None) -> DataFrame:
+    """Attach each row's rule-set columns, keeping only rows of known niches.
+
+    ``rules`` is a ``RuleSet``, a list of them, or a rules DataFrame. Rule
+    sets known on the driver become literal columns (a ``CASE`` on
+    ``niche`` when there are several), so there is no join at all and the
+    text side is never shuffled. A rules DataFrame is joined on ``niche``
+    with a broadcast hint; it is bounded by ``MAX_BROADCAST_RULES``.
     """
-    return df.join(F.broadcast(rules), on="niche", how="inner")
+    cols = list(columns or RULE_COLUMNS)
+    if isinstance(rules, DataFrame):
+        return df.join(F.broadcast(rules.select("niche", *cols)), on="niche", how="inner")
+    sets = [rules] if isinstance(rules, RuleSet) else list(rules)
+    if len(sets) > MAX_INLINE_RULES:
+        return with_rules(df, rules_frame(df.sparkSession, sets), cols)
+    x = df.where(F.col("niche").isin([r.niche for r in sets]))
+    added = {}
+    for c in cols:
+        dtype = _RULE_TYPES[c]
+        if len(sets) == 1:
+            added[c] = _literal(_value(sets[0], c), dtype)
+        else:
+            expr = None
+            for r in sets:
+                branch = _literal(_value(r, c), dtype)
+                cond = F.col("niche") == r.niche
+                expr = F.when(cond, branch) if expr is None else expr.when(cond, branch)
+            added[c] = expr
+    return x.withColumns(added)
+
+
+def _value(rs: RuleSet, col: str):
+    v = getattr(rs, col)
+    return list(v) if isinstance(v, tuple) else v
+
+
+def rule_sets_of(rules) -> list[RuleSet]:
+    """Rule sets as a list, whichever form they were given in."""
+    if isinstance(rules, RuleSet):
+        return [rules]
+    if isinstance(rules, DataFrame):
+        rows = rules.limit(MAX_BROADCAST_RULES + 1).collect()
+        if len(rows) > MAX_BROADCAST_RULES:
+            raise ValueError("rules table exceeds the broadcast bound")
+        return [RuleSet.from_mapping(r.asDict()) for r in rows]
+    return list(rules)
