@@ -247,3 +247,79 @@ def tfidf_weights(spark, sf_dir):
     """Long-form L2-normalised weights for every document."""
     docs, model = _fitted(spark, sf_dir)
     return model.transform(docs).select("doc_id", "term", "idx", F.round("weight", 6).alias("weight"))
+
+
+# ----------------------------- evaluation (E) -------------------------------
+
+def _rule_predictions(spark, sf_dir) -> DataFrame:
+    """The weak-label rules as a classifier of the ``labels`` quality target:
+    predicted 1 for the positive label, score = positive - negative score."""
+    lab = read_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("actual"))
+    d = _doc_labels(spark, sf_dir)
+    return d.join(lab, "doc_id").select(
+        "doc_id", "actual",
+        F.when(F.col("label") == F.col("positive_label"), 1).otherwise(0).alias("predicted"),
+        (F.col("positive_score") - F.col("negative_score")).cast("double").alias("score"))
+
+
+def _r6(cols):
+    return [F.round(c, 6).alias(c) for c in cols]
+
+
+@query("eval_accuracy")
+def eval_accuracy(spark, sf_dir):
+    """E1."""
+    from claimflow.operators.evaluate import accuracy
+    return accuracy(_rule_predictions(spark, sf_dir)).select(F.round("accuracy", 6).alias("accuracy"), "n")
+
+
+@query("eval_confusion")
+def eval_confusion(spark, sf_dir):
+    """Every (actual, predicted) pair, zeros kept."""
+    from claimflow.operators.evaluate import confusion
+    return confusion(_rule_predictions(spark, sf_dir))
+
+
+@query("eval_class_report")
+def eval_class_report(spark, sf_dir):
+    """E2 per class."""
+    from claimflow.operators.evaluate import class_report, confusion
+    r = class_report(confusion(_rule_predictions(spark, sf_dir)))
+    return r.select("class", *_r6(["precision", "recall", "f1"]), "support")
+
+
+@query("eval_summary")
+def eval_summary(spark, sf_dir):
+    """E2 averages, E4 AUC and E6 average precision as (metric, value) rows."""
+    from claimflow.operators import evaluate as E
+    pred = _rule_predictions(spark, sf_dir)
+    parts = [E.report_summary(E.class_report(E.confusion(pred))),
+             E.roc_auc(pred, positive=1), E.average_precision(pred, positive=1)]
+    longs = [p.unpivot([], p.columns, "metric", "value") for p in parts]
+    out = longs[0]
+    for x in longs[1:]:
+        out = out.unionByName(x)
+    return out.select("metric", F.round(F.col("value").cast("double"), 6).alias("value"))
+
+
+@query("eval_roc_curve")
+def eval_roc_curve(spark, sf_dir):
+    """E4 points."""
+    from claimflow.operators.evaluate import roc_curve
+    return roc_curve(_rule_predictions(spark, sf_dir), positive=1).select("threshold", *_r6(["fpr", "tpr"]))
+
+
+@query("eval_pr_curve")
+def eval_pr_curve(spark, sf_dir):
+    """E5 points."""
+    from claimflow.operators.evaluate import pr_curve
+    return pr_curve(_rule_predictions(spark, sf_dir), positive=1).select("threshold", *_r6(["precision", "recall"]))
+
+
+@query("prediction_summary")
+def prediction_summary_q(spark, sf_dir):
+    """A4: count, share and mean confidence per predicted class."""
+    from claimflow.operators.aggregates import prediction_summary
+    pred = _rule_predictions(spark, sf_dir).withColumn(
+        "confidence", F.abs(F.col("score")) / (F.abs(F.col("score")) + 1.0))
+    return prediction_summary(pred, pred_col="predicted").select("predicted", "n", *_r6(["mean_confidence", "share"]))

@@ -243,3 +243,67 @@ def _build_more():
 
 
 _build_more()
+
+
+# ----------------------------- evaluation -----------------------------------
+
+def rule_pred_sql() -> str:
+    return (f"SELECT d.doc_id, l.quality AS actual, CAST(CASE WHEN d.label = d.positive_label THEN 1 ELSE 0 END AS INTEGER) AS predicted, "
+            f"CAST(d.positive_score - d.negative_score AS DOUBLE) AS score FROM ({doc_scored_sql()}) d JOIN labels l USING (doc_id)")
+
+
+def curve_sql() -> str:
+    st = (f"SELECT score, count(*) FILTER (WHERE actual = 1) AS pos_n, count(*) FILTER (WHERE actual <> 1) AS neg_n "
+          f"FROM ({rule_pred_sql()}) WHERE score IS NOT NULL GROUP BY score")
+    return (f"SELECT *, sum(pos_n) OVER (ORDER BY score DESC) AS cp, sum(neg_n) OVER (ORDER BY score DESC) AS cn, "
+            f"sum(pos_n) OVER () AS P, sum(neg_n) OVER () AS N FROM ({st})")
+
+
+def confusion_sql() -> str:
+    return (f"WITH p AS ({rule_pred_sql()}), c AS (SELECT actual AS c FROM p UNION SELECT predicted FROM p), "
+            f"k AS (SELECT actual, predicted, count(*) AS count FROM p GROUP BY actual, predicted) "
+            f"SELECT a.c AS actual, b.c AS predicted, coalesce(k.count, 0) AS count FROM c a CROSS JOIN c b "
+            f"LEFT JOIN k ON k.actual = a.c AND k.predicted = b.c")
+
+
+def report_sql() -> str:
+    cm = confusion_sql()
+    x = (f"SELECT t.actual AS class, t.count AS tp, (SELECT sum(count) FROM ({cm}) z WHERE z.predicted = t.actual) AS pred_n, "
+         f"(SELECT sum(count) FROM ({cm}) z WHERE z.actual = t.actual) AS support FROM ({cm}) t WHERE t.actual = t.predicted")
+    r = (f"SELECT class, CASE WHEN pred_n = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / pred_n END AS precision, "
+         f"CASE WHEN support = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / support END AS recall, CAST(support AS BIGINT) AS support FROM ({x})")
+    return (f"SELECT class, precision, recall, CASE WHEN precision + recall = 0 THEN 0.0 "
+            f"ELSE 2 * precision * recall / (precision + recall) END AS f1, support FROM ({r})")
+
+
+def _build_eval():
+    o = ORACLE
+    o["eval_accuracy"] = (f"SELECT round(avg(CAST(actual = predicted AS DOUBLE)), 6) AS accuracy, count(*) AS n "
+                          f"FROM ({rule_pred_sql()})")
+    o["eval_confusion"] = confusion_sql()
+    o["eval_class_report"] = (f"SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, "
+                              f"round(f1, 6) AS f1, support FROM ({report_sql()})")
+    summ = (f"SELECT avg(precision) AS macro_precision, avg(recall) AS macro_recall, avg(f1) AS macro_f1, "
+            f"sum(precision * support) / sum(support) AS weighted_precision, sum(recall * support) / sum(support) AS weighted_recall, "
+            f"sum(f1 * support) / sum(support) AS weighted_f1 FROM ({report_sql()})")
+    auc = (f"SELECT sum(CAST(neg_n AS DOUBLE) * (2 * (cp - pos_n) + pos_n) / 2.0) / (CAST(max(P) AS DOUBLE) * max(N)) AS roc_auc "
+           f"FROM ({curve_sql()})")
+    ap = (f"SELECT sum((CASE WHEN P = 0 THEN 0.0 ELSE CAST(pos_n AS DOUBLE) / P END) * "
+          f"(CASE WHEN cp + cn = 0 THEN 0.0 ELSE CAST(cp AS DOUBLE) / (cp + cn) END)) AS average_precision FROM ({curve_sql()})")
+    o["eval_summary"] = (f"SELECT metric, round(CAST(value AS DOUBLE), 6) AS value FROM ("
+                         f"UNPIVOT ({summ}) ON COLUMNS(*) INTO NAME metric VALUE value "
+                         f"UNION ALL UNPIVOT ({auc}) ON COLUMNS(*) INTO NAME metric VALUE value "
+                         f"UNION ALL UNPIVOT ({ap}) ON COLUMNS(*) INTO NAME metric VALUE value)")
+    o["eval_roc_curve"] = (f"SELECT 'inf'::DOUBLE AS threshold, 0.0::DOUBLE AS fpr, 0.0::DOUBLE AS tpr UNION ALL "
+                           f"SELECT score, round(CASE WHEN N = 0 THEN 0.0 ELSE CAST(cn AS DOUBLE) / N END, 6), "
+                           f"round(CASE WHEN P = 0 THEN 0.0 ELSE CAST(cp AS DOUBLE) / P END, 6) FROM ({curve_sql()})")
+    o["eval_pr_curve"] = (f"SELECT score AS threshold, round(CASE WHEN cp + cn = 0 THEN 0.0 ELSE CAST(cp AS DOUBLE) / (cp + cn) END, 6) AS precision, "
+                          f"round(CASE WHEN P = 0 THEN 0.0 ELSE CAST(cp AS DOUBLE) / P END, 6) AS recall FROM ({curve_sql()}) "
+                          f"UNION ALL SELECT 'inf'::DOUBLE, 1.0, 0.0")
+    o["prediction_summary"] = (
+        f"SELECT predicted, n, round(mean_confidence, 6) AS mean_confidence, round(CAST(n AS DOUBLE) / sum(n) OVER (), 6) AS share "
+        f"FROM (SELECT predicted, count(*) AS n, avg(abs(score) / (abs(score) + 1.0)) AS mean_confidence "
+        f"FROM ({rule_pred_sql()}) GROUP BY predicted)")
+
+
+_build_eval()
