@@ -63,19 +63,20 @@ class TfidfModel:
     doc_col: str = "doc_id"
     terms_col: str = "terms"
 
-    def transform(self, docs: DataFrame) -> DataFrame:
+    def transform(self, docs: DataFrame, doc_col: str | None = None) -> DataFrame:
         """F4/F5 long form: (doc, term, idx, weight); unseen terms ignored.
 
         Documents with no known term have no rows here; ``pack`` gives them
         an all-zero vector."""
-        tf = term_counts(docs, self.doc_col, self.terms_col)
+        doc_col = doc_col or self.doc_col
+        tf = term_counts(docs, doc_col, self.terms_col)
         v = self.vocab.select("term", "idx", "idf")
         v = F.broadcast(v) if self.size <= MAX_BROADCAST_VOCAB else v
         x = tf.join(v, "term")
         w = (1.0 + F.log(F.col("tf").cast("double"))) * F.col("idf")
         x = x.withColumn("_w", w)
-        norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(self.doc_col)))
-        return x.select(self.doc_col, "term", "idx", "tf", (F.col("_w") / norm).alias("weight"))
+        norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(doc_col)))
+        return x.select(doc_col, "term", "idx", "tf", (F.col("_w") / norm).alias("weight"))
 
     def feature_names(self) -> DataFrame:
         """terms in column order."""
