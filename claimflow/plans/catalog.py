@@ -323,3 +323,115 @@ def prediction_summary_q(spark, sf_dir):
     pred = _rule_predictions(spark, sf_dir).withColumn(
         "confidence", F.abs(F.col("score")) / (F.abs(F.col("score")) + 1.0))
     return prediction_summary(pred, pred_col="predicted").select("predicted", "n", *_r6(["mean_confidence", "share"]))
+
+
+# ----------------------------- training, scoring, streaming ----------------
+# Iterative model fits have no SQL twin: these are rows-only checks.
+
+_TRAINED: dict = {}
+
+
+def trained_quality_model(spark, sf_dir):
+    """M9: both models trained on documents x labels (quality target);
+    memoised per input folder within the session."""
+    from claimflow.plans.train import TrainConfig, train_classifier
+    k = (id(spark), sf_dir)
+    if k not in _TRAINED:
+        d = labeled_documents(spark, sf_dir).select("doc_id", "text", "label")
+        _TRAINED[k] = train_classifier(d, "doc_id", cfg=TrainConfig(min_df=2, max_features=10_000))
+    return _TRAINED[k]
+
+
+def _scorer(spark, sf_dir, model: str | None = None):
+    from claimflow.operators.score import Scorer
+    r = trained_quality_model(spark, sf_dir)
+    name = model or r.best
+    return Scorer(r.vectorizer, r.models[name], [str(c) for c in r.classes],
+                  has_probability=name == "logistic_regression")
+
+
+@query("train_metrics")
+def train_metrics(spark, sf_dir):
+    """M4-M8: train/validation accuracy, CV macro-F1 mean/std, best flag."""
+    r = trained_quality_model(spark, sf_dir)
+    return r.metrics.withColumn("is_best", F.col("model") == r.best)
+
+
+@query("top_terms")
+def top_terms_q(spark, sf_dir):
+    """20 strongest terms each way by logistic-regression coefficient."""
+    from claimflow.operators.aggregates import top_terms
+    from claimflow.plans.train import coefficients
+    return top_terms(coefficients(trained_quality_model(spark, sf_dir)), n=20)
+
+
+@query("test_evaluation")
+def test_evaluation(spark, sf_dir):
+    """The best model on the held-out test split, E1/E2/E4/E6 as
+    (metric, value) rows."""
+    from claimflow.operators import evaluate as E
+    from claimflow.operators.score import score
+    r = trained_quality_model(spark, sf_dir)
+    test_ids = r.data.where(F.col("split") == "test").select("doc_id")
+    docs = labeled_documents(spark, sf_dir).join(test_ids, "doc_id")
+    sc = _scorer(spark, sf_dir, "logistic_regression")
+    from pyspark import StorageLevel
+    # Several metric jobs read the same predictions: score once.
+    p = score(docs, sc, "doc_id").select(
+        F.col("label").cast("string").alias("actual"), F.col("prediction").alias("predicted"),
+        F.element_at("probabilities", F.lit("1")).alias("score")).persist(StorageLevel.MEMORY_AND_DISK)
+    parts = [E.accuracy(p).drop("n"), E.report_summary(E.class_report(E.confusion(p))),
+             E.roc_auc(p, positive="1"), E.average_precision(p, positive="1")]
+    out = None
+    for x in parts:
+        u = x.unpivot([], x.columns, "metric", "value")
+        out = u if out is None else out.unionByName(u)
+    return out
+
+
+@query("score_benchmark")
+def score_benchmark(spark, sf_dir):
+    """Score every benchmark item with the chosen model; one
+    ``prob_<class>`` column per class; empty texts get ``Unknown``."""
+    from claimflow.operators.score import score, with_class_columns
+    sc = _scorer(spark, sf_dir)
+    b = read_table(spark, sf_dir, "benchmark")
+    return with_class_columns(score(b, sc, "item_id"), sc.classes).drop("probabilities")
+
+
+@query("score_conversation_stream")
+def score_conversation_stream(spark, sf_dir):
+    """Conversation turns read as a file stream and scored per
+    micro-batch; the rows written by the stream."""
+    import uuid
+
+    from pyspark.sql.types import _parse_datatype_string
+
+    from claimflow.session import scratch_path
+    from claimflow.streaming.score_stream import score_stream_once
+    sc = _scorer(spark, sf_dir)
+    run = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
+    conv = read_table(spark, sf_dir, "conversations").select(
+        F.concat_ws(":", "conv_id", "turn").alias("turn_id"), "conv_id", "turn", "role", "text")
+    src = f"{run}/source"
+    conv.write.mode("overwrite").parquet(src)
+    schema = "turn_id string, conv_id long, turn long, role string, text string"
+    out = score_stream_once(spark, src, _parse_datatype_string(schema), sc, "turn_id",
+                            f"{run}/sink", f"{run}/checkpoint")
+    return out.drop("probabilities", "epoch")
+
+
+@query("csv_round_trip")
+def csv_round_trip(spark, sf_dir):
+    """S1 + S3: documents written as quoted CSV and read back with an
+    explicit schema; multi-line texts with quotes survive unchanged."""
+    import uuid
+    from pyspark.sql import types as T
+    from claimflow.session import scratch_path
+    from claimflow.sources.io import read_csv, write_csv
+    path = scratch_path(spark, f"csv-{uuid.uuid4().hex}")
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    write_csv(d, path)
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("source", T.StringType()),
+                           T.StructField("text", T.StringType())])
+    return read_csv(spark, path, schema)

@@ -307,3 +307,5 @@ def _build_eval():
 
 
 _build_eval()
+
+ORACLE["csv_round_trip"] = "SELECT doc_id, source, text FROM documents"
