@@ -9,7 +9,7 @@ pattern below identically because the character classes are spelled out.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimflow.functions.stopwords import ENGLISH_STOP_WORDS
@@ -54,6 +54,19 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def evaluate_once(df: DataFrame, **cols: Column) -> DataFrame:
+    """Add derived columns through a one-row ``inline``.
+
+    Catalyst pushes a filter on a derived column below the projection that
+    computes it, substituting the expression, so a regex chain would run
+    once in the filter and again in the projection (and again for every
+    later reference). Columns that come out of a generator are attributes
+    the filter cannot be pushed past, so each expression runs once per row.
+    """
+    derived = F.inline(F.array(F.struct(*[e.alias(n) for n, e in cols.items()])))
+    return df.select("*", derived)
+
+
 def clean_text(text) -> Column:
     """Lower, drop URLs, e-mails, phone numbers, squeeze whitespace,
     keep ``[a-zA-Z0-9 .,!?;:]``, trim. Null gives ``""``."""

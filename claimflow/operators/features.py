@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimflow.functions.stopwords import ENGLISH_STOP_WORDS
+from claimflow.functions.text import evaluate_once
 
 MODEL_TOKEN_PATTERN = r"[a-z0-9_]{2,}"
 MAX_BROADCAST_VOCAB = 2_000_000
@@ -104,8 +105,9 @@ def fit_tfidf(docs: DataFrame, doc_col: str = "doc_id", terms_col: str = "terms"
 
 def add_terms(df: DataFrame, text_col: str = "text_processed", out: str = "terms",
               stop_words=ENGLISH_STOP_WORDS) -> DataFrame:
-    """F1+F2 as a column of model terms."""
-    return df.withColumn(out, ngrams_1_2(model_tokens(text_col, stop_words)))
+    """F1+F2 as a column of model terms (the token regex runs once per row)."""
+    x = evaluate_once(df, _mt=model_tokens(text_col, stop_words))
+    return x.withColumn(out, ngrams_1_2("_mt")).drop("_mt")
 
 
 @F.udf(returnType=VectorUDT())

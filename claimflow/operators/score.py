@@ -14,7 +14,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimflow.functions.text import clean_text, join_tokens, tokenize
+from claimflow.functions.text import clean_text, evaluate_once, join_tokens, tokenize
 from claimflow.operators.features import TfidfModel, add_terms, pack
 
 UNKNOWN = "Unknown"
@@ -39,8 +39,8 @@ def require_column(df: DataFrame, col: str) -> None:
 def score(df: DataFrame, scorer: Scorer, key: str, text_col: str = "text") -> DataFrame:
     """Adds prediction, confidence, probabilities (map), error."""
     require_column(df, text_col)
-    x = (df.withColumn("_tokens", tokenize(clean_text(text_col)))
-         .withColumn("_processed", join_tokens("_tokens")))
+    x = evaluate_once(df, _tokens=tokenize(clean_text(text_col)))
+    x = x.withColumn("_processed", join_tokens("_tokens"))
     x = add_terms(x, "_processed", scorer.vectorizer.terms_col)
     v = pack(scorer.vectorizer.transform(x.select(key, scorer.vectorizer.terms_col), key),
              x, scorer.vectorizer.size, doc_col=key)

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimflow.functions.text import clean_text, join_tokens, tokenize
+from claimflow.functions.text import clean_text, evaluate_once, join_tokens, tokenize
 from claimflow.operators import labeling as L
 from claimflow.operators import pages as P
 from claimflow.plans import inputs as I
@@ -110,8 +110,8 @@ def clean_text_q(spark, sf_dir):
 @query("preprocessed_documents")
 def preprocessed_documents(spark, sf_dir):
     """Tokens joined, documents with no tokens dropped."""
-    d = read_table(spark, sf_dir, "documents")
-    toks = d.select("doc_id", tokenize(clean_text("text")).alias("tokens"))
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    toks = evaluate_once(d, tokens=tokenize(clean_text("text")))
     return (toks.where(F.size("tokens") > 0)
             .select("doc_id", join_tokens("tokens").alias("text_processed"),
                     F.size("tokens").alias("n_tokens")))

@@ -23,7 +23,7 @@ from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimflow.functions.text import clean_text, join_tokens, tokenize
+from claimflow.functions.text import clean_text, evaluate_once, join_tokens, tokenize
 from claimflow.operators.aggregates import fold_score_stats, with_balanced_weights
 from claimflow.operators.evaluate import class_report, confusion
 from claimflow.operators.features import TfidfModel, add_terms, fit_tfidf, pack
@@ -61,10 +61,9 @@ class TrainResult:
 
 def preprocess(df: DataFrame, text_col: str = "text") -> DataFrame:
     """T4: cleaned text, tokens, joined tokens; rows without tokens dropped."""
-    x = df.withColumn("text_clean", clean_text(text_col)) \
-          .withColumn("tokens", tokenize("text_clean")) \
-          .withColumn("text_processed", join_tokens("tokens"))
-    return x.where(F.size("tokens") > 0)
+    x = evaluate_once(df, text_clean=clean_text(text_col))
+    x = evaluate_once(x, tokens=tokenize("text_clean"))
+    return x.withColumn("text_processed", join_tokens("tokens")).where(F.size("tokens") > 0)
 
 
 def _encode(df: DataFrame, classes: list, label_col: str) -> DataFrame:
