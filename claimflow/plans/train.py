@@ -30,6 +30,16 @@ from claimflow.operators.features import TfidfModel, add_terms, fit_tfidf, pack
 from claimflow.operators.split import TRAIN, VALIDATION, stratified_split
 
 MODEL_ORDER = ("logistic_regression", "linear_svm")  # ties go to the first
+ROWS_PER_PARTITION = 20_000  # sparse rows per training task (~tens of MB)
+
+
+def sized_for_fit(df: DataFrame, n_rows: int) -> DataFrame:
+    """Each optimiser iteration is one job over the training partitions, so
+    per-task overhead dominates when partitions are tiny: size them by row
+    count (thousands of partitions on a large cluster, one for a sample)."""
+    want = max(1, -(-n_rows // ROWS_PER_PARTITION))
+    have = df.rdd.getNumPartitions()
+    return df.coalesce(want) if want < have else df.repartition(want)
 
 
 @dataclass
@@ -117,7 +127,7 @@ def train_classifier(df: DataFrame, key: str, label_col: str = "label", text_col
                     min_df=cfg.min_df, max_df=cfg.max_df, max_features=cfg.max_features)
     train_w = with_balanced_weights(train, "label_idx")
     n_train = train_w.count()
-    train_v = vectors(train_w, vec, key).persist(StorageLevel.MEMORY_AND_DISK)
+    train_v = sized_for_fit(vectors(train_w, vec, key), n_train).persist(StorageLevel.MEMORY_AND_DISK)
     val_v = vectors(x.where(F.col("split") == VALIDATION), vec, key)
 
     fitted, rows = {}, []
@@ -147,7 +157,7 @@ def cross_validate(train: DataFrame, key: str, cfg: TrainConfig, shared_vec: Tfi
                                       min_df=cfg.min_df, max_df=cfg.max_df, max_features=cfg.max_features)
         fit_w = with_balanced_weights(fit_part, "label_idx")
         n = fit_w.count()
-        fit_v = vectors(fit_w, vec, key).persist(StorageLevel.MEMORY_AND_DISK)
+        fit_v = sized_for_fit(vectors(fit_w, vec, key), n).persist(StorageLevel.MEMORY_AND_DISK)
         held_v = vectors(held, vec, key)
         out = [(name, k, macro_f1(est.fit(fit_v).transform(held_v)))
                for name, est in _models(cfg, n).items()]
