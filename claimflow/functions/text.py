@@ -27,6 +27,7 @@ EMAIL_PATTERN = r"(^|[" + WS + r"])[^" + WS + r"]+@[^" + WS + r"]+"
 PHONE_PATTERN = r"\(?[0-9]{3}\)?[-. ]?[0-9]{3}[-. ]?[0-9]{4}"
 WS_RUN_PATTERN = r"[" + WS + r"]+"
 NOT_KEPT_PATTERN = r"[^a-zA-Z0-9 .,!?;:]"
+KEPT_RUN_PATTERN = r"[a-zA-Z0-9 .,!?;:]+"
 TOKEN_PATTERN = r"[a-z0-9]+(?:[.,:][a-z0-9]+)*"
 MIN_TOKEN_LENGTH = 3
 # HTML: script and style blocks with their content, comments, declarations,
@@ -69,13 +70,20 @@ def evaluate_once(df: DataFrame, **cols: Column) -> DataFrame:
 
 def clean_text(text) -> Column:
     """Lower, drop URLs, e-mails, phone numbers, squeeze whitespace,
-    keep ``[a-zA-Z0-9 .,!?;:]``, trim. Null gives ``""``."""
+    keep ``[a-zA-Z0-9 .,!?;:]``, trim. Null gives ``""``.
+
+    Two steps are written for speed with unchanged results: the e-mail
+    pattern only runs on texts that contain ``@``, and the final filter
+    keeps runs of allowed characters (a positive class) instead of deleting
+    everything else; Java's regex engine is several times slower on the
+    large negated classes and does not scale across task threads.
+    """
     s = F.lower(F.coalesce(_col(text), F.lit("")))
     s = F.regexp_replace(s, URL_PATTERN, "")
-    s = F.regexp_replace(s, EMAIL_PATTERN, "$1")
+    s = F.when(F.instr(s, "@") > 0, F.regexp_replace(s, EMAIL_PATTERN, "$1")).otherwise(s)
     s = F.regexp_replace(s, PHONE_PATTERN, "")
     s = F.regexp_replace(s, WS_RUN_PATTERN, " ")
-    s = F.regexp_replace(s, NOT_KEPT_PATTERN, "")
+    s = F.array_join(F.regexp_extract_all(s, F.lit(KEPT_RUN_PATTERN), F.lit(0)), "")
     return F.trim(s)
 
 
