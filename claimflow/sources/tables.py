@@ -32,8 +32,26 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+# Row keys of the text tables; text work is CPU-bound regex per row.
+TEXT_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id",
+             "benchmark": "item_id"}
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition by ``key`` when the scan yields fewer splits than the
+    cluster has cores (a file written as one row group is one task);
+    otherwise leave the scan alone, so on a large input this adds nothing."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= n:
+        return df
+    return df.repartition(n, key)
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread_text: bool = True) -> DataFrame:
     reader = spark.read
     if name in SCHEMAS:
         reader = reader.schema(SCHEMAS[name])
-    return reader.parquet(table_path(sf_dir, name))
+    df = reader.parquet(table_path(sf_dir, name))
+    if spread_text and name in TEXT_KEYS:
+        df = spread(df, TEXT_KEYS[name])
+    return df
