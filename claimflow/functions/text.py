@@ -68,6 +68,11 @@ def evaluate_once(df: DataFrame, **cols: Column) -> DataFrame:
     return df.select("*", derived)
 
 
+def drop_nulls(df: DataFrame, *cols: str) -> DataFrame:
+    """Drop rows with a null in any of ``cols``."""
+    return df.na.drop(subset=list(cols))
+
+
 def clean_text(text) -> Column:
     """Lower, drop URLs, e-mails, phone numbers, squeeze whitespace,
     keep ``[a-zA-Z0-9 .,!?;:]``, trim. Null gives ``""``.

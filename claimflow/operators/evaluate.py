@@ -156,3 +156,17 @@ def evaluate(pred: DataFrame, positive=1, classes=None) -> dict[str, DataFrame]:
     return {"accuracy": accuracy(pred), "confusion": cm, "report": class_report(cm),
             "roc_auc": roc_auc(pred, positive), "average_precision": average_precision(pred, positive),
             "roc": roc_curve(pred, positive), "pr": pr_curve(pred, positive)}
+
+
+def accuracy_by(pred: DataFrame, by) -> DataFrame:
+    """Accuracy and rows per group (e.g. niche)."""
+    by = [by] if isinstance(by, str) else list(by)
+    return pred.groupBy(*by).agg(
+        F.avg((F.col("actual") == F.col("predicted")).cast("double")).alias("accuracy"),
+        F.count(F.lit(1)).alias("n"))
+
+
+def confusion_by(pred: DataFrame, by) -> DataFrame:
+    """Confusion counts per group (observed cells)."""
+    by = [by] if isinstance(by, str) else list(by)
+    return pred.groupBy(*by, "actual", "predicted").agg(F.count(F.lit(1)).alias("count"))

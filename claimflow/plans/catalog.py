@@ -435,3 +435,37 @@ def csv_round_trip(spark, sf_dir):
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("source", T.StringType()),
                            T.StructField("text", T.StringType())])
     return read_csv(spark, path, schema)
+
+
+# ----------------------------- more coverage --------------------------------
+
+@query("distinct_sources")
+def distinct_sources(spark, sf_dir):
+    """Distinct values of a column."""
+    return read_table(spark, sf_dir, "documents").select("source").distinct()
+
+
+@query("split_features")
+def split_features(spark, sf_dir):
+    """F9 (+S8 layout): vocabulary fitted on the train split only, then all
+    three splits transformed in one job with ``split`` kept."""
+    from claimflow.operators.features import add_terms, fit_tfidf
+    from claimflow.operators.split import stratified_split
+    from claimflow.plans.train import preprocess
+    d = labeled_documents(spark, sf_dir).select("doc_id", "text", "label")
+    x = stratified_split(preprocess(d), "label", key="doc_id", seed=42)
+    x = add_terms(x.select("doc_id", "split", "text_processed"))
+    vec = fit_tfidf(x.where(F.col("split") == "train").select("doc_id", "terms"),
+                    min_df=2, max_df=0.95, max_features=10_000)
+    w = vec.transform(x.select("doc_id", "terms"))
+    return (w.join(x.select("doc_id", "split"), "doc_id")
+            .select("doc_id", "split", "term", "idx", F.round("weight", 6).alias("weight")))
+
+
+@query("eval_by_language")
+def eval_by_language(spark, sf_dir):
+    """Accuracy per group (here the document language)."""
+    from claimflow.operators.evaluate import accuracy_by
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "lang")
+    p = _rule_predictions(spark, sf_dir).join(d, "doc_id")
+    return accuracy_by(p, "lang").select("lang", F.round("accuracy", 6).alias("accuracy"), "n")

@@ -309,3 +309,32 @@ def _build_eval():
 _build_eval()
 
 ORACLE["csv_round_trip"] = "SELECT doc_id, source, text FROM documents"
+
+
+def split_features_sql() -> str:
+    from claimflow.functions.stopwords import ENGLISH_STOP_WORDS
+    from claimflow.operators.features import MODEL_TOKEN_PATTERN
+    stops = _list(ENGLISH_STOP_WORDS)
+    pre = (f"SELECT doc_id, label, array_to_string(tokens, ' ') AS text_processed FROM (SELECT d.doc_id, l.quality AS label, "
+           f"{tokenize_sql(clean_text_sql('d.text'))} AS tokens FROM documents d JOIN labels l USING (doc_id)) WHERE len(tokens) > 0")
+    sp = split_sql(pre, "label", "doc_id")
+    return (
+        f"WITH sp AS ({sp}), "
+        f"mt AS (SELECT doc_id, split, list_filter(regexp_extract_all(lower(text_processed), {q(MODEL_TOKEN_PATTERN)}, 0), "
+        f"lambda t: NOT list_contains({stops}, t)) AS t FROM sp), "
+        f"tm AS (SELECT doc_id, split, list_concat(t, list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1])) AS terms FROM mt), "
+        f"tf AS (SELECT doc_id, split, term, count(*) AS tf FROM (SELECT doc_id, split, unnest(terms) AS term FROM tm) GROUP BY doc_id, split, term), "
+        f"nd AS (SELECT count(*) AS n FROM sp WHERE split = 'train'), "
+        f"st AS (SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS cf FROM tf WHERE split = 'train' GROUP BY term), "
+        f"kept AS (SELECT st.*, nd.n FROM st, nd WHERE df >= 2 AND df <= 0.95 * n ORDER BY cf DESC, term LIMIT 10000), "
+        f"vocab AS (SELECT term, CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS idx, "
+        f"ln(CAST(1 + n AS DOUBLE) / CAST(1 + df AS DOUBLE)) + 1 AS idf FROM kept), "
+        f"w AS (SELECT doc_id, split, term, idx, (1 + ln(CAST(tf AS DOUBLE))) * idf AS w FROM tf JOIN vocab USING (term)) "
+        f"SELECT doc_id, split, term, idx, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM w")
+
+
+ORACLE["distinct_sources"] = "SELECT DISTINCT source FROM documents"
+ORACLE["split_features"] = split_features_sql()
+ORACLE["eval_by_language"] = (
+    f"SELECT d.lang, round(avg(CAST(p.actual = p.predicted AS DOUBLE)), 6) AS accuracy, count(*) AS n "
+    f"FROM ({rule_pred_sql()}) p JOIN documents d USING (doc_id) GROUP BY d.lang")

@@ -182,3 +182,19 @@ def coefficients(result: TrainResult, model: str = "logistic_regression") -> Dat
     spark = result.vectorizer.vocab.sparkSession
     c = spark.createDataFrame(list(enumerate(coefs)), "idx int, coef double")
     return result.vectorizer.vocab.select("term", "idx").join(c, "idx")
+
+
+def train_unified(labeled_by_niche: dict, rules, key: str = "id", cfg: TrainConfig | None = None,
+                  warn=print) -> TrainResult:
+    """One model over several niches. Niche tables are concatenated
+    (missing ones skipped with a warning), labels mapped to 1/0 through each
+    niche's rules (others dropped), and the split stratified by
+    (label, niche)."""
+    from claimflow.functions.text import drop_nulls
+    from claimflow.operators.labeling import niche_label_to_binary
+    from claimflow.sources.io import union_niches
+    df = union_niches(labeled_by_niche, warn=warn)
+    df = drop_nulls(niche_label_to_binary(df, rules), "text")
+    return train_classifier(df.select(key, "text", "label_binary", "niche"), key,
+                            label_col="label_binary", strata=["label_binary", "niche"], cfg=cfg,
+                            classes=[0, 1])

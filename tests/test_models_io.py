@@ -119,3 +119,44 @@ def test_union_niches(spark):
     assert io.union_niches({"x": a, "y": None}, warn=warned.append).count() == 1 and warned
     with pytest.raises(ValueError):
         io.union_niches({"y": None})
+
+
+def test_unified_training_two_niches(spark):
+    from claimflow.plans.train import train_unified
+    from claimflow.sources.rules import RuleSet
+    r1 = RuleSet.from_mapping({"niche": "a", "positive_label": "claim", "negative_label": "scientific"})
+    r2 = RuleSet.from_mapping({"niche": "b", "positive_label": "scam", "negative_label": "legit"})
+    rows_a = [(f"a_{i}", t, l, "a") for i, (t, l) in enumerate(TEXTS)]
+    rows_b = [(f"b_{i}", t, "scam" if l == "claim" else "legit", "b") for i, (t, l) in enumerate(TEXTS)]
+    schema = "id string, text string, label string, niche string"
+    frames = {"a": spark.createDataFrame(rows_a, schema), "b": spark.createDataFrame(rows_b, schema), "c": None}
+    warned = []
+    res = train_unified(frames, [r1, r2], cfg=TrainConfig(min_df=1, n_folds=2, max_features=200), warn=warned.append)
+    assert res.classes == [0, 1] and warned
+    counts = {(r.niche, r.split): r["count"] for r in res.data.groupBy("niche", "split").count().collect()}
+    assert counts[("a", "train")] == counts[("b", "train")]
+
+
+def test_metrics_and_features_tables(spark, trained, tmp_dir):
+    io.append_metrics(trained.metrics, f"{tmp_dir}/metrics", "n1", "2024-01-01 00:00:00", trained.best)
+    io.append_metrics(trained.metrics, f"{tmp_dir}/metrics", "n1", "2024-01-02 00:00:00", trained.best)
+    m = spark.read.parquet(f"{tmp_dir}/metrics")
+    assert m.count() == 4 and m.where("is_best").count() == 2
+    w = trained.vectorizer.transform(trained.data.select("k", "terms"), "k").join(trained.data.select("k", "split"), "k")
+    io.write_features(w, f"{tmp_dir}/features")
+    back = spark.read.parquet(f"{tmp_dir}/features")
+    assert back.where("split = 'train'").count() == w.where("split = 'train'").count()
+
+
+def test_pick_model(spark):
+    from claimflow.operators.score import pick_model
+    t = spark.createDataFrame([("a", "/m/a")], "niche string, path string")
+    assert pick_model(t, "a") == "/m/a"
+    with pytest.raises(FileNotFoundError):
+        pick_model(t, "zz")
+
+
+def test_drop_nulls(spark):
+    from claimflow.functions.text import drop_nulls
+    df = spark.createDataFrame([(1, "x"), (2, None)], "k int, text string")
+    assert [r.k for r in drop_nulls(df, "text").collect()] == [1]
