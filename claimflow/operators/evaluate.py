@@ -14,6 +14,7 @@ any bucketing; the quantiles only balance the work.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -102,7 +103,9 @@ def running_by_score(per_score: DataFrame, cols=("pos_n", "neg_n"), n_buckets: i
 
 
 def _curve_base(pred: DataFrame, positive, n_buckets: int) -> DataFrame:
-    st = score_table(pred, positive)
+    # One row per distinct score: small, and read by the quantile, total and
+    # running-sum jobs below, so it is computed once.
+    st = score_table(pred, positive).persist(StorageLevel.MEMORY_AND_DISK)
     # Two class totals: one tiny aggregate read on the driver as literals.
     t = st.agg(F.sum("pos_n").alias("P"), F.sum("neg_n").alias("N")).first()
     cum = running_by_score(st, n_buckets=n_buckets)

@@ -291,8 +291,11 @@ def eval_class_report(spark, sf_dir):
 @query("eval_summary")
 def eval_summary(spark, sf_dir):
     """E2 averages, E4 AUC and E6 average precision as (metric, value) rows."""
+    from pyspark import StorageLevel
+
     from claimflow.operators import evaluate as E
-    pred = _rule_predictions(spark, sf_dir)
+    # Read by the report, the AUC and the AP jobs: label once.
+    pred = _rule_predictions(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
     parts = [E.report_summary(E.class_report(E.confusion(pred))),
              E.roc_auc(pred, positive=1), E.average_precision(pred, positive=1)]
     longs = [p.unpivot([], p.columns, "metric", "value") for p in parts]

@@ -130,13 +130,20 @@ def train_classifier(df: DataFrame, key: str, label_col: str = "label", text_col
     train_v = sized_for_fit(vectors(train_w, vec, key), n_train).persist(StorageLevel.MEMORY_AND_DISK)
     val_v = vectors(x.where(F.col("split") == VALIDATION), vec, key)
 
-    fitted, rows = {}, []
-    for name, est in _models(cfg, n_train).items():
+    def fit_main(item):
+        name, est = item
         model = est.fit(train_v)
-        fitted[name] = model
-        rows.append((name, _accuracy(model.transform(train_v)), _accuracy(model.transform(val_v))))
-
-    folds = cross_validate(x.where(F.col("split") == TRAIN), key, cfg, vec if not cfg.refit_vocab_per_fold else None)
+        return name, model, _accuracy(model.transform(train_v)), _accuracy(model.transform(val_v))
+
+    # The two final fits and the CV folds are independent jobs; on small
+    # partitions each uses one core, so they run side by side.
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        main = pool.map(fit_main, list(_models(cfg, n_train).items()))
+        folds = cross_validate(x.where(F.col("split") == TRAIN), key, cfg,
+                               vec if not cfg.refit_vocab_per_fold else None)
+        main = list(main)
+    fitted = {name: model for name, model, _, _ in main}
+    rows = [(name, tr, va) for name, _, tr, va in main]
     stats = fold_score_stats(folds, by=("model",), score_col="f1")
     acc = spark.createDataFrame(rows, "model string, train_accuracy double, val_accuracy double")
     order = spark.createDataFrame([(m, i) for i, m in enumerate(MODEL_ORDER)], "model string, model_order int")
@@ -158,10 +165,16 @@ def cross_validate(train: DataFrame, key: str, cfg: TrainConfig, shared_vec: Tfi
         fit_w = with_balanced_weights(fit_part, "label_idx")
         n = fit_w.count()
         fit_v = sized_for_fit(vectors(fit_w, vec, key), n).persist(StorageLevel.MEMORY_AND_DISK)
-        held_v = vectors(held, vec, key)
-        out = [(name, k, macro_f1(est.fit(fit_v).transform(held_v)))
-               for name, est in _models(cfg, n).items()]
+        held_v = vectors(held, vec, key).persist(StorageLevel.MEMORY_AND_DISK)
+
+        def one_model(item):
+            name, est = item
+            return name, k, macro_f1(est.fit(fit_v).transform(held_v))
+
+        with ThreadPoolExecutor(max_workers=2) as inner:
+            out = list(inner.map(one_model, list(_models(cfg, n).items())))
         fit_v.unpersist()
+        held_v.unpersist()
         return out
 
     # Folds are independent Spark jobs; submitting them from threads lets
