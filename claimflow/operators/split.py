@@ -16,6 +16,7 @@ The result equals the plain per-stratum window.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,14 +34,20 @@ def rank_in_strata(df: DataFrame, strata: list[str], key: str, seed: int = 42,
     stratum) and ``n_stratum``."""
     x = df.withColumn("_h", hash_key(key, seed)) \
           .withColumn("_b", F.conv(F.substring("_h", 1, hex_digits), 16, 10).cast("int"))
-    counts = x.groupBy(*strata, "_b").agg(F.count(F.lit(1)).alias("_nb"))
+    # Small (strata x buckets) table, persisted: its size check and the
+    # offsets below read it without another pass over the input.
+    counts = x.groupBy(*strata, "_b").agg(F.count(F.lit(1)).alias("_nb")) \
+              .persist(StorageLevel.MEMORY_AND_DISK)
     wb = Window.partitionBy(*strata).orderBy("_b")
     offsets = (counts
                .withColumn("_off", F.sum("_nb").over(wb.rowsBetween(Window.unboundedPreceding, -1)))
                .withColumn("n_stratum", F.sum("_nb").over(Window.partitionBy(*strata)))
                .select(*strata, "_b", F.coalesce("_off", F.lit(0)).alias("_off"), "n_stratum"))
-    # Size bound: (#strata) x 16**hex_digits rows; strata are class labels.
-    joined = x.join(F.broadcast(offsets), on=[*strata, "_b"])
+    # (#strata) x 16**hex_digits rows at most. Strata are class labels, but
+    # the size is checked before broadcasting, with a shuffle join beyond it.
+    n_off = counts.count()
+    side = F.broadcast(offsets) if n_off <= MAX_OFFSET_ROWS else offsets
+    joined = x.join(side, on=[*strata, "_b"])
     w = Window.partitionBy(*strata, "_b").orderBy("_h", key)
     return (joined.withColumn("rank", F.row_number().over(w) + F.col("_off"))
             .drop("_b", "_off"))

@@ -113,7 +113,8 @@ def train_classifier(df: DataFrame, key: str, label_col: str = "label", text_col
     cfg = cfg or TrainConfig()
     spark: SparkSession = df.sparkSession
     strata = strata or [label_col]
-    x = preprocess(df, text_col)
+    # Cleaned rows are read twice by the split (bucket counts and ranks).
+    x = preprocess(df, text_col).persist(StorageLevel.MEMORY_AND_DISK)
     x = stratified_split(x, strata, key=key, seed=cfg.seed, n_folds=cfg.n_folds)
     x = add_terms(x, "text_processed", "terms")
     x = x.select(key, label_col, *[s for s in strata if s != label_col], "split", "fold", "terms")

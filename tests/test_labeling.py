@@ -131,3 +131,15 @@ def test_rules_are_not_joined(spark):
     plan = _doc_labels(spark, SF01)._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and plan.count("Exchange hashpartitioning") <= 1
     assert queries()  # registry importable
+
+
+def test_no_nested_loop_or_cartesian_joins(spark):
+    """Plans of the SQL-checked queries use only equi-joins (or none)."""
+    from __spark_entry__ import oracle_sql, queries
+    from conftest import SF001
+    qs = queries()
+    for name in oracle_sql():
+        if name in ("csv_round_trip",):
+            continue
+        plan = qs[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan, name
