@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from claimflow.functions.stopwords import ENGLISH_STOP_WORDS
 from claimflow.functions.text import evaluate_once
+from claimflow.session import ensure_checkpoint_dir
 
 MODEL_TOKEN_PATTERN = r"[a-z0-9_]{2,}"
 MAX_BROADCAST_VOCAB = 2_000_000
@@ -98,6 +99,7 @@ def fit_tfidf(docs: DataFrame, doc_col: str = "doc_id", terms_col: str = "terms"
     # one ordered partition is cheap; it is materialised once.
     vocab = (kept.withColumn("idx", (F.row_number().over(Window.orderBy("term")) - 1).cast("int"))
              .withColumn("idf", idf))
+    ensure_checkpoint_dir(docs.sparkSession)
     vocab = vocab.checkpoint(eager=True)
     size = vocab.count()
     return TfidfModel(vocab, n_docs, size, doc_col, terms_col)
@@ -111,20 +113,26 @@ def add_terms(df: DataFrame, text_col: str = "text_processed", out: str = "terms
 
 
 @F.udf(returnType=VectorUDT())
-def _to_sparse(size, idx, vals):
-    return SparseVector(size, idx or [], vals or [])
+def _to_sparse(size, idx, vals, bias):
+    idx, vals = list(idx or []), list(vals or [])
+    if bias:  # constant feature in the last column
+        idx.append(size - 1)
+        vals.append(1.0)
+    return SparseVector(size, idx, vals)
 
 
 def pack(weights: DataFrame, docs: DataFrame, size: int, doc_col: str = "doc_id",
-         out: str = "features") -> DataFrame:
+         out: str = "features", bias: bool = False) -> DataFrame:
     """F8: long-form weights to one sparse vector per document.
 
     ``docs`` supplies every document (also those with no known term);
-    the only Python UDF in the plan builds the vector from two arrays."""
+    the only Python UDF in the plan builds the vector from two arrays.
+    ``bias`` appends a constant 1.0 feature (penalised-intercept option)."""
     grouped = (weights.groupBy(doc_col)
                .agg(F.sort_array(F.collect_list(F.struct("idx", "weight"))).alias("_e")))
     x = docs.join(grouped, doc_col, "left")
-    return (x.withColumn(out, _to_sparse(F.lit(size), F.col("_e.idx"), F.col("_e.weight")))
+    n = size + 1 if bias else size
+    return (x.withColumn(out, _to_sparse(F.lit(n), F.col("_e.idx"), F.col("_e.weight"), F.lit(bias)))
             .drop("_e"))
 
 

@@ -28,6 +28,7 @@ class Scorer:
     model: object
     classes: list
     has_probability: bool = True
+    bias: bool = False  # model trained with a constant feature (penalised intercept)
 
 
 def require_column(df: DataFrame, col: str) -> None:
@@ -43,7 +44,7 @@ def score(df: DataFrame, scorer: Scorer, key: str, text_col: str = "text") -> Da
     x = x.withColumn("_processed", join_tokens("_tokens"))
     x = add_terms(x, "_processed", scorer.vectorizer.terms_col)
     v = pack(scorer.vectorizer.transform(x.select(key, scorer.vectorizer.terms_col), key),
-             x, scorer.vectorizer.size, doc_col=key)
+             x, scorer.vectorizer.size, doc_col=key, bias=scorer.bias)
     p = scorer.model.transform(v)
     classes = F.array(*[F.lit(c) for c in scorer.classes])
     k = len(scorer.classes)

@@ -81,16 +81,30 @@ def _encode(df: DataFrame, classes: list, label_col: str) -> DataFrame:
     return df.withColumn("label_idx", F.element_at(m, F.col(label_col).cast("string")))
 
 
-def vectors(df: DataFrame, vec: TfidfModel, key: str) -> DataFrame:
+def vectors(df: DataFrame, vec: TfidfModel, key: str, bias: bool = False) -> DataFrame:
     """Long-form weights packed to one sparse vector per row of ``df``."""
-    return pack(vec.transform(df.select(key, vec.terms_col), key), df, vec.size, doc_col=key)
+    return pack(vec.transform(df.select(key, vec.terms_col), key), df, vec.size, doc_col=key, bias=bias)
+
+
+def with_zero_row(train_v: DataFrame, size: int) -> DataFrame:
+    """Penalised intercept: one all-zero row of weight 1 keeps the constant
+    feature from being treated as constant (Spark zeroes such columns); its
+    loss does not depend on the coefficients, so the optimum is unchanged."""
+    from pyspark.ml.linalg import SparseVector
+    spark = train_v.sparkSession
+    zero = spark.createDataFrame([(SparseVector(size + 1, [], []), 0.0, 1.0)],
+                                 train_v.select("features", "label_idx", "weight").schema)
+    return train_v.select("features", "label_idx", "weight").unionByName(zero)
 
 
 def _models(cfg: TrainConfig, n_train: int) -> dict:
+    # With a penalised intercept the bias is a feature and one zero row of
+    # weight 1 joins the data, so the weight sum is n + 1.
+    lr_n = n_train + 1 if cfg.penalize_intercept else n_train
     lr = LogisticRegression(featuresCol="features", labelCol="label_idx", weightCol="weight",
-                            regParam=1.0 / (cfg.C * n_train), elasticNetParam=0.0,
+                            regParam=1.0 / (cfg.C * lr_n), elasticNetParam=0.0,
                             standardization=False, maxIter=cfg.max_iter, tol=cfg.tol,
-                            fitIntercept=True)
+                            fitIntercept=not cfg.penalize_intercept)
     svm = LinearSVC(featuresCol="features", labelCol="label_idx", weightCol="weight",
                     regParam=1.0 / (cfg.C * n_train), standardization=False,
                     maxIter=cfg.max_iter, tol=cfg.tol, fitIntercept=True)
@@ -131,8 +145,16 @@ def train_classifier(df: DataFrame, key: str, label_col: str = "label", text_col
     train_v = sized_for_fit(vectors(train_w, vec, key), n_train).persist(StorageLevel.MEMORY_AND_DISK)
     val_v = vectors(x.where(F.col("split") == VALIDATION), vec, key)
 
+    if cfg.penalize_intercept:
+        train_b = with_zero_row(vectors(train_w, vec, key, bias=True), vec.size).persist(StorageLevel.MEMORY_AND_DISK)
+        val_b = vectors(x.where(F.col("split") == VALIDATION), vec, key, bias=True)
+        train_acc_b = vectors(train_w, vec, key, bias=True)
+
     def fit_main(item):
         name, est = item
+        if name == "logistic_regression" and cfg.penalize_intercept:
+            model = est.fit(train_b)
+            return name, model, _accuracy(model.transform(train_acc_b)), _accuracy(model.transform(val_b))
         model = est.fit(train_v)
         return name, model, _accuracy(model.transform(train_v)), _accuracy(model.transform(val_v))
 
@@ -170,6 +192,9 @@ def cross_validate(train: DataFrame, key: str, cfg: TrainConfig, shared_vec: Tfi
 
         def one_model(item):
             name, est = item
+            if name == "logistic_regression" and cfg.penalize_intercept:
+                fit_b = with_zero_row(vectors(fit_w, vec, key, bias=True), vec.size)
+                return name, k, macro_f1(est.fit(fit_b).transform(vectors(held, vec, key, bias=True)))
             return name, k, macro_f1(est.fit(fit_v).transform(held_v))
 
         with ThreadPoolExecutor(max_workers=2) as inner:

@@ -160,3 +160,41 @@ def test_drop_nulls(spark):
     from claimflow.functions.text import drop_nulls
     df = spark.createDataFrame([(1, "x"), (2, None)], "k int, text string")
     assert [r.k for r in drop_nulls(df, "text").collect()] == [1]
+
+
+def test_penalized_intercept_matches_newton(spark):
+    """The constant-feature + zero-row construction equals the penalised-intercept
+    optimum of 0.5*||[w,b]||^2 + sum_i w_i * logloss_i, computed by Newton's method."""
+    import numpy as np
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.linalg import SparseVector
+    from claimflow.plans.train import with_zero_row
+    rng = np.random.default_rng(0)
+    X = rng.normal(size=(200, 4))
+    y = (X @ np.array([1.0, -2.0, 0.5, 0.0]) + 0.7 + rng.normal(size=200) > 0).astype(float)
+    n, k = len(y), 2
+    wts = np.where(y == 1, n / (k * y.sum()), n / (k * (n - y.sum())))
+    Xb = np.hstack([X, np.ones((n, 1))])
+    beta = np.zeros(5)
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-Xb @ beta))
+        g = beta + Xb.T @ (wts * (p - y))
+        H = np.eye(5) + (Xb * (wts * p * (1 - p))[:, None]).T @ Xb
+        beta -= np.linalg.solve(H, g)
+    rows = [(SparseVector(5, list(range(5)), list(Xb[i])), float(y[i]), float(wts[i])) for i in range(n)]
+    df = spark.createDataFrame(rows, ["features", "label_idx", "weight"])
+    data = with_zero_row(df, 4)
+    m = LogisticRegression(featuresCol="features", labelCol="label_idx", weightCol="weight",
+                           regParam=1.0 / (n + 1), standardization=False, fitIntercept=False,
+                           maxIter=1000, tol=1e-10).fit(data)
+    assert np.max(np.abs(m.coefficients.toArray() - beta)) < 1e-4
+
+
+def test_train_with_penalized_intercept(spark):
+    df = spark.createDataFrame([(i, t, l) for i, (t, l) in enumerate(TEXTS)], "k long, text string, label string")
+    r = train_classifier(df, "k", cfg=TrainConfig(min_df=1, n_folds=2, max_features=200, penalize_intercept=True))
+    lr = r.models["logistic_regression"]
+    assert lr.numFeatures == r.vectorizer.size + 1 and lr.intercept == 0.0
+    sc = Scorer(r.vectorizer, lr, r.classes, bias=True)
+    out = score(spark.createDataFrame([(1, "hoax scam fake science")], "k long, text string"), sc, "k").first()
+    assert out.prediction == "claim"
