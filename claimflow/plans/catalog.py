@@ -472,3 +472,13 @@ def eval_by_language(spark, sf_dir):
     d = read_table(spark, sf_dir, "documents").select("doc_id", "lang")
     p = _rule_predictions(spark, sf_dir).join(d, "doc_id")
     return accuracy_by(p, "lang").select("lang", F.round("accuracy", 6).alias("accuracy"), "n")
+
+
+@query("conversation_tokens")
+def conversation_tokens(spark, sf_dir):
+    """T1-T3 on the conversation turns: cleaned text and token count per turn."""
+    c = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    x = evaluate_once(c, text_clean=clean_text("text"))
+    x = evaluate_once(x, tokens=tokenize("text_clean"))
+    return x.select("conv_id", "turn", "role", "text_clean", join_tokens("tokens").alias("text_processed"),
+                    F.size("tokens").alias("n_tokens"))

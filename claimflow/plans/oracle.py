@@ -338,3 +338,9 @@ ORACLE["split_features"] = split_features_sql()
 ORACLE["eval_by_language"] = (
     f"SELECT d.lang, round(avg(CAST(p.actual = p.predicted AS DOUBLE)), 6) AS accuracy, count(*) AS n "
     f"FROM ({rule_pred_sql()}) p JOIN documents d USING (doc_id) GROUP BY d.lang")
+
+ORACLE["conversation_tokens"] = (
+    f"SELECT conv_id, turn, role, text_clean, array_to_string(tokens, ' ') AS text_processed, "
+    f"CAST(len(tokens) AS INTEGER) AS n_tokens FROM (SELECT conv_id, turn, role, text_clean, "
+    f"{tokenize_sql('text_clean')} AS tokens FROM (SELECT conv_id, turn, role, {clean_text_sql('text')} AS text_clean "
+    f"FROM conversations))")
