@@ -48,10 +48,15 @@ def ngrams_1_2(tokens) -> Column:
     return F.concat(t, bigrams)
 
 
-def term_counts(docs: DataFrame, doc_col: str, terms_col: str, partitions: int | None = None) -> DataFrame:
-    """(doc, term, tf) with documents co-partitioned by ``doc_col``."""
+def term_counts(docs: DataFrame, doc_col: str, terms_col: str, partitions: int | None = None,
+                by_doc: bool = False) -> DataFrame:
+    """(doc, term, tf) with documents co-partitioned by ``doc_col``.
+
+    ``by_doc=True`` says the input is already hash-partitioned by the doc
+    column upstream, so no shuffle is added here."""
     d = docs.select(doc_col, terms_col)
-    d = d.repartition(partitions, doc_col) if partitions else d.repartition(doc_col)
+    if not by_doc:
+        d = d.repartition(partitions, doc_col) if partitions else d.repartition(doc_col)
     return (d.select(doc_col, F.explode(terms_col).alias("term"))
             .groupBy(doc_col, "term").agg(F.count(F.lit(1)).alias("tf")))
 
@@ -65,13 +70,13 @@ class TfidfModel:
     doc_col: str = "doc_id"
     terms_col: str = "terms"
 
-    def transform(self, docs: DataFrame, doc_col: str | None = None) -> DataFrame:
+    def transform(self, docs: DataFrame, doc_col: str | None = None, by_doc: bool = False) -> DataFrame:
         """F4/F5 long form: (doc, term, idx, weight); unseen terms ignored.
 
         Documents with no known term have no rows here; ``pack`` gives them
         an all-zero vector."""
         doc_col = doc_col or self.doc_col
-        tf = term_counts(docs, doc_col, self.terms_col)
+        tf = term_counts(docs, doc_col, self.terms_col, by_doc=by_doc)
         v = self.vocab.select("term", "idx", "idf")
         v = F.broadcast(v) if self.size <= MAX_BROADCAST_VOCAB else v
         x = tf.join(v, "term")

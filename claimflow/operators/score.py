@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,10 +41,14 @@ def require_column(df: DataFrame, col: str) -> None:
 def score(df: DataFrame, scorer: Scorer, key: str, text_col: str = "text") -> DataFrame:
     """Adds prediction, confidence, probabilities (map), error."""
     require_column(df, text_col)
-    x = evaluate_once(df, _tokens=tokenize(clean_text(text_col)))
+    # One shuffle of the input rows by key; the term counts, the vector
+    # assembly and the join back to every input row then stay in place. The
+    # tokenized rows feed both sides of that join, so they are kept
+    # (memory, spilling to disk) instead of being cleaned twice.
+    x = evaluate_once(df.repartition(key), _tokens=tokenize(clean_text(text_col)))
     x = x.withColumn("_processed", join_tokens("_tokens"))
-    x = add_terms(x, "_processed", scorer.vectorizer.terms_col)
-    v = pack(scorer.vectorizer.transform(x.select(key, scorer.vectorizer.terms_col), key),
+    x = add_terms(x, "_processed", scorer.vectorizer.terms_col).persist(StorageLevel.MEMORY_AND_DISK)
+    v = pack(scorer.vectorizer.transform(x.select(key, scorer.vectorizer.terms_col), key, by_doc=True),
              x, scorer.vectorizer.size, doc_col=key, bias=scorer.bias)
     p = scorer.model.transform(v)
     classes = F.array(*[F.lit(c) for c in scorer.classes])
