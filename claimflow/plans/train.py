@@ -82,8 +82,12 @@ def _encode(df: DataFrame, classes: list, label_col: str) -> DataFrame:
 
 
 def vectors(df: DataFrame, vec: TfidfModel, key: str, bias: bool = False) -> DataFrame:
-    """Long-form weights packed to one sparse vector per row of ``df``."""
-    return pack(vec.transform(df.select(key, vec.terms_col), key), df, vec.size, doc_col=key, bias=bias)
+    """Long-form weights packed to one sparse vector per row of ``df``.
+
+    ``df`` is hash-partitioned by ``key`` (``train_classifier`` arranges it),
+    so term counts, norms, packing and the join back add no shuffle."""
+    return pack(vec.transform(df.select(key, vec.terms_col), key, by_doc=True), df, vec.size,
+                doc_col=key, bias=bias)
 
 
 def with_zero_row(train_v: DataFrame, size: int) -> DataFrame:
@@ -132,7 +136,8 @@ def train_classifier(df: DataFrame, key: str, label_col: str = "label", text_col
     x = stratified_split(x, strata, key=key, seed=cfg.seed, n_folds=cfg.n_folds)
     x = add_terms(x, "text_processed", "terms")
     x = x.select(key, label_col, *[s for s in strata if s != label_col], "split", "fold", "terms")
-    x = x.persist(StorageLevel.MEMORY_AND_DISK)
+    # Partitioned by key once: every feature step below reuses it.
+    x = x.repartition(key).persist(StorageLevel.MEMORY_AND_DISK)
     if classes is None:
         classes = sorted(r[0] for r in x.select(label_col).distinct().collect())
     x = _encode(x, classes, label_col)
