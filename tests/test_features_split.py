@@ -75,3 +75,32 @@ def test_split_same_for_one_and_many_partitions(spark):
 def test_given_split(spark):
     df = spark.createDataFrame([("train",), ("valid",), ("test",)], "split string")
     assert [r.split for r in given_split(df).collect()] == ["train", "validation", "test"]
+
+
+def test_tfidf_same_for_one_and_many_partitions(spark):
+    from conftest import SF001
+    from claimflow.plans.catalog import _preprocessed
+    pre = add_terms(_preprocessed(spark, SF001))
+    m = fit_tfidf(pre, min_df=2, max_features=500)
+    a = {(r.doc_id, r.term): round(r.weight, 12) for r in m.transform(pre.coalesce(1)).collect()}
+    b = {(r.doc_id, r.term): round(r.weight, 12) for r in m.transform(pre.repartition(13)).collect()}
+    assert a == b and len(a) > 1000
+
+
+def test_vocabulary_broadcast_and_single_udf(spark):
+    from conftest import SF001
+    from claimflow.operators.score import Scorer, score
+    from claimflow.plans.catalog import _preprocessed
+    pre = add_terms(_preprocessed(spark, SF001))
+    m = fit_tfidf(pre, min_df=2, max_features=500)
+    plan = m.transform(pre)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+    class Dummy:  # a model stand-in: the plan is only inspected
+        def transform(self, df):
+            return df.withColumn("prediction", F.when(F.col("features").isNotNull(), 0.0)).withColumn(
+                "probability", F.lit(None).cast("string"))
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text")
+    out = score(docs, Scorer(m, Dummy(), ["a", "b"], has_probability=False), "doc_id")
+    p = out._jdf.queryExecution().executedPlan().toString()
+    assert p.count("BatchEvalPython") == 1 and "ArrowEvalPython" not in p
