@@ -84,8 +84,10 @@ def score_table(pred: DataFrame, positive) -> DataFrame:
             .agg(F.count_if(is_pos).alias("pos_n"), F.count_if(~is_pos).alias("neg_n")))
 
 
-def running_by_score(per_score: DataFrame, cols=("pos_n", "neg_n"), n_buckets: int = N_BUCKETS) -> DataFrame:
-    """Inclusive running sums of ``cols`` in descending score order."""
+def running_by_score(per_score: DataFrame, cols=("pos_n", "neg_n"), n_buckets: int = N_BUCKETS,
+                     with_next: bool = False) -> DataFrame:
+    """Inclusive running sums of ``cols`` in descending score order; with
+    ``with_next`` also the next lower score's ``cols`` (null for the last)."""
     qs = [i / n_buckets for i in range(1, n_buckets)]
     bounds = sorted(set(per_score.approxQuantile("score", qs, 0.001))) if qs else []
     arr = F.array(*[F.lit(float(b)) for b in bounds]) if bounds else F.array().cast("array<double>")
@@ -99,22 +101,43 @@ def running_by_score(per_score: DataFrame, cols=("pos_n", "neg_n"), n_buckets: i
     w = Window.partitionBy("_bk").orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, 0)
     for c in cols:
         x = x.withColumn(f"cum_{c}", F.sum(c).over(w) + F.col(f"_o_{c}"))
+    if with_next:
+        # The next (lower) score's counts: ``lead`` inside a range, and for a
+        # range's last row the first row of the following non-empty range
+        # (a table of at most n_buckets rows).
+        wl = Window.partitionBy("_bk").orderBy(F.col("score").desc())
+        firsts = (x.groupBy("_bk").agg(F.max_by(F.struct(*cols), "score").alias("_f"))
+                  .withColumn("_nf", F.lead("_f").over(Window.orderBy("_bk"))).select("_bk", "_nf"))
+        x = x.join(F.broadcast(firsts), "_bk")
+        for c in cols:
+            x = x.withColumn(f"next_{c}", F.coalesce(F.lead(c).over(wl), F.col(f"_nf.{c}")))
+        x = x.drop("_nf")
     return x.drop("_bk", *[f"_o_{c}" for c in cols])
 
 
-def _curve_base(pred: DataFrame, positive, n_buckets: int) -> DataFrame:
+def _curve_base(pred: DataFrame, positive, n_buckets: int, with_next: bool = False) -> DataFrame:
     # One row per distinct score: small, and read by the quantile, total and
     # running-sum jobs below, so it is computed once.
     st = score_table(pred, positive).persist(StorageLevel.MEMORY_AND_DISK)
     # Two class totals: one tiny aggregate read on the driver as literals.
     t = st.agg(F.sum("pos_n").alias("P"), F.sum("neg_n").alias("N")).first()
-    cum = running_by_score(st, n_buckets=n_buckets)
+    cum = running_by_score(st, n_buckets=n_buckets, with_next=with_next)
     return cum.withColumns({"P": F.lit(int(t["P"] or 0)), "N": F.lit(int(t["N"] or 0))})
 
 
-def roc_curve(pred: DataFrame, positive=1, n_buckets: int = N_BUCKETS) -> DataFrame:
-    """One point per distinct score (threshold), plus the (0, 0) origin."""
-    c = _curve_base(pred, positive, n_buckets)
+def roc_curve(pred: DataFrame, positive=1, n_buckets: int = N_BUCKETS,
+              drop_intermediate: bool = False) -> DataFrame:
+    """One point per distinct score (threshold), plus the (0, 0) origin.
+
+    ``drop_intermediate`` drops a point when the steps before and after it
+    are the same (it lies on a straight segment), as the original's curve
+    function did; the first and last points always stay."""
+    c = _curve_base(pred, positive, n_buckets, with_next=drop_intermediate)
+    if drop_intermediate:
+        first = (F.col("cum_pos_n") == F.col("pos_n")) & (F.col("cum_neg_n") == F.col("neg_n"))
+        last = F.col("next_pos_n").isNull()
+        bend = (F.col("next_pos_n") != F.col("pos_n")) | (F.col("next_neg_n") != F.col("neg_n"))
+        c = c.where(first | last | bend)
     pts = c.select(F.col("score").alias("threshold"),
                    _ratio(F.col("cum_neg_n"), F.col("N")).alias("fpr"),
                    _ratio(F.col("cum_pos_n"), F.col("P")).alias("tpr"))

@@ -54,3 +54,23 @@ def test_curves_with_many_buckets_equal_plain(spark):
                                     for x, y in zip(a, b))
     pr = E.pr_curve(df).collect()
     assert any(r.recall == 0.0 and r.precision == 1.0 for r in pr)
+
+
+def test_roc_drop_intermediate_matches_second_difference_rule(spark):
+    import random
+    import numpy as np
+    random.seed(5)
+    rows = [(random.randint(0, 1), 0, float(random.randint(0, 40))) for _ in range(600)]
+    rows += [(1, 0, 100.0 + i) for i in range(5)] + [(0, 0, -10.0 - i) for i in range(5)]
+    df = spark.createDataFrame(rows, "actual int, predicted int, score double")
+    # reference rule on the per-threshold cumulative counts
+    scores = sorted({r[2] for r in rows}, reverse=True)
+    tps = np.cumsum([sum(1 for r in rows if r[2] == s and r[0] == 1) for s in scores])
+    fps = np.cumsum([sum(1 for r in rows if r[2] == s and r[0] != 1) for s in scores])
+    keep = np.where(np.r_[True, np.logical_or(np.diff(fps, 2), np.diff(tps, 2)), True])[0]
+    expect = sorted(scores[i] for i in keep)
+    for nb in (1, 8):
+        got = sorted(r.threshold for r in E.roc_curve(df, n_buckets=nb, drop_intermediate=True).collect()
+                     if r.threshold != float("inf"))
+        assert got == expect
+    assert E.roc_curve(df).count() == len(scores) + 1
