@@ -117,8 +117,9 @@ def add_terms(df: DataFrame, text_col: str = "text_processed", out: str = "terms
     return x.withColumn(out, ngrams_1_2("_mt")).drop("_mt")
 
 
-@F.udf(returnType=VectorUDT())
+@F.udf(returnType=VectorUDT(), useArrow=True)
 def _to_sparse(size, idx, vals, bias):
+    # Arrow-batched transfer; the body only wraps two arrays in a vector.
     idx, vals = list(idx or []), list(vals or [])
     if bias:  # constant feature in the last column
         idx.append(size - 1)
@@ -131,7 +132,8 @@ def pack(weights: DataFrame, docs: DataFrame, size: int, doc_col: str = "doc_id"
     """F8: long-form weights to one sparse vector per document.
 
     ``docs`` supplies every document (also those with no known term);
-    the only Python UDF in the plan builds the vector from two arrays.
+    the only Python UDF in the plan (Arrow-batched) builds the vector from
+    two arrays.
     ``bias`` appends a constant 1.0 feature (penalised-intercept option)."""
     grouped = (weights.groupBy(doc_col)
                .agg(F.sort_array(F.collect_list(F.struct("idx", "weight"))).alias("_e")))

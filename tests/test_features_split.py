@@ -103,4 +103,4 @@ def test_vocabulary_broadcast_and_single_udf(spark):
     docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text")
     out = score(docs, Scorer(m, Dummy(), ["a", "b"], has_probability=False), "doc_id")
     p = out._jdf.queryExecution().executedPlan().toString()
-    assert p.count("BatchEvalPython") == 1 and "ArrowEvalPython" not in p
+    assert p.count("ArrowEvalPython") == 1 and "BatchEvalPython" not in p
