@@ -482,3 +482,21 @@ def conversation_tokens(spark, sf_dir):
     x = evaluate_once(x, tokens=tokenize("text_clean"))
     return x.select("conv_id", "turn", "role", "text_clean", join_tokens("tokens").alias("text_processed"),
                     F.size("tokens").alias("n_tokens"))
+
+
+@query("niche_results")
+def niche_results(spark, sf_dir):
+    """E8 -> summary document -> S5: the results table (niche, macro F1,
+    accuracy, positive, negative, total and a TOTAL row) for the quality
+    classifier trained on documents x labels."""
+    import uuid
+
+    from claimflow.plans.evaluate_niche import evaluate_niche, write_niche_summary
+    from claimflow.session import scratch_path
+    from claimflow.sources.io import collect_results
+    r = trained_quality_model(spark, sf_dir)
+    labeled = labeled_documents(spark, sf_dir).select("doc_id", "text", "label")
+    tables = evaluate_niche(r, labeled, "doc_id", model="logistic_regression")
+    path = scratch_path(spark, f"summaries-{uuid.uuid4().hex}")
+    write_niche_summary(tables, labeled, path, "document_quality", positive_label="1", negative_label="0")
+    return collect_results(spark, f"{path}/*/*.txt")

@@ -198,3 +198,15 @@ def test_train_with_penalized_intercept(spark):
     sc = Scorer(r.vectorizer, lr, r.classes, bias=True)
     out = score(spark.createDataFrame([(1, "hoax scam fake science")], "k long, text string"), sc, "k").first()
     assert out.prediction == "claim"
+
+
+def test_evaluate_and_collect_summary(spark, trained, tmp_dir):
+    from claimflow.plans.evaluate_niche import evaluate_niche, write_niche_summary
+    labeled = spark.createDataFrame([(i, t, l) for i, (t, l) in enumerate(TEXTS)], "k long, text string, label string")
+    tables = evaluate_niche(trained, labeled, "k", model="logistic_regression")
+    n_test = trained.data.where("split = 'test'").count()
+    assert tables["predictions"].count() == n_test and "roc_auc" in tables
+    write_niche_summary(tables, labeled, f"{tmp_dir}/s", "climate_claims", "claim", "scientific")
+    res = {r.niche: r for r in io.collect_results(spark, f"{tmp_dir}/s/*/*.txt").collect()}
+    assert res["climate_claims"].positive == 12 and res["climate_claims"].negative == 12
+    assert 0.0 <= res["climate_claims"].macro_f1 <= 1.0
