@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 N_BUCKETS = 64
+MAX_CLASSES = 10_000  # class lists are read on the driver
 
 
 def _ratio(a: Column, b: Column) -> Column:
@@ -37,8 +38,10 @@ def confusion(pred: DataFrame, classes: list | None = None) -> DataFrame:
     counts = pred.groupBy("actual", "predicted").agg(F.count(F.lit(1)).alias("count"))
     if classes is None:
         # The class list is the distinct labels: a handful of rows.
-        classes = sorted(r[0] for r in counts.select(F.explode(F.array("actual", "predicted")))
-                         .distinct().collect() if r[0] is not None)
+        rows = counts.select(F.explode(F.array("actual", "predicted"))).distinct().limit(MAX_CLASSES + 1).collect()
+        if len(rows) > MAX_CLASSES:
+            raise ValueError(f"more than {MAX_CLASSES} classes")
+        classes = sorted(r[0] for r in rows if r[0] is not None)
     pairs = pred.sparkSession.createDataFrame([(a, b) for a in classes for b in classes],
                                               f"actual {_ddl(pred)}, predicted {_ddl(pred)}")
     return (pairs.join(F.broadcast(counts), ["actual", "predicted"], "left")

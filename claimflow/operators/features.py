@@ -29,6 +29,7 @@ from claimflow.session import ensure_checkpoint_dir
 
 MODEL_TOKEN_PATTERN = r"[a-z0-9_]{2,}"
 MAX_BROADCAST_VOCAB = 2_000_000
+MAX_CLASSES = 10_000  # class lists are read on the driver
 
 
 def model_tokens(text, stop_words=ENGLISH_STOP_WORDS) -> Column:
@@ -100,16 +101,40 @@ def fit_tfidf(docs: DataFrame, doc_col: str = "doc_id", terms_col: str = "terms"
     if max_features is not None:
         kept = kept.orderBy(F.col("cf").desc(), F.col("term")).limit(max_features)
     idf = F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0
-    # Index = alphabetical rank. The table is bounded by max_features, so
-    # one ordered partition is cheap; it is materialised once.
-    vocab = (kept.withColumn("idx", (F.row_number().over(Window.orderBy("term")) - 1).cast("int"))
-             .withColumn("idf", idf))
+    # Index = alphabetical rank. With max_features the table is bounded and
+    # one ordered partition is cheap; without it the terms are ranked by
+    # range partitions plus per-partition offsets.
+    if max_features is not None:
+        ranked = kept.withColumn("idx", (F.row_number().over(Window.orderBy("term")) - 1).cast("int"))
+    else:
+        ranked = alphabetical_index(kept, "term", "idx")
+    vocab = ranked.withColumn("idf", idf)
     ensure_checkpoint_dir(docs.sparkSession)
     vocab = vocab.checkpoint(eager=True)
     size = vocab.count()
     return TfidfModel(vocab, n_docs, size, doc_col, terms_col)
 
 
+def alphabetical_index(df: DataFrame, col: str, out: str, partitions: int | None = None) -> DataFrame:
+    """0-based rank of unique ``col`` values in sort order, without a
+    single-partition window: range-partition, sort within partitions, take
+    the in-partition position from ``monotonically_increasing_id`` (its low
+    33 bits) and add the count of all earlier partitions (a table with one
+    row per partition, broadcast)."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    x = (df.repartitionByRange(n, col).sortWithinPartitions(col)
+         .withColumn("_mid", F.monotonically_increasing_id())
+         .withColumn("_pid", F.shiftright("_mid", 33))
+         .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))))
+    x = x.persist()
+    counts = x.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    offs = counts.select("_pid", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    return (x.join(F.broadcast(offs), "_pid")
+            .withColumn(out, (F.col("_off") + F.col("_pos")).cast("int"))
+            .drop("_mid", "_pid", "_pos", "_off"))
+
+
 def add_terms(df: DataFrame, text_col: str = "text_processed", out: str = "terms",
               stop_words=ENGLISH_STOP_WORDS) -> DataFrame:
     """F1+F2 as a column of model terms (the token regex runs once per row)."""
@@ -147,7 +172,9 @@ def encode_labels(df: DataFrame, label_col: str = "label", out: str = "label_idx
     """alphabetical label codes; returns the frame and the class list.
 
     The class list is the distinct labels (a handful), read on the driver."""
-    classes = sorted(r[0] for r in df.select(label_col).distinct().collect())
+    classes = sorted(r[0] for r in df.select(label_col).distinct().limit(MAX_CLASSES + 1).collect())
+    if len(classes) > MAX_CLASSES:
+        raise ValueError(f"label column {label_col!r} has more than {MAX_CLASSES} classes")
     m = F.create_map(*[x for i, c in enumerate(classes) for x in (F.lit(c), F.lit(float(i)))])
     return df.withColumn(out, F.element_at(m, F.col(label_col).cast("string"))), classes
 

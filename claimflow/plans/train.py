@@ -30,6 +30,7 @@ from claimflow.operators.features import TfidfModel, add_terms, fit_tfidf, pack
 from claimflow.operators.split import TRAIN, VALIDATION, stratified_split
 
 MODEL_ORDER = ("logistic_regression", "linear_svm")  # ties go to the first
+MAX_CLASSES = 10_000  # class lists are read on the driver
 ROWS_PER_PARTITION = 20_000  # sparse rows per training task (~tens of MB)
 
 
@@ -139,7 +140,9 @@ def train_classifier(df: DataFrame, key: str, label_col: str = "label", text_col
     # Partitioned by key once: every feature step below reuses it.
     x = x.repartition(key).persist(StorageLevel.MEMORY_AND_DISK)
     if classes is None:
-        classes = sorted(r[0] for r in x.select(label_col).distinct().collect())
+        classes = sorted(r[0] for r in x.select(label_col).distinct().limit(MAX_CLASSES + 1).collect())
+        if len(classes) > MAX_CLASSES:
+            raise ValueError(f"label column {label_col!r} has more than {MAX_CLASSES} classes")
     x = _encode(x, classes, label_col)
 
     train = x.where(F.col("split") == TRAIN)

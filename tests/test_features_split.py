@@ -104,3 +104,13 @@ def test_vocabulary_broadcast_and_single_udf(spark):
     out = score(docs, Scorer(m, Dummy(), ["a", "b"], has_probability=False), "doc_id")
     p = out._jdf.queryExecution().executedPlan().toString()
     assert p.count("ArrowEvalPython") == 1 and "BatchEvalPython" not in p
+
+
+def test_unbounded_vocabulary_index_is_alphabetical(spark):
+    from conftest import SF001
+    from claimflow.plans.catalog import _preprocessed
+    pre = add_terms(_preprocessed(spark, SF001))
+    m = fit_tfidf(pre, min_df=2, max_features=None)
+    rows = m.vocab.select("term", "idx").collect()
+    terms = sorted(r.term for r in rows)
+    assert sorted((r.idx, r.term) for r in rows) == list(enumerate(terms))
