@@ -245,3 +245,20 @@ def train_unified(labeled_by_niche: dict, rules, key: str = "id", cfg: TrainConf
     return train_classifier(df.select(key, "text", "label_binary", "niche"), key,
                             label_col="label_binary", strata=["label_binary", "niche"], cfg=cfg,
                             classes=[0, 1])
+
+
+def train_niche(labeled: DataFrame, rule_set, key: str = "id", cfg: TrainConfig | None = None,
+                enforce_min_samples: bool = True) -> TrainResult:
+    """M9: one niche end to end. The minimum-sample gate (L8) stops training
+    when a class is short; rows labeled ``unlabeled`` (or anything but the
+    two configured labels) are dropped before training (Q4)."""
+    from claimflow.operators.labeling import min_sample_gate, require_min_samples
+    rs = rule_set
+    x = labeled.where(F.col("niche") == rs.niche) if "niche" in labeled.columns else \
+        labeled.withColumn("niche", F.lit(rs.niche))
+    x = x.withColumns({"positive_label": F.lit(rs.positive_label), "negative_label": F.lit(rs.negative_label)})
+    if enforce_min_samples:
+        require_min_samples(min_sample_gate(x, [rs]))
+    x = x.where(F.col("label").isin(rs.positive_label, rs.negative_label))
+    return train_classifier(x.select(key, "text", "label"), key, cfg=cfg,
+                            classes=sorted([rs.positive_label, rs.negative_label]))

@@ -114,3 +114,15 @@ def test_unbounded_vocabulary_index_is_alphabetical(spark):
     rows = m.vocab.select("term", "idx").collect()
     terms = sorted(r.term for r in rows)
     assert sorted((r.idx, r.term) for r in rows) == list(enumerate(terms))
+
+
+def test_vectorizer_defaults_and_unfitted_error(spark):
+    from claimflow.operators.features import TfidfVectorizer
+    v = TfidfVectorizer()
+    assert v.ngram_range == (1, 2) and v.min_df == 3 and v.max_features == 10_000 and not v.is_fitted
+    df = spark.createDataFrame([(1, "apple banana"), (2, "banana cherry"), (3, "apple cherry"), (4, "date")],
+                               "doc_id long, text_processed string")
+    with pytest.raises(ValueError, match="must be fitted"):
+        v.transform(df)
+    w = TfidfVectorizer(max_features=50, min_df=1, max_df=1.0).fit_transform(df)
+    assert w.select("doc_id").distinct().count() == 4

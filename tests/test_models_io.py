@@ -210,3 +210,19 @@ def test_evaluate_and_collect_summary(spark, trained, tmp_dir):
     res = {r.niche: r for r in io.collect_results(spark, f"{tmp_dir}/s/*/*.txt").collect()}
     assert res["climate_claims"].positive == 12 and res["climate_claims"].negative == 12
     assert 0.0 <= res["climate_claims"].macro_f1 <= 1.0
+
+
+def test_train_niche_drops_unlabeled_and_gates(spark):
+    from claimflow.plans.train import train_niche
+    from claimflow.sources.rules import RuleSet
+    rs = RuleSet.from_mapping({"niche": "climate_claims", "positive_label": "claim", "negative_label": "scientific",
+                               "min_samples_per_class": 5})
+    rows = [(f"c_{i}", t, l) for i, (t, l) in enumerate(TEXTS)] + [(f"u_{i}", "random words here", "unlabeled")
+                                                                   for i in range(6)]
+    df = spark.createDataFrame(rows, "id string, text string, label string")
+    res = train_niche(df, rs, cfg=TrainConfig(min_df=1, n_folds=2, max_features=200))
+    assert res.classes == ["claim", "scientific"]
+    assert res.data.where("label = 'unlabeled'").count() == 0
+    strict = RuleSet.from_mapping({**rs.__dict__, "positive_phrases": [], "min_samples_per_class": 1000})
+    with pytest.raises(ValueError):
+        train_niche(df, strict)
