@@ -108,7 +108,7 @@ def host_suffixes(host: Column) -> Column:
                        lambda i: F.array_join(F.slice(parts, i, n - i + 1), "."))
 
 
-def rule_domains(rules) -> DataFrame:
+def rule_domains(rules, spark: SparkSession | None = None) -> DataFrame:
     """(niche, domain, domain_type) from the rules' domain lists.
 
     Its size is the total length of the domain lists, known on the driver."""
@@ -117,7 +117,7 @@ def rule_domains(rules) -> DataFrame:
         rows = sorted({(r.niche, d, t) for r in sets
                        for t, ds in (("positive", r.positive_domains), ("negative", r.negative_domains))
                        for d in ds})
-        spark = SparkSession.getActiveSession()
+        spark = spark or SparkSession.getActiveSession()
         return spark.createDataFrame(rows, "niche string, domain string, domain_type string")
     pos = rules.select("niche", F.explode("positive_domains").alias("domain"),
                        F.lit("positive").alias("domain_type"))
@@ -134,7 +134,7 @@ def tag_domains(pages: DataFrame, rules: DataFrame, source_col: str = "source")
     broadcast domain table, so the suffix test needs no nested-loop join.
     A page listed on both sides appears once per side.
     """
-    doms = rule_domains(rules)
+    doms = rule_domains(rules, pages.sparkSession)
     x = pages.withColumn("_suffix", F.explode(host_suffixes(host_of(F.col(source_col)))))
     return (x.join(F.broadcast(doms), x["_suffix"] == doms["domain"])
              .drop("_suffix").withColumnRenamed("domain", "matched_domain"))
