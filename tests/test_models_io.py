@@ -226,3 +226,16 @@ def test_train_niche_drops_unlabeled_and_gates(spark):
     strict = RuleSet.from_mapping({**rs.__dict__, "positive_phrases": [], "min_samples_per_class": 1000})
     with pytest.raises(ValueError):
         train_niche(df, strict)
+
+
+def test_write_table_parquet_and_csv(spark, tmp_dir):
+    df = spark.createDataFrame([("a", 1, "x\ny"), ("b", 2, 'say "hi"')], "niche string, n int, text string")
+    io.write_table(df, f"{tmp_dir}/p")
+    assert sorted(os.listdir(f"{tmp_dir}/p"))[:2] == ["_SUCCESS", "niche=a"] or "niche=a" in os.listdir(f"{tmp_dir}/p")
+    back = spark.read.parquet(f"{tmp_dir}/p").where("niche = 'b'").first()
+    assert back.text == 'say "hi"'
+    io.write_table(df, f"{tmp_dir}/c", partition_by=(), fmt="csv")
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("niche", T.StringType()), T.StructField("n", T.IntegerType()),
+                           T.StructField("text", T.StringType())])
+    assert sorted(r.text for r in io.read_csv(spark, f"{tmp_dir}/c", schema).collect()) == sorted(["x\ny", 'say "hi"'])
