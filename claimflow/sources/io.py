@@ -169,11 +169,18 @@ def write_summary_json(spark: SparkSession, path: str, niche: str, samples_per_c
         .write.mode("overwrite").text(f"{path}/{niche}")
 
 
-def collect_results(spark: SparkSession, glob: str) -> DataFrame:
+def collect_results(spark: SparkSession, glob: str, rules=None) -> DataFrame:
     """One row per niche (macro F1, accuracy, positive, negative, total)
-    plus a grand-total row. Class counts are looked up by the configured
-    label names, not by JSON key order."""
-    s = spark.read.schema(SUMMARY_SCHEMA).json(glob)
+    plus a grand-total row. Class counts are looked up by label name, never
+    by JSON key order: from the summary itself, else from the niche's rule
+    set (``rules``). Pretty-printed (multi-line) documents are read too."""
+    s = spark.read.schema(SUMMARY_SCHEMA).option("multiLine", "true").json(glob)
+    if rules is not None:
+        from claimflow.sources.rules import rule_sets_of
+        for r in rule_sets_of(rules):  # keeps niches without a rule set
+            hit = F.col("niche") == r.niche
+            s = s.withColumn("positive_label", F.coalesce("positive_label", F.when(hit, F.lit(r.positive_label)))) \
+                 .withColumn("negative_label", F.coalesce("negative_label", F.when(hit, F.lit(r.negative_label))))
     per = s.select(
         "niche", F.col("test_macro_f1").alias("macro_f1"), F.col("test_accuracy").alias("accuracy"),
         F.coalesce(F.element_at("samples_per_class", F.col("positive_label")), F.lit(0)).alias("positive"),

@@ -239,3 +239,16 @@ def test_write_table_parquet_and_csv(spark, tmp_dir):
     schema = T.StructType([T.StructField("niche", T.StringType()), T.StructField("n", T.IntegerType()),
                            T.StructField("text", T.StringType())])
     assert sorted(r.text for r in io.read_csv(spark, f"{tmp_dir}/c", schema).collect()) == sorted(["x\ny", 'say "hi"'])
+
+
+def test_collect_results_reads_pretty_json_with_rule_labels(spark, tmp_dir):
+    from claimflow.sources.rules import load_rule_set
+    os.makedirs(f"{tmp_dir}/artifacts/hustle_scams/reports")
+    doc = {"niche": "hustle_scams", "samples_per_class": {"legit": 340, "scam": 360},
+           "test_macro_f1": 0.9, "test_accuracy": 0.95, "per_class": {}}
+    with open(f"{tmp_dir}/artifacts/hustle_scams/reports/summary.json", "w") as fh:
+        json.dump(doc, fh, indent=2)
+    res = {r.niche: r for r in io.collect_results(spark, f"{tmp_dir}/artifacts/*/reports/summary.json",
+                                                  rules=[load_rule_set("hustle_scams")]).collect()}
+    assert res["hustle_scams"].positive == 360 and res["hustle_scams"].negative == 340
+    assert res["TOTAL"].total == 700
