@@ -370,21 +370,16 @@ def top_terms_q(spark, sf_dir):
 
 @query("test_evaluation")
 def test_evaluation(spark, sf_dir):
-    """The best model on the held-out test split, E1/E2/E4/E6 as
+    """Logistic regression on the held-out test split, E1/E2/E4/E6 as
     (metric, value) rows."""
     from claimflow.operators import evaluate as E
-    from claimflow.operators.score import score
+    from claimflow.plans.evaluate_niche import test_predictions
     r = trained_quality_model(spark, sf_dir)
-    test_ids = r.data.where(F.col("split") == "test").select("doc_id")
-    docs = labeled_documents(spark, sf_dir).join(test_ids, "doc_id")
-    sc = _scorer(spark, sf_dir, "logistic_regression")
-    from pyspark import StorageLevel
-    # Several metric jobs read the same predictions: score once.
-    p = score(docs, sc, "doc_id").select(
-        F.col("label").cast("string").alias("actual"), F.col("prediction").alias("predicted"),
-        F.element_at("probabilities", F.lit("1")).alias("score")).persist(StorageLevel.MEMORY_AND_DISK)
+    labeled = labeled_documents(spark, sf_dir).select("doc_id", "text", "label")
+    p = test_predictions(r, labeled, "doc_id", model="logistic_regression")
+    positive = str(r.classes[-1])
     parts = [E.accuracy(p).drop("n"), E.report_summary(E.class_report(E.confusion(p))),
-             E.roc_auc(p, positive="1"), E.average_precision(p, positive="1")]
+             E.roc_auc(p, positive=positive), E.average_precision(p, positive=positive)]
     out = None
     for x in parts:
         u = x.unpivot([], x.columns, "metric", "value")
