@@ -15,6 +15,7 @@ a documented deviation.
 
 from __future__ import annotations
 
+import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -132,6 +133,7 @@ def train_classifier(df: DataFrame, key: str, label_col: str = "label", text_col
     cfg = cfg or TrainConfig()
     spark: SparkSession = df.sparkSession
     strata = strata or [label_col]
+    timings, t0 = {}, time.time()
     # Cleaned rows are read twice by the split (bucket counts and ranks).
     x = preprocess(df, text_col).persist(StorageLevel.MEMORY_AND_DISK)
     x = stratified_split(x, strata, key=key, seed=cfg.seed, n_folds=cfg.n_folds)
@@ -144,6 +146,7 @@ def train_classifier(df: DataFrame, key: str, label_col: str = "label", text_col
         if len(classes) > MAX_CLASSES:
             raise ValueError(f"label column {label_col!r} has more than {MAX_CLASSES} classes")
     x = _encode(x, classes, label_col)
+    timings["prepare"] = round(time.time() - t0, 3)
 
     train = x.where(F.col("split") == TRAIN)
     vec = fit_tfidf(train.select(key, "terms"), doc_col=key, terms_col="terms",
@@ -152,6 +155,7 @@ def train_classifier(df: DataFrame, key: str, label_col: str = "label", text_col
     n_train = train_w.count()
     train_v = sized_for_fit(vectors(train_w, vec, key), n_train).persist(StorageLevel.MEMORY_AND_DISK)
     val_v = vectors(x.where(F.col("split") == VALIDATION), vec, key)
+    timings["vocabulary_and_weights"] = round(time.time() - t0 - timings["prepare"], 3)
 
     if cfg.penalize_intercept:
         train_b = with_zero_row(vectors(train_w, vec, key, bias=True), vec.size).persist(StorageLevel.MEMORY_AND_DISK)
@@ -168,11 +172,14 @@ def train_classifier(df: DataFrame, key: str, label_col: str = "label", text_col
 
     # The two final fits and the CV folds are independent jobs; on small
     # partitions each uses one core, so they run side by side.
+    t1 = time.time()
     with ThreadPoolExecutor(max_workers=2) as pool:
         main = pool.map(fit_main, list(_models(cfg, n_train).items()))
         folds = cross_validate(x.where(F.col("split") == TRAIN), key, cfg,
                                vec if not cfg.refit_vocab_per_fold else None)
+        timings["cross_validation"] = round(time.time() - t1, 3)
         main = list(main)
+    timings["fits_total"] = round(time.time() - t1, 3)
     fitted = {name: model for name, model, _, _ in main}
     rows = [(name, tr, va) for name, _, tr, va in main]
     stats = fold_score_stats(folds, by=("model",), score_col="f1")
@@ -180,7 +187,8 @@ def train_classifier(df: DataFrame, key: str, label_col: str = "label", text_col
     order = spark.createDataFrame([(m, i) for i, m in enumerate(MODEL_ORDER)], "model string, model_order int")
     metrics = acc.join(stats, "model").join(order, "model")
     best = select_best(metrics)
-    return TrainResult(classes, vec, fitted, best, metrics, folds, x)
+    timings["total"] = round(time.time() - t0, 3)
+    return TrainResult(classes, vec, fitted, best, metrics, folds, x, {"timings": timings})
 
 
 def cross_validate(train: DataFrame, key: str, cfg: TrainConfig, shared_vec: TfidfModel | None) -> DataFrame:
