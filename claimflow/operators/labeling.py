@@ -30,11 +30,17 @@ def _hits(phrases: str, haystack: Column) -> Column:
     return F.filter(F.col(phrases), lambda p: haystack.contains(p))
 
 
-def _any_domain(domains: str, source_lower: Column) -> Column:
-    return F.exists(F.col(domains), lambda d: source_lower.contains(d))
+def _any_domain(domains: str, source_lower: Column, match: str = "substring") -> Column:
+    if match == "substring":  # the original rule: ``ew.com`` also hits ``crew.com``
+        return F.exists(F.col(domains), lambda d: source_lower.contains(d))
+    if match == "host_suffix":  # the host is the domain or a subdomain of it
+        host = F.regexp_extract(source_lower, r"^(?:[^@/]*@)?([^:/]*)", 1)
+        return F.exists(F.col(domains),
+                        lambda d: (host == d) | host.endswith(F.concat(F.lit("."), d)))
+    raise ValueError(f"unknown domain match {match!r}")
 
 
-def score_rules(df: DataFrame, rules: DataFrame) -> DataFrame:
+def score_rules(df: DataFrame, rules, match: str = "substring") -> DataFrame:
     """L1-L4 for every row: domain and phrase hits, scores, label, evidence.
 
     Adds ``pos_domain``/``neg_domain`` (bool), ``pos_hits``/``neg_hits``
@@ -46,8 +52,8 @@ def score_rules(df: DataFrame, rules: DataFrame) -> DataFrame:
     x = x.withColumn("_text_lower", F.lower(F.coalesce(F.col("text"), F.lit("")))) \
          .withColumn("_source_lower", F.lower(F.coalesce(F.col("source"), F.lit(""))))
     tl, sl = F.col("_text_lower"), F.col("_source_lower")
-    x = x.withColumn("pos_domain", _any_domain("positive_domains", sl)) \
-         .withColumn("neg_domain", _any_domain("negative_domains", sl)) \
+    x = x.withColumn("pos_domain", _any_domain("positive_domains", sl, match)) \
+         .withColumn("neg_domain", _any_domain("negative_domains", sl, match)) \
          .withColumn("pos_hits", _hits("positive_phrases", tl)) \
          .withColumn("neg_hits", _hits("negative_phrases", tl))
     ps = F.when(F.col("pos_domain"), 2).otherwise(0) + F.size("pos_hits")
@@ -77,13 +83,13 @@ def score_rules(df: DataFrame, rules: DataFrame) -> DataFrame:
              .drop("_text_lower", "_source_lower"))
 
 
-def label_dataset(df: DataFrame, rules: DataFrame, key: str, date: str) -> DataFrame:
+def label_dataset(df: DataFrame, rules, key: str, date: str, match: str = "substring") -> DataFrame:
     """The labeled-sample table.
 
     ``id`` is ``<niche>_<key>`` from a stable input key (never a row
     position); ``date`` is a parameter (``yyyy-MM-dd``), not the clock.
     """
-    x = score_rules(df, rules)
+    x = score_rules(df, rules, match)
     title = F.coalesce(F.col("title"), F.lit("")) if "title" in df.columns else F.lit("")
     url = F.col("url") if "url" in df.columns else F.lit(None).cast("string")
     return x.select(

@@ -143,3 +143,16 @@ def test_no_nested_loop_or_cartesian_joins(spark):
             continue
         plan = qs[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan, name
+
+
+def test_domain_match_modes(spark):
+    rules = RuleSet.from_mapping({"niche": "test_niche", "positive_label": "p", "negative_label": "n",
+                                  "positive_domains": ["ew.com"], "negative_domains": []})
+    df = spark.createDataFrame([(0, "x", "www.crew.com", "unknown", "test_niche"),
+                                (1, "x", "www.ew.com", "unknown", "test_niche"),
+                                (2, "x", "EW.com:443", "unknown", "test_niche")],
+                               "k int, text string, source string, domain_type string, niche string")
+    sub = {r.k: r.pos_domain for r in L.score_rules(df, [rules]).collect()}
+    host = {r.k: r.pos_domain for r in L.score_rules(df, [rules], match="host_suffix").collect()}
+    assert sub == {0: True, 1: True, 2: True}
+    assert host == {0: False, 1: True, 2: True}
