@@ -230,8 +230,12 @@ def _preprocessed(spark, sf_dir):
 
 
 def _fitted(spark, sf_dir):
+    from pyspark import StorageLevel
+
     from claimflow.operators.features import add_terms, fit_tfidf
-    docs = add_terms(_preprocessed(spark, sf_dir))
+    # Read by the document count, the vocabulary fit and the transform:
+    # clean and tokenize once.
+    docs = add_terms(_preprocessed(spark, sf_dir)).persist(StorageLevel.MEMORY_AND_DISK)
     return docs, fit_tfidf(docs, min_df=3, max_df=0.95, max_features=10_000)
 
 
