@@ -179,6 +179,17 @@ def average_precision(pred: DataFrame, positive=1, n_buckets: int = N_BUCKETS) -
     return c.agg(F.sum(step * prec).alias("average_precision"))
 
 
+def curve_summary(pred: DataFrame, positive=1, n_buckets: int = N_BUCKETS) -> DataFrame:
+    """E4 + E6 in one aggregation over one running-sum table:
+    ``roc_auc`` and ``average_precision``."""
+    c = _curve_base(pred, positive, n_buckets)
+    tp0 = F.col("cum_pos_n") - F.col("pos_n")
+    area = F.col("neg_n").cast("double") * (2 * tp0 + F.col("pos_n")) / 2.0
+    prec = _ratio(F.col("cum_pos_n"), F.col("cum_pos_n") + F.col("cum_neg_n"))
+    return c.agg((F.sum(area) / (F.first("P").cast("double") * F.first("N"))).alias("roc_auc"),
+                 F.sum(_ratio(F.col("pos_n"), F.col("P")) * prec).alias("average_precision"))
+
+
 def evaluate(pred: DataFrame, positive=1, classes=None) -> dict[str, DataFrame]:
     """E1-E6 as a dict of tables."""
     cm = confusion(pred, classes)

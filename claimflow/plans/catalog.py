@@ -300,8 +300,7 @@ def eval_summary(spark, sf_dir):
     from claimflow.operators import evaluate as E
     # Read by the report, the AUC and the AP jobs: label once.
     pred = _rule_predictions(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
-    parts = [E.report_summary(E.class_report(E.confusion(pred))),
-             E.roc_auc(pred, positive=1), E.average_precision(pred, positive=1)]
+    parts = [E.report_summary(E.class_report(E.confusion(pred))), E.curve_summary(pred, positive=1)]
     longs = [p.unpivot([], p.columns, "metric", "value") for p in parts]
     out = longs[0]
     for x in longs[1:]:
@@ -383,7 +382,7 @@ def test_evaluation(spark, sf_dir):
     p = test_predictions(r, labeled, "doc_id", model="logistic_regression")
     positive = str(r.classes[-1])
     parts = [E.accuracy(p).drop("n"), E.report_summary(E.class_report(E.confusion(p))),
-             E.roc_auc(p, positive=positive), E.average_precision(p, positive=positive)]
+             E.curve_summary(p, positive=positive)]
     out = None
     for x in parts:
         u = x.unpivot([], x.columns, "metric", "value")

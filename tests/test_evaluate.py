@@ -74,3 +74,9 @@ def test_roc_drop_intermediate_matches_second_difference_rule(spark):
                      if r.threshold != float("inf"))
         assert got == expect
     assert E.roc_curve(df).count() == len(scores) + 1
+
+
+def test_curve_summary_equals_separate_metrics(spark, pred):
+    s = E.curve_summary(pred).first()
+    assert s.roc_auc == pytest.approx(E.roc_auc(pred).first().roc_auc)
+    assert s.average_precision == pytest.approx(E.average_precision(pred).first().average_precision)
