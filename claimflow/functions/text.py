@@ -48,6 +48,18 @@ HTML_ENTITIES = (
     ("&hellip;", "…"), ("&lsquo;", "‘"), ("&rsquo;", "’"),
     ("&ldquo;", "“"), ("&rdquo;", "”"), ("&amp;", "&"),
 )
+# Numeric character references (decimal or hex, with ``;``).
+NUM_ENTITY_PATTERN = r"&#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
+NUM_ENTITY_SPLIT = r"&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
+# The HTML5 replacements for references to 0x80-0x9F
+# (Windows-1252 code points), as code point -> code point.
+WINDOWS_1252_REMAP = {
+    0x80: 0x20AC, 0x82: 0x201A, 0x83: 0x0192, 0x84: 0x201E, 0x85: 0x2026, 0x86: 0x2020,
+    0x87: 0x2021, 0x88: 0x02C6, 0x89: 0x2030, 0x8A: 0x0160, 0x8B: 0x2039, 0x8C: 0x0152,
+    0x8E: 0x017D, 0x91: 0x2018, 0x92: 0x2019, 0x93: 0x201C, 0x94: 0x201D, 0x95: 0x2022,
+    0x96: 0x2013, 0x97: 0x2014, 0x98: 0x02DC, 0x99: 0x2122, 0x9A: 0x0161, 0x9B: 0x203A,
+    0x9C: 0x0153, 0x9E: 0x017E, 0x9F: 0x0178,
+}
 # ---------------------------------------------------------------------------
 
 
@@ -108,9 +120,36 @@ def join_tokens(tokens) -> Column:
     return F.array_join(_col(tokens), " ")
 
 
+def _code_point(ref: Column) -> Column:
+    """Code point of a numeric reference body (``39`` or ``x2019``); invalid
+    ones (0, surrogates, beyond U+10FFFF) become U+FFFD, 0x80-0x9F follow
+    the HTML5 table."""
+    raw = F.when(F.lower(ref).startswith("x"), F.conv(F.substring(ref, 2, 10), 16, 10)) \
+           .otherwise(ref).cast("long")
+    remap = F.create_map(*[F.lit(x) for kv in WINDOWS_1252_REMAP.items() for x in kv])
+    bad = (raw == 0) | raw.between(0xD800, 0xDFFF) | (raw > 0x10FFFF)
+    return F.when(bad, F.lit(0xFFFD)).otherwise(F.coalesce(F.element_at(remap, raw.cast("int")), raw))
+
+
+def decode_numeric_entities(s) -> Column:
+    """``&#39;`` / ``&#x2019;`` to characters, natively: the text is split
+    around the references, each code point is decoded from its UTF-32 bytes,
+    and the pieces are zipped back together."""
+    s = _col(s)
+    pieces = F.split(s, NUM_ENTITY_SPLIT, -1)
+    refs = F.regexp_extract_all(s, F.lit(NUM_ENTITY_PATTERN), F.lit(1))
+    chars = F.transform(refs, lambda r: F.decode(F.unhex(F.lpad(F.hex(_code_point(r)), 8, "0")), "UTF-32"))
+    body = F.array_join(F.zip_with(F.slice(pieces, 1, F.size(refs)), chars, lambda a, b: F.concat(a, b)), "")
+    return F.when(F.instr(s, "&#") > 0, F.concat(body, F.element_at(pieces, -1))).otherwise(s)
+
+
 def decode_entities(s) -> Column:
+    """Named entities by plain replacement, then numeric references,
+    ``&amp;`` last (so ``&amp;#39;`` stays ``&#39;``)."""
     s = _col(s)
     for ent, ch in HTML_ENTITIES:
+        if ent == "&amp;":
+            s = decode_numeric_entities(s)
         s = F.replace(s, F.lit(ent), F.lit(ch))
     return s
 
@@ -155,9 +194,27 @@ def tokenize_sql(clean_expr: str, stop_words=ENGLISH_STOP_WORDS,
             f"lambda t: length(t) >= {min_length} AND NOT list_contains({stops}, t))")
 
 
+def _code_point_sql(ref: str) -> str:
+    raw = (f"CAST(CASE WHEN starts_with(lower({ref}), 'x') THEN CAST('0x' || substr({ref}, 2) AS BIGINT) "
+           f"ELSE CAST({ref} AS BIGINT) END AS BIGINT)")
+    remap = "MAP {" + ", ".join(f"{k}: {v}" for k, v in WINDOWS_1252_REMAP.items()) + "}"
+    return (f"CASE WHEN {raw} = 0 OR {raw} BETWEEN 55296 AND 57343 OR {raw} > 1114111 THEN 65533 "
+            f"ELSE coalesce({remap}[{raw}], {raw}) END")
+
+
+def decode_numeric_entities_sql(expr: str) -> str:
+    pieces = f"string_split_regex({expr}, {q(NUM_ENTITY_SPLIT)})"
+    refs = f"regexp_extract_all({expr}, {q(NUM_ENTITY_PATTERN)}, 1)"
+    body = (f"array_to_string(list_transform(range(1, len({refs}) + 1), "
+            f"lambda i: {pieces}[i] || chr(CAST({_code_point_sql(f'{refs}[i]')} AS INTEGER))), '')")
+    return f"(CASE WHEN strpos({expr}, '&#') > 0 THEN {body} || {pieces}[len({pieces})] ELSE {expr} END)"
+
+
 def decode_entities_sql(expr: str) -> str:
     s = expr
     for ent, ch in HTML_ENTITIES:
+        if ent == "&amp;":
+            s = decode_numeric_entities_sql(s)
         s = f"replace({s}, {q(ent)}, {q(ch)})"
     return s
 
