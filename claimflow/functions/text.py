@@ -51,6 +51,7 @@ HTML_ENTITIES = (
 # Numeric character references (decimal or hex, with ``;``).
 NUM_ENTITY_PATTERN = r"&#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
 NUM_ENTITY_SPLIT = r"&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
+NUM_ENTITY_EDGES = r"(?=" + NUM_ENTITY_SPLIT + r")|(?<=" + NUM_ENTITY_SPLIT + r")"
 # The HTML5 replacements for references to 0x80-0x9F
 # (Windows-1252 code points), as code point -> code point.
 WINDOWS_1252_REMAP = {
@@ -132,15 +133,20 @@ def _code_point(ref: Column) -> Column:
 
 
 def decode_numeric_entities(s) -> Column:
-    """``&#39;`` / ``&#x2019;`` to characters, natively: the text is split
-    around the references, each code point is decoded from its UTF-32 bytes,
-    and the pieces are zipped back together."""
-    s = _col(s)
-    pieces = F.split(s, NUM_ENTITY_SPLIT, -1)
-    refs = F.regexp_extract_all(s, F.lit(NUM_ENTITY_PATTERN), F.lit(1))
-    chars = F.transform(refs, lambda r: F.decode(F.unhex(F.lpad(F.hex(_code_point(r)), 8, "0")), "UTF-32"))
-    body = F.array_join(F.zip_with(F.slice(pieces, 1, F.size(refs)), chars, lambda a, b: F.concat(a, b)), "")
-    return F.when(F.instr(s, "&#") > 0, F.concat(body, F.element_at(pieces, -1))).otherwise(s)
+    """``&#39;`` / ``&#x2019;`` to characters, natively. One split with
+    look-arounds cuts the text at both edges of every reference, so each
+    reference is its own piece; pieces that are references are decoded from
+    their code point's UTF-32 bytes and all are joined back. The input is
+    referenced once, so nothing upstream is evaluated twice."""
+    pieces = F.split(_col(s), NUM_ENTITY_EDGES, -1)
+    whole = "^" + NUM_ENTITY_PATTERN + "$"
+
+    def piece(p):
+        ref = F.regexp_extract(p, whole, 1)
+        char = F.decode(F.unhex(F.lpad(F.hex(_code_point(ref)), 8, "0")), "UTF-32")
+        return F.when(ref != "", char).otherwise(p)
+
+    return F.array_join(F.transform(pieces, piece), "")
 
 
 def decode_entities(s) -> Column:
