@@ -5,7 +5,7 @@ gate -> preprocess -> split -> TF-IDF fit on train -> vectors -> logistic
 regression and linear SVM with balanced class weights -> accuracy on
 train/validation -> leak-free k-fold CV macro F1 -> best model by CV mean.
 
-Objective mapping (sklearn-style C=1 to Spark): Spark minimises
+Objective mapping (C-form, C=1, to Spark): Spark minimises
 ``(1/sum w) * sum w_i loss_i + regParam/2 ||beta||^2``; multiplying the
 C-form objective by ``1/(C sum w)`` gives ``regParam = 1/(C sum w)``.
 Balanced weights sum to the row count, so ``regParam = 1/(C n)``.

@@ -94,12 +94,12 @@ def test_csv_round_trip_multiline_quotes(spark, tmp_dir):
 
 
 def test_statement_files(spark, tmp_dir):
-    os.makedirs(f"{tmp_dir}/liar")
+    os.makedirs(f"{tmp_dir}/statements")
     line = "\t".join(["1.json", "false", "A claim", "tax", "someone", "", "", "", "1", "2", "3", "4", "5", "rally"])
     for split in ("train", "test"):
-        with open(f"{tmp_dir}/liar/{split}.tsv", "w") as fh:
+        with open(f"{tmp_dir}/statements/{split}.tsv", "w") as fh:
             fh.write(line + "\n")
-    df = io.read_statements(spark, f"{tmp_dir}/liar")
+    df = io.read_statements(spark, f"{tmp_dir}/statements")
     assert sorted(r.split for r in df.collect()) == ["test", "train"] and df.first().false_count == 2.0
     with pytest.raises(FileNotFoundError):
         io.read_statements(spark, f"{tmp_dir}/none")
