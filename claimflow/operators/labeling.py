@@ -130,7 +130,7 @@ def percent_1dp(part: Column, total: Column) -> Column:
     return F.when(total > 0, (tenths / F.lit(10.0)).cast("double"))
 
 
-def quality_report(stats: DataFrame, rules: DataFrame) -> DataFrame:
+def quality_report(stats: DataFrame, rules) -> DataFrame:
     """L6 counts with percentages and the first five of each rule list."""
     t = F.col("total_samples")
     cols = ["positive_labeled", "negative_labeled", "unlabeled",
@@ -151,7 +151,7 @@ def preview(labeled: DataFrame, key: str = "id", n: int = 10, width: int = 100)
                              F.lit("...")).alias("text_preview")))
 
 
-def min_sample_gate(labeled: DataFrame, rules: DataFrame) -> DataFrame:
+def min_sample_gate(labeled: DataFrame, rules) -> DataFrame:
     """Per niche class counts against ``min_samples_per_class``."""
     counts = labeled.groupBy("niche").agg(
         F.count_if(F.col("label") == F.col("positive_label")).alias("positive_count"),
@@ -175,7 +175,7 @@ def verdict_to_binary(df: DataFrame, col: str = "label", out: str = "label_binar
     return df.withColumn(out, F.element_at(m, F.col(col)).cast("int")).na.drop(subset=[out])
 
 
-def niche_label_to_binary(df: DataFrame, rules: DataFrame, out: str = "label_binary") -> DataFrame:
+def niche_label_to_binary(df: DataFrame, rules, out: str = "label_binary") -> DataFrame:
     """Positive label -> 1, negative -> 0 per niche; others dropped."""
     x = with_rules(df.drop("positive_label", "negative_label"), rules,
                    ["positive_label", "negative_label"])

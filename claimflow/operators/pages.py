@@ -126,7 +126,7 @@ def rule_domains(rules, spark: SparkSession | None = None) -> DataFrame:
     return pos.unionByName(neg).distinct()
 
 
-def tag_domains(pages: DataFrame, rules: DataFrame, source_col: str = "source") -> DataFrame:
+def tag_domains(pages: DataFrame, rules, source_col: str = "source") -> DataFrame:
     """Tag each page with (niche, domain_type) when its host equals a
     listed domain or is a subdomain of it.
 
@@ -140,7 +140,7 @@ def tag_domains(pages: DataFrame, rules: DataFrame, source_col: str = "source")
              .drop("_suffix").withColumnRenamed("domain", "matched_domain"))
 
 
-def length_gate(df: DataFrame, rules: DataFrame, text_col: str = "text") -> DataFrame:
+def length_gate(df: DataFrame, rules, text_col: str = "text") -> DataFrame:
     """Keep rows whose text length (code points) lies in the niche's
     inclusive [min, max] range."""
     x = with_rules(df, rules, ["min_text_length", "max_text_length"])
@@ -162,7 +162,7 @@ def collection_summary(tagged: DataFrame, order_col: str = "page_id", n_sources:
     return counts.join(top, "domain_type", "left")
 
 
-def label_pages_input(pages_text: DataFrame, rules: DataFrame) -> DataFrame:
+def label_pages_input(pages_text: DataFrame, rules) -> DataFrame:
     """Pages as labeling input: ``domain_type`` from the rules' domain lists
     by the same substring test as L1 (positive first, else negative)."""
     x = with_rules(pages_text, rules, ["positive_domains", "negative_domains"])
