@@ -498,3 +498,18 @@ def niche_results(spark, sf_dir):
     path = scratch_path(spark, f"summaries-{uuid.uuid4().hex}")
     write_niche_summary(tables, labeled, path, "document_quality", positive_label="1", negative_label="0")
     return collect_results(spark, f"{path}/*/*.txt")
+
+
+@query("collected_page_labels")
+def collected_page_labels(spark, sf_dir):
+    """P8 -> L5: kept pages tagged with the niche and side of the domain
+    list they belong to (host or subdomain), then labeled under that
+    niche's rules with that domain type; counts per (niche, side, label)."""
+    kept = (I.page_texts(spark, sf_dir).where(F.col("success"))
+            .select("page_id", "url", "title", "text", "source"))
+    rules = I.page_rules(spark)
+    tagged = P.tag_domains(kept, rules)
+    labeled = L.label_dataset(tagged, rules, key="page_id", date=I.LABEL_DATE)
+    return (labeled.groupBy("niche", "domain_type", "label")
+            .agg(F.count(F.lit(1)).alias("rows"), F.sum("positive_score").alias("positive_score_sum"),
+                 F.sum("negative_score").alias("negative_score_sum")))

@@ -344,3 +344,16 @@ ORACLE["conversation_tokens"] = (
     f"CAST(len(tokens) AS INTEGER) AS n_tokens FROM (SELECT conv_id, turn, role, text_clean, "
     f"{tokenize_sql('text_clean')} AS tokens FROM (SELECT conv_id, turn, role, {clean_text_sql('text')} AS text_clean "
     f"FROM conversations))")
+
+
+def collected_page_labels_sql() -> str:
+    rs = I.page_rule_set()
+    tags = _tags_sql([rs], success_only=True)
+    inp = (f"SELECT t.page_id, p.text, t.source, t.domain_type, t.niche FROM ({tags}) t "
+           f"JOIN ({page_text_sql()}) p USING (page_id)")
+    return (f"SELECT niche, domain_type, label, count(*) AS rows, CAST(sum(positive_score) AS BIGINT) AS positive_score_sum, "
+            f"CAST(sum(negative_score) AS BIGINT) AS negative_score_sum FROM ({scored_sql(inp, rs)}) "
+            f"GROUP BY niche, domain_type, label")
+
+
+ORACLE["collected_page_labels"] = collected_page_labels_sql()
