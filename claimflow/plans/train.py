@@ -35,6 +35,26 @@ MAX_CLASSES = 10_000  # class lists are read on the driver
 ROWS_PER_PARTITION = 20_000  # sparse rows per training task (~tens of MB)
 
 
+GB_PER_CONCURRENT_FOLD = 3
+
+
+def _bytes(text: str) -> int:
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    t = text.strip().lower().rstrip("b")
+    return int(float(t[:-1]) * units[t[-1]]) if t and t[-1] in units else int(t)
+
+
+def fit_concurrency(spark: SparkSession, requested: int) -> int:
+    """How many CV folds to fit at once. In local mode the executors share
+    the driver's heap, so concurrency follows ``spark.driver.memory`` (one
+    fold at a time with the 1 GB default); on a cluster fits run on the
+    executors and the requested number stands."""
+    if not spark.sparkContext.master.startswith("local"):
+        return max(1, requested)
+    heap = _bytes(spark.sparkContext.getConf().get("spark.driver.memory", "1g"))
+    return max(1, min(requested, heap // (GB_PER_CONCURRENT_FOLD << 30)))
+
+
 def sized_for_fit(df: DataFrame, n_rows: int) -> DataFrame:
     """Each optimiser iteration is one job over the training partitions, so
     per-task overhead dominates when partitions are tiny: size them by row
@@ -134,13 +154,18 @@ def train_classifier(df: DataFrame, key: str, label_col: str = "label", text_col
     spark: SparkSession = df.sparkSession
     strata = strata or [label_col]
     timings, t0 = {}, time.time()
-    # Cleaned rows are read twice by the split (bucket counts and ranks).
-    x = preprocess(df, text_col).persist(StorageLevel.MEMORY_AND_DISK)
-    x = stratified_split(x, strata, key=key, seed=cfg.seed, n_folds=cfg.n_folds)
+    extra = [c for c in strata if c != label_col]
+    # Cleaned rows are read twice by the split (bucket counts and ranks);
+    # only the columns needed later are kept.
+    pre = (preprocess(df, text_col).select(key, label_col, *extra, "text_processed")
+           .persist(StorageLevel.MEMORY_AND_DISK))
+    x = stratified_split(pre, strata, key=key, seed=cfg.seed, n_folds=cfg.n_folds)
     x = add_terms(x, "text_processed", "terms")
-    x = x.select(key, label_col, *[s for s in strata if s != label_col], "split", "fold", "terms")
+    x = x.select(key, label_col, *extra, "split", "fold", "terms")
     # Partitioned by key once: every feature step below reuses it.
     x = x.repartition(key).persist(StorageLevel.MEMORY_AND_DISK)
+    x.count()
+    pre.unpersist()
     if classes is None:
         classes = sorted(r[0] for r in x.select(label_col).distinct().limit(MAX_CLASSES + 1).collect())
         if len(classes) > MAX_CLASSES:
@@ -173,13 +198,21 @@ def train_classifier(df: DataFrame, key: str, label_col: str = "label", text_col
     # The two final fits and the CV folds are independent jobs; on small
     # partitions each uses one core, so they run side by side.
     t1 = time.time()
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        main = pool.map(fit_main, list(_models(cfg, n_train).items()))
-        folds = cross_validate(x.where(F.col("split") == TRAIN), key, cfg,
-                               vec if not cfg.refit_vocab_per_fold else None)
+    workers = fit_concurrency(spark, cfg.parallel_folds)
+    cv_train = x.where(F.col("split") == TRAIN)
+    shared = vec if not cfg.refit_vocab_per_fold else None
+    if workers > 1:
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            main = pool.map(fit_main, list(_models(cfg, n_train).items()))
+            folds = cross_validate(cv_train, key, cfg, shared, workers)
+            timings["cross_validation"] = round(time.time() - t1, 3)
+            main = list(main)
+    else:  # small heap: one fit at a time
+        main = [fit_main(item) for item in _models(cfg, n_train).items()]
+        folds = cross_validate(cv_train, key, cfg, shared, 1)
         timings["cross_validation"] = round(time.time() - t1, 3)
-        main = list(main)
     timings["fits_total"] = round(time.time() - t1, 3)
+    train_v.unpersist()
     fitted = {name: model for name, model, _, _ in main}
     rows = [(name, tr, va) for name, _, tr, va in main]
     stats = fold_score_stats(folds, by=("model",), score_col="f1")
@@ -191,7 +224,8 @@ def train_classifier(df: DataFrame, key: str, label_col: str = "label", text_col
     return TrainResult(classes, vec, fitted, best, metrics, folds, x, {"timings": timings})
 
 
-def cross_validate(train: DataFrame, key: str, cfg: TrainConfig, shared_vec: TfidfModel | None) -> DataFrame:
+def cross_validate(train: DataFrame, key: str, cfg: TrainConfig, shared_vec: TfidfModel | None,
+                   workers: int | None = None) -> DataFrame:
     """M7: per fold, fit (vocabulary,) weights and both models on the other
     folds and score macro F1 on the held-out fold."""
     spark = train.sparkSession
@@ -213,7 +247,7 @@ def cross_validate(train: DataFrame, key: str, cfg: TrainConfig, shared_vec: Tfi
                 return name, k, macro_f1(est.fit(fit_b).transform(vectors(held, vec, key, bias=True)))
             return name, k, macro_f1(est.fit(fit_v).transform(held_v))
 
-        with ThreadPoolExecutor(max_workers=2) as inner:
+        with ThreadPoolExecutor(max_workers=2 if workers > 1 else 1) as inner:
             out = list(inner.map(one_model, list(_models(cfg, n).items())))
         fit_v.unpersist()
         held_v.unpersist()
@@ -221,7 +255,8 @@ def cross_validate(train: DataFrame, key: str, cfg: TrainConfig, shared_vec: Tfi
 
     # Folds are independent Spark jobs; submitting them from threads lets
     # the scheduler run them side by side (like CrossValidator.parallelism).
-    with ThreadPoolExecutor(max_workers=max(1, cfg.parallel_folds)) as pool:
+    workers = max(1, workers or cfg.parallel_folds)
+    with ThreadPoolExecutor(max_workers=workers) as pool:
         rows = [r for fold_rows in pool.map(one_fold, range(cfg.n_folds)) for r in fold_rows]
     return spark.createDataFrame(rows, "model string, fold int, f1 double")
 
