@@ -29,6 +29,7 @@ from claimflow.operators.aggregates import fold_score_stats, with_balanced_weigh
 from claimflow.operators.evaluate import class_report, confusion
 from claimflow.operators.features import TfidfModel, add_terms, fit_tfidf, pack
 from claimflow.operators.split import TRAIN, VALIDATION, stratified_split
+from claimflow.session import ensure_checkpoint_dir
 
 MODEL_ORDER = ("logistic_regression", "linear_svm")  # ties go to the first
 MAX_CLASSES = 10_000  # class lists are read on the driver
@@ -162,9 +163,12 @@ def train_classifier(df: DataFrame, key: str, label_col: str = "label", text_col
     x = stratified_split(pre, strata, key=key, seed=cfg.seed, n_folds=cfg.n_folds)
     x = add_terms(x, "text_processed", "terms")
     x = x.select(key, label_col, *extra, "split", "fold", "terms")
-    # Partitioned by key once: every feature step below reuses it.
-    x = x.repartition(key).persist(StorageLevel.MEMORY_AND_DISK)
-    x.count()
+    # Partitioned by key once: every feature step below reuses it. The
+    # checkpoint (shared folder) cuts the text pipeline's lineage, so the
+    # many fit and CV jobs plan a short scan instead of the whole pipeline,
+    # and a lost executor does not recompute the cleaning.
+    ensure_checkpoint_dir(spark)
+    x = x.repartition(key).checkpoint(eager=True)
     pre.unpersist()
     if classes is None:
         classes = sorted(r[0] for r in x.select(label_col).distinct().limit(MAX_CLASSES + 1).collect())
