@@ -4,9 +4,28 @@ result, their DuckDB twins."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from claimflow.llm import decontaminate, mixing, near_dedup, packing
-from claimflow.llm.common import read
+from claimflow.llm import (decontaminate, language_id, mixing, near_dedup, packing, quality, substring_dedup, topk,
+                           toxicity, url_filter)
+from claimflow.llm.common import held_out, read
+from claimflow.llm.labelled import labelled_sample
+
+#: The URL rules, as (action, host, path).
+URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
+             ("block", "net", "/es/"), ("block", "net", "/fr/")]
+
+
+def _judged(scores: DataFrame, n: int, rest: int) -> DataFrame:
+    more = [c for c in scores.columns if c not in ("doc_id", "score")]
+    return scores.select("doc_id", held_out("doc_id", n, rest).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"), *more)
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    sample = labelled_sample(docs, read(spark, sf_dir, "labels"), "toxic", ~held_out("doc_id", 5, 0))
+    return _judged(toxicity.score(docs, toxicity.learn(*sample)), 5, 0)
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,15 +36,45 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(read(spark, sf_dir, "documents"))
 
 
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read(spark, sf_dir, "documents"), shingle_words=3, percent=85)
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    net = language_id.fit(docs, ~held_out("doc_id", 5, 0))
+    return language_id.predict(docs, net).select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "lang_pred", "score")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_decontaminate, op3_mixing, op5_near_dedup, op7_packing)}
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(read(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    sample = labelled_sample(docs, read(spark, sf_dir, "labels"), "quality", ~held_out("doc_id", 3, 1))
+    return _judged(quality.score(docs, quality.train(*sample)), 3, 1)
+
+
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.deduplicate_substrings(read(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_decontaminate, op3_mixing, op4_topk, op5_near_dedup, op6_language_id,
+                                   op7_packing, op8_url_filter, op9_quality, op10_substring_dedup)}
+
+
+def _sql(pattern: str) -> str:
+    return "'" + pattern.replace('\\"', '"').replace("'", "''") + "'"
+
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -52,7 +101,7 @@ FROM d LEFT JOIN cover USING (doc_id) LEFT JOIN ids USING (doc_id) LEFT JOIN len
     "op5_near_dedup": rf"""
 WITH RECURSIVE d AS (SELECT doc_id, coalesce(regexp_extract_all({_LOWER.format('text')}, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
 s AS (SELECT DISTINCT doc_id, g FROM (
-    SELECT doc_id, unnest(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), i -> array_to_string(w[i:i + 2], ' '))
+    SELECT doc_id, unnest(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))
                                WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM d)),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
 common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
@@ -62,4 +111,35 @@ reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM
 low AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY 1)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM low LEFT JOIN n USING (doc_id)""",
+    "op4_topk": """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op8_url_filter": rf"""
+WITH RECURSIVE rules(action, host, path) AS (VALUES {", ".join(str(r) for r in URL_RULES)}),
+links AS (SELECT url, unnest([regexp_extract(regexp_extract(html, {_sql(url_filter.LINK_TAG)}), {_sql(url_filter.HREF)}, 1),
+                              regexp_extract(regexp_extract(html, {_sql(url_filter.REFRESH_TAG)}), {_sql(url_filter.TARGET)}, 1)]) AS href FROM pages),
+targets AS (SELECT url, CASE WHEN contains(h, '://') THEN h WHEN starts_with(h, '//') THEN split_part(url, '://', 1) || ':' || h
+    WHEN starts_with(h, '/') THEN regexp_extract(url, '^.*?://[^/?#]*') || h
+    ELSE regexp_extract(url, '^.*?://[^/?#]*') || CASE WHEN regexp_extract(url, '^.*?://[^/?#]*([^?#]*/)', 1) = '' THEN '/'
+        ELSE regexp_extract(url, '^.*?://[^/?#]*([^?#]*/)', 1) END || h END AS target
+    FROM (SELECT url, replace(href, '&amp;', '&') AS h FROM links WHERE href <> '') WHERE contains(url, '://')),
+urls AS (SELECT url, {_LOWER.format("coalesce(regexp_extract(url, '^.*?://([^/?#]*)', 1), '')")} AS host,
+    coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1), '') AS path,
+    coalesce(nullif(regexp_extract(url, '^.*?://[^?#]*(\?[^#]*)', 1), '?'), '') AS query
+    FROM (SELECT url FROM pages UNION SELECT target FROM targets)),
+nodes AS (SELECT *, CASE WHEN host <> '' THEN regexp_replace(host, ':(80|443)$', '') || regexp_replace(path, '/$', '') || query END AS node FROM urls),
+best AS (SELECT url, first(r.host || r.path ORDER BY len(r.host || r.path) DESC) AS rule, first(action ORDER BY len(r.host || r.path) DESC) AS action
+    FROM nodes u JOIN rules r ON (u.host = r.host OR ends_with(u.host, '.' || r.host)) AND starts_with(u.path, r.path) GROUP BY url),
+edges AS (SELECT a.node AS a, b.node AS b FROM targets t JOIN nodes a ON a.url = t.url JOIN nodes b ON b.url = t.target),
+ways AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges),
+reach(a, b) AS (SELECT DISTINCT node, node FROM nodes WHERE node IS NOT NULL UNION SELECT r.a, w.b FROM reach r JOIN ways w ON w.a = r.b),
+says AS (SELECT a AS node, max(CASE action WHEN 'allow' THEN 2 WHEN 'block' THEN 1 END) AS say
+    FROM reach JOIN nodes n ON n.node = b JOIN best USING (url) GROUP BY a)
+SELECT page_id, coalesce(n.host, '') AS host, coalesce(n.path, '') AS path, best.rule AS rule,
+    coalesce(action, CASE WHEN say = 1 THEN 'block' END, 'allow') AS verdict
+FROM pages p LEFT JOIN nodes n ON n.url IS NOT DISTINCT FROM p.url LEFT JOIN best ON best.url = p.url LEFT JOIN says ON says.node = n.node""",
 }

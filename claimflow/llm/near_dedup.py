@@ -256,3 +256,11 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     component = F.coalesce("component_id", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def unique_documents(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
+    """``docs`` with one row of each near-duplicate group (the smallest key; of
+    rows that repeat a key one), all columns kept. Rows with a null key stay."""
+    kept = near_duplicates(docs, key=key, **options).where("kept and doc_id is not null")
+    kept = stage_table(kept.select(F.col("doc_id").alias(key)).distinct(), "kept")
+    return docs.join(kept, key, "left_semi").dropDuplicates([key]).unionByName(docs.where(F.col(key).isNull()))
