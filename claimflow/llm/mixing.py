@@ -144,7 +144,8 @@ def _draw(docs: DataFrame, weights, percent, most, block_words, shard_slots, see
     pieces = (rows.where("size > 0").select("doc_id", "digest", "sid", "start", "size",
               F.explode(F.expr(f"sequence(start div {block_words}, (start + size - 1) div {block_words})")).alias("block")))
     begin = F.col("block") * block_words
-    segments = (pieces.join(slots, ["sid", "block"])
+    # Both sides grow with the corpus; their planned sizes don't show it.
+    segments = (pieces.join(slots.hint("merge"), ["sid", "block"])
                 .withColumn("from", F.greatest(begin, "start") - F.col("start"))
                 .withColumn("to", F.least(begin + F.col("words"), F.col("start") + F.col("size")) - F.col("start"))
                 .where("from < to"))
