@@ -3,12 +3,20 @@
 Each function returns a ``Column`` built from ``lower``, ``regexp_replace``,
 ``regexp_extract_all`` and higher-order array functions, so it stays inside
 whole-stage codegen. The same patterns also render as DuckDB SQL (the
-``*_sql`` twins) for the oracle queries; Java regex and RE2 read every
-pattern below identically because the character classes are spelled out.
+``*_sql`` twins) for the oracle queries.
+
+Java's engine recurses once per repetition of a group and retries a run at
+each of its positions, so the patterns used in Spark repeat no group without
+a possessive bound and start a run only at its first character: long URLs,
+number lists and runs of white space stay linear. The SQL twins keep the
+plain forms (``PLAIN_*``), which RE2 reads in linear time anyway.
 """
 
 from __future__ import annotations
 
+import html.entities
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +27,8 @@ from claimflow.functions.stopwords import ENGLISH_STOP_WORDS
 # WS is Python's Unicode ``\s``; LB is the set of ``str.splitlines`` breaks.
 WS = r"\t-\r\x1c-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 LB = r"\n-\r\x1c-\x1e\x{85}\x{2028}\x{2029}"
-URL_PATTERN = r"https?://(?:[$-_a-z!]|%[0-9a-f][0-9a-f])+"
+URL_PATTERN = r"https?://[$-_a-z!]+"  # ``%`` lies between ``$`` and ``_``
+PLAIN_URL_PATTERN = r"https?://(?:[$-_a-z!]|%[0-9a-f][0-9a-f])+"
 # An address can only start at a word start, so the match is anchored on the
 # preceding whitespace (kept via $1): same result as an unanchored
 # ``non-space+@non-space+``, but linear instead of quadratic in word length.
@@ -28,7 +37,8 @@ PHONE_PATTERN = r"\(?[0-9]{3}\)?[-. ]?[0-9]{3}[-. ]?[0-9]{4}"
 WS_RUN_PATTERN = r"[" + WS + r"]+"
 NOT_KEPT_PATTERN = r"[^a-zA-Z0-9 .,!?;:]"
 KEPT_RUN_PATTERN = r"[a-zA-Z0-9 .,!?;:]+"
-TOKEN_PATTERN = r"[a-z0-9]+(?:[.,:][a-z0-9]+)*"
+TOKEN_PATTERN = r"[a-z0-9]++(?:[.,:][a-z0-9]++)*+"
+PLAIN_TOKEN_PATTERN = r"[a-z0-9]+(?:[.,:][a-z0-9]+)*"
 MIN_TOKEN_LENGTH = 3
 # HTML: script and style blocks with their content, comments, declarations,
 # then any tag; one left-to-right scan, earlier alternatives win at a position.
@@ -36,22 +46,14 @@ HTML_DROP_PATTERN = (
     r"(?is)<script[^>]*>.*?</script[^>]*>|<style[^>]*>.*?</style[^>]*>"
     r"|<!--.*?-->|<![^>]*>|</?[a-zA-Z][^>]*>"
 )
-HTML_BREAK_PATTERN = r"[" + WS + r"]*(?:  |[" + LB + r"])[" + WS + r"]*"
-EDGE_WS_PATTERN = r"^[" + WS + r"]+|[" + WS + r"]+$"
+HTML_BREAK_PATTERN = r"(?<![" + WS + r"])[" + WS + r"]*?(?:  |[" + LB + r"])[" + WS + r"]*"
+PLAIN_HTML_BREAK_PATTERN = r"[" + WS + r"]*(?:  |[" + LB + r"])[" + WS + r"]*"
+EDGE_WS_PATTERN = r"^[" + WS + r"]+|(?<![" + WS + r"])[" + WS + r"]+$"
+PLAIN_EDGE_WS_PATTERN = r"^[" + WS + r"]+|[" + WS + r"]+$"
 TITLE_PATTERN = r"(?is)<title[^>]*>(.*?)</title>"
 AUTHORITY_PATTERN = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)"
-# Named entities decoded by plain replacement, ``&amp;`` always last.
-HTML_ENTITIES = (
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-    ("&nbsp;", " "), ("&copy;", "©"), ("&reg;", "®"),
-    ("&middot;", "·"), ("&mdash;", "—"), ("&ndash;", "–"),
-    ("&hellip;", "…"), ("&lsquo;", "‘"), ("&rsquo;", "’"),
-    ("&ldquo;", "“"), ("&rdquo;", "”"), ("&amp;", "&"),
-)
-# Numeric character references (decimal or hex, with ``;``).
-NUM_ENTITY_PATTERN = r"&#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
-NUM_ENTITY_SPLIT = r"&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
-NUM_ENTITY_EDGES = r"(?=" + NUM_ENTITY_SPLIT + r")|(?<=" + NUM_ENTITY_SPLIT + r")"
+# A character reference with ``;``: decimal, hexadecimal or named.
+ENTITY_PATTERN = r"&(#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);"
 # The HTML5 replacements for references to 0x80-0x9F
 # (Windows-1252 code points), as code point -> code point.
 WINDOWS_1252_REMAP = {
@@ -121,43 +123,44 @@ def join_tokens(tokens) -> Column:
     return F.array_join(_col(tokens), " ")
 
 
+def entity_names() -> dict[str, str]:
+    """The HTML5 named references that end in ``;``, from the standard
+    library's table: name without ``;`` -> character(s)."""
+    return {k[:-1]: v for k, v in html.entities.html5.items() if k.endswith(";")}
+
+
 def _code_point(ref: Column) -> Column:
-    """Code point of a numeric reference body (``39`` or ``x2019``); invalid
-    ones (0, surrogates, beyond U+10FFFF) become U+FFFD, 0x80-0x9F follow
-    the HTML5 table."""
-    raw = F.when(F.lower(ref).startswith("x"), F.conv(F.substring(ref, 2, 10), 16, 10)) \
-           .otherwise(ref).cast("long")
+    """Code point of a numeric reference body (``#39`` or ``#x2019``) of any
+    length; invalid ones (0, surrogates, beyond U+10FFFF) become U+FFFD,
+    0x80-0x9F follow the HTML5 table."""
+    is_hex = F.lower(ref).startswith("#x")
+    digits = F.regexp_replace(ref, "^#[xX]?0*", "")
+    short = F.when(F.length(digits) <= 7, digits)  # more digits lie beyond U+10FFFF
+    raw = F.when(digits == "", F.lit(0)).otherwise(
+        F.when(is_hex, F.conv(short, 16, 10)).otherwise(short).cast("long"))
     remap = F.create_map(*[F.lit(x) for kv in WINDOWS_1252_REMAP.items() for x in kv])
-    bad = (raw == 0) | raw.between(0xD800, 0xDFFF) | (raw > 0x10FFFF)
+    bad = raw.isNull() | (raw == 0) | raw.between(0xD800, 0xDFFF) | (raw > 0x10FFFF)
     return F.when(bad, F.lit(0xFFFD)).otherwise(F.coalesce(F.element_at(remap, raw.cast("int")), raw))
 
 
-def decode_numeric_entities(s) -> Column:
-    """``&#39;`` / ``&#x2019;`` to characters, natively. One split with
-    look-arounds cuts the text at both edges of every reference, so each
-    reference is its own piece; pieces that are references are decoded from
-    their code point's UTF-32 bytes and all are joined back. The input is
-    referenced once, so nothing upstream is evaluated twice."""
-    pieces = F.split(_col(s), NUM_ENTITY_EDGES, -1)
-    whole = "^" + NUM_ENTITY_PATTERN + "$"
-
-    def piece(p):
-        ref = F.regexp_extract(p, whole, 1)
-        char = F.decode(F.unhex(F.lpad(F.hex(_code_point(ref)), 8, "0")), "UTF-32")
-        return F.when(ref != "", char).otherwise(p)
+def decode_entities(s) -> Column:
+    """Named and numeric references with ``;`` to characters, in one pass (so
+    ``&amp;#39;`` becomes ``&#39;``); unknown names stay.
 
-    return F.array_join(F.transform(pieces, piece), "")
+    One split cuts the text before every reference, so each piece but the
+    first begins with one; pieces are decoded from a constant name table or
+    the code point's UTF-32 bytes and joined. The input is referenced once,
+    so nothing upstream is evaluated twice."""
+    names = F.from_json(F.lit(json.dumps(entity_names())), "map<string,string>")
 
+    def piece(p):
+        ref = F.regexp_extract(p, "^" + ENTITY_PATTERN, 1)
+        number = F.decode(F.unhex(F.lpad(F.hex(_code_point(ref)), 8, "0")), "UTF-32")
+        char = F.when(ref.startswith("#"), number).otherwise(F.try_element_at(names, ref))
+        return F.when((ref == "") | char.isNull(), p).otherwise(
+            F.concat(char, F.substr(p, F.length(ref) + F.lit(3))))
 
-def decode_entities(s) -> Column:
-    """Named entities by plain replacement, then numeric references,
-    ``&amp;`` last (so ``&amp;#39;`` stays ``&#39;``)."""
-    s = _col(s)
-    for ent, ch in HTML_ENTITIES:
-        if ent == "&amp;":
-            s = decode_numeric_entities(s)
-        s = F.replace(s, F.lit(ent), F.lit(ch))
-    return s
+    return F.array_join(F.transform(F.split(_col(s), f"(?={ENTITY_PATTERN})", -1), piece), "")
 
 
 def html_to_text(html) -> Column:
@@ -187,7 +190,7 @@ def q(s: str) -> str:
 
 def clean_text_sql(expr: str) -> str:
     s = f"lower(coalesce({expr}, ''))"
-    for pat, rep in ((URL_PATTERN, ""), (EMAIL_PATTERN, "\\1"), (PHONE_PATTERN, ""),
+    for pat, rep in ((PLAIN_URL_PATTERN, ""), (EMAIL_PATTERN, "\\1"), (PHONE_PATTERN, ""),
                      (WS_RUN_PATTERN, " "), (NOT_KEPT_PATTERN, "")):
         s = f"regexp_replace({s}, {q(pat)}, {q(rep)}, 'g')"
     return f"trim({s})"
@@ -196,40 +199,37 @@ def clean_text_sql(expr: str) -> str:
 def tokenize_sql(clean_expr: str, stop_words=ENGLISH_STOP_WORDS,
                  min_length: int = MIN_TOKEN_LENGTH) -> str:
     stops = "[" + ", ".join(q(w) for w in stop_words) + "]"
-    return (f"list_filter(regexp_extract_all(coalesce({clean_expr}, ''), {q(TOKEN_PATTERN)}, 0), "
+    return (f"list_filter(regexp_extract_all(coalesce({clean_expr}, ''), {q(PLAIN_TOKEN_PATTERN)}, 0), "
             f"lambda t: length(t) >= {min_length} AND NOT list_contains({stops}, t))")
 
 
 def _code_point_sql(ref: str) -> str:
-    raw = (f"CAST(CASE WHEN starts_with(lower({ref}), 'x') THEN CAST('0x' || substr({ref}, 2) AS BIGINT) "
-           f"ELSE CAST({ref} AS BIGINT) END AS BIGINT)")
+    digits = f"regexp_replace({ref}, '^#[xX]?0*', '')"
+    raw = (f"CASE WHEN {digits} = '' THEN 0 WHEN length({digits}) > 7 THEN 1114112 "
+           f"WHEN starts_with(lower({ref}), '#x') THEN CAST('0x' || {digits} AS BIGINT) "
+           f"ELSE CAST({digits} AS BIGINT) END")
     remap = "MAP {" + ", ".join(f"{k}: {v}" for k, v in WINDOWS_1252_REMAP.items()) + "}"
-    return (f"CASE WHEN {raw} = 0 OR {raw} BETWEEN 55296 AND 57343 OR {raw} > 1114111 THEN 65533 "
-            f"ELSE coalesce({remap}[{raw}], {raw}) END")
-
-
-def decode_numeric_entities_sql(expr: str) -> str:
-    pieces = f"string_split_regex({expr}, {q(NUM_ENTITY_SPLIT)})"
-    refs = f"regexp_extract_all({expr}, {q(NUM_ENTITY_PATTERN)}, 1)"
-    body = (f"array_to_string(list_transform(range(1, len({refs}) + 1), "
-            f"lambda i: {pieces}[i] || chr(CAST({_code_point_sql(f'{refs}[i]')} AS INTEGER))), '')")
-    return f"(CASE WHEN strpos({expr}, '&#') > 0 THEN {body} || {pieces}[len({pieces})] ELSE {expr} END)"
+    return (f"CASE WHEN ({raw}) = 0 OR ({raw}) BETWEEN 55296 AND 57343 OR ({raw}) > 1114111 THEN 65533 "
+            f"ELSE coalesce({remap}[({raw})], ({raw})) END")
 
 
 def decode_entities_sql(expr: str) -> str:
-    s = expr
-    for ent, ch in HTML_ENTITIES:
-        if ent == "&amp;":
-            s = decode_numeric_entities_sql(s)
-        s = f"replace({s}, {q(ent)}, {q(ch)})"
-    return s
+    names = entity_names()
+    table = f"MAP([{', '.join(q(k) for k in names)}], [{', '.join(q(v) for v in names.values())}])"
+    pieces = f"string_split_regex({expr}, {q('&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);')})"
+    refs = f"regexp_extract_all({expr}, {q(ENTITY_PATTERN)}, 1)"
+    one = (f"CASE WHEN starts_with(r, '#') THEN chr(CAST({_code_point_sql('r')} AS INTEGER)) "
+           f"ELSE coalesce({table}[r], '&' || r || ';') END")
+    chars = f"list_transform({refs}, lambda r: {one})"
+    body = f"array_to_string(list_transform(list_zip({pieces}, {chars}), lambda x: x[1] || coalesce(x[2], '')), '')"
+    return f"(CASE WHEN strpos({expr}, '&') > 0 THEN {body} ELSE {expr} END)"
 
 
 def html_to_text_sql(expr: str) -> str:
     s = f"regexp_replace(coalesce({expr}, ''), {q(HTML_DROP_PATTERN)}, '', 'g')"
     s = decode_entities_sql(s)
-    s = f"regexp_replace({s}, {q(HTML_BREAK_PATTERN)}, ' ', 'g')"
-    return f"regexp_replace({s}, {q(EDGE_WS_PATTERN)}, '', 'g')"
+    s = f"regexp_replace({s}, {q(PLAIN_HTML_BREAK_PATTERN)}, ' ', 'g')"
+    return f"regexp_replace({s}, {q(PLAIN_EDGE_WS_PATTERN)}, '', 'g')"
 
 
 def html_title_sql(expr: str) -> str:
