@@ -9,14 +9,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from claimflow.functions.text import html_title, html_to_text, url_authority
+from claimflow.functions.text import decode_entities, evaluate_once, html_title, html_to_text, url_authority
 from claimflow.sources.rules import rule_sets_of, with_rules
 
 MIN_PAGE_TEXT = 50  # a page is kept when its text is longer than this
 NO_CONTENT = "No content found"
 
 # Link and URL patterns of the original collector.
-HREF_PATTERN = r"""(?is)<a\s[^>]*?href\s*=\s*["']([^"']*)["']"""
+HREF_PATTERN = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*)"""
+HREF_QUOTES = r"""^["']|["']$"""
+# What holds no links: script and style blocks and comments.
+NO_LINKS_PATTERN = r"(?is)<script[^>]*>.*?</script[^>]*>|<style[^>]*>.*?</style[^>]*>|<!--.*?-->"
 SCHEME_PATTERN = r"^[A-Za-z][A-Za-z0-9+.\-]*:"
 SKIP_URL_PATTERN = (r"(?i)\.(pdf|jpg|jpeg|png|gif|css|js|xml|rss)$|/tag/|/category/|/author/"
                     r"|/search|/login|/register|/contact|/about|/privacy|/terms")
@@ -45,15 +48,29 @@ def host_of(authority: Column) -> Column:
     return F.lower(F.regexp_extract(authority, HOST_PATTERN, 1))
 
 
+def remove_dot_segments(path: Column) -> Column:
+    """``.`` and ``..`` segments of a path resolved, as ``urljoin`` does."""
+    segments = F.split(path, "/")
+    keep = F.aggregate(segments, F.array().cast("array<string>"), lambda done, s: (
+        F.when(s == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))))
+        .when(s == ".", done).otherwise(F.concat(done, F.array(s)))))
+    last = F.element_at(segments, -1)
+    joined = F.array_join(F.concat(keep, F.when(last.isin(".", ".."), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))), "/")
+    rooted = F.when(joined.startswith("/"), joined).otherwise(F.concat(F.lit("/"), joined))
+    return F.when(path.rlike(r"(^|/)\.\.?(/|$)"), rooted).otherwise(path)
+
+
 def resolve_href(href: Column, domain: Column) -> Column:
-    """``urljoin('https://' + domain, href)`` for the forms found in pages."""
+    """``urljoin('https://' + domain, href)``; character references decoded."""
+    href = F.trim(href)
     base = F.concat(F.lit("https://"), domain)
+    path, rest = F.regexp_extract(href, "^[^?#]*", 0), F.regexp_extract(href, "^[^?#]*(.*)$", 1)
     return (F.when(href.rlike(SCHEME_PATTERN), href)
              .when(href.startswith("//"), F.concat(F.lit("https:"), href))
-             .when(href.startswith("/") | href.startswith("?") | href.startswith("#"),
-                   F.concat(base, href))
+             .when(href.startswith("?") | href.startswith("#"), F.concat(base, href))
              .when(href == "", base)
-             .otherwise(F.concat(base, F.lit("/"), href)))
+             .when(href.startswith("/"), F.concat(base, remove_dot_segments(path), rest))
+             .otherwise(F.concat(base, remove_dot_segments(F.concat(F.lit("/"), path)), rest)))
 
 
 def is_article_url(url: Column, domain: Column) -> Column:
@@ -67,16 +84,20 @@ def is_article_url(url: Column, domain: Column) -> Column:
 def find_article_urls(pages: DataFrame, max_urls: int = 100) -> DataFrame:
     """P5 + P6: article links per domain, first ``max_urls`` distinct by
     first appearance (page, position), resolved against the domain root.
+    Links in comments, scripts and styles don't count; ``max_urls`` is the
+    niche's ``max_per_source``.
 
     The per-domain limit is a ``row_number() <= n`` filter, which Spark
     turns into a partial group limit before the shuffle, so a domain that
     holds a third of all pages sends at most ``n`` rows per map task.
     """
+    markup = F.regexp_replace(F.coalesce("html", F.lit("")), NO_LINKS_PATTERN, "")
     links = (pages.select("page_id", url_authority("url").alias("domain"),
-                          F.posexplode(F.regexp_extract_all(F.coalesce("html", F.lit("")),
-                                                            F.lit(HREF_PATTERN), F.lit(1)))
-                          .alias("pos", "href"))
-             .withColumn("url", resolve_href(F.col("href"), F.col("domain")))
+                          F.posexplode(F.regexp_extract_all(markup, F.lit(HREF_PATTERN), F.lit(1))).alias("pos", "href"))
+             .withColumnRenamed("href", "_raw"))
+    # Each derived column is read many times below: evaluate it once a link.
+    links = evaluate_once(links, href=decode_entities(F.regexp_replace("_raw", HREF_QUOTES, "")))
+    links = (evaluate_once(links, url=resolve_href(F.col("href"), F.col("domain")))
              .where(is_article_url(F.col("url"), F.col("domain"))))
     first = links.groupBy("domain", "url").agg(F.min(F.struct("page_id", "pos")).alias("first"))
     w = Window.partitionBy("domain").orderBy(F.col("first.page_id"), F.col("first.pos"), "url")
@@ -131,12 +152,12 @@ def tag_domains(pages: DataFrame, rules, source_col: str = "source") -> DataFram
     listed domain or is a subdomain of it.
 
     Host suffixes are exploded (a handful per host) and equi-joined to the
-    broadcast domain table, so the suffix test needs no nested-loop join.
+    domain table, so the suffix test needs no nested-loop join.
     A page listed on both sides appears once per side.
     """
     doms = rule_domains(rules, pages.sparkSession)
     x = pages.withColumn("_suffix", F.explode(host_suffixes(host_of(F.col(source_col)))))
-    return (x.join(F.broadcast(doms), x["_suffix"] == doms["domain"])
+    return (x.join(doms, x["_suffix"] == doms["domain"])
              .drop("_suffix").withColumnRenamed("domain", "matched_domain"))
 
 

@@ -22,7 +22,7 @@ def test_extract_pages_evaluates_text_once(spark):
     from conftest import SF01
     pages = spark.read.parquet(f"{SF01}/pages.parquet")
     plan = P.extract_pages(pages).where(F.col("success"))._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("regexp_replace(") == 3
+    assert plan.count("<!--.*?-->") == 1
 
 
 def test_find_article_urls_resolves_against_domain_root(spark):
@@ -67,3 +67,22 @@ def test_collection_summary_first_sources(spark):
     df = spark.createDataFrame(rows, "page_id long, source string, domain_type string")
     got = {r.domain_type: r for r in P.collection_summary(df).collect()}
     assert got["positive"].rows == 15 and got["positive"].sample_sources == "s0, s2, s4, s6, s1"
+
+
+def test_article_links_on_untidy_markup(spark):
+    html = ('<!-- <a href="/hidden">x</a> --><script>var a = \'<a href="/inscript">x</a>\';</script>'
+            "<a href=/bare>b</a><a class=c href='/single'>s</a><a href=\"p?a=1&amp;b=2\">e</a>"
+            '<a href="../n">up</a><a href="/x/./y/../z?q=../k">dots</a><a data-href="/no" href="/yes">d</a>')
+    df = spark.createDataFrame([(1, "https://d.com/deep/page", html)], "page_id long, url string, html string")
+    got = [r.url for r in P.find_article_urls(df).orderBy("rank").collect()]
+    assert got == ["https://d.com/bare", "https://d.com/single", "https://d.com/p?a=1&b=2", "https://d.com/n",
+                   "https://d.com/x/z?q=../k", "https://d.com/yes"]
+
+
+def test_resolve_href_equals_urljoin(spark):
+    from urllib.parse import urljoin
+    hrefs = ["/a/b", "a/b", "../x", "../../x/./y", "/a/../../b", "./", "/a/..", "?q=1", "#f", "", "//h.org/z/../y",
+             "https://o.net/../k", "x/../y?z=/../w", "/a/b/./../c/"]
+    df = spark.createDataFrame([(i, h) for i, h in enumerate(hrefs)], "i int, h string")
+    got = [r[0] for r in df.orderBy("i").select(P.resolve_href(F.col("h"), F.lit("d.com"))).collect()]
+    assert got == [urljoin("https://d.com", h) for h in hrefs]
