@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at any scale; a cluster deployment overrides
 # shuffle partitions and file split size from its own defaults.
@@ -58,16 +59,20 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's checkpoint folder; only local runs get a scratch one."""
+    """The folder for lineage cuts: the one the cluster names, else the one
+    the caller has set, else, in local runs only, a scratch folder. Executors
+    of a cluster don't share the driver's disk, so there a missing setting is
+    an error."""
+    sc = spark.sparkContext
     value = checkpoint_dir(spark)
     if value is None:
-        # Unset only in local runs and tests; a cluster names a shared folder.
-        value = tempfile.mkdtemp(prefix="claimflow-ckpt-", dir="/tmp")
-        try:
-            spark.conf.set("spark.checkpoint.dir", value)
-        except Exception:
-            pass
-    spark.sparkContext.setCheckpointDir(value)
+        value = sc.getCheckpointDir()
+        if value is None:
+            if not sc.master.split("[")[0] == "local":
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            value = tempfile.mkdtemp(prefix="claimflow-ckpt-", dir="/tmp")
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(value)
     return value
 
 
@@ -75,3 +80,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for a written stage table."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def write_stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: what several steps
+    read is computed once, its lineage ends, and nothing stays cached."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
