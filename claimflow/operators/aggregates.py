@@ -21,9 +21,13 @@ def balanced_weights(df: DataFrame, label_col: str = "label") -> DataFrame:
 
 
 def with_balanced_weights(df: DataFrame, label_col: str = "label", out: str = "weight") -> DataFrame:
-    """Attach the class weight to every row (broadcast of k rows)."""
-    w = balanced_weights(df, label_col).select(label_col, F.col("weight").alias(out))
-    return df.join(F.broadcast(w), label_col)
+    """Attach the class weight to every row, as a constant per class (the
+    classes of a model)."""
+    rows = balanced_weights(df.where(F.col(label_col).isNotNull()), label_col).collect()
+    weight = F.lit(None).cast("double")
+    for r in rows:
+        weight = F.when(F.col(label_col) == F.lit(r[label_col]), F.lit(float(r["weight"]))).otherwise(weight)
+    return df.where(F.col(label_col).isNotNull()).withColumn(out, weight)
 
 
 def prediction_summary(scored: DataFrame, pred_col: str = "prediction",

@@ -6,20 +6,21 @@ class). Every output is a tidy DataFrame; all metrics are doubles.
 
 Curves (E4-E6) need running sums in descending score order. A plain
 window over all scores is one task (hazard H5), so the per-score table is
-cut into score ranges at approximate quantiles, each range's totals are
-prefix-summed on a table of ``n_buckets`` rows and broadcast back, and the
-running sum inside a range uses a window partitioned by range. Exact for
-any bucketing; the quantiles only balance the work.
+cut into score ranges of about ``SCORES_PER_BUCKET`` rows at approximate
+quantiles, each range's totals are prefix-summed on a table with one row per
+range and joined back, and the running sum inside a range uses a window
+partitioned by range. Exact for any bucketing; the quantiles only balance the
+work. Every metric is null where it is not defined (no rows, one class).
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-N_BUCKETS = 64
-MAX_CLASSES = 10_000  # class lists are read on the driver
+from claimflow.session import write_stage
+
+SCORES_PER_BUCKET = 50_000
 
 
 def _ratio(a: Column, b: Column) -> Column:
@@ -33,49 +34,54 @@ def accuracy(pred: DataFrame) -> DataFrame:
                     F.count(F.lit(1)).alias("n"))
 
 
+def confusion_counts(pred: DataFrame, by=()) -> DataFrame:
+    """Observed (by..., actual, predicted) counts: one pass over the rows."""
+    return pred.groupBy(*by, "actual", "predicted").agg(F.count(F.lit(1)).alias("count"))
+
+
 def confusion(pred: DataFrame, classes: list | None = None) -> DataFrame:
-    """Counts per (actual, predicted), zeros kept for every class pair."""
-    counts = pred.groupBy("actual", "predicted").agg(F.count(F.lit(1)).alias("count"))
+    """Counts per (actual, predicted), zeros kept for every class pair.
+
+    ``classes`` defaults to the classes seen. Spark makes the pairs from the
+    class table, so the output's size is its only cost."""
+    counts = write_stage(confusion_counts(pred), "confusion")
     if classes is None:
-        # The class list is the distinct labels: a handful of rows.
-        rows = counts.select(F.explode(F.array("actual", "predicted"))).distinct().limit(MAX_CLASSES + 1).collect()
-        if len(rows) > MAX_CLASSES:
-            raise ValueError(f"more than {MAX_CLASSES} classes")
-        classes = sorted(r[0] for r in rows if r[0] is not None)
-    pairs = pred.sparkSession.createDataFrame([(a, b) for a in classes for b in classes],
-                                              f"actual {_ddl(pred)}, predicted {_ddl(pred)}")
-    return (pairs.join(F.broadcast(counts), ["actual", "predicted"], "left")
+        seen = counts.select(F.explode(F.array("actual", "predicted")).alias("c")).where("c is not null").distinct()
+        classes = sorted(r[0] for r in seen.collect())
+    kind = pred.schema["actual"].dataType
+    one = pred.sparkSession.createDataFrame([(c,) for c in classes], f"actual {kind.simpleString()}")
+    every = F.array(*[F.lit(c) for c in classes]).cast(f"array<{kind.simpleString()}>")
+    pairs = one.withColumn("predicted", F.explode(every))
+    return (pairs.join(counts, ["actual", "predicted"], "left")
             .select("actual", "predicted", F.coalesce("count", F.lit(0)).alias("count")))
 
 
-def _ddl(pred: DataFrame) -> str:
-    return pred.schema["actual"].dataType.simpleString()
-
-
-def class_report(cm: DataFrame) -> DataFrame:
-    """Precision, recall, F1 and support per class, from E3 counts."""
-    tp = cm.where(F.col("actual") == F.col("predicted")).select(F.col("actual").alias("class"),
-                                                               F.col("count").alias("tp"))
-    by_pred = cm.groupBy(F.col("predicted").alias("class")).agg(F.sum("count").alias("pred_n"))
-    by_act = cm.groupBy(F.col("actual").alias("class")).agg(F.sum("count").alias("support"))
-    x = tp.join(by_pred, "class").join(by_act, "class")
+def class_report(cm: DataFrame, by=()) -> DataFrame:
+    """Precision, recall, F1 and support per class (and per ``by``), from
+    E3 counts or observed counts alike: each cell counts for its actual and
+    its predicted class, in one aggregation."""
+    same = F.col("actual") == F.col("predicted")
+    n, zero = F.col("count"), F.lit(0).cast("long")
+    cells = F.array(F.struct(F.col("actual").alias("class"), F.when(same, n).otherwise(zero).alias("tp"), n.alias("act"), zero.alias("pre")),
+                    F.struct(F.col("predicted").alias("class"), zero.alias("tp"), zero.alias("act"), n.alias("pre")))
+    x = (cm.select(*by, F.inline(cells)).where(F.col("class").isNotNull()).groupBy(*by, "class")
+         .agg(F.sum("tp").alias("tp"), F.sum("pre").alias("pred_n"), F.sum("act").alias("support")))
     p = _ratio(F.col("tp"), F.col("pred_n"))
     r = _ratio(F.col("tp"), F.col("support"))
     return (x.withColumn("precision", p).withColumn("recall", r)
             .withColumn("f1", _ratio(2 * F.col("precision") * F.col("recall"),
                                      F.col("precision") + F.col("recall")))
-            .select("class", "precision", "recall", "f1", F.col("support").cast("long")))
+            .select(*by, "class", "precision", "recall", "f1", F.col("support").cast("long")))
 
 
 def report_summary(report: DataFrame) -> DataFrame:
     """E2 averages: macro (plain mean) and weighted (by support)."""
-    s = F.sum("support")
+    def weighted(c):
+        return F.try_divide(F.sum(F.col(c) * F.col("support")), F.sum("support").cast("double")).alias(f"weighted_{c}")
     return report.agg(
         F.avg("precision").alias("macro_precision"), F.avg("recall").alias("macro_recall"),
         F.avg("f1").alias("macro_f1"),
-        (F.sum(F.col("precision") * F.col("support")) / s).alias("weighted_precision"),
-        (F.sum(F.col("recall") * F.col("support")) / s).alias("weighted_recall"),
-        (F.sum(F.col("f1") * F.col("support")) / s).alias("weighted_f1"),
+        weighted("precision"), weighted("recall"), weighted("f1"),
     )
 
 
@@ -87,10 +93,12 @@ def score_table(pred: DataFrame, positive) -> DataFrame:
             .agg(F.count_if(is_pos).alias("pos_n"), F.count_if(~is_pos).alias("neg_n")))
 
 
-def running_by_score(per_score: DataFrame, cols=("pos_n", "neg_n"), n_buckets: int = N_BUCKETS,
+def running_by_score(per_score: DataFrame, cols=("pos_n", "neg_n"), n_buckets: int | None = None,
                      with_next: bool = False) -> DataFrame:
     """Inclusive running sums of ``cols`` in descending score order; with
     ``with_next`` also the next lower score's ``cols`` (null for the last)."""
+    if n_buckets is None:
+        n_buckets = max(1, -(-per_score.count() // SCORES_PER_BUCKET))
     qs = [i / n_buckets for i in range(1, n_buckets)]
     bounds = sorted(set(per_score.approxQuantile("score", qs, 0.001))) if qs else []
     arr = F.array(*[F.lit(float(b)) for b in bounds]) if bounds else F.array().cast("array<double>")
@@ -98,9 +106,9 @@ def running_by_score(per_score: DataFrame, cols=("pos_n", "neg_n"), n_buckets: i
     x = per_score.withColumn("_bk", F.size(F.filter(arr, lambda b: b >= F.col("score"))))
     tot = x.groupBy("_bk").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
     wb = Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    # n_buckets rows at most: one ordered partition is fine here.
+    # One row per range: one ordered partition is fine here.
     off = tot.select("_bk", *[F.coalesce(F.sum(f"_t_{c}").over(wb), F.lit(0)).alias(f"_o_{c}") for c in cols])
-    x = x.join(F.broadcast(off), "_bk")
+    x = x.join(off, "_bk")
     w = Window.partitionBy("_bk").orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, 0)
     for c in cols:
         x = x.withColumn(f"cum_{c}", F.sum(c).over(w) + F.col(f"_o_{c}"))
@@ -111,24 +119,24 @@ def running_by_score(per_score: DataFrame, cols=("pos_n", "neg_n"), n_buckets: i
         wl = Window.partitionBy("_bk").orderBy(F.col("score").desc())
         firsts = (x.groupBy("_bk").agg(F.max_by(F.struct(*cols), "score").alias("_f"))
                   .withColumn("_nf", F.lead("_f").over(Window.orderBy("_bk"))).select("_bk", "_nf"))
-        x = x.join(F.broadcast(firsts), "_bk")
+        x = x.join(firsts, "_bk")
         for c in cols:
             x = x.withColumn(f"next_{c}", F.coalesce(F.lead(c).over(wl), F.col(f"_nf.{c}")))
         x = x.drop("_nf")
     return x.drop("_bk", *[f"_o_{c}" for c in cols])
 
 
-def _curve_base(pred: DataFrame, positive, n_buckets: int, with_next: bool = False) -> DataFrame:
-    # One row per distinct score: small, and read by the quantile, total and
-    # running-sum jobs below, so it is computed once.
-    st = score_table(pred, positive).persist(StorageLevel.MEMORY_AND_DISK)
+def _curve_base(pred: DataFrame, positive, n_buckets: int | None, with_next: bool = False) -> DataFrame:
+    # One row per distinct score, read by the quantile, total and running-sum
+    # jobs below: written once.
+    st = write_stage(score_table(pred, positive), "scores")
     # Two class totals: one tiny aggregate read on the driver as literals.
     t = st.agg(F.sum("pos_n").alias("P"), F.sum("neg_n").alias("N")).first()
     cum = running_by_score(st, n_buckets=n_buckets, with_next=with_next)
     return cum.withColumns({"P": F.lit(int(t["P"] or 0)), "N": F.lit(int(t["N"] or 0))})
 
 
-def roc_curve(pred: DataFrame, positive=1, n_buckets: int = N_BUCKETS,
+def roc_curve(pred: DataFrame, positive=1, n_buckets: int | None = None,
               drop_intermediate: bool = False) -> DataFrame:
     """One point per distinct score (threshold), plus the (0, 0) origin.
 
@@ -148,7 +156,12 @@ def roc_curve(pred: DataFrame, positive=1, n_buckets: int = N_BUCKETS,
     return origin.unionByName(pts)
 
 
-def roc_auc(pred: DataFrame, positive=1, n_buckets: int = N_BUCKETS) -> DataFrame:
+def _share_of_square(area: Column) -> Column:
+    """Summed area over P * N; null when a class is missing."""
+    return F.try_divide(F.sum(area), F.first("P").cast("double") * F.first("N"))
+
+
+def roc_auc(pred: DataFrame, positive=1, n_buckets: int | None = None) -> DataFrame:
     """Area under the ROC curve by the trapezoid rule over score groups.
 
     A group at one score moves from (fp0, tp0) to (fp0 + neg, tp0 + pos), so
@@ -157,10 +170,10 @@ def roc_auc(pred: DataFrame, positive=1, n_buckets: int = N_BUCKETS) -> DataFram
     c = _curve_base(pred, positive, n_buckets)
     tp0 = F.col("cum_pos_n") - F.col("pos_n")
     area = F.col("neg_n").cast("double") * (2 * tp0 + F.col("pos_n")) / 2.0
-    return c.agg((F.sum(area) / (F.first("P").cast("double") * F.first("N"))).alias("roc_auc"))
+    return c.agg(_share_of_square(area).alias("roc_auc"))
 
 
-def pr_curve(pred: DataFrame, positive=1, n_buckets: int = N_BUCKETS) -> DataFrame:
+def pr_curve(pred: DataFrame, positive=1, n_buckets: int | None = None) -> DataFrame:
     """E5: precision and recall per threshold, plus the final (recall 0,
     precision 1) point."""
     c = _curve_base(pred, positive, n_buckets)
@@ -171,23 +184,23 @@ def pr_curve(pred: DataFrame, positive=1, n_buckets: int = N_BUCKETS) -> DataFra
     return pts.unionByName(end)
 
 
-def average_precision(pred: DataFrame, positive=1, n_buckets: int = N_BUCKETS) -> DataFrame:
+def average_precision(pred: DataFrame, positive=1, n_buckets: int | None = None) -> DataFrame:
     """AP = sum over thresholds of (R_n - R_{n-1}) * P_n, in double."""
     c = _curve_base(pred, positive, n_buckets)
     prec = _ratio(F.col("cum_pos_n"), F.col("cum_pos_n") + F.col("cum_neg_n"))
-    step = _ratio(F.col("pos_n"), F.col("P"))  # recall gained at this threshold
+    step = F.try_divide(F.col("pos_n").cast("double"), F.col("P").cast("double"))  # recall gained at this threshold
     return c.agg(F.sum(step * prec).alias("average_precision"))
 
 
-def curve_summary(pred: DataFrame, positive=1, n_buckets: int = N_BUCKETS) -> DataFrame:
+def curve_summary(pred: DataFrame, positive=1, n_buckets: int | None = None) -> DataFrame:
     """E4 + E6 in one aggregation over one running-sum table:
     ``roc_auc`` and ``average_precision``."""
     c = _curve_base(pred, positive, n_buckets)
     tp0 = F.col("cum_pos_n") - F.col("pos_n")
     area = F.col("neg_n").cast("double") * (2 * tp0 + F.col("pos_n")) / 2.0
     prec = _ratio(F.col("cum_pos_n"), F.col("cum_pos_n") + F.col("cum_neg_n"))
-    return c.agg((F.sum(area) / (F.first("P").cast("double") * F.first("N"))).alias("roc_auc"),
-                 F.sum(_ratio(F.col("pos_n"), F.col("P")) * prec).alias("average_precision"))
+    return c.agg(_share_of_square(area).alias("roc_auc"),
+                 F.sum(F.try_divide(F.col("pos_n").cast("double"), F.col("P").cast("double")) * prec).alias("average_precision"))
 
 
 def evaluate(pred: DataFrame, positive=1, classes=None) -> dict[str, DataFrame]:
@@ -206,7 +219,7 @@ def accuracy_by(pred: DataFrame, by) -> DataFrame:
         F.count(F.lit(1)).alias("n"))
 
 
-def confusion_by(pred: DataFrame, by) -> DataFrame:
-    """Confusion counts per group (observed cells)."""
+def report_by(pred: DataFrame, by) -> DataFrame:
+    """The E2 report of every group, from one pass over the rows."""
     by = [by] if isinstance(by, str) else list(by)
-    return pred.groupBy(*by, "actual", "predicted").agg(F.count(F.lit(1)).alias("count"))
+    return class_report(confusion_counts(pred, by), by)

@@ -1,4 +1,4 @@
-"""TF-IDF features in long form.
+"""TF-IDF features.
 
 Weights follow the original vectorizer: sublinear tf ``1 + ln(tf)`` times
 smooth idf ``ln((1 + n) / (1 + df)) + 1``, L2-normalised per document, over
@@ -7,29 +7,32 @@ terms with ``df >= min_df`` and ``df <= max_df * n``, then the
 ``max_features`` terms of highest corpus frequency (ties by term);
 column indices are the alphabetical order of the kept terms.
 
-Plan shape: documents are hash-partitioned by ``doc_id`` once, so the
-per-(doc, term) counts and the per-document norm need no further shuffle;
-the vocabulary fit shuffles (term, partial count) pairs by term; the
-fitted vocabulary (at most ``max_features`` rows) is broadcast into the
-transform.
+Plan shape: a row holds its document's terms, so both term counts come out
+of one aggregation by term (partial counts before the shuffle, documents
+never move), and vectors are made row by row: Spark ML's count vectorizer
+and one Arrow UDF for the weights. The vocabulary is small by
+``max_features`` and lives on the driver and each executor, as the models'
+coefficients do; no key is needed, so repeated or null keys change nothing.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+import math
+from dataclasses import dataclass, field
 
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.linalg import SparseVector, VectorUDT
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimflow.functions.stopwords import ENGLISH_STOP_WORDS
 from claimflow.functions.text import evaluate_once
-from claimflow.session import ensure_checkpoint_dir
+from claimflow.session import write_stage
 
 MODEL_TOKEN_PATTERN = r"[a-z0-9_]{2,}"
-MAX_BROADCAST_VOCAB = 2_000_000
-MAX_CLASSES = 10_000  # class lists are read on the driver
+MAX_VOCABULARY = 4_000_000  # terms without ``max_features``; more is an error
 
 
 def model_tokens(text, stop_words=ENGLISH_STOP_WORDS) -> Column:
@@ -49,90 +52,120 @@ def ngrams_1_2(tokens) -> Column:
     return F.concat(t, bigrams)
 
 
-def term_counts(docs: DataFrame, doc_col: str, terms_col: str, partitions: int | None = None,
-                by_doc: bool = False) -> DataFrame:
-    """(doc, term, tf) with documents co-partitioned by ``doc_col``.
+def _weights(idf: list, bias: bool = False):
+    """Arrow UDF from a count vector to the normalised weights; ``bias`` adds
+    a constant 1.0 feature in the last column (penalised-intercept option)."""
+    size = len(idf) + bias
 
-    ``by_doc=True`` says the input is already hash-partitioned by the doc
-    column upstream, so no shuffle is added here."""
-    d = docs.select(doc_col, terms_col)
-    if not by_doc:
-        d = d.repartition(partitions, doc_col) if partitions else d.repartition(doc_col)
-    return (d.select(doc_col, F.explode(terms_col).alias("term"))
-            .groupBy(doc_col, "term").agg(F.count(F.lit(1)).alias("tf")))
+    @F.udf(returnType=VectorUDT(), useArrow=True)
+    def weigh(counts):
+        idx, w = [], []
+        if counts is not None and len(idf):
+            idx = [int(i) for i in counts.indices]
+            w = [(1.0 + math.log(c)) * idf[i] for i, c in zip(idx, counts.values)]
+            norm = math.sqrt(sum(x * x for x in w))
+            w = [x / norm for x in w]
+        if bias:
+            idx.append(size - 1)
+            w.append(1.0)
+        return SparseVector(size, idx, w)
+    return weigh
+
+
+@F.udf(returnType=T.ArrayType(T.StructType([T.StructField("idx", T.IntegerType()), T.StructField("weight", T.DoubleType()),
+                                            T.StructField("tf", T.LongType())])), useArrow=True)
+def _entries(counts, weights):
+    return [(int(i), float(w), int(c)) for i, w, c in zip(weights.indices, weights.values, counts.values)]
 
 
 @dataclass
 class TfidfModel:
-    """A fitted vocabulary: ``vocab(term, idx, df, cf, idf)`` and ``n_docs``."""
+    """A fitted vocabulary: ``vocab(term, idx, df, cf, idf)``, its terms and
+    idf in column order, ``n_docs``, and the stop words its terms came from."""
     vocab: DataFrame
+    terms: list
+    idf: list
     n_docs: int
-    size: int
     doc_col: str = "doc_id"
     terms_col: str = "terms"
+    stop_words: tuple = field(default=ENGLISH_STOP_WORDS)
 
-    def transform(self, docs: DataFrame, doc_col: str | None = None, by_doc: bool = False) -> DataFrame:
-        """F4/F5 long form: (doc, term, idx, weight); unseen terms ignored.
-
-        Documents with no known term have no rows here; ``pack`` gives them
-        an all-zero vector."""
-        doc_col = doc_col or self.doc_col
-        tf = term_counts(docs, doc_col, self.terms_col, by_doc=by_doc)
-        v = self.vocab.select("term", "idx", "idf")
-        v = F.broadcast(v) if self.size <= MAX_BROADCAST_VOCAB else v
-        x = tf.join(v, "term")
-        w = (1.0 + F.log(F.col("tf").cast("double"))) * F.col("idf")
-        x = x.withColumn("_w", w)
-        norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(doc_col)))
-        return x.select(doc_col, "term", "idx", "tf", (F.col("_w") / norm).alias("weight"))
+    @property
+    def size(self) -> int:
+        return len(self.terms)
+
+    def _count(self, docs: DataFrame, out: str) -> DataFrame:
+        if not self.terms:
+            return docs.withColumn(out, _weights([])(F.lit(None).cast(VectorUDT())))
+        cv = CountVectorizerModel.from_vocabulary(self.terms, self.terms_col, out)
+        return cv.transform(docs)
+
+    def vectors(self, docs: DataFrame, out: str = "features", bias: bool = False) -> DataFrame:
+        """F8: ``docs`` (with its terms column) plus one sparse vector per
+        row; unseen terms are ignored, a row without known terms gets zeros."""
+        x = self._count(docs, "_counts")
+        return x.withColumn(out, _weights(self.idf, bias)("_counts")).drop("_counts")
+
+    def transform(self, docs: DataFrame, doc_col: str | None = None) -> DataFrame:
+        """F4/F5 long form: (doc, term, idx, tf, weight); rows without known
+        terms have none. Columns of ``docs`` other than the terms stay."""
+        x = self._count(docs, "_counts")
+        x = x.withColumn("_e", _entries("_counts", _weights(self.idf)("_counts")))
+        keep = [doc_col or self.doc_col] + [c for c in docs.columns if c not in (self.terms_col, doc_col or self.doc_col)]
+        terms = F.from_json(F.lit(json.dumps(self.terms)), "array<string>")
+        return (x.select(*keep, F.inline("_e"))
+                .select(*keep, F.element_at(terms, F.col("idx") + 1).alias("term"), "idx", "tf", "weight"))
 
     def feature_names(self) -> DataFrame:
         """terms in column order."""
         return self.vocab.select("idx", "term").orderBy("idx")
 
 
-def fit_tfidf(docs: DataFrame, doc_col: str = "doc_id", terms_col: str = "terms",
-              min_df: int = 3, max_df: float = 0.95, max_features: int | None = 10_000) -> TfidfModel:
-    """fit the vocabulary on ``docs`` (the training split only)."""
-    n_docs = docs.count()
-    tf = term_counts(docs, doc_col, terms_col)
-    stats = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
-    kept = stats.where((F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df * n_docs)))
-    if max_features is not None:
-        kept = kept.orderBy(F.col("cf").desc(), F.col("term")).limit(max_features)
-    idf = F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0
-    # Index = alphabetical rank. With max_features the table is bounded and
-    # one ordered partition is cheap; without it the terms are ranked by
-    # range partitions plus per-partition offsets.
+def term_stats(docs: DataFrame, terms_col: str = "terms") -> DataFrame:
+    """``term, df, cf`` of all rows in one aggregation; the null term counts
+    the rows themselves in ``df``."""
+    t = F.coalesce(F.col(terms_col), F.array().cast("array<string>"))
+    def mark(terms, is_doc):
+        return F.transform(terms, lambda x: F.struct(x.alias("term"), F.lit(is_doc).alias("d")))
+    rows = F.concat(mark(t, 0), mark(F.array_distinct(t), 1), mark(F.array(F.lit(None).cast("string")), 1))
+    return (docs.select(F.inline(rows)).groupBy("term")
+            .agg(F.sum("d").alias("df"), F.sum(1 - F.col("d")).alias("cf")))
+
+
+def most_frequent(stats: DataFrame, n: int) -> DataFrame:
+    """The ``n`` rows of highest ``cf``, ties by term. Counts per logarithmic
+    bucket and then per value find the cutoff, so no task merges whole top
+    lists; only the rows at the cutoff itself are ordered by term."""
+    bucketed = stats.withColumn("_b", F.floor(F.log2("cf") * 8))
+    left = n
+    for b, size in sorted(((r["_b"], r["count"]) for r in bucketed.groupBy("_b").count().collect()), reverse=True):
+        if size <= left:
+            left -= size
+            continue
+        for cf, ties in sorted(((r["cf"], r["count"]) for r in bucketed.where(F.col("_b") == b).groupBy("cf").count().collect()), reverse=True):
+            if ties > left:
+                return stats.where(F.col("cf") > cf).unionByName(stats.where(F.col("cf") == cf).orderBy("term").limit(left))
+            left -= ties
+    return stats
+
+
+def fit_tfidf(docs: DataFrame, doc_col: str = "doc_id", terms_col: str = "terms", min_df: int = 3,
+              max_df: float = 0.95, max_features: int | None = 10_000, stop_words=ENGLISH_STOP_WORDS) -> TfidfModel:
+    """fit the vocabulary on ``docs`` (the training split only). Without
+    ``max_features`` all kept terms count, up to ``MAX_VOCABULARY``."""
+    stats = write_stage(term_stats(docs, terms_col), "term-stats")
+    first = stats.where("term is null").first()
+    n_docs = first["df"] if first else 0
+    kept = stats.where((F.col("term").isNotNull()) & (F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df * n_docs)))
     if max_features is not None:
-        ranked = kept.withColumn("idx", (F.row_number().over(Window.orderBy("term")) - 1).cast("int"))
-    else:
-        ranked = alphabetical_index(kept, "term", "idx")
-    vocab = ranked.withColumn("idf", idf)
-    ensure_checkpoint_dir(docs.sparkSession)
-    vocab = vocab.checkpoint(eager=True)
-    size = vocab.count()
-    return TfidfModel(vocab, n_docs, size, doc_col, terms_col)
-
-
-def alphabetical_index(df: DataFrame, col: str, out: str, partitions: int | None = None) -> DataFrame:
-    """0-based rank of unique ``col`` values in sort order, without a
-    single-partition window: range-partition, sort within partitions, take
-    the in-partition position from ``monotonically_increasing_id`` (its low
-    33 bits) and add the count of all earlier partitions (a table with one
-    row per partition, broadcast)."""
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    x = (df.repartitionByRange(n, col).sortWithinPartitions(col)
-         .withColumn("_mid", F.monotonically_increasing_id())
-         .withColumn("_pid", F.shiftright("_mid", 33))
-         .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))))
-    x = x.persist()
-    counts = x.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offs = counts.select("_pid", F.coalesce(F.sum("_n").over(
-        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    return (x.join(F.broadcast(offs), "_pid")
-            .withColumn(out, (F.col("_off") + F.col("_pos")).cast("int"))
-            .drop("_mid", "_pid", "_pos", "_off"))
+        kept = most_frequent(kept, max_features)
+    rows = kept.limit((max_features or MAX_VOCABULARY) + 1).collect()
+    if max_features is None and len(rows) > MAX_VOCABULARY:
+        raise ValueError(f"the vocabulary has more than {MAX_VOCABULARY} terms: set max_features")
+    rows = [(r["term"], i, r["df"], r["cf"], math.log((1.0 + n_docs) / (1.0 + r["df"])) + 1.0)
+            for i, r in enumerate(sorted(rows, key=lambda r: r["term"].encode()))]
+    vocab = docs.sparkSession.createDataFrame(rows, "term string, idx int, df long, cf long, idf double")
+    return TfidfModel(vocab, [r[0] for r in rows], [r[4] for r in rows], n_docs, doc_col, terms_col, tuple(stop_words or ()))
 
 
 def add_terms(df: DataFrame, text_col: str = "text_processed", out: str = "terms",
@@ -142,41 +175,18 @@ def add_terms(df: DataFrame, text_col: str = "text_processed", out: str = "terms
     return x.withColumn(out, ngrams_1_2("_mt")).drop("_mt")
 
 
-@F.udf(returnType=VectorUDT(), useArrow=True)
-def _to_sparse(size, idx, vals, bias):
-    # Arrow-batched transfer; the body only wraps two arrays in a vector.
-    idx, vals = list(idx or []), list(vals or [])
-    if bias:  # constant feature in the last column
-        idx.append(size - 1)
-        vals.append(1.0)
-    return SparseVector(size, idx, vals)
+def label_classes(df: DataFrame, label_col: str = "label") -> list:
+    """The class list: sorted distinct labels, which a model holds anyway."""
+    return sorted(r[0] for r in df.select(label_col).where(F.col(label_col).isNotNull()).distinct().collect())
 
 
-def pack(weights: DataFrame, docs: DataFrame, size: int, doc_col: str = "doc_id",
-         out: str = "features", bias: bool = False) -> DataFrame:
-    """F8: long-form weights to one sparse vector per document.
-
-    ``docs`` supplies every document (also those with no known term);
-    the only Python UDF in the plan (Arrow-batched) builds the vector from
-    two arrays.
-    ``bias`` appends a constant 1.0 feature (penalised-intercept option)."""
-    grouped = (weights.groupBy(doc_col)
-               .agg(F.sort_array(F.collect_list(F.struct("idx", "weight"))).alias("_e")))
-    x = docs.join(grouped, doc_col, "left")
-    n = size + 1 if bias else size
-    return (x.withColumn(out, _to_sparse(F.lit(n), F.col("_e.idx"), F.col("_e.weight"), F.lit(bias)))
-            .drop("_e"))
-
-
-def encode_labels(df: DataFrame, label_col: str = "label", out: str = "label_idx") -> tuple[DataFrame, list]:
+def encode_labels(df: DataFrame, label_col: str = "label", out: str = "label_idx",
+                  classes: list | None = None) -> tuple[DataFrame, list]:
     """alphabetical label codes; returns the frame and the class list.
-
-    The class list is the distinct labels (a handful), read on the driver."""
-    classes = sorted(r[0] for r in df.select(label_col).distinct().limit(MAX_CLASSES + 1).collect())
-    if len(classes) > MAX_CLASSES:
-        raise ValueError(f"label column {label_col!r} has more than {MAX_CLASSES} classes")
-    m = F.create_map(*[x for i, c in enumerate(classes) for x in (F.lit(c), F.lit(float(i)))])
-    return df.withColumn(out, F.element_at(m, F.col(label_col).cast("string"))), classes
+    A null or unlisted label has no code."""
+    classes = label_classes(df, label_col) if classes is None else classes
+    codes = F.from_json(F.lit(json.dumps({str(c): float(i) for i, c in enumerate(classes)})), "map<string,double>")
+    return df.withColumn(out, F.try_element_at(codes, F.col(label_col).cast("string"))), classes
 
 
 def decode_labels(df: DataFrame, classes: list, idx_col: str = "prediction", out: str = "label_name") -> DataFrame:
@@ -208,7 +218,7 @@ class TfidfVectorizer:
 
     def fit(self, df: DataFrame) -> "TfidfVectorizer":
         self.model = fit_tfidf(self._terms(df).select(self.doc_col, "terms"), self.doc_col, "terms",
-                               self.min_df, self.max_df, self.max_features)
+                               self.min_df, self.max_df, self.max_features, self.stop_words)
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:

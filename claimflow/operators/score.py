@@ -1,8 +1,8 @@
 """Scoring (C1-C4, C6): texts in, predictions out, one row per input row.
 
-The scorer is a native plan: clean + tokenize + terms, a broadcast join
-to the fitted vocabulary, per-row vectors, then the Spark ML model's own
-transform. Rows whose cleaned text has no tokens are not dropped: they get
+The scorer is map-only: clean + tokenize + terms, one vector per row, then
+the Spark ML model's own transform. No key is needed, so repeated or null
+keys are scored alone, and nothing is cached. Rows whose cleaned text has no tokens are not dropped: they get
 ``Unknown`` with confidence 0.0 and equal class probabilities (C2).
 """
 
@@ -10,13 +10,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimflow.functions.text import clean_text, evaluate_once, join_tokens, tokenize
-from claimflow.operators.features import TfidfModel, add_terms, pack
+from claimflow.operators.features import TfidfModel, add_terms
 
 UNKNOWN = "Unknown"
 EMPTY_TEXT_ERROR = "Empty text after preprocessing"
@@ -38,19 +37,14 @@ def require_column(df: DataFrame, col: str) -> None:
         raise ValueError(f"column {col!r} not found; available columns: {df.columns}")
 
 
-def score(df: DataFrame, scorer: Scorer, key: str, text_col: str = "text") -> DataFrame:
-    """Adds prediction, confidence, probabilities (map), error."""
+def score(df: DataFrame, scorer: Scorer, key: str | None = None, text_col: str = "text") -> DataFrame:
+    """Adds prediction, confidence, probabilities (map), error.
+    ``key`` is accepted for older callers and not used."""
     require_column(df, text_col)
-    # One shuffle of the input rows by key; the term counts, the vector
-    # assembly and the join back to every input row then stay in place. The
-    # tokenized rows feed both sides of that join, so they are kept
-    # (memory, spilling to disk) instead of being cleaned twice.
-    x = evaluate_once(df.repartition(key), _tokens=tokenize(clean_text(text_col)))
+    x = evaluate_once(df, _tokens=tokenize(clean_text(text_col)))
     x = x.withColumn("_processed", join_tokens("_tokens"))
-    x = add_terms(x, "_processed", scorer.vectorizer.terms_col).persist(StorageLevel.MEMORY_AND_DISK)
-    v = pack(scorer.vectorizer.transform(x.select(key, scorer.vectorizer.terms_col), key, by_doc=True),
-             x, scorer.vectorizer.size, doc_col=key, bias=scorer.bias)
-    p = scorer.model.transform(v)
+    x = add_terms(x, "_processed", scorer.vectorizer.terms_col, scorer.vectorizer.stop_words)
+    p = scorer.model.transform(scorer.vectorizer.vectors(x, bias=scorer.bias))
     classes = F.array(*[F.lit(c) for c in scorer.classes])
     k = len(scorer.classes)
     label = F.element_at(classes, F.col("prediction").cast("int") + 1)

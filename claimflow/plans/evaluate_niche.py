@@ -3,36 +3,31 @@ per-niche summary document the results collector reads."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimflow.operators import evaluate as E
-from claimflow.operators.score import Scorer, score
+from claimflow.operators.features import decode_labels
+from claimflow.session import write_stage
 from claimflow.sources import io
 
 
-def test_predictions(result, labeled: DataFrame, key: str, label_col: str = "label",
-                     model: str | None = None) -> DataFrame:
+def test_predictions(result, key: str, label_col: str = "label", model: str | None = None) -> DataFrame:
     """(key, actual, predicted, score) for the held-out test rows; score is
-    the probability of the second class code (none for the SVM)."""
+    the probability of the last class (none for the SVM). The split rows carry
+    their terms, so no text is read or cleaned again."""
     name = model or result.best
     classes = [str(c) for c in result.classes]
-    sc = Scorer(result.vectorizer, result.models[name], classes,
-                has_probability=name == "logistic_regression")
-    test_ids = result.data.where(F.col("split") == "test").select(key)
-    docs = labeled.join(test_ids, key)
-    s = F.element_at("probabilities", F.lit(classes[-1])) if sc.has_probability else F.lit(None).cast("double")
-    return (score(docs, sc, key)
-            .select(key, F.col(label_col).cast("string").alias("actual"),
-                    F.col("prediction").alias("predicted"), s.alias("score"))
-            .persist(StorageLevel.MEMORY_AND_DISK))
-
-
-def evaluate_niche(result, labeled: DataFrame, key: str, label_col: str = "label",
-                   model: str | None = None) -> dict:
+    test = result.vectorizer.vectors(result.data.where(F.col("split") == "test"))
+    p = decode_labels(result.models[name].transform(test), classes, "prediction", "predicted")
+    s = F.element_at(vector_to_array("probability"), -1) if name == "logistic_regression" else F.lit(None).cast("double")
+    return write_stage(p.select(key, F.col(label_col).cast("string").alias("actual"), "predicted", s.alias("score")), "test-predictions")
+
+
+def evaluate_niche(result, key: str, label_col: str = "label", model: str | None = None) -> dict:
     """E1-E6 tables for the test split (curves only with probabilities)."""
-    pred = test_predictions(result, labeled, key, label_col, model)
+    pred = test_predictions(result, key, label_col, model)
     classes = [str(c) for c in result.classes]
     cm = E.confusion(pred, classes)
     out = {"predictions": pred, "accuracy": E.accuracy(pred), "confusion": cm, "report": E.class_report(cm)}

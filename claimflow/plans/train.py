@@ -24,45 +24,14 @@ from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimflow.functions.stopwords import ENGLISH_STOP_WORDS
 from claimflow.functions.text import clean_text, evaluate_once, join_tokens, tokenize
 from claimflow.operators.aggregates import fold_score_stats, with_balanced_weights
-from claimflow.operators.evaluate import class_report, confusion
-from claimflow.operators.features import TfidfModel, add_terms, fit_tfidf, pack
+from claimflow.operators.features import TfidfModel, add_terms, encode_labels, fit_tfidf, label_classes
 from claimflow.operators.split import TRAIN, VALIDATION, stratified_split
-from claimflow.session import ensure_checkpoint_dir
+from claimflow.session import write_stage
 
 MODEL_ORDER = ("logistic_regression", "linear_svm")  # ties go to the first
-MAX_CLASSES = 10_000  # class lists are read on the driver
-ROWS_PER_PARTITION = 20_000  # sparse rows per training task (~tens of MB)
-
-
-GB_PER_CONCURRENT_FOLD = 3
-
-
-def _bytes(text: str) -> int:
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-    t = text.strip().lower().rstrip("b")
-    return int(float(t[:-1]) * units[t[-1]]) if t and t[-1] in units else int(t)
-
-
-def fit_concurrency(spark: SparkSession, requested: int) -> int:
-    """How many CV folds to fit at once. In local mode the executors share
-    the driver's heap, so concurrency follows ``spark.driver.memory`` (one
-    fold at a time with the 1 GB default); on a cluster fits run on the
-    executors and the requested number stands."""
-    if not spark.sparkContext.master.startswith("local"):
-        return max(1, requested)
-    heap = _bytes(spark.sparkContext.getConf().get("spark.driver.memory", "1g"))
-    return max(1, min(requested, heap // (GB_PER_CONCURRENT_FOLD << 30)))
-
-
-def sized_for_fit(df: DataFrame, n_rows: int) -> DataFrame:
-    """Each optimiser iteration is one job over the training partitions, so
-    per-task overhead dominates when partitions are tiny: size them by row
-    count (thousands of partitions on a large cluster, one for a sample)."""
-    want = max(1, -(-n_rows // ROWS_PER_PARTITION))
-    have = df.rdd.getNumPartitions()
-    return df.coalesce(want) if want < have else df.repartition(want)
 
 
 @dataclass
@@ -74,10 +43,11 @@ class TrainConfig:
     max_iter: int = 1000
     tol: float = 1e-4  # the original solvers' stopping tolerance
     n_folds: int = 5
-    parallel_folds: int = 5
+    parallel_folds: int = 5  # folds fitted side by side; fewer need less memory
     seed: int = 42
     refit_vocab_per_fold: bool = True
     penalize_intercept: bool = False
+    stop_words: tuple = ENGLISH_STOP_WORDS  # F1's list (``load_stop_list`` reads another)
 
 
 @dataclass
@@ -88,7 +58,7 @@ class TrainResult:
     best: str
     metrics: DataFrame          # one row per model
     fold_scores: DataFrame      # one row per (model, fold)
-    data: DataFrame             # split rows with terms (persisted)
+    data: DataFrame             # split rows with terms (a written table)
     extra: dict = field(default_factory=dict)
 
 
@@ -99,20 +69,6 @@ def preprocess(df: DataFrame, text_col: str = "text") -> DataFrame:
     return x.withColumn("text_processed", join_tokens("tokens")).where(F.size("tokens") > 0)
 
 
-def _encode(df: DataFrame, classes: list, label_col: str) -> DataFrame:
-    m = F.create_map(*[v for i, c in enumerate(classes) for v in (F.lit(str(c)), F.lit(float(i)))])
-    return df.withColumn("label_idx", F.element_at(m, F.col(label_col).cast("string")))
-
-
-def vectors(df: DataFrame, vec: TfidfModel, key: str, bias: bool = False) -> DataFrame:
-    """Long-form weights packed to one sparse vector per row of ``df``.
-
-    ``df`` is hash-partitioned by ``key`` (``train_classifier`` arranges it),
-    so term counts, norms, packing and the join back add no shuffle."""
-    return pack(vec.transform(df.select(key, vec.terms_col), key, by_doc=True), df, vec.size,
-                doc_col=key, bias=bias)
-
-
 def with_zero_row(train_v: DataFrame, size: int) -> DataFrame:
     """Penalised intercept: one all-zero row of weight 1 keeps the constant
     feature from being treated as constant (Spark zeroes such columns); its
@@ -139,9 +95,15 @@ def _models(cfg: TrainConfig, n_train: int) -> dict:
 
 
 def macro_f1(pred: DataFrame) -> float:
-    r = class_report(confusion(pred.select(F.col("label_idx").alias("actual"),
-                                           F.col("prediction").alias("predicted"))))
-    return float(r.agg(F.avg("f1")).first()[0] or 0.0)
+    """Mean F1 over the classes seen, from one aggregation (classes squared
+    rows at most reach the driver)."""
+    n = {(r[0], r[1]): r[2] for r in pred.groupBy("label_idx", "prediction").count().collect()}
+    f1 = []
+    for c in {x for pair in n for x in pair}:
+        hit = n.get((c, c), 0)
+        both = sum(v for (a, p), v in n.items() if a == c) + sum(v for (a, p), v in n.items() if p == c)
+        f1.append(2 * hit / both if both else 0.0)
+    return float(sum(f1) / len(f1)) if f1 else 0.0
 
 
 def _accuracy(pred: DataFrame) -> float:
@@ -156,40 +118,29 @@ def train_classifier(df: DataFrame, key: str, label_col: str = "label", text_col
     strata = strata or [label_col]
     timings, t0 = {}, time.time()
     extra = [c for c in strata if c != label_col]
-    # Cleaned rows are read twice by the split (bucket counts and ranks);
-    # only the columns needed later are kept.
-    pre = (preprocess(df, text_col).select(key, label_col, *extra, "text_processed")
-           .persist(StorageLevel.MEMORY_AND_DISK))
+    # The cleaned text is written once and moved once, by the split's window.
+    # The split rows with their terms are written too: the many fit and
+    # cross-validation jobs then plan a short scan, and a lost executor does
+    # not recompute the cleaning. Everything after is map-only or counts.
+    pre = write_stage(preprocess(df, text_col).select(key, label_col, *extra, "text_processed"), "cleaned")
     x = stratified_split(pre, strata, key=key, seed=cfg.seed, n_folds=cfg.n_folds)
-    x = add_terms(x, "text_processed", "terms")
-    x = x.select(key, label_col, *extra, "split", "fold", "terms")
-    # Partitioned by key once: every feature step below reuses it. The
-    # checkpoint (shared folder) cuts the text pipeline's lineage, so the
-    # many fit and CV jobs plan a short scan instead of the whole pipeline,
-    # and a lost executor does not recompute the cleaning.
-    ensure_checkpoint_dir(spark)
-    x = x.repartition(key).checkpoint(eager=True)
-    pre.unpersist()
-    if classes is None:
-        classes = sorted(r[0] for r in x.select(label_col).distinct().limit(MAX_CLASSES + 1).collect())
-        if len(classes) > MAX_CLASSES:
-            raise ValueError(f"label column {label_col!r} has more than {MAX_CLASSES} classes")
-    x = _encode(x, classes, label_col)
+    x = add_terms(x, "text_processed", "terms", cfg.stop_words)
+    x = write_stage(x.select(key, label_col, *extra, "split", "fold", "terms"), "train-rows")
+    x, classes = encode_labels(x, label_col, "label_idx", classes or label_classes(x, label_col))
     timings["prepare"] = round(time.time() - t0, 3)
 
     train = x.where(F.col("split") == TRAIN)
-    vec = fit_tfidf(train.select(key, "terms"), doc_col=key, terms_col="terms",
-                    min_df=cfg.min_df, max_df=cfg.max_df, max_features=cfg.max_features)
+    vec = fit_tfidf(train, key, "terms", cfg.min_df, cfg.max_df, cfg.max_features, cfg.stop_words)
     train_w = with_balanced_weights(train, "label_idx")
-    n_train = train_w.count()
-    train_v = sized_for_fit(vectors(train_w, vec, key), n_train).persist(StorageLevel.MEMORY_AND_DISK)
-    val_v = vectors(x.where(F.col("split") == VALIDATION), vec, key)
+    n_train = vec.n_docs
+    train_v = vec.vectors(train_w).select("features", "label_idx", "weight").persist(StorageLevel.MEMORY_AND_DISK)
+    val_v = vec.vectors(x.where(F.col("split") == VALIDATION))
     timings["vocabulary_and_weights"] = round(time.time() - t0 - timings["prepare"], 3)
 
     if cfg.penalize_intercept:
-        train_b = with_zero_row(vectors(train_w, vec, key, bias=True), vec.size).persist(StorageLevel.MEMORY_AND_DISK)
-        val_b = vectors(x.where(F.col("split") == VALIDATION), vec, key, bias=True)
-        train_acc_b = vectors(train_w, vec, key, bias=True)
+        train_b = with_zero_row(vec.vectors(train_w, bias=True), vec.size)
+        val_b = vec.vectors(x.where(F.col("split") == VALIDATION), bias=True)
+        train_acc_b = vec.vectors(train_w, bias=True)
 
     def fit_main(item):
         name, est = item
@@ -199,22 +150,15 @@ def train_classifier(df: DataFrame, key: str, label_col: str = "label", text_col
         model = est.fit(train_v)
         return name, model, _accuracy(model.transform(train_v)), _accuracy(model.transform(val_v))
 
-    # The two final fits and the CV folds are independent jobs; on small
-    # partitions each uses one core, so they run side by side.
+    # The two final fits and the CV folds are independent jobs; the scheduler
+    # runs what is submitted from threads side by side.
     t1 = time.time()
-    workers = fit_concurrency(spark, cfg.parallel_folds)
-    cv_train = x.where(F.col("split") == TRAIN)
     shared = vec if not cfg.refit_vocab_per_fold else None
-    if workers > 1:
-        with ThreadPoolExecutor(max_workers=2) as pool:
-            main = pool.map(fit_main, list(_models(cfg, n_train).items()))
-            folds = cross_validate(cv_train, key, cfg, shared, workers)
-            timings["cross_validation"] = round(time.time() - t1, 3)
-            main = list(main)
-    else:  # small heap: one fit at a time
-        main = [fit_main(item) for item in _models(cfg, n_train).items()]
-        folds = cross_validate(cv_train, key, cfg, shared, 1)
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        main = pool.map(fit_main, list(_models(cfg, n_train).items()))
+        folds = cross_validate(train, key, cfg, shared)
         timings["cross_validation"] = round(time.time() - t1, 3)
+        main = list(main)
     timings["fits_total"] = round(time.time() - t1, 3)
     train_v.unpersist()
     fitted = {name: model for name, model, _, _ in main}
@@ -228,8 +172,7 @@ def train_classifier(df: DataFrame, key: str, label_col: str = "label", text_col
     return TrainResult(classes, vec, fitted, best, metrics, folds, x, {"timings": timings})
 
 
-def cross_validate(train: DataFrame, key: str, cfg: TrainConfig, shared_vec: TfidfModel | None,
-                   workers: int | None = None) -> DataFrame:
+def cross_validate(train: DataFrame, key: str, cfg: TrainConfig, shared_vec: TfidfModel | None) -> DataFrame:
     """M7: per fold, fit (vocabulary,) weights and both models on the other
     folds and score macro F1 on the held-out fold."""
     spark = train.sparkSession
@@ -237,45 +180,43 @@ def cross_validate(train: DataFrame, key: str, cfg: TrainConfig, shared_vec: Tfi
     def one_fold(k):
         fit_part = train.where(F.col("fold") != k)
         held = train.where(F.col("fold") == k)
-        vec = shared_vec or fit_tfidf(fit_part.select(key, "terms"), doc_col=key, terms_col="terms",
-                                      min_df=cfg.min_df, max_df=cfg.max_df, max_features=cfg.max_features)
+        vec = shared_vec or fit_tfidf(fit_part, key, "terms", cfg.min_df, cfg.max_df, cfg.max_features, cfg.stop_words)
         fit_w = with_balanced_weights(fit_part, "label_idx")
-        n = fit_w.count()
-        fit_v = sized_for_fit(vectors(fit_w, vec, key), n).persist(StorageLevel.MEMORY_AND_DISK)
-        held_v = vectors(held, vec, key).persist(StorageLevel.MEMORY_AND_DISK)
-
-        def one_model(item):
-            name, est = item
+        n = vec.n_docs if shared_vec is None else fit_part.count()
+        fit_v = vec.vectors(fit_w).select("features", "label_idx", "weight").persist(StorageLevel.MEMORY_AND_DISK)
+        out = []
+        for name, est in _models(cfg, n).items():
             if name == "logistic_regression" and cfg.penalize_intercept:
-                fit_b = with_zero_row(vectors(fit_w, vec, key, bias=True), vec.size)
-                return name, k, macro_f1(est.fit(fit_b).transform(vectors(held, vec, key, bias=True)))
-            return name, k, macro_f1(est.fit(fit_v).transform(held_v))
-
-        with ThreadPoolExecutor(max_workers=2 if workers > 1 else 1) as inner:
-            out = list(inner.map(one_model, list(_models(cfg, n).items())))
+                fitted = est.fit(with_zero_row(vec.vectors(fit_w, bias=True), vec.size))
+                out.append((name, k, macro_f1(fitted.transform(vec.vectors(held, bias=True)))))
+            else:
+                out.append((name, k, macro_f1(est.fit(fit_v).transform(vec.vectors(held)))))
         fit_v.unpersist()
-        held_v.unpersist()
         return out
 
-    # Folds are independent Spark jobs; submitting them from threads lets
-    # the scheduler run them side by side (like CrossValidator.parallelism).
-    workers = max(1, workers or cfg.parallel_folds)
-    with ThreadPoolExecutor(max_workers=workers) as pool:
+    with ThreadPoolExecutor(max_workers=max(1, cfg.parallel_folds)) as pool:
         rows = [r for fold_rows in pool.map(one_fold, range(cfg.n_folds)) for r in fold_rows]
     return spark.createDataFrame(rows, "model string, fold int, f1 double")
 
 
+def best_models(metrics: DataFrame, by=("niche",)) -> DataFrame:
+    """M8 per group: the model of highest CV mean; equal means go to the one
+    of lower ``model_order``."""
+    best = F.min(F.struct((-F.col("cv_mean")).alias("n"), "model_order", "model", "cv_mean"))
+    return metrics.groupBy(*by).agg(best.alias("b")).select(*by, "b.model", "b.cv_mean")
+
+
 def select_best(metrics: DataFrame) -> str:
     """M8: highest CV mean; equal means go to logistic regression."""
-    return metrics.orderBy(F.col("cv_mean").desc(), F.col("model_order")).first()["model"]
+    return best_models(metrics, ()).first()["model"]
 
 
 def coefficients(result: TrainResult, model: str = "logistic_regression") -> DataFrame:
-    """Coefficients joined to the vocabulary: (term, idx, coef)."""
+    """Coefficients with their terms: (term, idx, coef). A fitted model holds
+    them on the driver."""
     coefs = result.models[model].coefficients.toArray().tolist()
-    spark = result.vectorizer.vocab.sparkSession
-    c = spark.createDataFrame(list(enumerate(coefs)), "idx int, coef double")
-    return result.vectorizer.vocab.select("term", "idx").join(c, "idx")
+    rows = [(t, i, coefs[i]) for i, t in enumerate(result.vectorizer.terms)]
+    return result.vectorizer.vocab.sparkSession.createDataFrame(rows, "term string, idx int, coef double")
 
 
 def train_unified(labeled_by_niche: dict, rules, key: str = "id", cfg: TrainConfig | None = None,

@@ -112,7 +112,7 @@ def union_niches(frames: dict, warn=print) -> DataFrame:
 def save_vectorizer(vec, path: str) -> None:
     """Vocabulary as Parquet plus a small JSON of scalars."""
     vec.vocab.write.mode("overwrite").parquet(f"{path}/vocab")
-    meta = {"n_docs": vec.n_docs, "size": vec.size, "doc_col": vec.doc_col, "terms_col": vec.terms_col}
+    meta = {"n_docs": vec.n_docs, "doc_col": vec.doc_col, "terms_col": vec.terms_col, "stop_words": list(vec.stop_words)}
     spark = vec.vocab.sparkSession
     spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1) \
         .write.mode("overwrite").text(f"{path}/meta")
@@ -122,7 +122,9 @@ def load_vectorizer(spark: SparkSession, path: str):
     from claimflow.operators.features import TfidfModel
     meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
     vocab = spark.read.parquet(f"{path}/vocab")
-    return TfidfModel(vocab, meta["n_docs"], meta["size"], meta["doc_col"], meta["terms_col"])
+    rows = vocab.orderBy("idx").select("term", "idf").collect()
+    return TfidfModel(vocab, [r["term"] for r in rows], [r["idf"] for r in rows], meta["n_docs"], meta["doc_col"],
+                      meta["terms_col"], tuple(meta["stop_words"]))
 
 
 def save_models(result, path: str, niche: str) -> DataFrame:
@@ -152,11 +154,23 @@ def append_metrics(metrics: DataFrame, path: str, niche: str, stamp: str, best:
      .write.mode("append").partitionBy("niche").parquet(path))
 
 
+def write_statements(df: DataFrame, directory: str) -> None:
+    """S2's layout: one headerless TSV folder per split, columns in the fixed
+    order (``split`` names the folder)."""
+    for split in STATEMENT_SPLITS:
+        part = df.where(F.col("split") == split).select(*[F.col(f.name).cast(f.dataType) for f in STATEMENT_SCHEMA.fields])
+        part.write.option("sep", "\t").csv(f"{directory.rstrip('/')}/{split}.tsv")
+
+
 def write_features(weights: DataFrame, path: str) -> None:
     """Long-form features partitioned by split."""
     weights.write.mode("overwrite").partitionBy("split").parquet(path)
 
 
+def read_features(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
 def write_summary_json(spark: SparkSession, path: str, niche: str, samples_per_class: dict,
                        macro_f1: float, accuracy: float, per_class: dict,
                        positive_label: str, negative_label: str) -> None:

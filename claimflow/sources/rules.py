@@ -1,9 +1,9 @@
 """Rule sets ("niches") as a small, explicitly typed DataFrame.
 
 A rule set is parsed on the driver (one YAML file per niche, a few KB
-each) and becomes one row of ``RULE_SCHEMA``. The table has one row per
-file, so its size is bounded by the number of rule files and it is always
-safe to broadcast.
+each) and becomes one row of ``RULE_SCHEMA``. Rule sets known on the driver become constants of
+the plan; a rules DataFrame is joined, and Spark picks the join by its size.
+A niche has one rule set.
 """
 
 from __future__ import annotations
@@ -23,8 +23,6 @@ DEFAULT_MIN_TEXT_LENGTH = 50
 DEFAULT_MAX_TEXT_LENGTH = 2000
 DEFAULT_MIN_SAMPLES = 300
 DEFAULT_MAX_PER_SOURCE = 200
-MAX_BROADCAST_RULES = 10_000
-MAX_INLINE_RULES = 64  # beyond this, a broadcast join beats a CASE per column
 
 RULE_SCHEMA = T.StructType([
     T.StructField("niche", T.StringType(), False),
@@ -107,10 +105,17 @@ def available_niches(rules_dir: str | Path | None = None, include_synthetic: boo
 
 def rules_frame(spark: SparkSession, rule_sets) -> DataFrame:
     """One row per rule set with ``RULE_SCHEMA``."""
-    rows = [r.as_row() for r in rule_sets]
-    if len(rows) > MAX_BROADCAST_RULES:
-        raise ValueError(f"{len(rows)} rule sets exceed the broadcast bound {MAX_BROADCAST_RULES}")
-    return spark.createDataFrame(rows, RULE_SCHEMA)
+    return spark.createDataFrame([r.as_row() for r in one_per_niche(rule_sets)], RULE_SCHEMA)
+
+
+def one_per_niche(rule_sets) -> list[RuleSet]:
+    """The rule sets as a list; a niche with two of them is an error."""
+    sets = list(rule_sets)
+    seen = [r.niche for r in sets]
+    repeated = sorted({n for n in seen if seen.count(n) > 1})
+    if repeated:
+        raise ValueError(f"niches with more than one rule set: {repeated}")
+    return sets
 
 
 def load_rules(spark: SparkSession, niches=None, rules_dir=None) -> DataFrame:
@@ -141,15 +146,13 @@ def with_rules(df: DataFrame, rules, columns=None) -> DataFrame:
     ``rules`` is a ``RuleSet``, a list of them, or a rules DataFrame. Rule
     sets known on the driver become literal columns (a ``CASE`` on
     ``niche`` when there are several), so there is no join at all and the
-    text side is never shuffled. A rules DataFrame is joined on ``niche``
-    with a broadcast hint; it is bounded by ``MAX_BROADCAST_RULES``.
+    text side is never shuffled. A rules DataFrame (one row per niche) is
+    joined on ``niche``.
     """
     cols = list(columns or RULE_COLUMNS)
     if isinstance(rules, DataFrame):
-        return df.join(F.broadcast(rules.select("niche", *cols)), on="niche", how="inner")
-    sets = [rules] if isinstance(rules, RuleSet) else list(rules)
-    if len(sets) > MAX_INLINE_RULES:
-        return with_rules(df, rules_frame(df.sparkSession, sets), cols)
+        return df.join(rules.select("niche", *cols), on="niche", how="inner")
+    sets = [rules] if isinstance(rules, RuleSet) else one_per_niche(rules)
     x = df.where(F.col("niche").isin([r.niche for r in sets]))
     added = {}
     for c in cols:
@@ -175,9 +178,6 @@ def rule_sets_of(rules) -> list[RuleSet]:
     """Rule sets as a list, whichever form they were given in."""
     if isinstance(rules, RuleSet):
         return [rules]
-    if isinstance(rules, DataFrame):
-        rows = rules.limit(MAX_BROADCAST_RULES + 1).collect()
-        if len(rows) > MAX_BROADCAST_RULES:
-            raise ValueError("rules table exceeds the broadcast bound")
-        return [RuleSet.from_mapping(r.asDict()) for r in rows]
+    if isinstance(rules, DataFrame):  # one row per rule file
+        return [RuleSet.from_mapping(r.asDict()) for r in rules.collect()]
     return list(rules)

@@ -2,8 +2,8 @@
 
 Files arriving in a folder are read with ``readStream`` and each
 micro-batch goes through the same ``score`` plan as a batch table
-(``foreachBatch``), so there is no streaming state: the per-document
-vector assembly is an ordinary aggregation inside one micro-batch. Each
+(``foreachBatch``); that plan is map-only, so there is no streaming state
+and nothing stays cached after a batch. Each
 epoch's output is written to its own ``epoch=<id>`` folder with
 overwrite, so a replayed epoch after a failure rewrites the same files.
 """

@@ -1,6 +1,8 @@
 """E1-E6 against hand-computed values."""
 import pytest
 
+from pyspark.sql import functions as F
+
 from claimflow.operators import evaluate as E
 
 
@@ -80,3 +82,30 @@ def test_curve_summary_equals_separate_metrics(spark, pred):
     s = E.curve_summary(pred).first()
     assert s.roc_auc == pytest.approx(E.roc_auc(pred).first().roc_auc)
     assert s.average_precision == pytest.approx(E.average_precision(pred).first().average_precision)
+
+
+def test_one_class_or_no_rows_give_nulls(spark):
+    one = spark.createDataFrame([(1, 1, 0.5), (1, 0, 0.2)], "actual int, predicted int, score double")
+    none = one.where("actual = 7")
+    for df in (one, none):
+        assert E.roc_auc(df).first()[0] is None
+        assert E.curve_summary(df).first().roc_auc is None
+        E.roc_curve(df).collect(), E.pr_curve(df).collect(), E.average_precision(df).collect()
+    s = E.report_summary(E.class_report(E.confusion_counts(none))).first()
+    assert s.macro_f1 is None and s.weighted_f1 is None
+    assert E.confusion(none).count() == 0
+
+
+def test_report_by_group_equals_report_of_each_group(spark):
+    rows = [(g, i % 3, (i * g) % 3) for g in (1, 2) for i in range(20)]
+    df = spark.createDataFrame(rows, "g int, actual int, predicted int")
+    got = {(r.g, r["class"]): (r.precision, r.recall, r.f1, r.support) for r in E.report_by(df, "g").collect()}
+    for g in (1, 2):
+        alone = E.class_report(E.confusion(df.where(F.col("g") == g))).collect()
+        assert {k[1]: v for k, v in got.items() if k[0] == g} == {r["class"]: (r.precision, r.recall, r.f1, r.support) for r in alone}
+
+
+def test_curves_do_not_depend_on_the_ranges(spark):
+    df = spark.range(0, 500).selectExpr("cast(id % 7 = 0 as int) as actual", "cast(id * 37 % 101 as double) as score")
+    a = sorted(tuple(r) for r in E.roc_curve(df, n_buckets=1).collect())
+    assert a == sorted(tuple(r) for r in E.roc_curve(df, n_buckets=13).collect()) and len(a) == 102

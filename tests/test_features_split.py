@@ -4,7 +4,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from claimflow.operators.features import add_terms, encode_labels, fit_tfidf, pack, decode_labels
+from claimflow.operators.features import add_terms, decode_labels, encode_labels, fit_tfidf, most_frequent
 from claimflow.operators.split import stratified_split, given_split
 
 
@@ -29,7 +29,7 @@ def test_unseen_terms_give_zero_vector(spark):
     train = add_terms(spark.createDataFrame([(1, "alpha beta"), (2, "alpha gamma")], "doc_id long, text_processed string"))
     m = fit_tfidf(train, min_df=1, max_df=1.0, max_features=10)
     other = add_terms(spark.createDataFrame([(9, "unknown words")], "doc_id long, text_processed string"))
-    v = pack(m.transform(other), other, m.size).first().features
+    v = m.vectors(other).first().features
     assert v.size == m.size and v.numNonzeros() == 0
 
 
@@ -87,23 +87,66 @@ def test_tfidf_same_for_one_and_many_partitions(spark):
     assert a == b and len(a) > 1000
 
 
-def test_vocabulary_broadcast_and_single_udf(spark):
+class Dummy:
+    """A model stand-in for plan checks."""
+    def transform(self, df):
+        return df.withColumn("prediction", F.when(F.col("features").isNotNull(), 0.0)).withColumn(
+            "probability", F.lit(None).cast("string"))
+
+
+def test_scoring_and_weights_move_no_rows(spark):
     from conftest import SF001
     from claimflow.operators.score import Scorer, score
     from claimflow.plans.catalog import _preprocessed
     pre = add_terms(_preprocessed(spark, SF001))
     m = fit_tfidf(pre, min_df=2, max_features=500)
-    plan = m.transform(pre)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
-
-    class Dummy:  # a model stand-in: the plan is only inspected
-        def transform(self, df):
-            return df.withColumn("prediction", F.when(F.col("features").isNotNull(), 0.0)).withColumn(
-                "probability", F.lit(None).cast("string"))
     docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text")
-    out = score(docs, Scorer(m, Dummy(), ["a", "b"], has_probability=False), "doc_id")
+    out = score(docs, Scorer(m, Dummy(), ["a", "b"], has_probability=False))
     p = out._jdf.queryExecution().executedPlan().toString()
     assert p.count("ArrowEvalPython") == 1 and "BatchEvalPython" not in p
+    assert "Exchange" not in p and "Join" not in p and "InMemoryTableScan" not in p
+    assert "Exchange" not in m.transform(add_terms(docs.withColumnRenamed("text", "text_processed")))._jdf.queryExecution().executedPlan().toString()
+
+
+def test_repeated_and_null_keys_are_vectorised_alone(spark):
+    train = add_terms(spark.createDataFrame([(1, "apple banana"), (2, "cherry date")], "doc_id long, text_processed string"))
+    m = fit_tfidf(train, min_df=1, max_df=1.0)
+    rows = add_terms(spark.createDataFrame([(1, "apple banana"), (1, "cherry date"), (None, "apple")], "doc_id long, text_processed string"))
+    got = m.vectors(rows).collect()
+    names = [m.terms[i] for i in got[0].features.indices], [m.terms[i] for i in got[1].features.indices]
+    assert names == (["apple", "apple banana", "banana"], ["cherry", "cherry date", "date"])
+    assert [m.terms[i] for i in got[2].features.indices] == ["apple"]
+
+
+def test_most_frequent_cuts_ties_by_term(spark):
+    import random
+    rng = random.Random(5)
+    rows = [(f"t{i:04d}", 1, int(1.3 ** rng.randint(0, 30)) + 1) for i in range(2000)]
+    df = spark.createDataFrame(rows, "term string, df long, cf long").repartition(7)
+    for n in (1, 10, 333, 1999, 2000, 5000):
+        want = sorted(rows, key=lambda r: (-r[2], r[0]))[:n]
+        assert sorted(r.term for r in most_frequent(df, n).collect()) == sorted(r[0] for r in want), n
+
+
+def test_int_labels_and_unlisted_ones(spark):
+    df = spark.createDataFrame([(1,), (0,), (None,), (10,)], "label int")
+    enc, classes = encode_labels(df)
+    assert classes == [0, 1, 10] and [r.label_idx for r in enc.collect()] == [1.0, 0.0, None, 2.0]
+    assert encode_labels(df, classes=[0, 1])[0].collect()[3].label_idx is None
+
+
+def test_split_keeps_null_strata_and_many_buckets(spark):
+    ids = spark.range(0, 200).select(F.col("id").alias("k"), F.when(F.col("id") % 5 != 0, F.col("id") % 2).alias("label"))
+    for digits in (None, 1, 3):
+        rows = stratified_split(ids, "label", "k", hex_digits=digits).collect()
+        assert len(rows) == 200 and sum(r.label is None and r.split == "train" for r in rows) == 28
+
+
+def test_stop_list_reaches_training_terms(spark):
+    from claimflow.plans.train import TrainConfig
+    d = spark.createDataFrame([(1, "alpha beta alpha")], "doc_id long, text_processed string")
+    cfg = TrainConfig(stop_words=("beta",))
+    assert add_terms(d, stop_words=cfg.stop_words).first().terms == ["alpha", "alpha", "alpha alpha"]
 
 
 def test_unbounded_vocabulary_index_is_alphabetical(spark):

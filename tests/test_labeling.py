@@ -1,4 +1,4 @@
-"""L1-L10 on the reference test cases and the synthetic test rules."""
+"""L1-L10 on hand-written cases."""
 import pytest
 from pyspark.sql import functions as F
 
@@ -6,9 +6,9 @@ from claimflow.operators import labeling as L
 from claimflow.sources.rules import RuleSet, available_niches, list_niches, load_rule_set
 
 RULES = RuleSet.from_mapping({
-    "niche": "test_niche", "positive_label": "claim", "negative_label": "scientific",
-    "positive_phrases": ["hoax", "scam", "fake"], "negative_phrases": ["evidence", "study", "research"],
-    "positive_domains": ["example-denial.com"], "negative_domains": ["example-science.com"],
+    "niche": "test_niche", "positive_label": "rumour", "negative_label": "report",
+    "positive_phrases": ["they say", "leaked", "insider"], "negative_phrases": ["measured", "survey", "table shows"],
+    "positive_domains": ["whispers.test"], "negative_domains": ["bureau.test"],
 })
 
 
@@ -18,21 +18,20 @@ def _label(spark, rows):
     return L.label_dataset(df, [RULES], key="k", date="2024-01-01").orderBy("k").collect()
 
 
-def test_reference_label_cases(spark):
+def test_label_cases(spark):
     out = _label(spark, [
-        ("This is a hoax and a scam!", "example.com", "unknown"),
-        ("This study provides evidence from research.", "example.com", "unknown"),
-        ("Some random text without keywords", "example-denial.com", "positive"),
-        ("This hoax is evidence of a scam in the study.", "example.com", "unknown"),
-        ("This is just some random text with no keywords.", "unknown.com", "unknown"),
-        ("THIS IS A HOAX AND A SCAM!", "example.com", "unknown"),
-        (None, "example.com", "negative"),
+        ("A leaked memo, they say.", "news.test", "unknown"),            # positive phrases
+        ("We measured it; the survey agrees.", "news.test", "unknown"),  # negative phrases
+        ("Plain words only", "whispers.test", "positive"),               # domain
+        ("They say the survey was leaked and measured.", "news.test", "unknown"),  # conflict
+        ("Nothing to see", "news.test", "unknown"),                      # none
+        ("A LEAKED MEMO, THEY SAY.", "news.test", "unknown"),            # case
+        (None, "news.test", "negative"),                                 # null text
     ])
-    assert [r.label for r in out] == ["claim", "scientific", "claim", "unlabeled", "unlabeled",
-                                      "claim", "scientific"]
+    assert [r.label for r in out] == ["rumour", "report", "rumour", "unlabeled", "unlabeled", "rumour", "report"]
     assert out[4].heuristics == ["no_heuristics_match"]
-    assert out[0].heuristics == ["positive_phrases:hoax,scam"]
-    assert out[2].heuristics == ["positive_domain:example-denial.com"]
+    assert out[0].heuristics == ["positive_phrases:they say,leaked"]
+    assert out[2].heuristics == ["positive_domain:whispers.test"]
     assert out[0].id == "test_niche_0" and str(out[0].date) == "2024-01-01"
 
 
@@ -52,7 +51,7 @@ def test_evidence_order_and_conflict(spark):
 
 
 def test_stats_two_rows(spark):
-    df = spark.createDataFrame([(0, "hoax", "x", "unknown", "test_niche"), (1, "study", "y", "unknown", "test_niche")],
+    df = spark.createDataFrame([(0, "leaked", "x", "unknown", "test_niche"), (1, "survey", "y", "unknown", "test_niche")],
                                "k int, text string, source string, domain_type string, niche string")
     s = L.labeling_stats(L.score_rules(df, [RULES])).first()
     assert s.total_samples == 2 and s.positive_labeled == 1 and s.negative_labeled == 1
@@ -90,11 +89,11 @@ def test_quality_report_percent_and_zero_total(spark):
     rows = L.quality_report(df, [RULES]).orderBy("total_samples").collect()
     assert rows[0].positive_labeled_pct is None
     assert rows[1].positive_labeled_pct == 33.3 and rows[1].domain_matches_pct == 66.7
-    assert rows[1].positive_phrases_head == "hoax, scam, fake"
+    assert rows[1].positive_phrases_head == "they say, leaked, insider"
 
 
 def test_min_sample_gate(spark):
-    df = spark.createDataFrame([("test_niche", "claim", "claim", "scientific")] * 3,
+    df = spark.createDataFrame([("test_niche", "rumour", "rumour", "report")] * 3,
                                "niche string, label string, positive_label string, negative_label string")
     g = L.min_sample_gate(df, [RULES]).first()
     assert g.positive_count == 3 and g.negative_count == 0 and not g.passed
@@ -106,10 +105,10 @@ def test_verdicts_and_niche_binary(spark):
     df = spark.createDataFrame([("true",), ("pants-fire",), ("half-true",), ("other",)], "label string")
     got = sorted((r.label, r.label_binary) for r in L.verdict_to_binary(df).collect())
     assert got == [("half-true", 0), ("pants-fire", 1), ("true", 0)]
-    df2 = spark.createDataFrame([("test_niche", "claim"), ("test_niche", "scientific"), ("test_niche", "unlabeled")],
+    df2 = spark.createDataFrame([("test_niche", "rumour"), ("test_niche", "report"), ("test_niche", "unlabeled")],
                                 "niche string, label string")
     got2 = sorted((r.label, r.label_binary) for r in L.niche_label_to_binary(df2, [RULES]).collect())
-    assert got2 == [("claim", 1), ("scientific", 0)]
+    assert got2 == [("report", 0), ("rumour", 1)]
 
 
 def test_rule_sets_load_and_list(spark):
@@ -135,12 +134,10 @@ def test_rules_are_not_joined(spark):
 
 def test_no_nested_loop_or_cartesian_joins(spark):
     """Plans of the SQL-checked queries use only equi-joins (or none)."""
-    from __spark_entry__ import oracle_sql, queries
     from conftest import SF001
-    qs = queries()
-    for name in oracle_sql():
-        if name in ("csv_round_trip",):
-            continue
+    from claimflow.plans.catalog import QUERIES as qs
+    from claimflow.plans.oracle import ORACLE
+    for name in ORACLE:
         plan = qs[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan, name
 
@@ -156,3 +153,17 @@ def test_domain_match_modes(spark):
     host = {r.k: r.pos_domain for r in L.score_rules(df, [rules], match="host_suffix").collect()}
     assert sub == {0: True, 1: True, 2: True}
     assert host == {0: False, 1: True, 2: True}
+
+
+def test_one_rule_set_per_niche(spark):
+    with pytest.raises(ValueError, match="more than one rule set"):
+        L.score_rules(
+            spark.createDataFrame([("t", "s", "unknown", "test_niche")], "text string, source string, domain_type string, niche string"), [RULES, RULES])
+
+
+def test_rules_table_gives_the_same_labels(spark):
+    from claimflow.sources.rules import rules_frame
+    df = spark.createDataFrame([(0, "leaked", "whispers.test", "unknown", "test_niche"), (1, "survey", None, "unknown", "other")],
+                               "k int, text string, source string, domain_type string, niche string")
+    a = [(r.k, r.label, r.heuristics) for r in L.score_rules(df, [RULES]).collect()]
+    assert a == [(r.k, r.label, r.heuristics) for r in L.score_rules(df, rules_frame(spark, [RULES])).collect()]

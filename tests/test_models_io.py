@@ -203,7 +203,7 @@ def test_train_with_penalized_intercept(spark):
 def test_evaluate_and_collect_summary(spark, trained, tmp_dir):
     from claimflow.plans.evaluate_niche import evaluate_niche, write_niche_summary
     labeled = spark.createDataFrame([(i, t, l) for i, (t, l) in enumerate(TEXTS)], "k long, text string, label string")
-    tables = evaluate_niche(trained, labeled, "k", model="logistic_regression")
+    tables = evaluate_niche(trained, "k", model="logistic_regression")
     n_test = trained.data.where("split = 'test'").count()
     assert tables["predictions"].count() == n_test and "roc_auc" in tables
     write_niche_summary(tables, labeled, f"{tmp_dir}/s", "climate_claims", "claim", "scientific")
