@@ -127,21 +127,23 @@ def page_text(spark, sf_dir):
 
 @query("article_urls")
 def article_urls(spark, sf_dir):
-    """Article links per domain (first 100 by appearance)."""
-    return P.find_article_urls(read_table(spark, sf_dir, "pages"), max_urls=100)
+    """Article links per domain, first ``max_per_source`` of the niche."""
+    return P.find_article_urls(read_table(spark, sf_dir, "pages"), max_urls=I.page_rule_set().max_per_source)
 
 
 @query("feed_entries")
 def feed_entries(spark, sf_dir):
     """P7 over documents read as feed entries (feed = source, in doc_id
-    order). The table has no publication time, so every entry is undated
-    and kept by the age test; the per-feed cap and summary cut apply."""
+    order). Publication times follow from doc_id: a seventh have none, the
+    others lie 0 to 729 days back, some on the cutoff to the second."""
     d = read_table(spark, sf_dir, "documents")
+    as_of = "2024-06-01 00:00:00"
+    age = F.when(F.col("doc_id") % 5 == 0, 365).otherwise((F.col("doc_id") * 37) % 730).cast("int")
     entries = d.select(F.col("source").alias("feed"), F.col("doc_id").alias("entry_pos"),
                        F.concat(F.lit("doc:"), F.col("doc_id").cast("string")).alias("link"),
-                       F.lit(None).cast("timestamp").alias("published"),
+                       F.when(F.col("doc_id") % 7 != 0, F.to_timestamp(F.lit(as_of)) - F.make_interval(days=age)).alias("published"),
                        F.col("text").alias("summary"))
-    return P.recent_feed_entries(entries, as_of="2024-06-01 00:00:00", max_articles=100)
+    return P.recent_feed_entries(entries, as_of=as_of, max_articles=30)
 
 
 @query("page_domain_tags")
@@ -230,8 +232,10 @@ def _preprocessed(spark, sf_dir):
 
 
 def _fitted(spark, sf_dir):
+    """The documents' terms, written once for the fit and the transform."""
     from claimflow.operators.features import add_terms, fit_tfidf
-    docs = add_terms(_preprocessed(spark, sf_dir))
+    from claimflow.session import write_stage
+    docs = write_stage(add_terms(_preprocessed(spark, sf_dir)).select("doc_id", "terms"), "terms")
     return docs, fit_tfidf(docs, min_df=3, max_df=0.95, max_features=10_000)
 
 
@@ -283,20 +287,19 @@ def eval_confusion(spark, sf_dir):
 @query("eval_class_report")
 def eval_class_report(spark, sf_dir):
     """E2 per class."""
-    from claimflow.operators.evaluate import class_report, confusion
-    r = class_report(confusion(_rule_predictions(spark, sf_dir)))
+    from claimflow.operators.evaluate import class_report, confusion_counts
+    r = class_report(confusion_counts(_rule_predictions(spark, sf_dir)))
     return r.select("class", *_r6(["precision", "recall", "f1"]), "support")
 
 
 @query("eval_summary")
 def eval_summary(spark, sf_dir):
     """E2 averages, E4 AUC and E6 average precision as (metric, value) rows."""
-    from pyspark import StorageLevel
-
     from claimflow.operators import evaluate as E
+    from claimflow.session import write_stage
     # Read by the report, the AUC and the AP jobs: label once.
-    pred = _rule_predictions(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
-    parts = [E.report_summary(E.class_report(E.confusion(pred))), E.curve_summary(pred, positive=1)]
+    pred = write_stage(_rule_predictions(spark, sf_dir), "predictions")
+    parts = [E.report_summary(E.class_report(E.confusion_counts(pred))), E.curve_summary(pred, positive=1)]
     longs = [p.unpivot([], p.columns, "metric", "value") for p in parts]
     out = longs[0]
     for x in longs[1:]:
@@ -335,12 +338,14 @@ _TRAINED: dict = {}
 
 def trained_quality_model(spark, sf_dir):
     """M9: both models trained on documents x labels (quality target);
-    memoised per input folder within the session."""
+    remembered per application and input files, so a changed folder or a new
+    session trains anew."""
     from claimflow.plans.train import TrainConfig, train_classifier
-    k = (id(spark), sf_dir)
+    labeled = labeled_documents(spark, sf_dir).select("doc_id", "text", "label")
+    k = (spark.sparkContext.applicationId, *sorted(labeled.inputFiles()))
     if k not in _TRAINED:
-        d = labeled_documents(spark, sf_dir).select("doc_id", "text", "label")
-        _TRAINED[k] = train_classifier(d, "doc_id", cfg=TrainConfig(min_df=2, max_features=10_000))
+        _TRAINED.clear()
+        _TRAINED[k] = train_classifier(labeled, "doc_id", cfg=TrainConfig(min_df=2, max_features=10_000))
     return _TRAINED[k]
 
 
@@ -374,10 +379,9 @@ def test_evaluation(spark, sf_dir):
     from claimflow.operators import evaluate as E
     from claimflow.plans.evaluate_niche import test_predictions
     r = trained_quality_model(spark, sf_dir)
-    labeled = labeled_documents(spark, sf_dir).select("doc_id", "text", "label")
-    p = test_predictions(r, labeled, "doc_id", model="logistic_regression")
+    p = test_predictions(r, "doc_id", model="logistic_regression")
     positive = str(r.classes[-1])
-    parts = [E.accuracy(p).drop("n"), E.report_summary(E.class_report(E.confusion(p))),
+    parts = [E.accuracy(p).drop("n"), E.report_summary(E.class_report(E.confusion_counts(p))),
              E.curve_summary(p, positive=positive)]
     out = None
     for x in parts:
@@ -449,13 +453,13 @@ def split_features(spark, sf_dir):
     from claimflow.operators.features import add_terms, fit_tfidf
     from claimflow.operators.split import stratified_split
     from claimflow.plans.train import preprocess
+    from claimflow.session import write_stage
     d = labeled_documents(spark, sf_dir).select("doc_id", "text", "label")
-    x = stratified_split(preprocess(d), "label", key="doc_id", seed=42)
-    x = add_terms(x.select("doc_id", "split", "text_processed"))
-    vec = fit_tfidf(x.where(F.col("split") == "train").select("doc_id", "terms"),
-                    min_df=2, max_df=0.95, max_features=10_000)
-    w = vec.transform(x.select("doc_id", "terms"))
-    return (w.join(x.select("doc_id", "split"), "doc_id")
+    pre = write_stage(preprocess(d).select("doc_id", "label", "text_processed"), "cleaned")
+    x = add_terms(stratified_split(pre, "label", key="doc_id", seed=42))
+    x = write_stage(x.select("doc_id", "split", "terms"), "split-terms")
+    vec = fit_tfidf(x.where(F.col("split") == "train"), min_df=2, max_df=0.95, max_features=10_000)
+    return (vec.transform(x)
             .select("doc_id", "split", "term", "idx", F.round("weight", 6).alias("weight")))
 
 
@@ -490,7 +494,7 @@ def niche_results(spark, sf_dir):
     from claimflow.sources.io import collect_results
     r = trained_quality_model(spark, sf_dir)
     labeled = labeled_documents(spark, sf_dir).select("doc_id", "text", "label")
-    tables = evaluate_niche(r, labeled, "doc_id", model="logistic_regression")
+    tables = evaluate_niche(r, "doc_id", model="logistic_regression")
     path = scratch_path(spark, f"summaries-{uuid.uuid4().hex}")
     write_niche_summary(tables, labeled, path, "document_quality", positive_label="1", negative_label="0")
     return collect_results(spark, f"{path}/*/*.txt")
@@ -509,3 +513,176 @@ def collected_page_labels(spark, sf_dir):
     return (labeled.groupBy("niche", "domain_type", "label")
             .agg(F.count(F.lit(1)).alias("rows"), F.sum("positive_score").alias("positive_score_sum"),
                  F.sum("negative_score").alias("negative_score_sum")))
+
+
+# ----------------------------- operators on derived tables -------------------
+# The steps around files, fits and scores, on inputs that follow from the given
+# tables by plain expressions, so that SQL can state the whole result.
+
+VERDICTS = ("true", "mostly-true", "half-true", "barely-true", "false", "pants-fire", "unknown")
+
+
+def _verdict(key) -> F.Column:
+    return F.element_at(F.array(*[F.lit(v) for v in VERDICTS]), (F.col(key) % len(VERDICTS) + 1).cast("int"))
+
+
+def _three_way(key) -> F.Column:
+    return F.element_at(F.array(F.lit("train"), F.lit("valid"), F.lit("test")), (F.col(key) % 3 + 1).cast("int"))
+
+
+def _scratch(spark, name: str) -> str:
+    import uuid
+
+    from claimflow.session import scratch_path
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+@query("statement_round_trip")
+def statement_round_trip(spark, sf_dir):
+    """Documents as statements (verdict and split by doc_id), written as
+    the three headerless TSV files and read back with their split."""
+    from claimflow.sources.io import STATEMENT_SCHEMA, read_statements, write_statements
+    d = read_table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("id"), _verdict("doc_id").alias("label"), clean_text("text").alias("statement"),
+        F.col("lang").alias("subject"), F.col("source").alias("speaker"), F.col("n_chars").cast("double").alias("false_count"),
+        _three_way("doc_id").alias("split"))
+    full = d.select("split", *[F.col(f.name) if f.name in d.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                               for f in STATEMENT_SCHEMA.fields])
+    path = _scratch(spark, "statements")
+    write_statements(full, path)
+    return read_statements(spark, path).select("id", "label", "statement", "subject", "speaker", "job_title", "false_count", "split")
+
+
+@query("verdict_binary")
+def verdict_binary(spark, sf_dir):
+    """Six verdicts to 1/0; unmapped ones dropped."""
+    d = read_table(spark, sf_dir, "documents").select("doc_id", _verdict("doc_id").alias("label"))
+    return L.verdict_to_binary(d)
+
+
+@query("given_split")
+def given_split_q(spark, sf_dir):
+    """M3: a provided split kept, ``valid`` named ``validation``."""
+    from claimflow.operators.split import given_split
+    return given_split(read_table(spark, sf_dir, "documents").select("doc_id", _three_way("doc_id").alias("split")))
+
+
+@query("drop_null_rows")
+def drop_null_rows(spark, sf_dir):
+    """Rows with a null in a chosen column go."""
+    from claimflow.functions.text import drop_nulls
+    d = read_table(spark, sf_dir, "documents").select(
+        "doc_id", F.when(F.col("doc_id") % 5 != 0, F.col("source")).alias("source"),
+        F.when(F.col("doc_id") % 3 != 0, F.col("lang")).alias("lang"))
+    return drop_nulls(d, "source")
+
+
+@query("label_codes")
+def label_codes(spark, sf_dir):
+    """alphabetical codes of a label and back."""
+    from claimflow.operators.features import decode_labels, encode_labels
+    d = read_table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("label"))
+    coded, classes = encode_labels(d, "label", "code")
+    return decode_labels(coded, classes, "code", "decoded")
+
+
+@query("fold_stats")
+def fold_stats(spark, sf_dir):
+    """Mean and population deviation of fold scores per model."""
+    from claimflow.operators.aggregates import fold_score_stats
+    scores = (read_table(spark, sf_dir, "documents").groupBy(F.col("source").alias("model"), (F.col("doc_id") % 5).alias("fold"))
+              .agg((F.avg(F.col("n_chars") % 1000) / 1000).alias("f1")))
+    return fold_score_stats(scores).select("model", *_r6(["cv_mean", "cv_std"]))
+
+
+@query("model_selection")
+def model_selection(spark, sf_dir):
+    """M8 per niche (here the language): best CV mean, ties to the first."""
+    from claimflow.plans.train import best_models
+    models = (read_table(spark, sf_dir, "documents")
+              .groupBy(F.col("lang").alias("niche"), (F.col("doc_id") % 4).cast("int").alias("model_order"))
+              .agg((F.floor(F.avg(F.col("n_chars") % 100) / 10) / 10).cast("double").alias("cv_mean"))
+              .withColumn("model", F.concat(F.lit("m"), F.col("model_order").cast("string"))))
+    return best_models(models, ("niche",))
+
+
+@query("top_terms_given")
+def top_terms_given(spark, sf_dir):
+    """A5/E7 on given coefficients: 20 largest and smallest, ties by term."""
+    from claimflow.operators.aggregates import top_terms
+    _, model = _fitted(spark, sf_dir)
+    coefs = model.vocab.select("term", (((F.col("cf") * 31 + F.col("df") * 17) % 1001 - 500) / 500).alias("coef"))
+    return top_terms(coefs, n=20).select("side", "rank", "term", F.round("coef", 6).alias("coef"))
+
+
+@query("features_store")
+def features_store(spark, sf_dir):
+    """Long-form features written by split and read back."""
+    from claimflow.sources.io import read_features, write_features
+    path = _scratch(spark, "features")
+    write_features(split_features(spark, sf_dir), path)
+    return (read_features(spark, path).groupBy("split")
+            .agg(F.count(F.lit(1)).alias("n"), F.countDistinct("term").alias("terms"), F.round(F.sum("weight"), 3).alias("weight")))
+
+
+@query("results_table")
+def results_table(spark, sf_dir):
+    """One summary document per language, collected into the table."""
+    from claimflow.sources.io import collect_results
+    x = labeled_documents(spark, sf_dir).groupBy("lang").agg(
+        F.count_if(F.col("label") == 1).alias("good"), F.count_if(F.col("label") == 0).alias("bad"),
+        F.round(F.avg(F.col("n_chars") % 100) / 100, 6).alias("f1"))
+    doc = F.to_json(F.struct(
+        F.col("lang").alias("niche"), F.create_map(F.lit("bad"), "bad", F.lit("good"), "good").alias("samples_per_class"),
+        F.col("f1").alias("test_macro_f1"), F.lit(0.5).alias("test_accuracy"),
+        F.lit("good").alias("positive_label"), F.lit("bad").alias("negative_label")))
+    path = _scratch(spark, "summaries")
+    x.select(doc.alias("v"), "lang").write.partitionBy("lang").text(path)
+    return collect_results(spark, f"{path}/*/*.txt")
+
+
+@query("score_empty_texts")
+def score_empty_texts(spark, sf_dir):
+    """Texts that clean to nothing get ``Unknown``, confidence 0 and even
+    probabilities; all other rows are scored."""
+    from claimflow.operators.score import score, with_class_columns
+    sc = _scorer(spark, sf_dir)
+    d = read_table(spark, sf_dir, "documents").select(
+        "doc_id", F.when(F.col("doc_id") % 10 == 0, F.lit("!!! ??")).when(F.col("doc_id") % 10 == 1, F.lit(None))
+        .otherwise(F.col("text")).alias("text"))
+    x = with_class_columns(score(d, sc), sc.classes)
+    empty = F.col("error").isNotNull()
+    return x.select("doc_id", F.when(empty, F.col("prediction")).alias("prediction"), F.when(empty, F.col("confidence")).alias("confidence"),
+                    *[F.when(empty, F.col(f"prob_{c}")).alias(f"prob_{c}") for c in sc.classes], "error")
+
+
+@query("eval_report_by_language")
+def eval_report_by_language(spark, sf_dir):
+    """The per-class report of every group."""
+    from claimflow.operators.evaluate import report_by
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "lang")
+    r = report_by(_rule_predictions(spark, sf_dir).join(d, "doc_id"), "lang")
+    return r.select("lang", "class", *_r6(["precision", "recall", "f1"]), "support")
+
+
+def _length_predictions(spark, sf_dir) -> DataFrame:
+    """Text length as a score of the toxic label: nearly as many distinct
+    scores as rows."""
+    d = read_table(spark, sf_dir, "documents").select("doc_id", F.col("n_chars").cast("double").alias("score"))
+    return d.join(read_table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("actual")), "doc_id")
+
+
+@query("eval_length_roc_curve")
+def eval_length_roc_curve(spark, sf_dir):
+    """E4 over many distinct scores, in score ranges of 100 rows."""
+    from claimflow.operators.evaluate import roc_curve, score_table
+    p = _length_predictions(spark, sf_dir)
+    n_ranges = max(2, score_table(p, 1).count() // 100)
+    return roc_curve(p, positive=1, n_buckets=n_ranges).select("threshold", *_r6(["fpr", "tpr"]))
+
+
+@query("eval_length_summary")
+def eval_length_summary(spark, sf_dir):
+    """E4 and E6 over many distinct scores."""
+    from claimflow.operators.evaluate import curve_summary
+    return curve_summary(_length_predictions(spark, sf_dir), positive=1).select(*_r6(["roc_auc", "average_precision"]))

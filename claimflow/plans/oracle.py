@@ -10,7 +10,10 @@ from __future__ import annotations
 from claimflow.functions.text import (
     clean_text_sql, html_title_sql, html_to_text_sql, q, tokenize_sql, url_authority_sql,
 )
-from claimflow.operators.pages import HREF_PATTERN, HOST_PATTERN, SCHEME_PATTERN, SKIP_URL_PATTERN
+from claimflow.functions.text import decode_entities_sql
+from claimflow.operators.pages import (
+    HOST_PATTERN, HREF_PATTERN, HREF_QUOTES, NO_LINKS_PATTERN, SCHEME_PATTERN, SKIP_URL_PATTERN,
+)
 from claimflow.plans import inputs as I
 
 ORACLE: dict[str, str] = {}
@@ -129,10 +132,11 @@ def _build():
     o["page_text"] = (
         f"SELECT page_id, title, text, source, length(text) > 50 AS success, "
         f"CASE WHEN NOT (length(text) > 50) THEN 'No content found' END AS error FROM ({page_text_sql()})")
-    links = (f"SELECT page_id, {url_authority_sql('url')} AS domain, "
-             f"unnest(regexp_extract_all(coalesce(html, ''), {q(HREF_PATTERN)}, 1)) AS href, "
-             f"unnest(generate_series(0, len(regexp_extract_all(coalesce(html, ''), {q(HREF_PATTERN)}, 1)) - 1)) AS pos "
-             f"FROM pages")
+    markup = f"regexp_replace(coalesce(html, ''), {q(NO_LINKS_PATTERN)}, '', 'g')"
+    raw = (f"SELECT page_id, domain, unnest(h) AS raw, unnest(generate_series(0, len(h) - 1)) AS pos FROM ("
+           f"SELECT page_id, {url_authority_sql('url')} AS domain, regexp_extract_all({markup}, {q(HREF_PATTERN)}, 1) AS h FROM pages)")
+    bare = f"SELECT page_id, domain, pos, regexp_replace(raw, {q(HREF_QUOTES)}, '', 'g') AS bare FROM ({raw})"
+    links = f"SELECT page_id, domain, pos, trim({decode_entities_sql('bare')}) AS href FROM ({bare})"
     resolved = (f"SELECT page_id, domain, pos, CASE WHEN regexp_matches(href, {q(SCHEME_PATTERN)}) THEN href "
                 f"WHEN starts_with(href, '//') THEN 'https:' || href "
                 f"WHEN starts_with(href, '/') OR starts_with(href, '?') OR starts_with(href, '#') THEN 'https://' || domain || href "
@@ -144,12 +148,14 @@ def _build():
              f"FROM ({kept}) GROUP BY domain, url")
     o["article_urls"] = (
         f"SELECT * FROM (SELECT domain, url, page_id, CAST(pos AS INTEGER) AS pos, "
-        f"CAST(row_number() OVER (PARTITION BY domain ORDER BY page_id, pos, url) AS INTEGER) AS rank FROM ({first})) WHERE rank <= 100")
+        f"CAST(row_number() OVER (PARTITION BY domain ORDER BY page_id, pos, url) AS INTEGER) AS rank FROM ({first})) WHERE rank <= {I.page_rule_set().max_per_source}")
     o["feed_entries"] = (
         "SELECT feed, entry_pos, link, published, summary FROM (SELECT source AS feed, doc_id AS entry_pos, "
-        "'doc:' || CAST(doc_id AS VARCHAR) AS link, CAST(NULL AS TIMESTAMP) AS published, "
+        "'doc:' || CAST(doc_id AS VARCHAR) AS link, CASE WHEN doc_id % 7 <> 0 THEN TIMESTAMP '2024-06-01 00:00:00' - "
+        "to_days(CAST(CASE WHEN doc_id % 5 = 0 THEN 365 ELSE (doc_id * 37) % 730 END AS INTEGER)) END AS published, "
         "substring(coalesce(text, ''), 1, 200) AS summary, "
-        "row_number() OVER (PARTITION BY source ORDER BY doc_id) AS n FROM documents) WHERE n <= 100")
+        "row_number() OVER (PARTITION BY source ORDER BY doc_id) AS n FROM documents) "
+        "WHERE n <= 30 AND (published IS NULL OR published >= TIMESTAMP '2023-06-02 00:00:00')")
     o["page_domain_tags"] = _tags_sql([I.page_rule_set(), I.doc_rule_set()], success_only=False)
     o["length_gate"] = (
         f"SELECT doc_id, CAST(length(text) AS INTEGER) AS n FROM documents "
@@ -357,3 +363,68 @@ def collected_page_labels_sql() -> str:
 
 
 ORACLE["collected_page_labels"] = collected_page_labels_sql()
+
+
+# ----------------------------- operators on derived tables -------------------
+
+_VERDICT = "['true', 'mostly-true', 'half-true', 'barely-true', 'false', 'pants-fire', 'unknown'][doc_id % 7 + 1]"
+_SPLIT = "['train', 'valid', 'test'][doc_id % 3 + 1]"
+
+
+def length_curve_sql() -> str:
+    st = ("SELECT CAST(n_chars AS DOUBLE) AS score, count(*) FILTER (WHERE toxic = 1) AS pos_n, count(*) FILTER (WHERE toxic <> 1) AS neg_n "
+          "FROM documents JOIN labels USING (doc_id) WHERE n_chars IS NOT NULL GROUP BY n_chars")
+    return (f"SELECT *, sum(pos_n) OVER (ORDER BY score DESC) AS cp, sum(neg_n) OVER (ORDER BY score DESC) AS cn, "
+            f"sum(pos_n) OVER () AS P, sum(neg_n) OVER () AS N FROM ({st})")
+
+
+ORACLE["statement_round_trip"] = (
+    f"SELECT CAST(doc_id AS VARCHAR) AS id, {_VERDICT} AS label, nullif({clean_text_sql('text')}, '') AS statement, lang AS subject, "
+    f"source AS speaker, CAST(NULL AS VARCHAR) AS job_title, CAST(n_chars AS DOUBLE) AS false_count, {_SPLIT} AS split FROM documents")
+ORACLE["verdict_binary"] = (
+    f"SELECT * FROM (SELECT doc_id, {_VERDICT} AS label, CAST(CASE WHEN doc_id % 7 < 3 THEN 0 WHEN doc_id % 7 < 6 THEN 1 END AS INTEGER) "
+    f"AS label_binary FROM documents) WHERE label_binary IS NOT NULL")
+ORACLE["given_split"] = "SELECT doc_id, ['train', 'validation', 'test'][doc_id % 3 + 1] AS split FROM documents"
+ORACLE["drop_null_rows"] = ("SELECT doc_id, source, CASE WHEN doc_id % 3 <> 0 THEN lang END AS lang FROM documents "
+                            "WHERE doc_id % 5 <> 0 AND source IS NOT NULL")
+ORACLE["label_codes"] = ("SELECT doc_id, lang AS label, CAST(CASE WHEN lang IS NOT NULL THEN dense_rank() OVER (ORDER BY lang NULLS LAST) - 1 END AS DOUBLE) "
+                         "AS code, lang AS decoded FROM documents")
+ORACLE["fold_stats"] = (
+    "SELECT model, round(avg(f1), 6) AS cv_mean, round(stddev_pop(f1), 6) AS cv_std FROM (SELECT source AS model, doc_id % 5 AS fold, "
+    "avg(n_chars % 1000) / 1000 AS f1 FROM documents GROUP BY 1, 2) GROUP BY model")
+ORACLE["model_selection"] = (
+    "SELECT niche, model, cv_mean FROM (SELECT *, row_number() OVER (PARTITION BY niche ORDER BY cv_mean DESC, k) AS r FROM ("
+    "SELECT lang AS niche, doc_id % 4 AS k, 'm' || CAST(doc_id % 4 AS VARCHAR) AS model, floor(avg(n_chars % 100) / 10) / 10 AS cv_mean "
+    "FROM documents GROUP BY lang, doc_id % 4)) WHERE r = 1")
+_COEFS = f"WITH {tfidf_ctes()}, c AS (SELECT term, CAST((cf * 31 + df * 17) % 1001 - 500 AS DOUBLE) / 500 AS coef FROM vocab)"
+ORACLE["top_terms_given"] = (
+    f"{_COEFS} SELECT side, CAST(row_number() OVER (PARTITION BY side ORDER BY abs(coef) DESC, term) AS INTEGER) AS rank, term, round(coef, 6) AS coef "
+    f"FROM ((SELECT 'class_1' AS side, term, coef FROM c ORDER BY coef DESC, term LIMIT 20) "
+    f"UNION ALL (SELECT 'class_0', term, coef FROM c ORDER BY coef, term LIMIT 20))")
+ORACLE["features_store"] = (f"SELECT split, count(*) AS n, count(DISTINCT term) AS terms, round(sum(weight), 3) AS weight "
+                            f"FROM ({split_features_sql()}) GROUP BY split")
+_SUMMARY = ("SELECT lang AS niche, round(avg(n_chars % 100) / 100, 6) AS macro_f1, CAST(0.5 AS DOUBLE) AS accuracy, "
+            "count(*) FILTER (WHERE quality = 1) AS positive, count(*) FILTER (WHERE quality = 0) AS negative "
+            "FROM documents JOIN labels USING (doc_id) GROUP BY lang")
+ORACLE["results_table"] = (
+    f"SELECT niche, macro_f1, accuracy, positive, negative, positive + negative AS total FROM ({_SUMMARY}) UNION ALL "
+    f"SELECT 'TOTAL', NULL, NULL, CAST(sum(positive) AS BIGINT), CAST(sum(negative) AS BIGINT), CAST(sum(positive + negative) AS BIGINT) FROM ({_SUMMARY})")
+_EMPTY = (f"CASE doc_id % 10 WHEN 0 THEN true WHEN 1 THEN true ELSE len({tokenize_sql(clean_text_sql('text'))}) = 0 END")
+ORACLE["score_empty_texts"] = (
+    f"SELECT doc_id, CASE WHEN e THEN 'Unknown' END AS prediction, CASE WHEN e THEN CAST(0 AS DOUBLE) END AS confidence, "
+    f"CASE WHEN e THEN CAST(0.5 AS DOUBLE) END AS prob_0, CASE WHEN e THEN CAST(0.5 AS DOUBLE) END AS prob_1, "
+    f"CASE WHEN e THEN 'Empty text after preprocessing' END AS error FROM (SELECT doc_id, {_EMPTY} AS e FROM documents)")
+ORACLE["eval_report_by_language"] = (
+    f"WITH p AS (SELECT p.*, d.lang FROM ({rule_pred_sql()}) p JOIN documents d USING (doc_id)), "
+    f"c AS (SELECT lang, actual AS class FROM p UNION SELECT lang, predicted FROM p), "
+    f"x AS (SELECT c.lang, c.class, count(*) FILTER (WHERE actual = class AND predicted = class) AS tp, "
+    f"count(*) FILTER (WHERE predicted = class) AS pre, count(*) FILTER (WHERE actual = class) AS support FROM c JOIN p USING (lang) GROUP BY 1, 2), "
+    f"y AS (SELECT lang, class, support, CASE WHEN pre = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / pre END AS p, "
+    f"CASE WHEN support = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / support END AS r FROM x) "
+    f"SELECT lang, class, round(p, 6) AS precision, round(r, 6) AS recall, round(CASE WHEN p + r = 0 THEN 0.0 ELSE 2 * p * r / (p + r) END, 6) AS f1, support FROM y")
+ORACLE["eval_length_roc_curve"] = (
+    f"SELECT 'inf'::DOUBLE AS threshold, 0.0::DOUBLE AS fpr, 0.0::DOUBLE AS tpr UNION ALL "
+    f"SELECT score, round(CAST(cn AS DOUBLE) / N, 6), round(CAST(cp AS DOUBLE) / P, 6) FROM ({length_curve_sql()})")
+ORACLE["eval_length_summary"] = (
+    f"SELECT round(sum(CAST(neg_n AS DOUBLE) * (2 * (cp - pos_n) + pos_n) / 2.0) / (CAST(max(P) AS DOUBLE) * max(N)), 6) AS roc_auc, "
+    f"round(sum(CAST(pos_n AS DOUBLE) / P * CAST(cp AS DOUBLE) / (cp + cn)), 6) AS average_precision FROM ({length_curve_sql()})")
