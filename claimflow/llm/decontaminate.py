@@ -233,8 +233,11 @@ def report(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
         F.sha2(F.concat_ws(",", F.array_sort("item_ids")), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"), "longest")
 
 
-def clean_documents(docs: DataFrame, items: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """``docs`` without the affected documents, all columns kept. Rows are
-    carried whole through the search, so repeated keys are judged alone."""
-    whole = docs.select(F.struct(*docs.columns).alias("doc_id"), F.col(options.pop("text", "text")).alias("text"))
-    return contamination(whole, items, **options).where(F.size("spans") == 0).select("doc_id.*")
+def clean_documents(docs: DataFrame, items: DataFrame, text: str = "text", **options) -> DataFrame:
+    """``docs`` without the affected documents, all columns kept. The other
+    columns ride through the search beside the text, so rows are judged one by
+    one, whatever their keys."""
+    rest = [c for c in docs.columns if c != text]
+    beside = F.struct(*rest) if rest else F.struct(F.lit(0).alias("none"))
+    found = contamination(docs.select(beside.alias("doc_id"), F.col(text).alias("text")), items, **options)
+    return found.where(F.size("spans") == 0).select(*[F.col("text").alias(c) if c == text else F.col("doc_id")[c].alias(c) for c in docs.columns])
