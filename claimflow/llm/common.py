@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from claimflow.session import scratch_path
 
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 500_000
 
 #: Odd multiplier of the rolling word hash and the constants of a 64-bit mixer.
 _P = np.uint64(0x9E3779B97F4A7C15)

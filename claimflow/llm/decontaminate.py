@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from claimflow.llm.common import ALNUM, LOWER, flat, mix, rows_of, slices, word_hashes, words
 
 BLOCK_WORDS = 500_000
-SHARD_BYTES = 4_000_000
+SHARD_BYTES = 2_000_000
 
 
 class TestBlock:

@@ -140,8 +140,9 @@ def _draw(docs: DataFrame, weights, percent, most, block_words, shard_slots, see
     targets = stage_table(source_targets(rows, weights, percent, most), "targets")
     rows = rows.join(targets, rows["source"].eqNullSafe(targets["source"])).drop(targets["source"])
     rows = stage_table(_offsets(rows), "offsets")
-    slots = _slots(_shard_counts(targets, block_words, shard_slots, seed), block_words)
-    pieces = (rows.where("size > 0").select("doc_id", "digest", "sid", "start", "size",
+    counts = stage_table(_shard_counts(targets, block_words, shard_slots, seed), "shard-counts")
+    slots = _slots(counts, block_words)
+    pieces = (rows.where("size > 0").select("doc_id", "digest", "sid", "source", "start", "size",
               F.explode(F.expr(f"sequence(start div {block_words}, (start + size - 1) div {block_words})")).alias("block")))
     begin = F.col("block") * block_words
     # Both sides grow with the corpus; their planned sizes don't show it.
@@ -155,10 +156,10 @@ def _draw(docs: DataFrame, weights, percent, most, block_words, shard_slots, see
 def mix_segments(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), percent: int = 150, most: int = 2,
                  block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, seed: int = 7,
                  key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """The mix as segments: ``shard, sid, pass, slot, doc_id, digest, start,
-    from, to``: words ``from:to`` of a document stand in that output slot."""
+    """The mix as segments: ``shard, sid, source, pass, slot, doc_id, digest,
+    start, from, to``: words ``from:to`` of a document stand in that output slot."""
     _, segments = _draw(docs, weights, percent, most, block_words, shard_slots, seed, key, text, source)
-    return segments.select("shard", "sid", "pass", "slot", "doc_id", "digest", "start", "from", "to")
+    return segments.select("shard", "sid", "source", "pass", "slot", "doc_id", "digest", "start", "from", "to")
 
 
 def mix_report(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), percent: int = 150, most: int = 2,
@@ -180,22 +181,22 @@ def mix_report(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), percent: i
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts cut to the word ranges taken of them."""
     for batch in batches:
         for part in slices(batch, "text"):
             buf, at = flat(part.column("text"))
             w = words(buf, at, NON_SPACE)
             out = []
             for r, ranges in enumerate(part.column("ranges").to_pylist()):
-                base, pieces, last = w.row[r], [], None
-                for x in sorted((x["from"], x["to"]) for x in ranges):
-                    a, b = w.start[base + x[0]], w.end[base + x[1] - 1]
-                    a = last if last is not None and x[0] == before else a    # keep the space between neighbours
-                    pieces.append(buf[a:b].tobytes())
-                    last, before = b, x[1]
-                    if len(pieces) > 1 and pieces[-1][:1] and not pieces[-1][:1].isspace():
+                base, pieces, last, end = w.row[r], [], None, None
+                for a, b in sorted((x["from"], x["to"]) for x in ranges):
+                    touching = last is not None and a == end            # keep the space between neighbours
+                    pieces.append(buf[last if touching else w.start[base + a]:w.end[base + b - 1]].tobytes())
+                    if last is not None and not touching:
                         pieces.insert(-1, b"\n")
+                    last, end = w.end[base + b - 1], b
                 out.append(b"".join(pieces).decode("utf-8"))
-            yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(out, pa.string())], ["row", "text"])
+            yield pa.RecordBatch.from_arrays([part.column("rest"), pa.array(out, pa.string())], ["rest", "text"])
 
 
 def mixed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
@@ -204,14 +205,17 @@ def mixed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", so
     that don't touch are joined by a line break). Rows equal in key, source and
     text count as often as they occur; their other columns come from one of them."""
     drawn = mix_segments(docs, key=key, text=text, source=source, **options)
-    ranges = (drawn.groupBy("sid", "start", "pass", "doc_id", "digest")
-              .agg(F.collect_list(F.struct("from", "to")).alias("ranges")).select("doc_id", "digest", "ranges"))
-    keyed = docs.select(F.col(key).alias("doc_id"), F.xxhash64(F.col(text)).alias("digest"), F.col(text).alias("text"), F.struct(*docs.columns).alias("row"))
-    keyed = keyed.dropDuplicates(["doc_id", "digest"])
-    match = keyed["doc_id"].eqNullSafe(ranges["doc_id"]) & (keyed["digest"] == ranges["digest"])
-    whole = keyed.join(ranges, match).select("row", "text", "ranges")
-    cut = whole.mapInArrow(_cut, T.StructType([T.StructField("row", keyed.schema["row"].dataType), T.StructField("text", T.StringType())]))
-    out = {c: F.col("row")[c] for c in docs.columns} | {text: F.col("text")}
+    same = [F.xxhash64("doc_id", "source", "digest").alias("h"), F.col("digest")]
+    ranges = stage_table(drawn.groupBy("sid", "start", "pass", "doc_id", "source", "digest")
+                         .agg(F.collect_list(F.struct("from", "to")).alias("ranges")).select(*same, "ranges"), "ranges")
+    rest = F.struct(*[c for c in docs.columns if c != text])
+    whole = docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), F.xxhash64(F.col(text)).alias("digest"),
+                        F.col(text).alias("text"), rest.alias("rest")).select(*same, "text", "rest")
+    # Of equal rows one goes through the shuffle; the ranges hold each one's words.
+    one = whole.withColumn("copy", F.row_number().over(Window.partitionBy("h", "digest").orderBy("h"))).where("copy = 1").drop("copy")
+    joined = one.join(ranges, ["h", "digest"]).select("rest", "text", "ranges")
+    cut = joined.mapInArrow(_cut, T.StructType([T.StructField("rest", whole.schema["rest"].dataType), T.StructField("text", T.StringType())]))
+    out = {c: F.col("text") if c == text else F.col("rest")[c] for c in docs.columns}
     if "n_chars" in out:
         out["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
     return cut.select(*[v.alias(c) for c, v in out.items()])
