@@ -67,13 +67,25 @@ def test_stream_equals_batch(spark, trained, tmp_dir):
     sc = Scorer(trained.vectorizer, trained.models["logistic_regression"], trained.classes)
     df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(TEXTS)], "k long, text string")
     df.repartition(3).write.parquet(f"{tmp_dir}/src")
+    cached = spark.sparkContext._jsc.getPersistentRDDs().size()
     streamed = score_stream_once(spark, f"{tmp_dir}/src", df.schema, sc, "k", f"{tmp_dir}/sink", f"{tmp_dir}/ck")
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == cached
     batch = score(df, sc, "k")
     a = sorted((r.k, r.prediction, round(r.confidence, 9)) for r in streamed.collect())
     b = sorted((r.k, r.prediction, round(r.confidence, 9)) for r in batch.collect())
     assert a == b
 
 
+def test_repeated_and_null_keys_are_scored_alone(spark, trained):
+    sc = Scorer(trained.vectorizer, trained.models["logistic_regression"], trained.classes)
+    rows = [(1, TEXTS[0][0]), (1, TEXTS[-1][0]), (None, TEXTS[0][0]), (2, TEXTS[-1][0])]
+    out = score(spark.createDataFrame(rows, "k long, text string"), sc).collect()
+    by_text = {}
+    for r in out:
+        by_text.setdefault(r.text, set()).add((r.prediction, round(r.confidence, 12)))
+    assert len(out) == 4 and len(by_text) == 2 and all(len(v) == 1 for v in by_text.values())
+
+
 def test_model_round_trip(spark, trained, tmp_dir):
     table = io.save_models(trained, f"{tmp_dir}/m", "climate_claims")
     assert table.where("is_best").count() == 1
