@@ -9,8 +9,7 @@ column indices are the alphabetical order of the kept terms.
 
 Plan shape: a row holds its document's terms, so both term counts come out
 of one aggregation by term (partial counts before the shuffle, documents
-never move), and vectors are made row by row: Spark ML's count vectorizer
-and one Arrow UDF for the weights. The vocabulary is small by
+never move), and vectors are made row by row in one Arrow UDF. The vocabulary is small by
 ``max_features`` and lives on the driver and each executor, as the models'
 coefficients do; no key is needed, so repeated or null keys change nothing.
 """
@@ -21,7 +20,6 @@ import json
 import math
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,30 +50,25 @@ def ngrams_1_2(tokens) -> Column:
     return F.concat(t, bigrams)
 
 
-def _weights(idf: list, bias: bool = False):
-    """Arrow UDF from a count vector to the normalised weights; ``bias`` adds
-    a constant 1.0 feature in the last column (penalised-intercept option)."""
-    size = len(idf) + bias
-
-    @F.udf(returnType=VectorUDT(), useArrow=True)
-    def weigh(counts):
-        idx, w = [], []
-        if counts is not None and len(idf):
-            idx = [int(i) for i in counts.indices]
-            w = [(1.0 + math.log(c)) * idf[i] for i, c in zip(idx, counts.values)]
-            norm = math.sqrt(sum(x * x for x in w))
-            w = [x / norm for x in w]
-        if bias:
-            idx.append(size - 1)
-            w.append(1.0)
-        return SparseVector(size, idx, w)
-    return weigh
+_ENTRIES = T.ArrayType(T.StructType([T.StructField("term", T.StringType()), T.StructField("idx", T.IntegerType()),
+                                     T.StructField("tf", T.LongType()), T.StructField("weight", T.DoubleType())]))
+
 
+def _weigher(terms: list, idf: list):
+    """Function from a row's terms to its (idx, weight, tf) lists, by idx."""
+    index = {t: i for i, t in enumerate(terms)}
 
-@F.udf(returnType=T.ArrayType(T.StructType([T.StructField("idx", T.IntegerType()), T.StructField("weight", T.DoubleType()),
-                                            T.StructField("tf", T.LongType())])), useArrow=True)
-def _entries(counts, weights):
-    return [(int(i), float(w), int(c)) for i, w, c in zip(weights.indices, weights.values, counts.values)]
+    def weigh(row):
+        tf: dict = {}
+        for t in (() if row is None else row):
+            i = index.get(t)
+            if i is not None:
+                tf[i] = tf.get(i, 0) + 1
+        idx = sorted(tf)
+        w = [(1.0 + math.log(tf[i])) * idf[i] for i in idx]
+        norm = math.sqrt(sum(x * x for x in w))
+        return idx, [x / norm for x in w], [tf[i] for i in idx]
+    return weigh
 
 
 @dataclass
@@ -94,27 +87,29 @@ class TfidfModel:
     def size(self) -> int:
         return len(self.terms)
 
-    def _count(self, docs: DataFrame, out: str) -> DataFrame:
-        if not self.terms:
-            return docs.withColumn(out, _weights([])(F.lit(None).cast(VectorUDT())))
-        cv = CountVectorizerModel.from_vocabulary(self.terms, self.terms_col, out)
-        return cv.transform(docs)
-
     def vectors(self, docs: DataFrame, out: str = "features", bias: bool = False) -> DataFrame:
         """F8: ``docs`` (with its terms column) plus one sparse vector per
-        row; unseen terms are ignored, a row without known terms gets zeros."""
-        x = self._count(docs, "_counts")
-        return x.withColumn(out, _weights(self.idf, bias)("_counts")).drop("_counts")
+        row; unseen terms are ignored, a row without known terms gets zeros.
+        ``bias`` adds a constant 1.0 in the last column (penalised intercept)."""
+        weigh, size = _weigher(self.terms, self.idf), self.size + bias
+
+        @F.udf(returnType=VectorUDT(), useArrow=True)
+        def vector(row):
+            idx, w, _ = weigh(row)
+            return SparseVector(size, idx + [size - 1], w + [1.0]) if bias else SparseVector(size, idx, w)
+        return docs.withColumn(out, vector(self.terms_col))
 
     def transform(self, docs: DataFrame, doc_col: str | None = None) -> DataFrame:
         """F4/F5 long form: (doc, term, idx, tf, weight); rows without known
         terms have none. Columns of ``docs`` other than the terms stay."""
-        x = self._count(docs, "_counts")
-        x = x.withColumn("_e", _entries("_counts", _weights(self.idf)("_counts")))
-        keep = [doc_col or self.doc_col] + [c for c in docs.columns if c not in (self.terms_col, doc_col or self.doc_col)]
-        terms = F.from_json(F.lit(json.dumps(self.terms)), "array<string>")
-        return (x.select(*keep, F.inline("_e"))
-                .select(*keep, F.element_at(terms, F.col("idx") + 1).alias("term"), "idx", "tf", "weight"))
+        weigh, terms = _weigher(self.terms, self.idf), self.terms
+
+        @F.udf(returnType=_ENTRIES, useArrow=True)
+        def entries(row):
+            return [(terms[i], i, n, w) for i, w, n in zip(*weigh(row))]
+        key = doc_col or self.doc_col
+        keep = [key] + [c for c in docs.columns if c not in (self.terms_col, key)]
+        return docs.withColumn("_e", entries(self.terms_col)).select(*keep, F.inline("_e"))
 
     def feature_names(self) -> DataFrame:
         """terms in column order."""
@@ -122,14 +117,11 @@ class TfidfModel:
 
 
 def term_stats(docs: DataFrame, terms_col: str = "terms") -> DataFrame:
-    """``term, df, cf`` of all rows in one aggregation; the null term counts
-    the rows themselves in ``df``."""
-    t = F.coalesce(F.col(terms_col), F.array().cast("array<string>"))
-    def mark(terms, is_doc):
-        return F.transform(terms, lambda x: F.struct(x.alias("term"), F.lit(is_doc).alias("d")))
-    rows = F.concat(mark(t, 0), mark(F.array_distinct(t), 1), mark(F.array(F.lit(None).cast("string")), 1))
-    return (docs.select(F.inline(rows)).groupBy("term")
-            .agg(F.sum("d").alias("df"), F.sum(1 - F.col("d")).alias("cf")))
+    """``term, df, cf`` of all rows: every term counts for ``cf``, every
+    distinct term of a row for ``df``, in one aggregation with partial sums."""
+    every = docs.select(F.explode(terms_col).alias("term"), F.lit(0).alias("d"), F.lit(1).alias("c"))
+    once = docs.select(F.explode(F.array_distinct(terms_col)).alias("term"), F.lit(1).alias("d"), F.lit(0).alias("c"))
+    return every.unionByName(once).groupBy("term").agg(F.sum("d").alias("df"), F.sum("c").alias("cf"))
 
 
 def most_frequent(stats: DataFrame, n: int) -> DataFrame:
@@ -154,9 +146,8 @@ def fit_tfidf(docs: DataFrame, doc_col: str = "doc_id", terms_col: str = "terms"
     """fit the vocabulary on ``docs`` (the training split only). Without
     ``max_features`` all kept terms count, up to ``MAX_VOCABULARY``."""
     stats = write_stage(term_stats(docs, terms_col), "term-stats")
-    first = stats.where("term is null").first()
-    n_docs = first["df"] if first else 0
-    kept = stats.where((F.col("term").isNotNull()) & (F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df * n_docs)))
+    n_docs = docs.count()
+    kept = stats.where((F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df * n_docs)))
     if max_features is not None:
         kept = most_frequent(kept, max_features)
     rows = kept.limit((max_features or MAX_VOCABULARY) + 1).collect()
