@@ -184,13 +184,16 @@ def cross_validate(train: DataFrame, key: str, cfg: TrainConfig, shared_vec: Tfi
         fit_w = with_balanced_weights(fit_part, "label_idx")
         n = vec.n_docs if shared_vec is None else fit_part.count()
         fit_v = vec.vectors(fit_w).select("features", "label_idx", "weight").persist(StorageLevel.MEMORY_AND_DISK)
-        out = []
-        for name, est in _models(cfg, n).items():
+
+        def one_model(item):
+            name, est = item
             if name == "logistic_regression" and cfg.penalize_intercept:
                 fitted = est.fit(with_zero_row(vec.vectors(fit_w, bias=True), vec.size))
-                out.append((name, k, macro_f1(fitted.transform(vec.vectors(held, bias=True)))))
-            else:
-                out.append((name, k, macro_f1(est.fit(fit_v).transform(vec.vectors(held)))))
+                return name, k, macro_f1(fitted.transform(vec.vectors(held, bias=True)))
+            return name, k, macro_f1(est.fit(fit_v).transform(vec.vectors(held)))
+
+        with ThreadPoolExecutor(max_workers=2) as inner:  # the two models side by side
+            out = list(inner.map(one_model, _models(cfg, n).items()))
         fit_v.unpersist()
         return out
 
