@@ -1,108 +1,143 @@
-"""Substring deduplication by content-defined chunks.
-
-A gear rolling hash runs over each text's bytes; its value at the last byte of a
-word depends on the last 32 bytes only. A chunk ends after a word whose value is
-the smallest among ``REACH`` words on either side, so chunk bounds move with the
-content: an insertion changes the chunks around it and no others. Chunks hold
-about 2 * REACH + 1 words; a run without such a place is cut every
-``MOST_WORDS`` words. Chunks are deduplicated by digest: a chunk that stands in
-two documents is repeated, and the document with the smallest key owns it. Runs
-of repeated chunks with at least ``least_words`` words are repeated passages;
-what other documents own of them is removed. A passage loses some words at its
-ends, where chunks differ, so the limit of 28 finds passages of 50 words. (One
-word repeated on and on has no chunk bounds, and isn't found as a passage.)
-
-Scale: chunk rows are pre-aggregated to the smallest and largest key per digest
-before the shuffle, and flags come back by an equi-join that can be split, so a
-passage in a third of all documents lands in no single task. A document's flags
-are gathered with the document only.
+"""Exact substring deduplication over content-defined chunks of windows.
+
+A passage is ``least_words`` words in a row. Every window of that length has a
+seed: the least of the rolling hashes of its shorter word runs, the last of equal
+ones. The seed hangs on the window's words only, so a window that stands in two
+documents has the same seed in both. Neighbouring windows with one seed are a
+chunk, and only chunks are compared at first: a chunk whose seed stands in no
+other document has no repeated window. If all holders of a seed hold the same
+chunk, its windows are repeated and belong to the document with the smallest
+key. Else (ends of passages, edits) the windows of these chunks are compared one
+by one. So a window counts as repeated exactly if one other document holds it
+whole, words as 64-bit hashes and white space apart, and its owner is the
+document with the smallest key that holds it whole; what other documents hold of
+it is removed.
+
+Scale: chunk rows are distinct per text and pre-aggregated to the smallest and
+largest key per seed before the shuffle, and flags come back by an equi-join that
+can be split, so a passage in a third of all documents lands in no single task.
+Rows grow with the words, never with pairs of documents. A document's flags are
+gathered with the document only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimflow.llm.common import NON_SPACE, Words, flat, mix, rows_of, slices, stage_table, word_hashes, words
+from claimflow.llm.common import NON_SPACE, Words, _power_tables, flat, mix, rows_of, slices, stage_table, word_hashes, words
 
-REACH = 3
-MOST_WORDS = 64
-LEAST_WORDS = 28
-GEAR = (mix(np.arange(257, 513, dtype=np.uint64)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+LEAST_WORDS = 50
+WORD_BYTES = 6
 
 
-def gear_values(buf: np.ndarray) -> np.ndarray:
-    """32-bit gear hash after each byte: ``h = (h << 1) + GEAR[byte]``. A byte
-    leaves the hash after 32 steps, so doubling the span five times gives it."""
-    h = GEAR[buf]
-    for shift in (1, 2, 4, 8, 16):
-        more = h[:-shift] << np.uint32(shift)
-        h = h.copy()
-        h[shift:] += more
-    return h
+def units(buf: np.ndarray, at: np.ndarray) -> tuple[Words, np.ndarray]:
+    """Words of the rows, and what each counts."""
+    w = words(buf, at, NON_SPACE)
+    return w, np.full(len(w.start), WORD_BYTES)
 
 
-def chunks(buf: np.ndarray, at: np.ndarray) -> tuple[Words, np.ndarray]:
-    """Words of the rows and, per word, whether a chunk begins there."""
-    w = words(buf, at, NON_SPACE)
+class Windows(NamedTuple):
+    """Windows of a slice: first word, end, seed and digest; per row, the range
+    of window numbers; and the first window of each chunk."""
+    begin: np.ndarray
+    end: np.ndarray
+    seed: np.ndarray
+    digest: np.ndarray
+    row: np.ndarray
+    first: np.ndarray
+
+
+def _windows(buf: np.ndarray, w: Words, count: np.ndarray, least_words: int) -> Windows:
     n = len(w.start)
-    row = rows_of(w.row)
-    first = np.zeros(n, bool)
-    first[w.row[:-1][w.row[:-1] < w.row[1:]]] = True
-    if not n:
-        return w, first
-    h = gear_values(buf)
-    value = h[w.end - 1]
-    # Near a row's start, take out what the bytes before it added.
-    begin = at[row]
-    near = np.flatnonzero((w.end - begin < 32) & (begin > 0))
-    value[near] -= h[begin[near] - 1] << (w.end - begin)[near].astype(np.uint32)
-    value = mix(value.astype(np.uint64))
-    low = np.ones(n, bool)
-    for d in range(1, REACH + 1):
-        same = row[d:] == row[:-d]
-        low[d:] &= ~same | (value[d:] < value[:-d])          # strictly below the words before
-        low[:-d] &= ~same | (value[:-d] <= value[d:])
-    first[1:] |= low[:-1]
-    begin = np.flatnonzero(first)
-    size = np.diff(np.append(begin, n))
-    for b, s in zip(begin[size > MOST_WORDS].tolist(), size[size > MOST_WORDS].tolist()):
-        first[b:b + s:MOST_WORDS] = True
-    return w, first
-
-
-def _chunk_rows(batch: pa.RecordBatch):
-    """Chunk digests (from the words, not the space between), word counts, byte
-    starts and ends, and the row bounds of the chunks."""
+    total = np.concatenate([[0], np.cumsum(count)])
+    end = np.searchsorted(total, total[:-1] + least_words * WORD_BYTES)
+    begin = np.flatnonzero(end <= w.row[1:][rows_of(w.row)])
+    end = end[begin]
+    up, down = _power_tables(n + 1)
+    rolled = np.zeros(n + 1, np.uint64)
+    np.cumsum(word_hashes(buf, w) * up[:n], out=rolled[1:])
+
+    def digest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return mix((rolled[b] - rolled[a]) * down[a] + (b - a).astype(np.uint64))
+    # Each window has least_words words, and so all its word runs.
+    choices = max(1, least_words * 2 // 7)
+    run = least_words - choices + 1
+    value = digest(np.arange(max(0, n - run + 1)), np.arange(run, max(run, n + 1)))
+    seed, place = value[begin], begin.copy()
+    for d in range(1, choices):
+        other = value[begin + d]
+        less = other <= seed
+        seed[less], place[less] = other[less], begin[less] + d
+    row = np.searchsorted(begin, w.row)
+    first = np.ones(len(begin), bool)
+    first[1:] = place[1:] != place[:-1]
+    first[row[:-1][row[:-1] < row[1:]]] = True
+    return Windows(begin, end, seed, digest(begin, end), row, np.flatnonzero(first))
+
+
+def _chunk_rows(batch: pa.RecordBatch, least_words: int = LEAST_WORDS):
+    """Chunk digests (of all words of a chunk's windows), seeds, first windows
+    and the row bounds of the chunks; before them the bytes, and after them the
+    windows and words."""
     buf, at = flat(batch.column("text"))
-    w, first = chunks(buf, at)
-    begin = np.flatnonzero(first)
-    size = np.diff(np.append(begin, len(w.start)))
-    h = word_hashes(buf, w)
-    digest = np.zeros(len(begin), np.uint64)
+    w, count = units(buf, at)
+    win = _windows(buf, w, count, least_words)
+    size = np.diff(np.append(win.first, len(win.begin)))
+    digest = np.zeros(len(win.first), np.uint64)
     longest = int(size.max()) if len(size) else 0
-    for i in range(longest):                                 # chunks in step, word by word
+    for i in range(longest):                                 # chunks in step, window by window
         go = np.flatnonzero(size > i)
-        digest[go] = mix(digest[go] + h[begin[go] + i] + np.uint64(1))
-    bounds = np.searchsorted(begin, w.row)
-    return buf, at, digest.view(np.int64), size, w.start[begin], w.end[begin + size - 1], bounds
+        digest[go] = mix(digest[go] + win.digest[win.first[go] + i] + np.uint64(1))
+    return buf, at, digest.view(np.int64), win.seed[win.first].view(np.int64), win, w, np.searchsorted(win.first, win.row)
+
 
+def _distinct(*columns: np.ndarray) -> np.ndarray:
+    """Places of the distinct rows of columns, in their order."""
+    order = np.lexsort(columns[::-1])
+    new = np.ones(len(order), bool)
+    new[1:] = np.any([c[order][1:] != c[order][:-1] for c in columns], axis=0)
+    return order[new]
 
-def _digests(docs: DataFrame, kind: str) -> DataFrame:
+
+def _chunks(docs: DataFrame, kind: str, least_words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                _, _, digest, _, _, _, bounds = _chunk_rows(part)
+                _, _, digest, seed, *_, bounds = _chunk_rows(part, least_words)
                 row = rows_of(bounds)
-                place = np.arange(len(row)) - bounds[row]
-                take = pa.array(row)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id").take(take), part.column("text_hash").take(take), pa.array(place, pa.int32()),
-                                                  pa.array(digest)], ["doc_id", "text_hash", "place", "digest"])
-    return docs.mapInArrow(run, f"doc_id {kind}, text_hash long, place int, digest long")
+                one = _distinct(row, seed, digest)
+                take = pa.array(row[one])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id").take(take), part.column("text_hash").take(take), pa.array(seed[one]),
+                                                  pa.array(digest[one])], ["doc_id", "text_hash", "seed", "digest"])
+    return docs.mapInArrow(run, f"doc_id {kind}, text_hash long, seed long, digest long")
+
+
+def _held(column: pa.Array, r: int) -> np.ndarray:
+    """The numbers of one row's list; none for null."""
+    v = column[r].values
+    return np.zeros(0, np.int64) if v is None else np.asarray(v)
+
+
+def _open_windows(docs: DataFrame, kind: str, least_words: int) -> DataFrame:
+    """Windows of the chunks whose seeds are in ``open``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                *_, win, _, _ = _chunk_rows(part, least_words)
+                seed, digest = win.seed.view(np.int64), win.digest.view(np.int64)
+                found = [digest[a:b][np.isin(seed[a:b], _held(part.column("open"), r))] for r, (a, b) in enumerate(zip(win.row[:-1], win.row[1:]))]
+                digest, row = np.concatenate(found), np.repeat(np.arange(len(found)), [len(x) for x in found])
+                one = _distinct(row, digest)
+                take = pa.array(row[one])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id").take(take), part.column("text_hash").take(take), pa.array(digest[one])],
+                                                 ["doc_id", "text_hash", "digest"])
+    return docs.mapInArrow(run, f"doc_id {kind}, text_hash long, digest long")
 
 
 def _mark(kind: str, least_words: int):
@@ -111,19 +146,17 @@ def _mark(kind: str, least_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                buf, at, _, size, start, end, bounds = _chunk_rows(part)
+                buf, at, _, _, win, w, bounds = _chunk_rows(part, least_words)
+                seed, digest = win.seed.view(np.int64), win.digest.view(np.int64)
+                n_chunks = np.maximum(np.diff(bounds), np.diff(w.row) > 0)
                 repeated, removed, texts = [], [], []
-                shared, owned = part.column("shared").to_pylist(), part.column("owned").to_pylist()
                 for r in range(part.num_rows):
-                    a, b = int(bounds[r]), int(bounds[r + 1])
-                    one, cut = [], []
-                    if shared[r]:
-                        mine = set(owned[r] or [])
-                        for i, j in _runs(sorted(set(shared[r]))):
-                            if size[a + i:a + j].sum() >= least_words:
-                                one.append({"start": int(start[a + i] - at[r]), "end": int(end[a + j - 1] - at[r])})
-                                cut += [k for k in range(i, j) if k not in mine]
-                    gone = [{"start": int(start[a + i] - at[r]), "end": int(end[a + j - 1] - at[r])} for i, j in _runs(cut)]
+                    a, b = win.row[r], win.row[r + 1]
+                    one, gone = [], []
+                    if part.column("own")[r].is_valid:
+                        own, cut = (np.isin(seed[a:b], _held(part.column(s), r)) | np.isin(digest[a:b], _held(part.column(d), r))
+                                    for s, d in (("own", "own_windows"), ("cut", "cut_windows")))
+                        one, gone = (_spans(win.begin[a:b][x], win.end[a:b][x], w, int(at[r])) for x in (own | cut, cut))
                     whole = buf[at[r]:at[r + 1]]
                     last, kept = 0, []
                     for g in gone:
@@ -133,21 +166,30 @@ def _mark(kind: str, least_words: int):
                     repeated.append(one)
                     removed.append(gone)
                     texts.append(b"".join(kept).decode("utf-8") if part.column("text")[r].is_valid else None)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.diff(bounds), pa.int32()), pa.array(repeated, span),
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n_chunks, pa.int32()), pa.array(repeated, span),
                                                   pa.array(removed, span), pa.array(texts, pa.string())],
                                                  ["doc_id", "n_chunks", "repeated_spans", "removed_spans", "text"])
     return run, f"doc_id {kind}, n_chunks int, repeated_spans array<struct<start:int,end:int>>, removed_spans array<struct<start:int,end:int>>, text string"
 
 
-def _runs(places: list[int]) -> list[tuple[int, int]]:
-    """Maximal runs (start, end) of consecutive sorted numbers."""
-    out: list[tuple[int, int]] = []
-    for p in places:
-        if out and out[-1][1] == p:
-            out[-1] = (out[-1][0], p + 1)
-        else:
-            out.append((p, p + 1))
-    return out
+def _spans(begin: np.ndarray, end: np.ndarray, w: Words, at: int) -> list[dict[str, int]]:
+    """Byte spans that windows (sorted) cover together; touching ones are one."""
+    if not len(begin):
+        return []
+    cut = np.flatnonzero(begin[1:] > end[:-1])
+    return [{"start": int(w.start[i]) - at, "end": int(w.end[j - 1]) - at}
+            for i, j in zip(begin[np.append(0, cut + 1)], end[np.append(cut, len(end) - 1)])]
+
+
+def _shared(found: DataFrame, on: str, *more) -> DataFrame:
+    """Values of ``on`` in two documents, with the smallest key."""
+    return found.groupBy(on).agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"), *more).where("owner < last").drop("last")
+
+
+def _lists(found: DataFrame, shared: DataFrame, on: str, **lists) -> DataFrame:
+    """Per text, the values of ``on`` for which a condition holds."""
+    return (found.join(shared, on).groupBy("doc_id", "text_hash")
+            .agg(*[F.collect_set(F.when(c, F.col(on))).alias(name) for name, c in lists.items()]))
 
 
 def deduplicate_substrings(docs: DataFrame, least_words: int = LEAST_WORDS, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -158,20 +200,23 @@ def deduplicate_substrings(docs: DataFrame, least_words: int = LEAST_WORDS, key:
     document holds too; ``removed_spans`` what is cut of them because a document
     with a smaller key owns it; ``text`` is the rest. ``repeated`` and
     ``removed`` say whether there is any. The space after a cut stays.
-    Null texts stay null, and like empty ones have no chunks. Rows that repeat a
-    key are one document: they don't make each other's chunks repeated, and each
-    comes back; repeats inside one document stay. A null key owns nothing and
-    is compared with nothing. Other columns are ignored; an empty table gives no
-    rows.
+    A text shorter than a window is one chunk. Null texts stay null, and like
+    empty ones have no chunks. Rows that repeat a key are one document: they
+    don't make each other's windows repeated, and each comes back; repeats
+    inside one document stay. A null key owns nothing and is compared with
+    nothing. Other columns are ignored; an empty table gives no rows.
     """
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("text_hash"))
-    found = stage_table(_digests(rows.where("doc_id is not null and text is not null"), kind), "chunks")
-    shared = stage_table(found.groupBy("digest").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last")).where("owner < last")
-                         .select("digest", "owner"), "shared-chunks")
-    flags = (found.join(shared, "digest").groupBy("doc_id", "text_hash")
-             .agg(F.collect_set("place").alias("shared"), F.collect_set(F.when(F.col("doc_id") == F.col("owner"), F.col("place"))).alias("owned")))
+    owned, alike = F.col("doc_id") == F.col("owner"), F.col("alike")
+    found = stage_table(_chunks(rows.where("doc_id is not null and text is not null"), kind, least_words), "chunks")
+    shared = stage_table(_shared(found, "seed", (F.min("digest") == F.max("digest")).alias("alike")), "shared-seeds")
+    flags = stage_table(_lists(found, shared, "seed", own=alike & owned, cut=alike & ~owned, open=~alike), "flags")
+    opened = rows.join(flags.where(F.size("open") > 0).select("doc_id", "text_hash", "open"), ["doc_id", "text_hash"])
+    found = stage_table(_open_windows(opened, kind, least_words), "windows")
+    shared = stage_table(_shared(found, "digest"), "shared-windows")
+    flags = flags.drop("open").join(_lists(found, shared, "digest", own_windows=owned, cut_windows=~owned), ["doc_id", "text_hash"], "left")
     run, schema = _mark(kind, least_words)
-    marked = rows.join(stage_table(flags, "flags"), ["doc_id", "text_hash"], "left").mapInArrow(run, schema)
+    marked = rows.join(stage_table(flags, "all-flags"), ["doc_id", "text_hash"], "left").mapInArrow(run, schema)
     return marked.select("doc_id", "n_chunks", "repeated_spans", "removed_spans", (F.size("repeated_spans") > 0).alias("repeated"),
                          (F.size("removed_spans") > 0).alias("removed"), "text")

@@ -172,6 +172,26 @@ def test_repeated_passages_against_brute_force(spark):
     assert substring_dedup.deduplicate_substrings(empty(spark)).count() == 0
 
 
+
+def cut_of(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {r.doc_id: r for r in substring_dedup.deduplicate_substrings(df).collect()}
+
+
+def test_every_passage_of_51_words_is_found(spark):
+    rng = random.Random(31)
+    def word():
+        return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(4, 6)))
+    def some(n):
+        return " ".join(word() for _ in range(n))
+    passages = [some(51) for _ in range(2000)]
+    out = cut_of(spark, [f"{some(20)} {p} {some(20)}" for p in passages * 2])
+    assert all(out[i].repeated for i in out)
+    assert all(passages[i] in out[i].text and not out[i].removed for i in range(2000))
+    assert all(len(out[2000 + i].text.split()) == 40 for i in range(2000))
+
+
+
 def brute_top(rows, k):
     vec = [(i, [int(np.floor(256 * float(x))) for x in v]) for i, v in rows
            if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
