@@ -192,6 +192,35 @@ def test_every_passage_of_51_words_is_found(spark):
 
 
 
+def test_the_first_holder_keeps_its_passage_whole(spark):
+    rng = random.Random(32)
+    passage = prose(rng, 60)
+    part = " ".join(passage.split()[10:40])
+    out = cut_of(spark, [f"{prose(rng, 9)} {part} {prose(rng, 9)}", f"{prose(rng, 9)} {passage}", f"{passage} {prose(rng, 9)}"])
+    assert [out[i].repeated for i in range(3)] == [False, True, True]
+    assert not out[1].removed and passage in out[1].text and len(out[2].text.split()) == 9
+
+
+def test_cuts_are_the_windows_that_an_earlier_document_holds(spark):
+    rng = random.Random(33)
+    parts = [prose(rng, n) for n in (20, 30, 45, 49, 50, 51, 55, 70, 120)]
+    texts = [" ".join(rng.choice(parts) if rng.random() < 0.6 else prose(rng, rng.randint(1, 30)) for _ in range(rng.randint(1, 9))) for _ in range(60)]
+    holders = {}
+    for i, t in enumerate(texts):
+        for j in range(len(t.split()) - 49):
+            holders.setdefault(tuple(t.split()[j:j + 50]), set()).add(i)
+    out = cut_of(spark, texts)
+    for i, t in enumerate(texts):
+        w = t.split()
+        shared, cut = set(), set()
+        for j in range(len(w) - 49):
+            held = holders[tuple(w[j:j + 50])]
+            shared |= set(range(j, j + 50)) if len(held) > 1 else set()
+            cut |= set(range(j, j + 50)) if min(held) < i else set()
+        assert out[i].text.split() == [x for j, x in enumerate(w) if j not in cut]
+        assert sum(len(t.encode()[s.start:s.end].split()) for s in out[i].repeated_spans) == len(shared)
+
+
 def brute_top(rows, k):
     vec = [(i, [int(np.floor(256 * float(x))) for x in v]) for i, v in rows
            if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
