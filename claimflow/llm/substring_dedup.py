@@ -13,6 +13,13 @@ whole, words as 64-bit hashes and white space apart, and its owner is the
 document with the smallest key that holds it whole; what other documents hold of
 it is removed.
 
+Text without spaces: a word of more than ``LONG_WORD`` bytes is taken as its
+characters, and ``WORD_BYTES`` bytes of them count as one word. Bounds between
+these characters move with the content, and one word, or a few, repeated on and
+on are windows like others. Not found: a passage cut off inside a word of up to
+``LONG_WORD`` bytes lacks that word, and a stretch without spaces that is longer
+than that in one document and shorter in the other differs.
+
 Scale: chunk rows are distinct per text and pre-aggregated to the smallest and
 largest key per seed before the shuffle, and flags come back by an equi-join that
 can be split, so a passage in a third of all documents lands in no single task.
@@ -33,13 +40,25 @@ from pyspark.sql import functions as F
 from claimflow.llm.common import NON_SPACE, Words, _power_tables, flat, mix, rows_of, slices, stage_table, word_hashes, words
 
 LEAST_WORDS = 50
+LONG_WORD = 32
 WORD_BYTES = 6
 
 
 def units(buf: np.ndarray, at: np.ndarray) -> tuple[Words, np.ndarray]:
-    """Words of the rows, and what each counts."""
+    """Words of the rows, long ones as their characters, and what each counts:
+    ``WORD_BYTES`` for a word, its bytes for a character."""
     w = words(buf, at, NON_SPACE)
-    return w, np.full(len(w.start), WORD_BYTES)
+    long = w.end - w.start > LONG_WORD
+    if not long.any():
+        return w, np.full(len(w.start), WORD_BYTES)
+    step = np.zeros(len(buf) + 1, np.int8)
+    step[w.start[long]] += 1
+    step[w.end[long]] -= 1
+    inside = np.cumsum(step[:-1], dtype=np.int8) > 0
+    char = np.flatnonzero(inside & (buf & 0xC0 != 0x80))
+    start = np.union1d(w.start, char)
+    end = np.union1d(w.end, np.setdiff1d(char, w.start, assume_unique=True))
+    return Words(start, end, np.searchsorted(start, at)), np.where(inside[start], end - start, WORD_BYTES)
 
 
 class Windows(NamedTuple):
@@ -65,7 +84,7 @@ def _windows(buf: np.ndarray, w: Words, count: np.ndarray, least_words: int) ->
 
     def digest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return mix((rolled[b] - rolled[a]) * down[a] + (b - a).astype(np.uint64))
-    # Each window has least_words words, and so all its word runs.
+    # Each window has least_words words or characters at least, and so all its word runs.
     choices = max(1, least_words * 2 // 7)
     run = least_words - choices + 1
     value = digest(np.arange(max(0, n - run + 1)), np.arange(run, max(run, n + 1)))

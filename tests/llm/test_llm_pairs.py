@@ -221,6 +221,19 @@ def test_cuts_are_the_windows_that_an_earlier_document_holds(spark):
         assert sum(len(t.encode()[s.start:s.end].split()) for s in out[i].repeated_spans) == len(shared)
 
 
+def test_text_without_spaces_and_words_repeated_on_and_on(spark):
+    rng = random.Random(34)
+    def signs(n, lo=0x4E00, hi=0x5E00):
+        return "".join(chr(rng.randrange(lo, hi)) for _ in range(n))
+    passage, code, tail = signs(400), signs(900, 0x30, 0x7B), signs(99, 0x30, 0x7B)
+    out = cut_of(spark, [signs(77) + passage + signs(80), signs(140) + passage + signs(11), code, code, tail + signs(9), tail + signs(500),
+                         "so it goes " + "la lo " * 90 + "on", "la lo " * 70, "x " + "la lo li " * 90, "lo li la " * 30, "hm " * 55, "hm " * 60])
+    assert [i for i in out if not out[i].repeated] == [4, 5]
+    assert passage in out[0].text and len(out[1].text) == 151
+    assert out[2].text == code and out[3].text == ""
+    assert not any(out[i].removed for i in (0, 2, 6, 8, 10)) and not any(out[i].text.strip() for i in (7, 9, 11))
+
+
 def brute_top(rows, k):
     vec = [(i, [int(np.floor(256 * float(x))) for x in v]) for i, v in rows
            if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
