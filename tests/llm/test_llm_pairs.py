@@ -234,6 +234,13 @@ def test_text_without_spaces_and_words_repeated_on_and_on(spark):
     assert not any(out[i].removed for i in (0, 2, 6, 8, 10)) and not any(out[i].text.strip() for i in (7, 9, 11))
 
 
+def test_phrases_of_different_documents_are_no_passage(spark):
+    rng = random.Random(35)
+    w = prose(rng, 127).split()
+    out = cut_of(spark, [f"{prose(rng, 9)} {' '.join(w[10 * k:10 * k + 27])} {prose(rng, 9)}" for k in range(11)] + [" ".join(w)])
+    assert not any(r.repeated or r.removed for r in out.values())
+
+
 def brute_top(rows, k):
     vec = [(i, [int(np.floor(256 * float(x))) for x in v]) for i, v in rows
            if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
