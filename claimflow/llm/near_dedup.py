@@ -176,7 +176,7 @@ def _bands(nodes: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, n: int, key: str, text: str) -> DataFrame:
-    """``node, shingles``: full sets of the given nodes, one row each."""
+    """``node, digest, shingles``: full sets of the given nodes, of each of their texts."""
     wanted = docs.select(F.col(key).alias("node"), F.col(text).alias("text")).join(nodes, "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,15 +188,17 @@ def _sets(docs: DataFrame, nodes: DataFrame, n: int, key: str, text: str) -> Dat
                         for a, b in zip(ends, ends[1:])]
                 keep = [i for i, (d, want) in enumerate(zip(mine, part.column("digest").to_pylist())) if d == want]
                 sets = pa.array([hashes[bounds[i]:bounds[i + 1]].view(np.int64) for i in keep], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([part.column("node").take(pa.array(keep, pa.int64())), sets], ["node", "shingles"])
+                take = pa.array(keep, pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column("node").take(take), part.column("digest").take(take), sets], ["node", "digest", "shingles"])
     kind = nodes.schema["node"].dataType.simpleString()
-    return wanted.mapInArrow(run, f"node {kind}, shingles array<long>")
+    return wanted.mapInArrow(run, f"node {kind}, digest binary, shingles array<long>")
 
 
 def _promising(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
-    """Pairs whose estimate isn't five standard errors below the threshold."""
-    side = nodes.select("node", "n_shingles", "registers")
-    both = (pairs.join(side.toDF("a", "na", "ra"), "a").join(side.toDF("b", "nb", "rb"), "b")
+    """Pairs, of each of their texts, whose estimate isn't five standard errors
+    below the threshold."""
+    side = nodes.select("node", "digest", "n_shingles", "registers")
+    both = (pairs.join(side.toDF("a", "da", "na", "ra"), "a").join(side.toDF("b", "db", "nb", "rb"), "b")
             .where(F.least("na", "nb") >= F.lit(threshold) * F.greatest("na", "nb") - F.lit(1e-6)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,15 +208,15 @@ def _promising(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFram
             used = np.maximum(((ra > 0) | (rb > 0)).sum(axis=1), 1)
             floor = threshold - 5 * np.sqrt(threshold * (1 - threshold) / used) - 1 / used
             keep = pa.array(np.flatnonzero(estimate(ra, rb, na, nb) >= floor))
-            yield pa.RecordBatch.from_arrays([batch.column(c).take(keep) for c in ("a", "b", "na", "nb")], ["a", "b", "na", "nb"])
+            yield pa.RecordBatch.from_arrays([batch.column(c).take(keep) for c in ("a", "da", "b", "db", "na", "nb")], ["a", "da", "b", "db", "na", "nb"])
     kind = pairs.schema["a"].dataType.simpleString()
-    return both.mapInArrow(run, f"a {kind}, b {kind}, na long, nb long")
+    return both.mapInArrow(run, f"a {kind}, da binary, b {kind}, db binary, na long, nb long")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links on full sets: 100 * intersection >= percent * union, in integers."""
     common = F.size(F.array_intersect("sa", "sb"))
-    return (pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
+    return (pairs.join(sets.toDF("a", "da", "sa"), ["a", "da"]).join(sets.toDF("b", "db", "sb"), ["b", "db"])
             .where(100 * common >= percent * (F.col("na") + F.col("nb") - common)).select("a", "b"))
 
 
@@ -243,7 +245,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     members = stage_table(bands.join(shared, ["band", "bits"]).distinct(), "members")
     wanted = nodes.join(members.select("node").distinct(), "node").select("node", "digest")
     sets = stage_table(_sets(docs, stage_table(wanted, "wanted"), shingle_words, key, text)
-                       .dropDuplicates(["node"]), "sets")
+                       .dropDuplicates(["node", "digest"]), "sets")
     # A key with several texts is one node, linked to each text's class.
     links = full.join(classes, "digest").where("doc_id != node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
     multi = full.groupBy("doc_id").agg(F.min("digest").alias("x"), F.max("digest").alias("y")).where("x != y").select(F.col("doc_id").alias("a"))
@@ -288,10 +290,12 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
 
 def unique_documents(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
     """``docs`` with one row of each near-duplicate group (the smallest key; of
-    rows that repeat a key one), all columns kept. Rows with a null key stay."""
+    rows that repeat a key one, the first by its text's hash and then the other
+    columns'), all columns kept. Rows with a null key stay."""
     kept = near_duplicates(docs, key=key, **options).where("kept and doc_id is not null")
     kept = stage_table(kept.select(F.col("doc_id").alias("__kept")).distinct(), "kept")
     # Rows that repeat a key go first, before the shuffle; the join needs no other.
-    one = docs.where(F.col(key).isNotNull()).withColumn("__copy", F.row_number().over(Window.partitionBy(key).orderBy(key))).where("__copy = 1")
+    order = [F.xxhash64(F.col(options.get("text", "text"))), F.xxhash64(*[F.col(c) for c, t in docs.dtypes if "map<" not in t and "variant" not in t])]
+    one = docs.where(F.col(key).isNotNull()).withColumn("__copy", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where("__copy = 1")
     return (one.join(kept, F.col(key) == F.col("__kept"), "left_semi").drop("__copy")
             .unionByName(docs.where(F.col(key).isNull())))

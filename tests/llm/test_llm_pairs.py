@@ -116,6 +116,17 @@ def test_near_duplicates_of_empty_table(spark):
     assert near_dedup.near_duplicates(empty(spark), 5, 80).count() == 0
 
 
+def test_a_key_with_several_texts_keeps_the_links_of_each(spark):
+    rng = random.Random(36)
+    texts = [prose(rng, 200) for _ in range(6)]
+    rows = [(1, t) for t in texts] + [(2 + i, t + " and so on") for i, t in enumerate(texts)]
+    schema = "doc_id long, text string"
+    out = near_dedup.near_duplicates(spark.createDataFrame(rows, schema)).collect()
+    assert len(out) == 12 and {r.component_id for r in out} == {1}
+    kept = [near_dedup.unique_documents(spark.createDataFrame(r, schema).coalesce(1)).collect() for r in (rows, rows[::-1])]
+    assert len(kept[0]) == 1 and kept[0] == kept[1]
+
+
 def test_gear_bounds_move_with_the_content():
     rng = random.Random(8)
     text = prose(rng, 600)
