@@ -1,11 +1,12 @@
 """Toxicity by a weighted lexicon matched with Aho-Corasick.
 
 Texts are folded first: lower case, compatibility forms (full-width,
-mathematical letters), look-alike letters of other scripts and digit or sign
-substitutions become plain letters, marks and zero-width characters vanish, and
-everything else between words becomes one space. The lexicon holds whole words
-and word beginnings with weights; a hit inside an exception phrase doesn't
-count. The weighted hits, divided by the text's length in words, go through a
+mathematical letters, ligatures), look-alike letters of other scripts and digit
+or sign substitutions become plain letters, combining marks and invisible
+characters vanish (precomposed accents stay), and everything else between words
+becomes one space. The lexicon holds whole words and word beginnings with
+weights; a hit inside an exception phrase doesn't count. The weighted hits,
+divided by the text's length in words, go through a
 logistic curve. Lexicon, exceptions and curve are learned from a bounded sample
 of labelled rows (``labelled.SAMPLE_PER_CLASS``) or given.
 
@@ -29,32 +30,44 @@ from pyspark.sql import functions as F
 HOMOGLYPHS = dict(zip("авеһіјкӏмнорѕтухԁԛԝсαβεηικνορτυχω", "abehijklmhopstyxdqwcabenikvoptuxw"))
 #: Digits and signs that stand for letters.
 SUBSTITUTES = dict(zip("0134578@$", "oieastbas"))
-_LUT_SIZE = 0x20000
+#: Code points of the fold table: all planes with letters. Above are invisible signs, private use and nothing else.
+_LUT_SIZE = 0x33480
+_SIGNS = (0xE0000, 0xE0FFF)
+#: Folded code of characters that stand for several.
+_SEVERAL = 0x110000
 PREFIX_LETTERS = range(3, 11)
 LEAST_WEIGHT = 2.0
 MOST_ENTRIES = 2000
 
 
-def _fold_char(c: str) -> str:
-    c = unicodedata.normalize("NFKC", c)
-    c = c.lower() if len(c) == 1 else ""
-    if len(c) != 1:
-        return " "
-    c = SUBSTITUTES.get(c, HOMOGLYPHS.get(c, c))
-    if c.isalpha():
-        return c
-    return "\0" if unicodedata.category(c) in ("Mn", "Cf") else " "
+def _fold_char(c: str) -> int:
+    plain = [x for x in unicodedata.normalize("NFKC", c).lower() if unicodedata.category(x) not in ("Mn", "Cf")]
+    if len(plain) != 1:
+        return _SEVERAL if plain else 0
+    c = SUBSTITUTES.get(plain[0], HOMOGLYPHS.get(plain[0], plain[0]))
+    return ord(c) if c.isalpha() else 32
 
 
 def fold_table() -> np.ndarray:
     """Code point to folded code point; 0 is dropped, 32 separates words."""
-    return np.array([ord(_fold_char(chr(c))) for c in range(_LUT_SIZE)], np.uint32)
+    return np.array([_fold_char(chr(c)) for c in range(_LUT_SIZE)], np.uint32)
+
+
+def _look_up(text: str, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    raw = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    code = table[np.minimum(raw, _LUT_SIZE - 1)]
+    high = raw >= _LUT_SIZE
+    if high.any():
+        code[high] = np.where((raw[high] >= _SIGNS[0]) & (raw[high] <= _SIGNS[1]), 0, 32)
+    return raw, code
 
 
 def fold(text: str, table: np.ndarray) -> str:
     """The folded text: words with one space before and after each."""
-    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    code = table[np.minimum(code, _LUT_SIZE - 1)]
+    raw, code = _look_up(text, table)
+    several = np.unique(raw[code == _SEVERAL]).tolist()
+    if several:
+        code = _look_up(text.translate({c: unicodedata.normalize("NFKC", chr(c)) for c in several}), table)[1]
     code = np.concatenate([[np.uint32(32)], code[code > 0], [np.uint32(32)]]).astype("<u4")
     space = code == 32
     twice = space[1:] & space[:-1]

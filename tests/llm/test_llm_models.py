@@ -37,6 +37,15 @@ def test_fold_sees_through_disguises():
     assert toxicity.fold("", table) == " " and toxicity.fold("été\ud800", table).startswith(" été")
 
 
+def test_fold_of_invisible_high_and_joined_characters():
+    table = toxicity.fold_table()
+    for text in ("id\U000E0101iot", "id\U000E0069\U000E007Fiot", "id\U000E01EFiot", "\u2170diot", "idi\u1d52t", "\u0130diot"):
+        assert toxicity.fold(f"you, {text}!", table) == " you idiot ", text
+    assert toxicity.fold("o\ufb01cer \ufb04y \u2171 \u338f", table) == " oficer ffly ii kg "
+    assert toxicity.fold("\U00020001\U0002f800 \U000F0000x\U0010FFFFy", table) == " \U00020001\u4e3d x y "
+
+
+
 def test_hits_respect_words_prefixes_and_exceptions():
     lexicon = toxicity.Lexicon({"trash": 2.0, "clown": 1.0}, {"stup": 1.5}, ["trash can", "clown fish"])
     a, table = lexicon.automaton(), toxicity.fold_table()
