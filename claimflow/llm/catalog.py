@@ -6,9 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimflow.llm import (decontaminate, language_id, mixing, near_dedup, packing, quality, substring_dedup, topk,
+from claimflow.llm import (decontaminate, language_id, merkle, mixing, near_dedup, packing, quality, substring_dedup, topk,
                            toxicity, url_filter)
-from claimflow.llm.common import held_out, read
+from claimflow.llm.common import crc_mod, held_out, read
 from claimflow.llm.labelled import labelled_sample
 
 #: The URL rules, as (action, host, path).
@@ -68,14 +68,37 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.deduplicate_substrings(read(spark, sf_dir, "documents"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    cut = F.coalesce(crc_mod("doc_id", 2) == 0, F.lit(False)) & F.contains("text", F.lit("\n"))
+    seen = {"text": F.when(cut, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))}
+    return merkle.manifest(docs, ["doc_id", "source", "lang", "n_chars", "text"], seen=seen)
+
+
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_decontaminate, op3_mixing, op4_topk, op5_near_dedup, op6_language_id,
-                                   op7_packing, op8_url_filter, op9_quality, op10_substring_dedup)}
+                                   op7_packing, op8_url_filter, op9_quality, op10_substring_dedup, op11_merkle)}
 
 
 def _sql(pattern: str) -> str:
     return "'" + pattern.replace('\\"', '"').replace("'", "''") + "'"
 
 
+def _crc32(byte_list: str) -> str:
+    """CRC-32 of a list of byte values; ``crc`` holds the 256 table entries."""
+    return (f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {byte_list}), "
+            "lambda c, b: xor(c >> 8, crc.t[CAST(xor(c, b) & 255 AS INTEGER) + 1])), 4294967295)")
+
+
+_CRC_TABLE = """crc AS (SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, [0, 0, 0, 0, 0, 0, 0, 0]),
+    lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t)"""
+_DIGITS = "list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(unicode(x) AS BIGINT))"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+                                   for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE = {
@@ -142,4 +165,26 @@ says AS (SELECT a AS node, max(CASE action WHEN 'allow' THEN 2 WHEN 'block' THEN
 SELECT page_id, coalesce(n.host, '') AS host, coalesce(n.path, '') AS path, best.rule AS rule,
     coalesce(action, CASE WHEN say = 1 THEN 'block' END, 'allow') AS verdict
 FROM pages p LEFT JOIN nodes n ON n.url IS NOT DISTINCT FROM p.url LEFT JOIN best ON best.url = p.url LEFT JOIN says ON says.node = n.node""",
+    "op11_merkle": f"""
+WITH RECURSIVE {_CRC_TABLE},
+leaves AS (SELECT doc_id, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, {_leaf('text')} AS leaf,
+    {_leaf(f"CASE WHEN {_crc32(_DIGITS)} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END")} AS seen FROM documents, crc),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM leaves),
+nodes(tree, lev, pos, h, n) AS (SELECT tree, 0, pos, leaf, n FROM ranked UNION ALL
+    SELECT tree, any_value(lev) + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), any_value((n + 2) // 3) FROM nodes WHERE n > 1 GROUP BY tree, pos // 3),
+runs AS (SELECT tree, lev, pos // 3 AS parent, list(h ORDER BY pos) AS hs FROM nodes WHERE n > 1 GROUP BY ALL),
+walk(doc_id, tree, leaf, lev, pos, n, h, sib) AS (SELECT doc_id, tree, leaf, 0, pos, n, seen, '' FROM ranked UNION ALL
+    SELECT doc_id, w.tree, leaf, w.lev + 1, pos // 3, (n + 2) // 3,
+        sha256(array_to_string(hs[:pos % 3] || [h] || hs[pos % 3 + 2:], '')), sib || array_to_string(hs[:pos % 3] || hs[pos % 3 + 2:], '')
+    FROM walk w JOIN runs r ON r.tree = w.tree AND r.lev = w.lev AND r.parent = w.pos // 3 WHERE n > 1),
+subroots AS (SELECT tree AS pos, h, count(*) OVER () AS n FROM nodes WHERE n = 1),
+upper_nodes(lev, pos, h, n) AS (SELECT 0, pos, h, n FROM subroots UNION ALL
+    SELECT any_value(lev) + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), any_value((n + 2) // 3) FROM upper_nodes WHERE n > 1 GROUP BY pos // 3),
+upper_runs AS (SELECT lev, pos // 3 AS parent, list(h ORDER BY pos) AS hs FROM upper_nodes WHERE n > 1 GROUP BY ALL),
+upper_walk(doc_id, tree, leaf, lev, pos, n, h, sib) AS (SELECT doc_id, tree, leaf, 0, w.tree, s.n, w.h, sib FROM walk w JOIN subroots s ON s.pos = w.tree WHERE w.n = 1 UNION ALL
+    SELECT doc_id, tree, leaf, w.lev + 1, pos // 3, (n + 2) // 3,
+        sha256(array_to_string(hs[:pos % 3] || [h] || hs[pos % 3 + 2:], '')), sib || array_to_string(hs[:pos % 3] || hs[pos % 3 + 2:], '')
+    FROM upper_walk w JOIN upper_runs r ON r.lev = w.lev AND r.parent = w.pos // 3 WHERE n > 1)
+SELECT doc_id, leaf, s.h AS subroot, t.h AS root, sha256(sib) AS proof_sha256, w.h AS folded_root, w.h = t.h AS verified
+FROM upper_walk w JOIN subroots s ON s.pos = w.tree JOIN upper_nodes t ON t.n = 1 WHERE w.n = 1""",
 }
