@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimflow.llm import (decontaminate, language_id, merkle, mixing, near_dedup, packing, quality, substring_dedup, topk,
-                           toxicity, url_filter)
+from claimflow.llm import (decontaminate, language_id, line_dedup, merkle, mixing, near_dedup, packing, quality, spelling,
+                           substring_dedup, topk, toxicity, url_filter)
 from claimflow.llm.common import crc_mod, held_out, read
 from claimflow.llm.labelled import labelled_sample
 
@@ -75,8 +75,21 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(docs, ["doc_id", "source", "lang", "n_chars", "text"], seen=seen)
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.occurrences(read(spark, sf_dir, "documents"), slip=31)
+    return spelling.variants(words, least_count=2, ratio=10).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    index = line_dedup.insert(line_dedup.new_index(spark, least=10, least_chars=1), docs)
+    kept = line_dedup.drop_repeated_lines(docs, index)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_decontaminate, op3_mixing, op4_topk, op5_near_dedup, op6_language_id,
-                                   op7_packing, op8_url_filter, op9_quality, op10_substring_dedup, op11_merkle)}
+                                   op7_packing, op8_url_filter, op9_quality, op10_substring_dedup, op11_merkle, op12_spelling,
+                                   op13_line_dedup)}
 
 
 def _sql(pattern: str) -> str:
@@ -187,4 +200,26 @@ upper_walk(doc_id, tree, leaf, lev, pos, n, h, sib) AS (SELECT doc_id, tree, lea
     FROM upper_walk w JOIN upper_runs r ON r.lev = w.lev AND r.parent = w.pos // 3 WHERE n > 1)
 SELECT doc_id, leaf, s.h AS subroot, t.h AS root, sha256(sib) AS proof_sha256, w.h AS folded_root, w.h = t.h AS verified
 FROM upper_walk w JOIN subroots s ON s.pos = w.tree JOIN upper_nodes t ON t.n = 1 WHERE w.n = 1""",
+    "op12_spelling": rf"""
+WITH RECURSIVE {_CRC_TABLE},
+low AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS k, {_LOWER.format('r')} AS w
+    FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS r FROM documents) WHERE length(r) >= 7),
+hashed AS (SELECT w, {_crc32("flatten(list_transform(string_split(k || ':' || w, ''), lambda x: CASE WHEN unicode(x) < 128 THEN [CAST(unicode(x) AS BIGINT)] ELSE [195, CAST(unicode(x) - 64 AS BIGINT)] END))")} AS h FROM low, crc),
+slipped AS (SELECT CASE WHEN h % 31 = 0 THEN substring(w, 1, CAST(h % length(w) AS BIGINT)) || substring(w, CAST(h % length(w) AS BIGINT) + 2) ELSE w END AS word FROM hashed),
+words AS (SELECT word, count(*) AS n FROM slipped WHERE length(word) >= 7 GROUP BY word HAVING count(*) >= 2),
+dels AS (SELECT word, i, substring(word, 1, i - 1) || substring(word, i + 1) AS d FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (SELECT a.word AS x, b.word AS y FROM dels a JOIN dels b ON a.d = b.d AND a.i = b.i AND a.word <> b.word
+    UNION SELECT a.word, b.word FROM dels a JOIN words b ON a.d = b.word UNION SELECT b.word, a.word FROM dels a JOIN words b ON a.d = b.word),
+near AS (SELECT x AS word, count(*) AS n_near, first(y ORDER BY n DESC, y) AS y, max(n) AS m FROM pairs JOIN words ON word = y GROUP BY x),
+forms AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 10 * n THEN y END AS form, CASE WHEN m >= 10 * n THEN m END AS form_n
+    FROM words w LEFT JOIN near USING (word)),
+steps(word, last) AS (SELECT word, word FROM words UNION ALL SELECT s.word, f.form FROM steps s JOIN forms f ON f.word = s.last WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, s.last AS root, f.n, f.n_near, f.form_n
+FROM forms f JOIN steps s USING (word) JOIN forms e ON e.word = s.last WHERE e.form IS NULL""",
+    "op13_line_dedup": f"""
+WITH lines AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents),
+keyed AS (SELECT *, {_LOWER.format("trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")} AS key FROM lines),
+often AS (SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(o.key) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE o.key IS NULL), '')) AS kept_sha256
+FROM keyed k LEFT JOIN often o USING (key) GROUP BY doc_id""",
 }

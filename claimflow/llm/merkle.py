@@ -13,7 +13,8 @@ third of all rows is spread. A task takes whole chunks of ``3 ** LEVELS``
 neighbours and climbs ``LEVELS`` levels in them, all nodes of a level at once in
 numpy; then the chunks' tops are the leaves of the next layer. What lies above
 a chunk is a path of steps (state, slot, size, siblings) that is joined to the
-chunk's leaves. No group is larger than a chunk, and only counts reach the driver.
+chunk's leaves. No group is larger than a chunk, and only counts and the root reach
+the driver.
 """
 
 from __future__ import annotations
@@ -317,11 +318,10 @@ def manifest(docs: DataFrame, fields: list[str], key: str = "doc_id", group: str
     # The groups' roots are the leaves of one more tree.
     nodes = tops.select(F.lit(0).cast("long").alias("tree"), F.col("tree").alias("place"), F.lit(n_groups).cast("long").alias("n"), "digest")
     last, upper = _climb_all(nodes, n_groups, 0, "groups")
-    roots = last.select(F.col("tree").alias("t"), F.col("digest").alias("root"))
+    root = last.first()
     own = _paths(upper, last.select("tree", F.lit(b"").alias("path"))).select(F.col("place").alias("tree"), "path")
-    subroots = (tops.select(F.col("tree"), F.col("digest").alias("subroot")).join(own, "tree")
-                .join(roots, F.col("t") == 0).select("tree", "subroot", "root", "path"))
-    subroots = stage_table(subroots, "subroots")
+    subroots = stage_table(tops.select("tree", F.col("digest").alias("subroot")).join(own, "tree")
+                           .select("tree", "subroot", F.lit(bytes(root["digest"]) if root else None).cast("binary").alias("root"), "path"), "subroots")
     above = stage_table(_paths(layers, subroots).join(subroots.select("tree", "subroot", "root"), "tree")
                         .withColumnRenamed("place", "chunk"), "paths")
     ended = (bottom.select("tree", "chunk", "rest", "digest", "folded", "proof", "blocks").join(above, ["tree", "chunk"])
