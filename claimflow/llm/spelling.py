@@ -9,10 +9,11 @@ parts; leaving out every choice of so many parts gives signatures of which two
 such words share at least one, exactly. Words that share a signature meet in an
 equi-join and are verified by their edit distance.
 
-Variants of ``LEAST_LENGTH`` letters or more also agree in their first three
-letters or in their last three (one edit can't touch both), so each signature
-comes twice, with either end: words of the same letters in another order, which
-the multiset can't tell apart, then rarely meet.
+With m letters in the shorter one, variants also agree in the first half of m or
+in the last (one edit can't touch both), so each signature comes with m and either
+half: words of like letters in another order, which the multiset can't tell apart,
+then rarely meet. A word is the shorter one of its variants or one letter longer,
+so it signs with its length and with one less.
 
 Scale: occurrences are counted by an aggregation with partial counts; all the rest
 is about distinct words. A signature's words are joined, not gathered, and only
@@ -21,6 +22,7 @@ verified pairs leave the join.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -32,9 +34,8 @@ from pyspark.sql import functions as F
 from claimflow.llm.common import mix, rows_of, slices, stage_table
 
 DISTANCE = 2
-FIRST, SECOND = 1, 6
+FIRST, SECOND = 1, 4
 LEAST_LENGTH = 7
-END = 3                     # letters at either end; 2 * END < LEAST_LENGTH
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RUN = r"[A-Za-zÀ-ÿ]{%d,}+"
 
@@ -56,7 +57,7 @@ def occurrences(docs: DataFrame, slip: int = 0, key: str = "doc_id", text: str =
 
 
 def signatures(words: list[str], first: int = FIRST, second: int = SECOND) -> np.ndarray:
-    """One row of 64-bit signatures per word (without the ends)."""
+    """One row of 64-bit signatures per word (without length and half)."""
     size = np.array([len(w) for w in words], np.int64)
     row = rows_of(np.concatenate([[0], np.cumsum(size)]))
     code = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.uint64)
@@ -78,29 +79,32 @@ def signatures(words: list[str], first: int = FIRST, second: int = SECOND) -> np
     return np.stack(out, axis=1)
 
 
+def signature_rows(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures with length and half: (word number, signature), one row each."""
+    plain, at, out = signatures(words), [], []
+    for less in (0, 1):
+        use = np.array([i for i, w in enumerate(words) if len(w) - less >= LEAST_LENGTH], np.int64)
+        sizes = [len(words[i]) - less for i in use]
+        halves = [np.array([zlib.crc32(f"{end}{m}:{half(words[i], m)}".encode()) for i, m in zip(use, sizes)], np.uint64)[:, None]
+                  for end, half in (("first", lambda w, m: w[:(m + 1) // 2]), ("last", lambda w, m: w[-(m // 2):]))]
+        signed = mix(np.concatenate([plain[use] + h for h in halves], axis=1))
+        at.append(np.repeat(use, signed.shape[1]))
+        out.append(signed.ravel())
+    return np.concatenate(at), np.concatenate(out)
+
+
 def _signed(words: DataFrame) -> DataFrame:
-    """``sig, word, n``: two rows per word and signature, one for either end."""
+    """``sig, word, n``: one row per word and signature."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "word"):
-                texts = part.column("word").to_pylist()
-                sigs = signatures(texts)
-                ends = [np.array([hash_text(t) for t in x], np.uint64)[:, None] for x in ([w[:END] for w in texts], [w[-END:] for w in texts])]
-                both = np.concatenate([mix(sigs + ends[0]), mix(sigs + mix(ends[1]))], axis=1)
-                take = pa.array(np.repeat(np.arange(len(texts)), both.shape[1]))
-                yield pa.RecordBatch.from_arrays([pa.array(both.view(np.int64).ravel()), part.column("word").take(take), part.column("n").take(take)],
+                at, sigs = signature_rows(part.column("word").to_pylist())
+                take = pa.array(at)
+                yield pa.RecordBatch.from_arrays([pa.array(sigs.view(np.int64)), part.column("word").take(take), part.column("n").take(take)],
                                                  ["sig", "word", "n"])
     return words.select("word", "n").mapInArrow(run, "sig long, word string, n long")
 
 
-def hash_text(text: str) -> int:
-    """A number for a text of up to three code points."""
-    value = 0
-    for c in text:
-        value = (value << 21) | ord(c)
-    return value
-
-
 def near_pairs(words: DataFrame) -> DataFrame:
     """``word, n, near, near_n``, both ways: distinct words of ``words(word, n)``
     that differ by one inserted, deleted or replaced code point."""

@@ -48,6 +48,12 @@ def test_signatures_of_variants_meet():
         for w, x, a, b in zip(words, others, spelling.signatures(words, first, second), spelling.signatures(others, first, second)):
             if one_apart(w, x):
                 assert (a == b).any(), (w, x)
+    words += ["abcdefg", "abcdefgh"]
+    others += ["abcdxfg", "bcdefgh"]
+    for w, x in zip(words, others):
+        if one_apart(w, x) and min(len(w), len(x)) >= 7:
+            at, sigs = spelling.signature_rows([w, x])
+            assert set(sigs[at == 0].tolist()) & set(sigs[at == 1].tolist()), (w, x)
 
 
 def test_variants_equal_all_pairs(spark):
