@@ -7,6 +7,7 @@ slice of whole texts (``SLICE_BYTES``; one longer text is a slice of its own).
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from claimflow.session import scratch_path
 
 SLICE_BYTES = 500_000
+LONG_WORD = 256
 
 #: Odd multiplier of the rolling word hash and the constants of a 64-bit mixer.
 _P = np.uint64(0x9E3779B97F4A7C15)
@@ -53,6 +55,15 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete written stages that nothing reads any more."""
+    for df in tables:
+        jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
@@ -78,6 +89,28 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         lo = hi
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...], least_rows: int = 2_000) -> Iterator[pa.RecordBatch]:
+    """Batches sorted by ``keys``, regrouped so that none cuts a group."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        if sum(b.num_rows for b in held) < least_rows:
+            continue
+        rows = pa.concat_batches(held)
+        differ = np.zeros(rows.num_rows, bool)
+        for k in keys:
+            column = np.asarray(rows.column(k))
+            differ |= column != column[-1]
+        cut = int(np.flatnonzero(differ)[-1]) + 1 if differ.any() else 0
+        if cut:
+            yield rows.slice(0, cut)
+        held = [rows.slice(cut)]
+    if held:
+        yield pa.concat_batches(held)
+
+
 def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of an Arrow string array and the n + 1 row offsets; null is empty."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
@@ -132,7 +165,11 @@ def word_hashes(buf: np.ndarray, w: Words, seed: int = 0) -> np.ndarray:
     up, down = _power_tables(max(len(buf), SLICE_BYTES) + 1)
     total = np.zeros(len(buf) + 1, np.uint64)
     np.cumsum(_BYTE_VALUE[buf] * up[:len(buf)], out=total[1:])
-    return mix((total[w.end] - total[w.start]) * down[w.start] + (w.end - w.start).astype(np.uint64) + np.uint64(seed))
+    plain = (total[w.end] - total[w.start]) * down[w.start] + (w.end - w.start).astype(np.uint64)
+    # Long words can be made to collide in a sum modulo 2^64: they get a digest.
+    for i in np.flatnonzero(w.end - w.start > LONG_WORD).tolist():
+        plain[i] = int.from_bytes(hashlib.blake2b(buf[w.start[i]:w.end[i]].data, digest_size=8).digest(), "little")
+    return mix(plain + np.uint64(seed))
 
 
 def rows_of(bounds: np.ndarray) -> np.ndarray:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimflow.llm.common import stage_table
+from claimflow.llm.common import stage_table, whole_groups
 from claimflow.operators.ranges import running_sums
 
 RUN = 3                # children of a parent
@@ -173,23 +173,6 @@ def _levels(n: np.ndarray) -> np.ndarray:
     return out
 
 
-def _whole_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted rows, regrouped so that no chunk is cut."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        held.append(batch)
-        if sum(b.num_rows for b in held) < BUFFER_ROWS:
-            continue
-        rows = pa.concat_batches(held)
-        tree, chunk = (np.asarray(rows.column(c)) for c in ("tree", "chunk"))
-        cut = int(np.flatnonzero((tree != tree[-1]) | (chunk != chunk[-1]))[-1:].sum() + 1) if (tree[0], chunk[0]) != (tree[-1], chunk[-1]) else 0
-        if cut:
-            yield rows.slice(0, cut)
-        held = [rows.slice(cut)]
-    if held and sum(b.num_rows for b in held):
-        yield pa.concat_batches(held)
-
-
 def _layer(nodes: DataFrame, done: int, leaves: bool) -> DataFrame:
     """Climb from ``nodes`` (tree, place, n, digest, and ``rest``, ``seen`` of
     leaves) inside their chunks. Adds ``chunk`` and ``top``; leaves get the fold
@@ -198,7 +181,7 @@ def _layer(nodes: DataFrame, done: int, leaves: bool) -> DataFrame:
     rest = nodes.schema["rest"].dataType if leaves else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _whole_chunks(batches):
+        for rows in whole_groups(batches, ("tree", "chunk"), BUFFER_ROWS):
             tree, chunk, place, n = (np.asarray(rows.column(c)) for c in ("tree", "chunk", "place", "n"))
             new = np.ones(len(tree), bool)
             new[1:] = (tree[1:] != tree[:-1]) | (chunk[1:] != chunk[:-1])

@@ -12,12 +12,15 @@ with 6e-11). A candidate pair's registers give a Jaccard estimate, corrected for
 chance collisions of the compressed registers; pairs whose estimate lies five
 standard errors under the threshold go, the others are confirmed on full sets.
 
-Scale: documents with equal sets are one class from the start, so copies are
-never paired. Buckets are never gathered: in each round every unresolved bucket
-picks pivots (pre-aggregated minima) and its members meet the pivots in an
-equi-join. Links join components; a bucket ends when all members left are in
-one component, and pivots leave it once compared, so in the end every two
-members of a bucket are compared or already in one component.
+Scale: documents with equal sets are one node from the start, so copies are never
+paired. First every node is compared with the smallest node among its buckets; the
+links join components, and a bucket whose members are in one component is done.
+The members of the others are laid out in blocks of bounded size, ordered by
+component, and every two blocks that meet in a bucket are one task, which compares
+their nodes exactly and returns a spanning forest of the links, one row per node
+at most. So pairs are never rows, a text is sent once per pair of blocks and not
+once per band, and nothing is capped. Tables that later steps don't read are
+deleted as the work goes on.
 """
 
 from __future__ import annotations
@@ -30,13 +33,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimflow.llm.common import (LOWER, NON_SPACE, flat, mix, rows_of, slices, stage_table, word_hashes,
+from claimflow.llm.common import (LOWER, NON_SPACE, discard, flat, mix, rows_of, slices, stage_table, whole_groups, word_hashes,
                                   words)
 from claimflow.llm.components import connected_components
+from claimflow.operators.ranges import running_sums
 
 REGISTERS = 192
 MANTISSA_BITS = 10
 ROWS_PER_BAND = 6
+BLOCK_SHINGLES = 400_000    # shingles of the texts in one block
 
 
 def shingle_sets(batch: pa.RecordBatch, column: str, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -143,81 +148,148 @@ def estimate(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np
 
 
 def signatures(docs: DataFrame, n: int, key: str, text: str) -> DataFrame:
-    """``doc_id, n_shingles, digest, registers``: one row per document;
-    ``digest`` is 128 bits of the set, null for an empty one."""
+    """``doc_id, h, n_shingles, digest, bands``: one row per document; ``h``
+    hashes the text, ``digest`` is 128 bits of the set, null for an empty one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 hashes, bounds = shingle_sets(part, "text", n)
-                regs = registers(hashes, bounds)
+                keys = band_keys(registers(hashes, bounds))
+                # The band's number goes into the key, so that bands never mix.
+                keys = mix(keys.view(np.uint64) + np.arange(keys.shape[1], dtype=np.uint64)).view(np.int64)
                 ends = bounds.tolist()
                 digests = [hashlib.blake2b(hashes[a:b].data, digest_size=16).digest() if b > a else None
                            for a, b in zip(ends, ends[1:])]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(np.diff(bounds), pa.int64()), pa.array(digests, pa.binary()),
-                     pa.array([r.tobytes() for r in regs], pa.binary())],
-                    ["doc_id", "n_shingles", "digest", "registers"])
+                bands = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1, dtype=np.int32) * keys.shape[1]), pa.array(keys.ravel()))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("h"), pa.array(np.diff(bounds), pa.int64()),
+                                                  pa.array(digests, pa.binary()), bands], ["doc_id", "h", "n_shingles", "digest", "bands"])
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        run, f"doc_id {kind}, n_shingles long, digest binary, registers binary")
-
-
-def _bands(nodes: DataFrame) -> DataFrame:
-    """``band, bits, node``: one row per node and band."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = band_keys(np.frombuffer(b"".join(batch.column("registers").to_pylist()), np.uint16).reshape(-1, REGISTERS))
-            row = np.repeat(np.arange(len(keys)), keys.shape[1])
-            band = np.tile(np.arange(keys.shape[1], dtype=np.int32), len(keys))
-            yield pa.RecordBatch.from_arrays([pa.array(band), pa.array(keys.ravel()), batch.column("node").take(pa.array(row))],
-                                             ["band", "bits", "node"])
-    kind = nodes.schema["node"].dataType.simpleString()
-    return nodes.select("node", "registers").mapInArrow(run, f"band int, bits long, node {kind}")
-
-
-def _sets(docs: DataFrame, nodes: DataFrame, n: int, key: str, text: str) -> DataFrame:
-    """``node, digest, shingles``: full sets of the given nodes, of each of their texts."""
-    wanted = docs.select(F.col(key).alias("node"), F.col(text).alias("text")).join(nodes, "node")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                hashes, bounds = shingle_sets(part, "text", n)
-                ends = bounds.tolist()
-                mine = [hashlib.blake2b(hashes[a:b].data, digest_size=16).digest() if b > a else None
-                        for a, b in zip(ends, ends[1:])]
-                keep = [i for i, (d, want) in enumerate(zip(mine, part.column("digest").to_pylist())) if d == want]
-                sets = pa.array([hashes[bounds[i]:bounds[i + 1]].view(np.int64) for i in keep], pa.list_(pa.int64()))
-                take = pa.array(keep, pa.int64())
-                yield pa.RecordBatch.from_arrays([part.column("node").take(take), part.column("digest").take(take), sets], ["node", "digest", "shingles"])
-    kind = nodes.schema["node"].dataType.simpleString()
-    return wanted.mapInArrow(run, f"node {kind}, digest binary, shingles array<long>")
-
-
-def _promising(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
-    """Pairs, of each of their texts, whose estimate isn't five standard errors
-    below the threshold."""
-    side = nodes.select("node", "digest", "n_shingles", "registers")
-    both = (pairs.join(side.toDF("a", "da", "na", "ra"), "a").join(side.toDF("b", "db", "nb", "rb"), "b")
-            .where(F.least("na", "nb") >= F.lit(threshold) * F.greatest("na", "nb") - F.lit(1e-6)))
-
+    return docs.select(F.col(key).alias("doc_id"), F.xxhash64(F.col(text)).alias("h"), F.col(text).alias("text")).mapInArrow(
+        run, f"doc_id {kind}, h long, n_shingles long, digest binary, bands array<long>")
+
+
+def forest(node: np.ndarray, component: np.ndarray, side: np.ndarray, hashes: np.ndarray, bounds: np.ndarray, percent: int) -> list:
+    """Links that join components: a spanning forest of all links between the two
+    sides (or, without a second side, among all nodes), confirmed on full sets.
+
+    Each node of the first side is compared at once with all that are not yet in
+    its component: by size, by the registers' estimate (five standard errors
+    below the threshold are let through), then exactly."""
+    threshold, size, regs = percent / 100, np.diff(bounds), registers(hashes, bounds)
+    label = np.unique(component, return_inverse=True)[1]
+    shingle = np.unique(hashes, return_inverse=True)[1]
+    marked, links = np.zeros(shingle.max(initial=-1) + 1, bool), []
+    second = np.flatnonzero(side == 1)
+    for i in np.flatnonzero(side == 0).tolist():
+        other = second if len(second) else np.arange(i + 1, len(node))
+        other = other[label[other] != label[i]]
+        other = other[100 * np.minimum(size[other], size[i]) >= percent * np.maximum(size[other], size[i])]
+        if not len(other):
+            continue
+        mine = np.broadcast_to(regs[i], (len(other), REGISTERS))
+        used = np.maximum(((mine > 0) | (regs[other] > 0)).sum(axis=1), 1)
+        floor = threshold - 5 * np.sqrt(threshold * (1 - threshold) / used) - 1 / used
+        other = other[estimate(mine, regs[other], np.full(len(other), size[i], np.float64), size[other].astype(np.float64)) >= floor]
+        if not len(other):
+            continue
+        marked[shingle[bounds[i]:bounds[i + 1]]] = True
+        if len(other) <= 16:
+            common = np.array([np.count_nonzero(marked[shingle[bounds[j]:bounds[j + 1]]]) for j in other.tolist()])
+        else:
+            total = np.concatenate([[0], np.cumsum(marked[shingle])])
+            common = total[bounds[other + 1]] - total[bounds[other]]
+        marked[shingle[bounds[i]:bounds[i + 1]]] = False
+        for j in other[100 * common >= percent * (size[i] + size[other] - common)].tolist():
+            if label[j] != label[i]:
+                label[label == label[j]] = label[i]
+                links.append((int(node[i]), int(node[j])))
+    return links
+
+
+def _links(tasks: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """``a, b``: the forests of all tasks. ``tasks(x, y, side, node, component)``
+    names the nodes that meet in task (x, y)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ra, rb = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, REGISTERS) for c in ("ra", "rb"))
-            na, nb = (np.asarray(batch.column(c), dtype=np.float64) for c in ("na", "nb"))
-            used = np.maximum(((ra > 0) | (rb > 0)).sum(axis=1), 1)
-            floor = threshold - 5 * np.sqrt(threshold * (1 - threshold) / used) - 1 / used
-            keep = pa.array(np.flatnonzero(estimate(ra, rb, na, nb) >= floor))
-            yield pa.RecordBatch.from_arrays([batch.column(c).take(keep) for c in ("a", "da", "b", "db", "na", "nb")], ["a", "da", "b", "db", "na", "nb"])
-    kind = pairs.schema["a"].dataType.simpleString()
-    return both.mapInArrow(run, f"a {kind}, da binary, b {kind}, db binary, na long, nb long")
-
-
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links on full sets: 100 * intersection >= percent * union, in integers."""
-    common = F.size(F.array_intersect("sa", "sb"))
-    return (pairs.join(sets.toDF("a", "da", "sa"), ["a", "da"]).join(sets.toDF("b", "db", "sb"), ["b", "db"])
-            .where(100 * common >= percent * (F.col("na") + F.col("nb") - common)).select("a", "b"))
+        for rows in whole_groups(batches, ("x", "y")):
+            x, y, node, component, side = (np.asarray(rows.column(c)) for c in ("x", "y", "node", "component", "side"))
+            parts = [shingle_sets(part, "text", n) for part in slices(rows.select(["text"]), "text")]
+            hashes = np.concatenate([h for h, _ in parts])
+            bounds = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(b) for _, b in parts]))])
+            cuts = np.flatnonzero(np.concatenate([[True], (x[1:] != x[:-1]) | (y[1:] != y[:-1]), [True]]))
+            found = []
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                found += forest(node[a:b], component[a:b], side[a:b], hashes[bounds[a]:bounds[b]], bounds[a:b + 1] - bounds[a], percent)
+            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], ["a", "b"])
+    sent = tasks.join(texts, "node").select("x", "y", "side", "node", "component", "text")
+    return sent.repartition("x", "y").sortWithinPartitions("x", "y", "side", "node").mapInArrow(run, "a long, b long")
+
+
+def _first_tasks(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Every node meets the smallest node among its buckets; the nodes that meet
+    the same one are dealt to tasks of about ``BLOCK_SHINGLES`` shingles."""
+    meets = stage_table(members.groupBy("node").agg(F.min("low").alias("x")).where("x < node").join(nodes.select("node", "n"), "node"), "meets")
+    parts = meets.groupBy("x").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("parts"))
+    alone = F.col("node").alias("component")
+    second = meets.join(parts, "x").select("x", F.pmod(F.xxhash64("node"), F.col("parts")).alias("y"), F.lit(1).alias("side"), "node", alone)
+    first = parts.select("x", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("y"), F.lit(0).alias("side"),
+                         F.col("x").alias("node"), F.col("x").alias("component"))
+    tasks = stage_table(second.unionByName(first), "first-tasks")
+    discard(meets)
+    return tasks
+
+
+def _block_tasks(members: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Every two blocks that meet in a bucket of several components: the nodes
+    that bring them together, but not two blocks of one and the same component."""
+    labelled = members.select("key", "node").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    labelled = stage_table(labelled, "labelled-members")
+    unsettled = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
+    unsettled = stage_table(labelled.join(unsettled, "key"), "unsettled")
+    laid = unsettled.select("node", "component").distinct().join(nodes.select("node", "n"), "node")
+    laid = running_sums(laid, [F.col("component"), F.col("node")], ["n"], name="near-blocks")
+    laid = stage_table(laid.select("node", F.expr(f"cum_n div {BLOCK_SHINGLES}").alias("block")), "blocks")
+    placed = stage_table(unsettled.join(laid, "node"), "placed-members")
+    held = placed.groupBy("key", F.col("block").alias("other")).agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    met = placed.join(held, "key").where(~((F.col("lo") == F.col("component")) & (F.col("hi") == F.col("component"))))
+    tasks = met.select(F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),
+                       (F.col("block") > F.col("other")).cast("int").alias("side"), "node", "component").distinct()
+    tasks = stage_table(tasks, "block-tasks")
+    discard(labelled, unsettled, laid, placed)
+    return tasks
+
+
+def _linked(docs: DataFrame, n: int, percent: int, key: str, text: str, by_key: bool) -> tuple[DataFrame, DataFrame]:
+    """Signatures of all rows, and ``digest, component`` of every set: an id that
+    linked sets share. With ``by_key`` the sets of one key are linked, too."""
+    sig = stage_table(signatures(docs, n, key, text), "signatures")
+    full = sig.where("digest is not null and doc_id is not null")
+    one = F.min(F.struct("doc_id", "h", "n_shingles", "bands")).alias("one")
+    nodes = stage_table(full.groupBy("digest").agg(one).select(
+        F.monotonically_increasing_id().alias("node"), "digest", "one.doc_id", "one.h", F.col("one.n_shingles").alias("n"), "one.bands"), "nodes")
+    banded = nodes.select(F.explode("bands").alias("key"), "node")
+    shared = stage_table(banded.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("key", "low"), "buckets")
+    members = stage_table(banded.join(shared, "key"), "members")
+    wanted = stage_table(nodes.join(members.select("node").distinct(), "node").select("node", F.col("doc_id").alias("k"), F.col("h").alias("kh")), "wanted")
+    plain = docs.select(F.col(key).alias("k"), F.xxhash64(F.col(text)).alias("kh"), F.col(text).alias("text"))
+    texts = stage_table(plain.join(wanted, ["k", "kh"]).select("node", "text").dropDuplicates(["node"]), "texts")
+    tasks = _first_tasks(members, nodes)
+    found = stage_table(_links(tasks, texts, n, percent), "links")
+    discard(tasks, shared, wanted)
+    if by_key:          # a key with several sets joins them
+        low = full.join(nodes.select("digest", "node"), "digest").groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a < z")
+        own = full.join(low, "doc_id").join(nodes.select("digest", F.col("node").alias("b")), "digest").where("a != b").select("a", "b").distinct()
+        found, old = stage_table(found.unionByName(own), "links"), found
+        discard(old)
+    labels = connected_components(found, "a", "b")
+    tasks = _block_tasks(members, labels, nodes)
+    more = stage_table(_links(tasks, texts, n, percent), "links")
+    if not more.isEmpty():
+        labels, old = connected_components(found.unionByName(more), "a", "b"), labels
+        discard(old)
+    parts = nodes.select("digest", "node").join(labels, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
+    parts = stage_table(parts, "components")
+    discard(tasks, texts, members, nodes, found, more, labels)
+    return sig, parts
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80, key: str = "doc_id",
@@ -232,70 +304,29 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     Rows that repeat a key are one node: each comes back, and all their links
     hold for the node. Other columns are ignored; an empty table gives no rows.
     """
-    threshold = percent / 100
-    sig = stage_table(signatures(docs, shingle_words, key, text), "signatures")
-    full = sig.where("digest is not null and doc_id is not null")
-    classes = stage_table(full.groupBy("digest").agg(F.min("doc_id").alias("node")), "classes")
-    nodes = stage_table(full.join(classes.withColumnRenamed("node", "doc_id"), ["doc_id", "digest"])
-                        .dropDuplicates(["doc_id", "digest"])
-                        .select(F.col("doc_id").alias("node"), "digest", "n_shingles", "registers"), "nodes")
-    bands = _bands(nodes)
-    shared = stage_table(bands.groupBy("band", "bits").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
-                         .where("lo < hi").select("band", "bits"), "buckets")
-    members = stage_table(bands.join(shared, ["band", "bits"]).distinct(), "members")
-    wanted = nodes.join(members.select("node").distinct(), "node").select("node", "digest")
-    sets = stage_table(_sets(docs, stage_table(wanted, "wanted"), shingle_words, key, text)
-                       .dropDuplicates(["node", "digest"]), "sets")
-    # A key with several texts is one node, linked to each text's class.
-    links = full.join(classes, "digest").where("doc_id != node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    multi = full.groupBy("doc_id").agg(F.min("digest").alias("x"), F.max("digest").alias("y")).where("x != y").select(F.col("doc_id").alias("a"))
-    links = stage_table(links.join(multi, "a", "left_semi").distinct(), "key-links")
-    found, pivots = links, 1
-    labels = None
-    while True:
-        if labels is not None:
-            members = stage_table(members.drop("component").join(labels, "node", "left")
-                                  .withColumn("component", F.coalesce("component", "node")).select(*members.columns[:3], "component"), "members")
-        else:
-            members = members.withColumn("component", F.col("node"))
-        open_buckets = members.groupBy("band", "bits").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-        open_buckets = stage_table(open_buckets.select("band", "bits"), "open")
-        if open_buckets.isEmpty():
-            break
-        members = stage_table(members.join(open_buckets, ["band", "bits"]), "members")
-        # The smallest nodes of each bucket are this round's pivots.
-        chosen = members.groupBy("band", "bits").agg(F.min("node").alias("pivot"))
-        if pivots > 1:
-            spread = members.withColumn("part", F.pmod(F.xxhash64("node"), F.lit(pivots)))
-            chosen = spread.groupBy("band", "bits", "part").agg(F.min("node").alias("pivot")).drop("part")
-        chosen = stage_table(chosen.join(members.select("band", "bits", F.col("node").alias("pivot"), F.col("component").alias("pc")),
-                                         ["band", "bits", "pivot"]), "pivots")
-        met = members.join(chosen, ["band", "bits"]).where("node != pivot and component != pc")
-        pairs = met.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
-        near = stage_table(_promising(pairs, nodes, threshold), "near")
-        found = stage_table(found.unionByName(_confirmed(near, sets, percent)), "found")
-        labels = stage_table(connected_components(found, "a", "b"), "labels")
-        members = stage_table(members.drop("component").join(
-            chosen.select("band", "bits", F.col("pivot").alias("node")), ["band", "bits", "node"], "left_anti"), "members")
-        pivots *= 4
-    if labels is None:
-        labels = connected_components(found, "a", "b")
-    label = stage_table(classes.join(labels, "node", "left").select("digest", F.coalesce("component", "node").alias("component_id")), "class-labels")
-    out = (sig.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest"))
-           .join(label, "digest", "left"))
+    sig, parts = _linked(docs, shingle_words, percent, key, text, True)
+    slim = sig.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest"))
+    low = slim.join(parts, "digest").groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    labelled = stage_table(parts.join(low, "component").select("digest", "component_id"), "component-keys")
     component = F.coalesce("component_id", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"),
-                      F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
-
-
-def unique_documents(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """``docs`` with one row of each near-duplicate group (the smallest key; of
-    rows that repeat a key one, the first by its text's hash and then the other
-    columns'), all columns kept. Rows with a null key stay."""
-    kept = near_duplicates(docs, key=key, **options).where("kept and doc_id is not null")
-    kept = stage_table(kept.select(F.col("doc_id").alias("__kept")).distinct(), "kept")
-    # Rows that repeat a key go first, before the shuffle; the join needs no other.
-    order = [F.xxhash64(F.col(options.get("text", "text"))), F.xxhash64(*[F.col(c) for c, t in docs.dtypes if "map<" not in t and "variant" not in t])]
-    one = docs.where(F.col(key).isNotNull()).withColumn("__copy", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where("__copy = 1")
-    return (one.join(kept, F.col(key) == F.col("__kept"), "left_semi").drop("__copy")
+    return slim.join(labelled, "digest", "left").select(
+        "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def unique_documents(docs: DataFrame, shingle_words: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row of each near-duplicate group, all columns kept: the
+    smallest key, then the smallest hash of the text; of rows equal in both one,
+    by a hash of the other columns. Rows are grouped by their texts alone: rows
+    that repeat a key but not its text both stay. Rows with a null key and rows
+    without a word stay, all of them."""
+    sig, parts = _linked(docs, shingle_words, percent, key, text, False)
+    full = sig.select("doc_id", "h", "digest").where("digest is not null and doc_id is not null")
+    first = full.join(parts, "digest").groupBy("component").agg(F.min(F.struct("doc_id", "h")).alias("first"))
+    first = stage_table(first.select(F.col("first.doc_id").alias("__k"), F.col("first.h").alias("__h")), "kept")
+    bare = stage_table(sig.where("digest is null and doc_id is not null").select(F.col("doc_id").alias("__k"), F.col("h").alias("__h")).distinct(), "bare")
+    # Rows that repeat key and text go first; the joins need no other shuffle.
+    rest = F.xxhash64(*[F.col(c) for c, t in docs.dtypes if "map<" not in t and "variant" not in t])
+    keyed = docs.where(F.col(key).isNotNull()).withColumns({"__k": F.col(key), "__h": F.xxhash64(F.col(text))})
+    one = keyed.withColumn("__copy", F.row_number().over(Window.partitionBy("__k", "__h").orderBy(rest))).where("__copy = 1").join(first, ["__k", "__h"], "left_semi")
+    return (one.select(*docs.columns).unionByName(keyed.join(bare, ["__k", "__h"], "left_semi").select(*docs.columns))
             .unionByName(docs.where(F.col(key).isNull())))
