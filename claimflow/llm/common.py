@@ -22,6 +22,7 @@ from claimflow.session import scratch_path
 
 SLICE_BYTES = 500_000
 LONG_WORD = 256
+SMALL_ROWS = 300_000
 
 #: Odd multiplier of the rolling word hash and the constants of a 64-bit mixer.
 _P = np.uint64(0x9E3779B97F4A7C15)
@@ -55,6 +56,12 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def if_small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """A written table of slim rows, marked for broadcast if it has at most
+    ``rows`` of them; a larger one is joined by a shuffle."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete written stages that nothing reads any more."""
     for df in tables:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimflow.llm.common import (LOWER, NON_SPACE, discard, flat, mix, rows_of, slices, stage_table, whole_groups, word_hashes,
+from claimflow.llm.common import (LOWER, NON_SPACE, discard, flat, if_small, mix, rows_of, slices, stage_table, whole_groups, word_hashes,
                                   words)
 from claimflow.llm.components import connected_components
 from claimflow.operators.ranges import running_sums
@@ -220,7 +220,7 @@ def _links(tasks: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFram
             for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
                 found += forest(node[a:b], component[a:b], side[a:b], hashes[bounds[a]:bounds[b]], bounds[a:b + 1] - bounds[a], percent)
             yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], ["a", "b"])
-    sent = tasks.join(texts, "node").select("x", "y", "side", "node", "component", "text")
+    sent = texts.join(if_small(tasks), "node").select("x", "y", "side", "node", "component", "text")
     return sent.repartition("x", "y").sortWithinPartitions("x", "y", "side", "node").mapInArrow(run, "a long, b long")
 
 
@@ -271,7 +271,7 @@ def _linked(docs: DataFrame, n: int, percent: int, key: str, text: str, by_key:
     members = stage_table(banded.join(shared, "key"), "members")
     wanted = stage_table(nodes.join(members.select("node").distinct(), "node").select("node", F.col("doc_id").alias("k"), F.col("h").alias("kh")), "wanted")
     plain = docs.select(F.col(key).alias("k"), F.xxhash64(F.col(text)).alias("kh"), F.col(text).alias("text"))
-    texts = stage_table(plain.join(wanted, ["k", "kh"]).select("node", "text").dropDuplicates(["node"]), "texts")
+    texts = stage_table(plain.join(if_small(wanted), ["k", "kh"]).select("node", "text").dropDuplicates(["node"]), "texts")
     tasks = _first_tasks(members, nodes)
     found = stage_table(_links(tasks, texts, n, percent), "links")
     discard(tasks, shared, wanted)
