@@ -1,17 +1,22 @@
-"""Exact substring deduplication over content-defined chunks of windows.
-
-A passage is ``least_words`` words in a row. Every window of that length has a
-seed: the least of the rolling hashes of its shorter word runs, the last of equal
-ones. The seed hangs on the window's words only, so a window that stands in two
-documents has the same seed in both. Neighbouring windows with one seed are a
-chunk, and only chunks are compared at first: a chunk whose seed stands in no
-other document has no repeated window. If all holders of a seed hold the same
-chunk, its windows are repeated and belong to the document with the smallest
-key. Else (ends of passages, edits) the windows of these chunks are compared one
-by one. So a window counts as repeated exactly if one other document holds it
-whole, words as 64-bit hashes and white space apart, and its owner is the
-document with the smallest key that holds it whole; what other documents hold of
-it is removed.
+"""Exact substring deduplication over content-defined chunks.
+
+A gear hash rolls over the bytes of the words; where its top bits are zero at the
+end of a word, the text is cut, so that chunks are of variable length and their
+bounds move with the content: an insertion changes the bounds next to it and no
+others. Chunks are compared by digest.
+
+A passage is ``least_words`` words in a row. Every window of that length is filed
+under the digest of the first chunk that lies in it whole, hashed bytes included,
+so under what its own words say, and a window that stands in two documents is filed
+alike in both. The few windows without a whole chunk (long stretches without a cut,
+words repeated on and on) are filed under the least of the hashes of their shorter
+word runs. A digest that stands in one document only has no repeated window. If all
+its holders hold the same run of windows under it, these are repeated and belong to
+the document with the smallest key. Else (ends of passages, edits) the windows
+under it are compared one by one. So a window counts as repeated exactly if one
+other document holds it whole, words as 64-bit hashes and white space apart, and
+its owner is the document with the smallest key that holds it whole; what other
+documents hold of it is removed.
 
 Text without spaces: a word of more than ``LONG_WORD`` bytes is taken as its
 characters, and ``WORD_BYTES`` bytes of them count as one word. Bounds between
@@ -42,6 +47,9 @@ from claimflow.llm.common import NON_SPACE, Words, _power_tables, flat, mix, row
 LEAST_WORDS = 50
 LONG_WORD = 32
 WORD_BYTES = 6
+GEAR_BYTES = 32     # bytes that the gear hash reaches back: one for each of its bits
+CUT_BITS = 3        # a cut every 2 ** 3 words or so
+GEAR = (mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.uint32)
 
 
 def units(buf: np.ndarray, at: np.ndarray) -> tuple[Words, np.ndarray]:
@@ -61,9 +69,27 @@ def units(buf: np.ndarray, at: np.ndarray) -> tuple[Words, np.ndarray]:
     return Words(start, end, np.searchsorted(start, at)), np.where(inside[start], end - start, WORD_BYTES)
 
 
+def cut_points(buf: np.ndarray, w: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Words after which the text is cut, ascending, and for each the last word
+    from which on all hashed bytes lie (-1: before the first). The hash runs over
+    the words with one separator after each, whatever white space there is."""
+    size = w.end - w.start + 1
+    stop = np.cumsum(size)
+    source = np.arange(int(size.sum())) + np.repeat(w.start - (stop - size), size)
+    source[stop - 1] = 0
+    plain = buf[source] if len(source) else np.zeros(0, np.uint8)
+    plain[stop - 1] = 0x20
+    gear = np.zeros(len(stop), np.uint32)
+    for k in range(GEAR_BYTES):
+        gear += GEAR[plain[np.maximum(stop - 1 - k, 0)]] << np.uint32(k)
+    cuts = np.flatnonzero(gear >> np.uint32(GEAR_BYTES - CUT_BITS) == 0)
+    return cuts, np.searchsorted(stop - size, stop[cuts] - GEAR_BYTES, side="right") - 1
+
+
 class Windows(NamedTuple):
-    """Windows of a slice: first word, end, seed and digest; per row, the range
-    of window numbers; and the first window of each chunk."""
+    """Windows of a slice: first word, end, digest they are filed under and own
+    digest; per row, the range of window numbers; and the first window of each
+    run of windows that are filed alike."""
     begin: np.ndarray
     end: np.ndarray
     seed: np.ndarray
@@ -84,15 +110,23 @@ def _windows(buf: np.ndarray, w: Words, count: np.ndarray, least_words: int) ->
 
     def digest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return mix((rolled[b] - rolled[a]) * down[a] + (b - a).astype(np.uint64))
+    cuts, reach = cut_points(buf, w)
+    chunk = np.searchsorted(reach, begin)                    # first cut that the window holds, hashed bytes and all
+    whole = chunk + 1 < len(cuts)
+    whole[whole] = cuts[chunk[whole] + 1] < end[whole]
+    seed, place = np.zeros(len(begin), np.uint64), np.where(whole, chunk, 0)
+    seed[whole] = mix(digest(cuts[chunk[whole]] + 1, cuts[chunk[whole] + 1] + 1) + np.uint64(1))
+    rest = np.flatnonzero(~whole)
     # Each window has least_words words or characters at least, and so all its word runs.
     choices = max(1, least_words * 2 // 7)
     run = least_words - choices + 1
     value = digest(np.arange(max(0, n - run + 1)), np.arange(run, max(run, n + 1)))
-    seed, place = value[begin], begin.copy()
+    least, where = value[begin[rest]], begin[rest].copy()
     for d in range(1, choices):
-        other = value[begin + d]
-        less = other <= seed
-        seed[less], place[less] = other[less], begin[less] + d
+        other = value[begin[rest] + d]
+        less = other <= least
+        least[less], where[less] = other[less], begin[rest][less] + d
+    seed[rest], place[rest] = mix(least + np.uint64(2)), len(cuts) + where
     row = np.searchsorted(begin, w.row)
     first = np.ones(len(begin), bool)
     first[1:] = place[1:] != place[:-1]
@@ -101,9 +135,9 @@ def _windows(buf: np.ndarray, w: Words, count: np.ndarray, least_words: int) ->
 
 
 def _chunk_rows(batch: pa.RecordBatch, least_words: int = LEAST_WORDS):
-    """Chunk digests (of all words of a chunk's windows), seeds, first windows
-    and the row bounds of the chunks; before them the bytes, and after them the
-    windows and words."""
+    """Per run of windows filed alike: digest of the run, and what it is filed
+    under; before them the bytes and row offsets, after them the windows, the
+    words and the row bounds of the runs."""
     buf, at = flat(batch.column("text"))
     w, count = units(buf, at)
     win = _windows(buf, w, count, least_words)

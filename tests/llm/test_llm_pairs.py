@@ -172,6 +172,25 @@ def test_only_the_last_stages_are_left(spark):
     assert left <= {"signatures", "components", "component-keys"}, left
 
 
+def test_gear_cuts_move_only_next_to_an_insertion():
+    from claimflow.llm.common import NON_SPACE, flat, words
+    rng = random.Random(9)
+    def cuts(text):
+        buf, at = flat(pa.array([text]))
+        w = words(buf, at, NON_SPACE)
+        found, reach = substring_dedup.cut_points(buf, w)
+        assert all(r < c for c, r in zip(found, reach))
+        return found
+    for _ in range(20):
+        text = prose(rng, 3000).split()
+        at, new = rng.randrange(200, 2800), prose(rng, rng.randint(1, 9)).split()
+        before, after = cuts(" ".join(text)), cuts("\n ".join(text[:at] + new + text[at:]))
+        assert len(before) > 250 and (np.diff(before) > 20).sum() > 5 and (np.diff(before) < 4).sum() > 50
+        assert after[after < at].tolist() == before[before < at].tolist()
+        beyond = at + substring_dedup.GEAR_BYTES // 2
+        assert (after[after >= beyond + len(new)] - len(new)).tolist() == before[before >= beyond].tolist()
+
+
 def test_gear_bounds_move_with_the_content():
     rng = random.Random(8)
     text = prose(rng, 600)
