@@ -2,10 +2,11 @@
 
 Every source is a stream of words, packed into blocks of ``block_words``. A
 source's target becomes so many slots (the last one cut, so that it takes the
-target exactly). Slots go to output shards by a multinomial draw per source,
-i.e. the shards' source counts are multinomial given each source's total. Slot
-``i`` of a pass over the source takes block ``p(i)``, where ``p`` is the
-source's own pseudorandom permutation of its block numbers (a keyed Feistel
+target exactly). Every output shard draws the source counts of its slots from a
+multinomial with the sources' shares; a source that has given all its slots gives
+no more, and the last shard takes what is left, so that each source's total is its
+target. Slot ``i`` of a pass over the source takes block ``p(i)``, where ``p`` is
+the source's own pseudorandom permutation of its block numbers (a keyed Feistel
 network with cycle walking), and the slots join the blocks by (source, block).
 
 Scale: offsets in a source's stream are prefix sums in two levels (hash buckets
@@ -25,10 +26,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimflow.llm.common import NON_SPACE, flat, mix, slices, stage_table, words
+from claimflow.llm.common import NON_SPACE, discard, flat, mix, slices, stage_table, words
 
 BLOCK_WORDS = 256
 SHARD_SLOTS = 100_000
+LEAST_SHARDS = 8
+DRAW_SOURCES = 1_000    # sources that one draw deals with
 ROWS_PER_BUCKET = 20_000
 LEAST_BUCKETS = 256
 
@@ -89,28 +92,60 @@ def permute(index: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
     return out.astype(np.int64)
 
 
+def _drawn(totals: DataFrame, shards: int, slots: int, seed: int) -> DataFrame:
+    """``shard, sid, drawn``: each shard's multinomial source counts, with the
+    shares of ``totals(sid, total)``. Sources are drawn in two steps, first
+    groups of ``DRAW_SOURCES`` sources and then the sources of each group, which
+    is the same distribution; only the groups' totals reach the driver."""
+    groups = totals.groupBy(F.expr(f"sid div {DRAW_SOURCES}").alias("g")).agg(
+        F.sum("total").alias("sum"), F.array_sort(F.collect_list(F.struct("sid", "total"))).alias("members"))
+    groups = stage_table(groups, "source-groups")
+    shares = sorted((r["g"], r["sum"]) for r in groups.select("g", "sum").collect())
+    ids, weight = np.array([g for g, _ in shares], np.int64), np.array([n for _, n in shares], np.float64)
+    size = np.diff(np.arange(shards + 1) * slots // shards)
+
+    def by_group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard in batch.column("id").to_pylist():
+                n = np.random.default_rng([seed, shard]).multinomial(size[shard], weight / weight.sum())
+                some = np.flatnonzero(n)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), shard)), pa.array(ids[some]), pa.array(n[some])], ["shard", "g", "n"])
+
+    def by_source(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                share = np.array([m["total"] for m in r["members"]], np.float64)
+                n = np.random.default_rng([seed, r["shard"], r["g"]]).multinomial(r["n"], share / share.sum())
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), r["shard"])), pa.array([m["sid"] for m in r["members"]], pa.int64()), pa.array(n)],
+                                                 ["shard", "sid", "drawn"])
+    if not len(ids):
+        return totals.sparkSession.createDataFrame([], "shard long, sid long, drawn long")
+    first = totals.sparkSession.range(shards).mapInArrow(by_group, "shard long, g long, n long")
+    return first.join(groups, "g").select("shard", "g", "n", "members").mapInArrow(by_source, "shard long, sid long, drawn long")
+
+
 def _shard_counts(targets: DataFrame, block_words: int, shard_slots: int, seed: int) -> DataFrame:
     """One row per source, pass and output shard: ``first`` slot and ``slots``."""
     size, target = F.col("source_size"), F.round("target").cast("long")
     passes = targets.withColumn("pass", F.explode(F.expr("sequence(0, cast(ceil(target / greatest(source_size, 1)) as int))")))
     rows = (passes.withColumn("take", F.least(size, target - F.col("pass") * size)).where("take > 0")
             .select("sid", "pass", "take", "source_size", F.xxhash64("source", "pass", F.lit(seed)).alias("key"))
-            .withColumn("slots", F.expr(f"cast(ceil(take / {block_words}) as long)")))
-    total = rows.agg(F.sum("slots")).first()[0] or 0
-    shards = max(1, -(-total // shard_slots))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in batch.to_pylist():
-                rng = np.random.default_rng([seed, r["key"] & (2**64 - 1)])
-                count = rng.multinomial(r["slots"], np.full(shards, 1 / shards))
-                first = np.cumsum(count) - count
-                n = len(count)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, r[c], np.int64)) for c in ("sid", "pass", "take", "source_size", "key")]
-                    + [pa.array(np.arange(n)), pa.array(first), pa.array(count)],
-                    ["sid", "pass", "take", "source_size", "key", "shard", "first", "slots"])
-    return rows.mapInArrow(run, "sid long, pass long, take long, source_size long, key long, shard long, first long, slots long").where("slots > 0")
+            .withColumn("pass_slots", F.expr(f"cast(ceil(take / {block_words}) as long)")))
+    before = Window.partitionBy("sid").orderBy("pass").rowsBetween(Window.unboundedPreceding, -1)
+    rows = stage_table(rows.withColumn("pass_start", F.coalesce(F.sum("pass_slots").over(before), F.lit(0))), "passes")
+    totals = stage_table(rows.groupBy("sid").agg(F.sum("pass_slots").alias("total")), "slot-totals")
+    slots = totals.agg(F.sum("total")).first()[0] or 0
+    shards = max(LEAST_SHARDS, -(-slots // shard_slots))
+    every = totals.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
+    drawn = every.join(_drawn(totals, shards, slots, seed), ["sid", "shard"], "left")
+    sofar = Window.partitionBy("sid").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
+    # What a source has left after the draws goes to the last shard.
+    end = F.when(F.col("shard") == shards - 1, F.col("total")).otherwise(F.least(F.sum(F.coalesce("drawn", F.lit(0))).over(sofar), F.col("total")))
+    spans = drawn.select("sid", "shard", "total", end.alias("end"))
+    spans = spans.withColumn("begin", F.coalesce(F.lag("end").over(Window.partitionBy("sid").orderBy("shard")), F.lit(0))).where("begin < end")
+    lo, hi = F.greatest("begin", "pass_start"), F.least(F.col("end"), F.col("pass_start") + F.col("pass_slots"))
+    return (spans.join(rows, "sid").withColumns({"lo": lo, "hi": hi}).where("lo < hi")
+            .select("sid", "pass", "take", "source_size", "key", "shard", (F.col("lo") - F.col("pass_start")).alias("first"), (F.col("hi") - F.col("lo")).alias("slots")))
 
 
 def _slots(counts: DataFrame, block_words: int) -> DataFrame:
@@ -138,8 +173,10 @@ def _draw(docs: DataFrame, weights, percent, most, block_words, shard_slots, see
     rows = stage_table(docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), word_count(text).alias("size"),
                                    F.xxhash64(F.col(text)).alias("digest")), "sizes")
     targets = stage_table(source_targets(rows, weights, percent, most), "targets")
+    sizes = rows
     rows = rows.join(targets, rows["source"].eqNullSafe(targets["source"])).drop(targets["source"])
     rows = stage_table(_offsets(rows), "offsets")
+    discard(sizes)
     counts = stage_table(_shard_counts(targets, block_words, shard_slots, seed), "shard-counts")
     slots = _slots(counts, block_words)
     pieces = (rows.where("size > 0").select("doc_id", "digest", "sid", "source", "start", "size",
@@ -157,7 +194,8 @@ def mix_segments(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), percent:
                  block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, seed: int = 7,
                  key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """The mix as segments: ``shard, sid, source, pass, slot, doc_id, digest,
-    start, from, to``: words ``from:to`` of a document stand in that output slot."""
+    start, from, to``: words ``from:to`` of a document stand in that output slot.
+    Nulls, repeats and empty tables are taken as by ``mix_report``."""
     _, segments = _draw(docs, weights, percent, most, block_words, shard_slots, seed, key, text, source)
     return segments.select("shard", "sid", "source", "pass", "slot", "doc_id", "digest", "start", "from", "to")
 
@@ -203,7 +241,9 @@ def mixed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", so
     """The mix as documents with the columns of ``docs``: one row for each pass
     in which words of a document were taken, its text cut to those words (pieces
     that don't touch are joined by a line break). Rows equal in key, source and
-    text count as often as they occur; their other columns come from one of them."""
+    text count as often as they occur; their other columns come from the one of
+    them with the smallest hash. Null and empty texts give no row; an empty table
+    gives none."""
     drawn = mix_segments(docs, key=key, text=text, source=source, **options)
     same = [F.xxhash64("doc_id", "source", "digest").alias("h"), F.col("digest")]
     ranges = stage_table(drawn.groupBy("sid", "start", "pass", "doc_id", "source", "digest")
@@ -212,7 +252,8 @@ def mixed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", so
     whole = docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), F.xxhash64(F.col(text)).alias("digest"),
                         F.col(text).alias("text"), rest.alias("rest")).select(*same, "text", "rest")
     # Of equal rows one goes through the shuffle; the ranges hold each one's words.
-    one = whole.withColumn("copy", F.row_number().over(Window.partitionBy("h", "digest").orderBy("h"))).where("copy = 1").drop("copy")
+    other = F.xxhash64(*[F.col(f"rest.{c}") for c, t in docs.dtypes if c != text and "map<" not in t and "variant" not in t])
+    one = whole.withColumn("copy", F.row_number().over(Window.partitionBy("h", "digest").orderBy(other))).where("copy = 1").drop("copy")
     joined = one.join(ranges, ["h", "digest"]).select("rest", "text", "ranges")
     cut = joined.mapInArrow(_cut, T.StructType([T.StructField("rest", whole.schema["rest"].dataType), T.StructField("text", T.StringType())]))
     out = {c: F.col("text") if c == text else F.col("rest")[c] for c in docs.columns}
