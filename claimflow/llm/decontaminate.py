@@ -3,13 +3,16 @@
 Each slice of whole documents is one shard: its words that can take part in a
 match (runs of words whose neighbours also follow each other in some test item)
 become an array of word numbers, and a suffix array over it is built by prefix
-doubling. Every test suffix is then found in the shard by binary search on its
-first ``window`` words; the suffixes in its range are the places of verbatim
-matches. Matches that continue each other on one diagonal make the longest ones.
-
-Scale: the pass over the documents is map-only, whatever the skew. The test set
-is read in blocks of at most ``BLOCK_WORDS`` words; each block is one broadcast
-of that bounded size and one pass that adds its matches to the rows.
+doubling. Every distinct window of the test suffixes is then found in the shard by
+binary search; the suffixes in its range are the places of verbatim matches. A
+place starts at most one window of each length, so matches stay linear in the
+text, however often text and items repeat themselves; which items hold a window is
+kept apart. The longest match from a place on is its longest common prefix with a
+neighbour in the order of all test suffixes.
+
+Scale: the pass over the documents is map-only, whatever the skew. The test set is
+read in blocks of at most ``BLOCK_WORDS`` words, one broadcast at a time; each
+block is one pass that adds its matches to the rows.
 """
 
 from __future__ import annotations
@@ -21,17 +24,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimflow.llm.common import ALNUM, LOWER, flat, mix, rows_of, slices, word_hashes, words
+from claimflow.llm.common import ALNUM, LOWER, _power_tables, discard, flat, mix, rows_of, slices, stage_table, word_hashes, words
+from claimflow.operators.ranges import running_sums
 
 BLOCK_WORDS = 500_000
 SHARD_BYTES = 2_000_000
 
 
 class TestBlock:
-    """Test items as word numbers: vocabulary, suffixes and neighbour pairs."""
+    """Test items as word numbers: vocabulary, distinct windows with the items
+    that hold them, neighbour pairs, and the order of all test suffixes."""
 
     def __init__(self, items: list[tuple[str | None, str]], window: int):
-        self.ids = [i for i, _ in items]
+        self.ids, self.window = [i for i, _ in items], window
         buf, at = flat(pa.array([t for _, t in items], pa.large_string()))
         buf = LOWER[buf]
         w = words(buf, at, ALNUM)
@@ -42,14 +47,63 @@ class TestBlock:
         row = rows_of(w.row)
         place = np.arange(len(row)) - w.row[row]
         starts = np.flatnonzero(place + reach[row] <= size[row])
-        self.item, self.place, self.reach = row[starts], place[starts], reach[row[starts]]
         self.shortest = int(reach[size > 0].min()) if (size > 0).any() else 0
-        deep = int(self.reach.max()) if len(starts) else 0
+        deep = int(reach[row[starts]].max()) if len(starts) else 0
         padded = np.concatenate([number, np.zeros(deep, number.dtype)]) + 1
-        self.suffixes = padded[starts[:, None] + np.arange(deep)]
-        self.suffixes[np.arange(deep) >= self.reach[:, None]] = 0
+        every = padded[starts[:, None] + np.arange(deep)]
+        every[np.arange(deep) >= reach[row[starts]][:, None]] = 0
+        _, one, window_of = np.unique(np.concatenate([reach[row[starts]][:, None], every], axis=1), axis=0, return_index=True, return_inverse=True)
+        self.suffixes, self.reach = every[one], reach[row[starts]][one]
+        # Items per window; windows with the same items share their list.
+        held = np.unique(np.stack([window_of.ravel(), row[starts]], axis=1), axis=0) if len(starts) else np.zeros((0, 2), np.int64)
+        cut = np.searchsorted(held[:, 0], np.arange(len(one) + 1))
+        known: dict[bytes, int] = {}
+        self.item_sets, self.set_of = [], np.zeros(len(one), np.int64)
+        for i, (a, b) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist())):
+            mine = held[a:b, 1]
+            self.set_of[i] = known.setdefault(mine.tobytes(), len(known))
+            if len(known) > len(self.item_sets):
+                self.item_sets.append({self.ids[j] for j in mine.tolist()} - {None})
         same = row[1:] == row[:-1]
         self.pairs = np.unique((number[:-1] * len(self.hashes) + number[1:])[same])
+        # All items in one array, each with an end of its own kind.
+        self.tokens = np.full(len(number) + len(items), len(self.hashes) + 1, np.int64)
+        self.tokens[np.arange(len(number)) + row] = number + 1
+        self.deepest = int(size.max(initial=0))
+        self.order = suffix_array(self.tokens, max(self.deepest, 1))
+        self.rolled = _rolled(self.tokens)
+
+
+def _rolled(tokens: np.ndarray) -> np.ndarray:
+    up, _ = _power_tables(len(tokens) + 1)
+    out = np.zeros(len(tokens) + 1, np.uint64)
+    np.cumsum(mix(tokens.astype(np.uint64) + np.uint64(1)) * up[:len(tokens)], out=out[1:])
+    return out
+
+
+def longest_matches(tokens: np.ndarray, at: np.ndarray, block: TestBlock) -> np.ndarray:
+    """For each place in ``tokens``, how many words from there on some item holds
+    in a row: its place in the order of the test suffixes is found by binary
+    search, and a neighbour there shares the most."""
+    rolled, n, m = _rolled(tokens), len(tokens), len(block.tokens)
+    _, down = _power_tables(max(n, m) + 1)
+
+    def common(p: np.ndarray, t: np.ndarray) -> np.ndarray:
+        lo, hi = np.zeros(len(p), np.int64), np.minimum(np.minimum(n - p, m - t), block.deepest)
+        while (lo < hi).any():
+            mid = (lo + hi + 1) // 2
+            same = (rolled[p + mid] - rolled[p]) * down[p] == (block.rolled[t + mid] - block.rolled[t]) * down[t]
+            lo, hi = np.where(same, mid, lo), np.where(same, hi, mid - 1)
+        return lo
+    lo, hi = np.zeros(len(at), np.int64), np.full(len(at), m, np.int64)
+    while (lo < hi).any():
+        mid = np.minimum((lo + hi) // 2, m - 1)
+        t = block.order[mid]
+        k = common(at, t)
+        less = block.tokens[np.minimum(t + k, m - 1)] < tokens[np.minimum(at + k, n - 1)]
+        go = lo < hi
+        lo, hi = np.where(go & less, mid + 1, lo), np.where(go & ~less, mid, hi)
+    return np.maximum(*[np.where((lo + d >= 0) & (lo + d < m), common(at, block.order[np.clip(lo + d, 0, m - 1)]), 0) for d in (-1, 0)])
 
 
 def suffix_array(tokens: np.ndarray, deep: int) -> np.ndarray:
@@ -87,13 +141,14 @@ def _bound(tokens: np.ndarray, order: np.ndarray, block: TestBlock, upper: bool)
 
 
 def matches(batch: pa.RecordBatch, block: TestBlock):
-    """Words per row and the places (row, word, test suffix) of all windows."""
+    """Words per row, the places (row, word, window) of all windows found, and
+    the longest match that begins at each place."""
     buf, at = flat(batch.column("text"))
     buf = LOWER[buf]
     w = words(buf, at, ALNUM)
     none = np.zeros(0, np.int64)
     if not len(w.start) or not len(block.suffixes):
-        return np.diff(w.row), none, none, none
+        return np.diff(w.row), none, none, none, none
     h = word_hashes(buf, w)
     number = np.searchsorted(block.hashes, h)
     number[number == len(block.hashes)] = 0
@@ -114,7 +169,7 @@ def matches(batch: pa.RecordBatch, block: TestBlock):
     keep = hi - lo >= block.shortest
     lo, hi = lo[keep], hi[keep]
     if not len(lo):
-        return np.diff(w.row), none, none, none
+        return np.diff(w.row), none, none, none, none
     size = hi - lo + 1                                       # a 0 ends each run
     where = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(lo, size)
     ends = np.cumsum(size) - 1
@@ -123,10 +178,15 @@ def matches(batch: pa.RecordBatch, block: TestBlock):
     order = suffix_array(tokens, block.suffixes.shape[1])
     first, last = _bound(tokens, order, block, False), _bound(tokens, order, block, True)
     n = last - first
-    suffix = np.repeat(np.arange(len(n)), n)
-    found = where[order[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)]]
-    true = _verbatim(buf, w, number, found, block.reach[suffix], block)
-    return np.diff(w.row), row[found[true]], found[true] - w.row[row[found[true]]], suffix[true]
+    window = np.repeat(np.arange(len(n)), n)
+    place = order[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)]
+    true = _verbatim(buf, w, number, where[place], block.reach[window], block)
+    place, window = place[true], window[true]
+    whole = block.reach[window] == block.window       # a shorter item matches as a whole
+    longest = block.reach[window].copy()
+    longest[whole] = np.maximum(longest_matches(tokens, place[whole], block), block.window)
+    found = where[place]
+    return np.diff(w.row), row[found], found - w.row[row[found]], window, longest
 
 
 def _verbatim(buf, w, number, found, reach, block: TestBlock) -> np.ndarray:
@@ -151,18 +211,6 @@ def _spans(start: np.ndarray, end: np.ndarray) -> list[dict]:
     return [{"start": a, "end": b} for a, b in zip(start[new].tolist(), end[np.append(np.flatnonzero(new)[1:] - 1, len(end) - 1)].tolist())]
 
 
-def _longest(place: np.ndarray, suffix: np.ndarray, block: TestBlock) -> int:
-    """Longest match of a row: windows that follow each other on a diagonal."""
-    item, diagonal = block.item[suffix], place - block.place[suffix]
-    order = np.lexsort((place, diagonal, item))
-    item, diagonal, place, reach = item[order], diagonal[order], place[order], block.reach[suffix][order]
-    new = np.ones(len(place), bool)
-    new[1:] = (item[1:] != item[:-1]) | (diagonal[1:] != diagonal[:-1]) | (place[1:] != place[:-1] + 1)
-    begin = np.flatnonzero(new)
-    end = np.append(begin[1:], len(place)) - 1
-    return int((place[end] + reach[end] - place[begin]).max())
-
-
 _STATE = "n_words long, longest int, spans array<struct<start:int,end:int>>, item_ids array<string>"
 
 
@@ -173,20 +221,19 @@ def _pass(rows: DataFrame, block, kind: str) -> DataFrame:
         test = block.value
         for batch in batches:
             for part in slices(batch, "text", SHARD_BYTES):
-                n_words, row, place, suffix = matches(part, test)
+                n_words, row, place, window, match = matches(part, test)
                 order = np.argsort(row, kind="stable")
-                row, place, suffix = row[order], place[order], suffix[order]
+                row, place, window, match = row[order], place[order], window[order], match[order]
                 longest = np.asarray(part.column("longest")).copy()
                 spans, items = part.column("spans").to_pylist(), part.column("item_ids").to_pylist()
                 edges = np.append(np.flatnonzero(np.diff(row, prepend=-1)), len(row)).tolist()
                 for a, b in zip(edges, edges[1:]):
-                    r, p, s = int(row[a]), place[a:b], suffix[a:b]
+                    r, p, s = int(row[a]), place[a:b], np.unique(window[a:b])
                     old = spans[r]
                     spans[r] = _spans(np.concatenate([p, np.array([x["start"] for x in old], np.int64)]),
-                                      np.concatenate([p + test.reach[s], np.array([x["end"] for x in old], np.int64)]))
-                    mine = {test.ids[i] for i in np.unique(test.item[s]).tolist()} - {None}
-                    items[r] = sorted(mine.union(items[r]))
-                    longest[r] = max(longest[r], _longest(p, s, test))
+                                      np.concatenate([p + test.reach[window[a:b]], np.array([x["end"] for x in old], np.int64)]))
+                    items[r] = sorted(set(items[r]).union(*(test.item_sets[k] for k in np.unique(test.set_of[s]).tolist())))
+                    longest[r] = max(longest[r], int(match[a:b].max()))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("text"), pa.array(n_words, pa.int64()), pa.array(longest, pa.int32()),
                      pa.array(spans, span), pa.array(items, pa.list_(pa.string()))],
@@ -202,26 +249,30 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, key: str
     ``window`` consecutive words of an item, or a shorter item as a whole.
     ``spans`` are the matched word ranges (end exclusive), ``longest`` the words
     of the longest verbatim match, ``item_ids`` the matching items as sorted
-    strings. Null texts have no words; an item without words matches nothing; an
+    strings (as many as hold its windows). Null texts have no words; an item without words matches nothing; an
     item with a null key marks words but isn't listed. Repeated rows are judged
     one by one; without items, or rows, nothing matches. Other columns are
     ignored.
     """
-    spark, blocks, now, size = docs.sparkSession, [], [], 0
-    for item, content in items.select(F.col(item_key).cast("string"), F.col(item_text)).where(F.col(item_text).isNotNull()).toLocalIterator():
-        now.append((item, content))
-        size += len(content) // 2 + 1                        # words at most
-        if size >= block_words:
-            blocks.append(spark.sparkContext.broadcast(TestBlock(now, window)))
-            now, size = [], 0
-    if now or not blocks:
-        blocks.append(spark.sparkContext.broadcast(TestBlock(now, window)))
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.lit(0).cast("long").alias("n_words"),
                        F.lit(0).alias("longest"), F.expr("cast(array() as array<struct<start:int,end:int>>)").alias("spans"),
                        F.expr("cast(array() as array<string>)").alias("item_ids"))
-    for block in blocks:
-        rows = _pass(rows, block, kind)
+    spark = docs.sparkSession
+    tests = items.select(F.col(item_key).cast("string").alias("k"), F.col(item_text).alias("t")).where("t is not null")
+    size = (F.length("t") / 2).cast("long") + 1              # words at most
+    if (tests.agg(F.sum(size)).first()[0] or 0) <= block_words:
+        return _pass(rows, spark.sparkContext.broadcast(TestBlock([tuple(r) for r in tests.collect()], window)), kind)
+    # Too many for one broadcast: blocks of whole items, one pass after the other.
+    laid = running_sums(tests.withColumn("size", size), [F.col("k"), F.col("t")], ["size"], name="test-items")
+    laid = stage_table(laid.select("k", "t", F.expr(f"(cum_size - 1) div {block_words}").alias("block")), "test-blocks")
+    for number in range((laid.agg(F.max("block")).first()[0] or 0) + 1):
+        block = spark.sparkContext.broadcast(TestBlock([(r["k"], r["t"]) for r in laid.where(F.col("block") == number).collect()], window))
+        done = stage_table(_pass(rows, block, kind), "matches")
+        if number:
+            discard(rows)
+        block.destroy()
+        rows = done
     return rows
 
 
@@ -236,7 +287,8 @@ def report(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
 def clean_documents(docs: DataFrame, items: DataFrame, text: str = "text", **options) -> DataFrame:
     """``docs`` without the affected documents, all columns kept. The other
     columns ride through the search beside the text, so rows are judged one by
-    one, whatever their keys."""
+    one, whatever their keys; null and empty texts stay, and without items, or
+    rows, nothing goes."""
     rest = [c for c in docs.columns if c != text]
     beside = F.struct(*rest) if rest else F.struct(F.lit(0).alias("none"))
     found = contamination(docs.select(beside.alias("doc_id"), F.col(text).alias("text")), items, **options)
