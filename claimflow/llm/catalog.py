@@ -112,6 +112,11 @@ def _leaf(text: str) -> str:
                                    for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
 
 
+def _tags_sql(tag: str, kind: str, value: str) -> str:
+    tags = f"regexp_extract_all(coalesce(html, ''), {_sql(tag.replace('*+', '*'))})"
+    return f"list_transform(list_filter({tags}, lambda t: regexp_matches(t, {_sql(kind)})), lambda t: regexp_extract(t, {_sql(value)}, 1))"
+
+
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE = {
@@ -156,8 +161,8 @@ r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
     "op8_url_filter": rf"""
 WITH RECURSIVE rules(action, host, path) AS (VALUES {", ".join(str(r) for r in URL_RULES)}),
-links AS (SELECT url, unnest([regexp_extract(regexp_extract(html, {_sql(url_filter.LINK_TAG)}), {_sql(url_filter.HREF)}, 1),
-                              regexp_extract(regexp_extract(html, {_sql(url_filter.REFRESH_TAG)}), {_sql(url_filter.TARGET)}, 1)]) AS href FROM pages),
+links AS (SELECT url, unnest(list_concat({_tags_sql(url_filter.LINK_TAG, url_filter.CANONICAL, url_filter.HREF)},
+    {_tags_sql(url_filter.META_TAG, url_filter.REFRESH, url_filter.TARGET)})) AS href FROM pages),
 targets AS (SELECT url, CASE WHEN contains(h, '://') THEN h WHEN starts_with(h, '//') THEN split_part(url, '://', 1) || ':' || h
     WHEN starts_with(h, '/') THEN regexp_extract(url, '^.*?://[^/?#]*') || h
     ELSE regexp_extract(url, '^.*?://[^/?#]*') || CASE WHEN regexp_extract(url, '^.*?://[^/?#]*([^?#]*/)', 1) = '' THEN '/'

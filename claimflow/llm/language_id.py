@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 from claimflow.llm.common import flat, slices
 
 UNKNOWN = "und"
-MAX_LANGUAGES = 1000
 SAMPLE_DOCS = 400
 SAMPLE_WINDOWS = 6
 WINDOW = 128
@@ -199,9 +198,7 @@ def fit(docs: DataFrame, learn: Column | None = None, sample_docs: int = SAMPLE_
     and language are given. No such rows give a network without labels."""
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"),
                        (F.lit(True) if learn is None else learn).alias("learn")).where("learn and lang is not null and length(text) > 0")
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()}
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} language labels")
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}     # the labels of the network
     labels = sorted(counts)
     net = Network(labels)
     if not labels:
@@ -214,7 +211,7 @@ def fit(docs: DataFrame, learn: Column | None = None, sample_docs: int = SAMPLE_
     target = np.repeat([labels.index(c) for c in sample["lang"]], SAMPLE_WINDOWS)
     missing = [c for i, c in enumerate(labels) if not (target == i).any()]      # a label whose few rows the draw missed
     if missing:
-        more = rows.where(F.col("lang").isin(missing)).select("lang", "text").limit(sample_docs * len(missing)).mapInArrow(_windows, "lang string, windows binary").toPandas()
+        more = rows.where(F.col("lang").isin(missing)).orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id", F.xxhash64("text")).limit(sample_docs * len(missing)).select("lang", "text").mapInArrow(_windows, "lang string, windows binary").toPandas()
         windows = np.concatenate([windows, np.frombuffer(b"".join(more["windows"]), np.uint8).reshape(-1, TRAIN_WINDOW)])
         target = np.concatenate([target, np.repeat([labels.index(c) for c in more["lang"]], SAMPLE_WINDOWS)])
     if len(labels) > 1:
@@ -249,6 +246,7 @@ def predict(docs: DataFrame, net: Network, key: str = "doc_id", text: str = "tex
 
 def known_language_documents(docs: DataFrame, net: Network, least: float = 0.5, text: str = "text") -> DataFrame:
     """``docs`` without rows of unknown language or a pooled probability under
-    ``least``; all columns kept, rows judged one by one."""
+    ``least``; all columns kept, rows judged one by one (null texts, and texts
+    without a letter, go; no learned label leaves none; an empty table stays so)."""
     whole = docs.select(F.struct(*docs.columns).alias("row"), F.col(text).alias("text"))
     return predict(whole, net, key="row").where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("doc_id.*")

@@ -111,11 +111,14 @@ def top_k(df: DataFrame, is_query: Column, k: int = 5, scale: int = 256, key: st
     kind = vectors.schema["vec_id"].dataType.simpleString()
     numbers = stage_table(spark.createDataFrame(numbered, f"vec_id {kind}, copy int, q long"), "queries")
     queries = stage_table(queries.join(numbers, ["vec_id", "copy"]), "query-vectors")
-    found = None
-    for first in range(0, numbers.count(), query_block):
+    found, n_queries = None, numbers.count()
+    for first in range(0, n_queries, query_block):
         rows = queries.where(f"q >= {first} and q < {first + query_block}").orderBy("q").collect()
         shared = spark.sparkContext.broadcast([(r["q"], r["vec_id"], r["copy"], r["v"]) for r in rows])
         part = vectors.mapInArrow(_search(shared, k), f"q long, query_id {kind}, vec_id {kind}, copy int, score long")
+        if n_queries > query_block:         # one block's broadcast at a time
+            part = stage_table(part, "block-winners")
+            shared.destroy()
         found = part if found is None else found.unionByName(part)
     if found is None:
         return spark.createDataFrame([], f"query_id {kind}, rank int, vec_id {kind}, score long")

@@ -110,8 +110,15 @@ def hits(folded: str, automaton: ahocorasick.Automaton) -> list[tuple[int, int,
             covered.append((start, last + 1))
         elif start not in best or best[start][2] < weight:
             best[start] = (start, last + 1, weight)
-    found = sorted(best.values())
-    return [h for h in found if not any(a <= h[0] and h[0] < b - 1 for a, b in covered)] if covered else found
+    covered.sort()
+    kept, at, reach = [], 0, -1          # reach: how far the exceptions begun so far go
+    for h in sorted(best.values()):
+        while at < len(covered) and covered[at][0] <= h[0]:
+            reach = max(reach, covered[at][1] - 1)
+            at += 1
+        if h[0] >= reach:
+            kept.append(h)
+    return kept
 
 
 def density(folded: str, automaton: ahocorasick.Automaton) -> float:

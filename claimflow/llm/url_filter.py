@@ -23,8 +23,11 @@ from claimflow.llm.common import stage_table
 from claimflow.llm.components import connected_components
 
 _UPPER, _SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-LINK_TAG = r"(?i)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"
-REFRESH_TAG = r"(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>"
+# A tag ends at the next > or <, so that unclosed ones stay short.
+LINK_TAG = r"(?i)<link\b[^<>]*+>"
+META_TAG = r"(?i)<meta\b[^<>]*+>"
+CANONICAL = r"(?i)\brel\s*=\s*[\"']?canonical\b"
+REFRESH = r"(?i)\bhttp-equiv\s*=\s*[\"']?refresh\b"
 HREF = r"(?i)\bhref\s*=\s*[\"']?([^\"'\s>]+)"
 TARGET = r"(?i)\burl\s*=\s*[\"']?([^\"'\s>;]+)"
 
@@ -64,10 +67,12 @@ def _absolute(href: Column, url: Column) -> Column:
 
 
 def alias_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """``url, target``: redirects and canonical links of the pages."""
-    href = F.regexp_extract(F.regexp_extract(F.col(html), LINK_TAG, 0), HREF, 1)
-    to = F.regexp_extract(F.regexp_extract(F.col(html), REFRESH_TAG, 0), TARGET, 1)
-    return (pages.select(F.col(url).alias("url"), F.explode(F.array(href, to)).alias("href"))
+    """``url, target``: all redirects and canonical links of the pages."""
+    def found(tag: str, kind: str, value: str) -> Column:
+        tags = F.regexp_extract_all(F.coalesce(F.col(html), F.lit("")), F.lit(tag), F.lit(0))
+        return F.transform(F.filter(tags, lambda t: t.rlike(kind)), lambda t: F.regexp_extract(t, value, 1))
+    hrefs = F.concat(found(LINK_TAG, CANONICAL, HREF), found(META_TAG, REFRESH, TARGET))
+    return (pages.select(F.col(url).alias("url"), F.explode(hrefs).alias("href"))
             .where((F.col("href") != "") & (host_of(F.col("url")) != ""))
             .select("url", _absolute(F.replace("href", F.lit("&amp;"), F.lit("&")), F.col("url")).alias("target")))
 

@@ -77,6 +77,40 @@ def test_contamination_of_long_texts_and_empty_tables(spark):
     assert not any(r.contaminated for r in decontaminate.report(df, bench.where("item_id < 0")).collect())
 
 
+def test_repeating_text_and_repeating_items_stay_linear(spark):
+    import time
+    began = time.time()
+    block = decontaminate.TestBlock([("1", "la " * 4000), ("2", "lo la " * 3000), ("3", "la li")], 10)
+    batch = pa.RecordBatch.from_arrays([pa.array(["la " * 20_000 + "li", "x " + "lo la " * 5000, "no"])], ["text"])
+    n, row, place, window, longest = decontaminate.matches(batch, block)
+    assert n.tolist() == [20_001, 10_001, 1] and len(row) < 35_000
+    assert [longest[row == r].max() for r in (0, 1)] == [4000, 6000] and (row < 2).all()
+    assert {i for w in window[row == 0] for i in block.item_sets[block.set_of[w]]} == {"1", "3"}
+    # many copies of one item against many copies of its text
+    rng = random.Random(7)
+    text = prose(rng, 30)
+    items = spark.createDataFrame([(i, text) for i in range(800)], "item_id long, text string")
+    docs = spark.createDataFrame([(i, f"{prose(rng, 5)} {text} {prose(rng, 5)}") for i in range(800)], "doc_id long, text string")
+    got = decontaminate.report(docs, items).collect()
+    assert all((r.n_hit, r.n_items, r.longest) == (30, 800, 30) for r in got)
+    assert time.time() - began < 60
+
+
+def test_longest_matches_equal_plain_search():
+    rng = random.Random(13)
+    for _ in range(40):
+        items = ["".join(rng.choice("abc") + " " for _ in range(rng.randint(3, 40))) for _ in range(4)]
+        block = decontaminate.TestBlock(list(enumerate(items)), 3)
+        text = [rng.choice("abc") for _ in range(60)]
+        tokens = np.array([{w: i for i, w in enumerate(block.words)}[x.encode()] + 1 for x in text] + [0])
+        got = decontaminate.longest_matches(tokens, np.arange(60), block)
+        for p in range(60):
+            n = 0
+            while p + n < 60 and any(" ".join(text[p:p + n + 1]) + " " in t for t in items):
+                n += 1
+            assert got[p] == n
+
+
 def test_suffix_array_orders_suffixes():
     rng = np.random.default_rng(5)
     t = rng.integers(0, 4, 300)
@@ -152,6 +186,29 @@ def test_slots_fill_shards_and_blocks_evenly(spark):
     assert len({(r.sid, r["pass"], r.slot): r.shard for r in seg}) == len(slots)
 
 
+def test_every_shard_draws_its_source_counts(spark, monkeypatch):
+    import math
+    monkeypatch.setattr(mixing, "DRAW_SOURCES", 2)           # draws in two steps
+    total = {0: 40_000, 1: 9_000, 2: 900, 3: 5, 4: 25_000}
+    df = spark.createDataFrame(sorted(total.items()), "sid long, total long")
+    shards, slots = 40, sum(total.values())
+    got = {(r.shard, r.sid): r.drawn for r in mixing._drawn(df, shards, slots, 3).collect()}
+    assert got == {(r.shard, r.sid): r.drawn for r in mixing._drawn(df.repartition(3), shards, slots, 3).collect()}
+    size = [(k + 1) * slots // shards - k * slots // shards for k in range(shards)]
+    for k in range(shards):
+        assert sum(n for (shard, _), n in got.items() if shard == k) == size[k]
+    for s, n in total.items():
+        p = n / slots
+        counts = [got.get((k, s), 0) for k in range(shards)]
+        deviation = [(c - size[k] * p) / math.sqrt(size[k] * p * (1 - p)) for k, c in enumerate(counts)]
+        assert max(map(abs, deviation)) < 5
+        if n > 500:     # spread as a multinomial's, not dealt evenly
+            assert 0.5 < sum(d * d for d in deviation) / shards < 1.7
+    docs, _ = awkward(spark, 60)
+    seg = mixing.mix_segments(docs).collect()
+    assert len({r.shard for r in seg}) == mixing.LEAST_SHARDS
+
+
 def test_permutations():
     for n in (1, 2, 3, 17, 1000, 4097):
         got = mixing.permute(np.arange(n), np.full(n, n), np.full(n, 99, np.uint64))
@@ -205,3 +262,57 @@ def test_packed_rows_give_the_texts_back(spark, tmp_dir):
         else:
             assert sum(len(p) for _, p in pieces[doc]) == sum(len(plain.encode_ordinary(t)) + 1 for t in texts)
     assert packing.pack_documents(empty(spark)).count() == 0
+
+
+def test_hits_equal_plain_search_of_words_and_exceptions():
+    import random
+
+    from claimflow.llm import toxicity
+    rng = random.Random(21)
+    letters = "abc"
+    def word(n):
+        return "".join(rng.choice(letters) for _ in range(n))
+    for _ in range(300):
+        lex = toxicity.Lexicon({word(rng.randint(1, 3)): rng.randint(1, 9) for _ in range(4)}, {word(rng.randint(1, 3)): rng.randint(1, 9) for _ in range(3)},
+                               [" ".join(word(rng.randint(1, 2)) for _ in range(rng.randint(1, 3))) for _ in range(4)])
+        words = [word(rng.randint(1, 4)) for _ in range(rng.randint(0, 30))]
+        text = " " + "".join(w + " " for w in words)
+        want, start = [], 0
+        for w in words:
+            found = [(start, start + len(w) + 2, x) for e, x in lex.words.items() if e == w] + [(start, start + len(e) + 1, x) for e, x in lex.prefixes.items() if w.startswith(e)]
+            under = False
+            for e in lex.exceptions:
+                at = text.find(f" {e} ")
+                while at >= 0:
+                    under |= at <= start < at + len(e) + 1
+                    at = text.find(f" {e} ", at + 1)
+            if found and not under:
+                want.append((start, max(x for *_, x in found)))
+            start += len(w) + 1
+        got = toxicity.hits(text, lex.automaton())
+        assert [(s, x) for s, _, x in got] == want, (lex, text)
+
+
+def test_many_hits_and_exceptions_take_little_time():
+    import time
+
+    from claimflow.llm import toxicity
+    lex = toxicity.Lexicon({"bad": 1.0, "good": 1.0}, {}, ["good thing"])
+    text = " " + "bad good thing " * 100_000
+    began = time.time()
+    assert len(toxicity.hits(text, lex.automaton())) == 100_000
+    assert time.time() - began < 5
+
+
+def test_tags_are_found_in_long_and_unclosed_markup(spark):
+    import time
+
+    from claimflow.llm import url_filter
+    canonical = '<link rel="canonical" href="https://b.org/x">'
+    pages = [(1, "https://a.org/", "<link rel=canonical " * 50_000), (2, "https://a.org/", "<meta http-equiv=refresh " * 40_000 + canonical),
+             (3, "https://a.org/", "<link rel=icon href=/i>" * 100 + canonical + '<LINK REL=canonical HREF=/y><meta http-equiv="refresh" content="0; url=/z">'),
+             (4, "https://a.org/", None)]
+    began = time.time()
+    got = sorted((r.url, r.target) for r in url_filter.alias_links(spark.createDataFrame(pages, "page_id long, url string, html string")).collect())
+    assert time.time() - began < 10
+    assert got == [("https://a.org/", t) for t in ("https://a.org/y", "https://a.org/z", "https://b.org/x", "https://b.org/x")]
