@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import html.entities
 import json
+import zlib
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,18 +43,23 @@ PLAIN_TOKEN_PATTERN = r"[a-z0-9]+(?:[.,:][a-z0-9]+)*"
 MIN_TOKEN_LENGTH = 3
 # HTML: script and style blocks with their content, comments, declarations,
 # then any tag; one left-to-right scan, earlier alternatives win at a position.
+# What is opened and never closed reaches to the end of the page, as it does for
+# a parser; so every opener is read once and the scan is linear.
 HTML_DROP_PATTERN = (
-    r"(?is)<script[^>]*>.*?</script[^>]*>|<style[^>]*>.*?</style[^>]*>"
-    r"|<!--.*?-->|<![^>]*>|</?[a-zA-Z][^>]*>"
+    r"(?is)<script[^>]*+(?:>.*?(?:</script[^>]*+(?:>|\z)|\z)|\z)|<style[^>]*+(?:>.*?(?:</style[^>]*+(?:>|\z)|\z)|\z)"
+    r"|<!--.*?(?:-->|\z)|<![^>]*+(?:>|\z)|</?[a-zA-Z][^>]*+(?:>|\z)"
 )
+PLAIN_HTML_DROP_PATTERN = HTML_DROP_PATTERN.replace("*+", "*")
 HTML_BREAK_PATTERN = r"(?<![" + WS + r"])[" + WS + r"]*?(?:  |[" + LB + r"])[" + WS + r"]*"
 PLAIN_HTML_BREAK_PATTERN = r"[" + WS + r"]*(?:  |[" + LB + r"])[" + WS + r"]*"
 EDGE_WS_PATTERN = r"^[" + WS + r"]+|(?<![" + WS + r"])[" + WS + r"]+$"
 PLAIN_EDGE_WS_PATTERN = r"^[" + WS + r"]+|[" + WS + r"]+$"
-TITLE_PATTERN = r"(?is)<title[^>]*>(.*?)</title>"
+TITLE_PATTERN = r"(?is)<title[^>]*+(?:>(.*?)(?:</title>|\z)|\z)"
+PLAIN_TITLE_PATTERN = TITLE_PATTERN.replace("*+", "*")
 AUTHORITY_PATTERN = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)"
-# A character reference with ``;``: decimal, hexadecimal or named.
-ENTITY_PATTERN = r"&(#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);"
+# A character reference: decimal, hexadecimal or named, with ``;`` or without.
+ENTITY_PATTERN = r"&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[a-zA-Z][a-zA-Z0-9]*;?)"
+ENTITY_START = r"&(?:#[0-9]|#[xX][0-9a-fA-F]|[a-zA-Z])"
 # The HTML5 replacements for references to 0x80-0x9F
 # (Windows-1252 code points), as code point -> code point.
 WINDOWS_1252_REMAP = {
@@ -129,9 +135,37 @@ def entity_names() -> dict[str, str]:
     return {k[:-1]: v for k, v in html.entities.html5.items() if k.endswith(";")}
 
 
+def legacy_names() -> dict[str, str]:
+    """The names that are references without ``;``, too: name -> character."""
+    return {k: v for k, v in html.entities.html5.items() if not k.endswith(";")}
+
+
+# Ranges of code points whose numeric references give nothing: controls and
+# non-characters (those with a Windows-1252 meaning, tested first, aside); the
+# last two of each plane are non-characters, too.
+DROPPED_CODE_POINTS = ((0x1, 0x8), (0xB, 0xB), (0xE, 0x1F), (0x7F, 0x7F), (0xFDD0, 0xFDEF))
+
+
+def _longest_first(names) -> str:
+    return "|".join(sorted(names, key=lambda n: (-len(n), n)))
+
+
+def constant_lookup(key: Column, table: dict[str, str]) -> Column:
+    """The table's value for ``key``, null without one: a constant array of hash
+    buckets, so that a key is found by position and not by search."""
+    n = 1
+    while n < 2 * len(table):
+        n *= 2
+    rows: list = [[] for _ in range(n)]
+    for k, v in table.items():
+        rows[zlib.crc32(k.encode()) % n].append({"k": k, "v": v})
+    buckets = F.from_json(F.lit(json.dumps(rows)), "array<array<struct<k:string,v:string>>>")
+    return F.get(F.filter(F.get(buckets, (F.crc32(key.cast("binary")) % n).cast("int")), lambda e: e["k"] == key), F.lit(0))["v"]
+
+
 def _code_point(ref: Column) -> Column:
     """Code point of a numeric reference body (``#39`` or ``#x2019``) of any
-    length; invalid ones (0, surrogates, beyond U+10FFFF) become U+FFFD,
+    length; 0, surrogates and what lies beyond U+10FFFF become U+FFFD,
     0x80-0x9F follow the HTML5 table."""
     is_hex = F.lower(ref).startswith("#x")
     digits = F.regexp_replace(ref, "^#[xX]?0*", "")
@@ -143,28 +177,49 @@ def _code_point(ref: Column) -> Column:
     return F.when(bad, F.lit(0xFFFD)).otherwise(F.coalesce(F.element_at(remap, raw.cast("int")), raw))
 
 
-def decode_entities(s) -> Column:
-    """Named and numeric references with ``;`` to characters, in one pass (so
-    ``&amp;#39;`` becomes ``&#39;``); unknown names stay.
-
-    One split cuts the text before every reference, so each piece but the
-    first begins with one; pieces are decoded from a constant name table or
-    the code point's UTF-32 bytes and joined. The input is referenced once,
-    so nothing upstream is evaluated twice."""
-    names = F.from_json(F.lit(json.dumps(entity_names())), "map<string,string>")
+def decode_entities(s, legacy: bool = True) -> Column:
+    """Character references to characters, in one pass (so ``&amp;#39;``
+    becomes ``&#39;``); unknown names stay. With ``legacy``, as in text, numbers
+    need no ``;`` and of a name that is none the longest beginning among the
+    names that need no ``;`` counts (``&copy 2024``, ``&notit;``); without, as in
+    URLs, only references that end in ``;`` do.
+
+    One split cuts the text before every reference; only pieces that begin with
+    one are decoded, and joined again. The input is referenced once, so nothing
+    upstream is evaluated twice."""
+    end = "(;?)" if legacy else "(;)"
+
+    def char(point):
+        gone = point % 65536 >= 65534
+        for lo, hi in DROPPED_CODE_POINTS:
+            gone = gone | point.between(lo, hi)
+        return F.when(gone, F.lit("")).otherwise(F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32"))
+
+    def number(p):
+        ref = F.regexp_extract(p, f"^&(#[0-9]+|#[xX][0-9a-fA-F]+){end}", 1)
+        made = F.get(F.transform(F.array(_code_point(ref)), char), F.lit(0))       # the code point is worked out once
+        after = F.regexp_replace(p, f"^&(?:#[0-9]++|#[xX][0-9a-fA-F]++){end[1:-1]}", "")
+        return F.when(ref == "", p).otherwise(F.concat(made, after))
+
+    def named(p):
+        name = F.regexp_extract(p, "^&([a-zA-Z][a-zA-Z0-9]*);", 1)
+        known = F.when(name != "", constant_lookup(name, entity_names()))
+        whole = F.concat(known, F.substr(p, F.length(name) + F.lit(3)))
+        if not legacy:
+            return F.coalesce(whole, p)
+        start = F.regexp_extract(p, f"^&({_longest_first(legacy_names())})", 1)
+        part = F.when(start != "", F.concat(constant_lookup(start, legacy_names()), F.substr(p, F.length(start) + F.lit(2))))
+        return F.coalesce(whole, part, p)
 
     def piece(p):
-        ref = F.regexp_extract(p, "^" + ENTITY_PATTERN, 1)
-        number = F.decode(F.unhex(F.lpad(F.hex(_code_point(ref)), 8, "0")), "UTF-32")
-        char = F.when(ref.startswith("#"), number).otherwise(F.try_element_at(names, ref))
-        return F.when((ref == "") | char.isNull(), p).otherwise(
-            F.concat(char, F.substr(p, F.length(ref) + F.lit(3))))
+        return F.when(~p.startswith("&"), p).when(p.startswith("&#"), number(p)).otherwise(named(p))
 
-    return F.array_join(F.transform(F.split(_col(s), f"(?={ENTITY_PATTERN})", -1), piece), "")
+    return F.array_join(F.transform(F.split(_col(s), f"(?={ENTITY_START})", -1), piece), "")
 
 
 def html_to_text(html) -> Column:
-    """Visible page text with the original line/double-space squeeze."""
+    """Visible page text with the original line/double-space squeeze. Markup
+    that is never closed reaches to the end."""
     s = F.regexp_replace(F.coalesce(_col(html), F.lit("")), HTML_DROP_PATTERN, "")
     s = decode_entities(s)
     s = F.regexp_replace(s, HTML_BREAK_PATTERN, " ")
@@ -172,7 +227,8 @@ def html_to_text(html) -> Column:
 
 
 def html_title(html) -> Column:
-    """``<title>`` text, ``""`` when there is none."""
+    """``<title>`` text, ``""`` when there is none; to the end of the page
+    when it is never closed."""
     return decode_entities(F.regexp_extract(F.coalesce(_col(html), F.lit("")), TITLE_PATTERN, 1))
 
 
@@ -204,7 +260,7 @@ def tokenize_sql(clean_expr: str, stop_words=ENGLISH_STOP_WORDS,
 
 
 def _code_point_sql(ref: str) -> str:
-    digits = f"regexp_replace({ref}, '^#[xX]?0*', '')"
+    digits = f"regexp_replace({ref}, '^#[xX]?0*|;', '', 'g')"
     raw = (f"CASE WHEN {digits} = '' THEN 0 WHEN length({digits}) > 7 THEN 1114112 "
            f"WHEN starts_with(lower({ref}), '#x') THEN CAST('0x' || {digits} AS BIGINT) "
            f"ELSE CAST({digits} AS BIGINT) END")
@@ -213,27 +269,32 @@ def _code_point_sql(ref: str) -> str:
             f"ELSE coalesce({remap}[({raw})], ({raw})) END")
 
 
-def decode_entities_sql(expr: str) -> str:
-    names = entity_names()
-    table = f"MAP([{', '.join(q(k) for k in names)}], [{', '.join(q(v) for v in names.values())}])"
-    pieces = f"string_split_regex({expr}, {q('&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);')})"
-    refs = f"regexp_extract_all({expr}, {q(ENTITY_PATTERN)}, 1)"
-    one = (f"CASE WHEN starts_with(r, '#') THEN chr(CAST({_code_point_sql('r')} AS INTEGER)) "
-           f"ELSE coalesce({table}[r], '&' || r || ';') END")
+def decode_entities_sql(expr: str, legacy: bool = True) -> str:
+    def table(names):
+        return f"MAP([{', '.join(q(k) for k in names)}], [{', '.join(q(v) for v in names.values())}])"
+    pattern = ENTITY_PATTERN if legacy else r"&(#[0-9]+;|#[xX][0-9a-fA-F]+;|[a-zA-Z][a-zA-Z0-9]*;)"
+    pieces = f"string_split_regex({expr}, {q(pattern.replace('&(', '&(?:'))})"
+    refs = f"regexp_extract_all({expr}, {q(pattern)}, 1)"
+    point = _code_point_sql("r")
+    gone = f"({point}) % 65536 >= 65534 OR " + " OR ".join(f"({point}) BETWEEN {lo} AND {hi}" for lo, hi in DROPPED_CODE_POINTS)
+    start = f"regexp_extract(r, {q('^(' + _longest_first(legacy_names()) + ')')}, 1)"
+    part = f"WHEN {start} <> '' THEN {table(legacy_names())}[{start}] || substring(r, length({start}) + 1)" if legacy else ""
+    one = (f"CASE WHEN starts_with(r, '#') THEN CASE WHEN {gone} THEN '' ELSE chr(CAST({point} AS INTEGER)) END "
+           f"WHEN ends_with(r, ';') AND {table(entity_names())}[r[:-2]] IS NOT NULL THEN {table(entity_names())}[r[:-2]] {part} ELSE '&' || r END")
     chars = f"list_transform({refs}, lambda r: {one})"
     body = f"array_to_string(list_transform(list_zip({pieces}, {chars}), lambda x: x[1] || coalesce(x[2], '')), '')"
     return f"(CASE WHEN strpos({expr}, '&') > 0 THEN {body} ELSE {expr} END)"
 
 
 def html_to_text_sql(expr: str) -> str:
-    s = f"regexp_replace(coalesce({expr}, ''), {q(HTML_DROP_PATTERN)}, '', 'g')"
+    s = f"regexp_replace(coalesce({expr}, ''), {q(PLAIN_HTML_DROP_PATTERN)}, '', 'g')"
     s = decode_entities_sql(s)
     s = f"regexp_replace({s}, {q(PLAIN_HTML_BREAK_PATTERN)}, ' ', 'g')"
     return f"regexp_replace({s}, {q(PLAIN_EDGE_WS_PATTERN)}, '', 'g')"
 
 
 def html_title_sql(expr: str) -> str:
-    return decode_entities_sql(f"regexp_extract(coalesce({expr}, ''), {q(TITLE_PATTERN)}, 1)")
+    return decode_entities_sql(f"regexp_extract(coalesce({expr}, ''), {q(PLAIN_TITLE_PATTERN)}, 1)")
 
 
 def url_authority_sql(expr: str) -> str:

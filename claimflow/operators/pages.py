@@ -16,10 +16,13 @@ MIN_PAGE_TEXT = 50  # a page is kept when its text is longer than this
 NO_CONTENT = "No content found"
 
 # Link and URL patterns of the original collector.
-HREF_PATTERN = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*)"""
+HREF_PATTERN = r"""(?is)<a\s(?:[^<>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*)"""
 HREF_QUOTES = r"""^["']|["']$"""
-# What holds no links: script and style blocks and comments.
-NO_LINKS_PATTERN = r"(?is)<script[^>]*>.*?</script[^>]*>|<style[^>]*>.*?</style[^>]*>|<!--.*?-->"
+# What holds no links: script and style blocks and comments, to the end of the
+# page when they are never closed.
+NO_LINKS_PATTERN = (r"(?is)<script[^>]*+(?:>.*?(?:</script[^>]*+(?:>|\z)|\z)|\z)|<style[^>]*+(?:>.*?(?:</style[^>]*+(?:>|\z)|\z)|\z)"
+                    r"|<!--.*?(?:-->|\z)")
+PLAIN_NO_LINKS_PATTERN = NO_LINKS_PATTERN.replace("*+", "*")
 SCHEME_PATTERN = r"^[A-Za-z][A-Za-z0-9+.\-]*:"
 SKIP_URL_PATTERN = (r"(?i)\.(pdf|jpg|jpeg|png|gif|css|js|xml|rss)$|/tag/|/category/|/author/"
                     r"|/search|/login|/register|/contact|/about|/privacy|/terms")
@@ -96,7 +99,7 @@ def find_article_urls(pages: DataFrame, max_urls: int = 100) -> DataFrame:
                           F.posexplode(F.regexp_extract_all(markup, F.lit(HREF_PATTERN), F.lit(1))).alias("pos", "href"))
              .withColumnRenamed("href", "_raw"))
     # Each derived column is read many times below: evaluate it once a link.
-    links = evaluate_once(links, href=decode_entities(F.regexp_replace("_raw", HREF_QUOTES, "")))
+    links = evaluate_once(links, href=decode_entities(F.regexp_replace("_raw", HREF_QUOTES, ""), legacy=False))
     links = (evaluate_once(links, url=resolve_href(F.col("href"), F.col("domain")))
              .where(is_article_url(F.col("url"), F.col("domain"))))
     first = links.groupBy("domain", "url").agg(F.min(F.struct("page_id", "pos")).alias("first"))
