@@ -7,30 +7,35 @@ terms with ``df >= min_df`` and ``df <= max_df * n``, then the
 ``max_features`` terms of highest corpus frequency (ties by term);
 column indices are the alphabetical order of the kept terms.
 
-Plan shape: a row holds its document's terms, so both term counts come out
-of one aggregation by term (partial counts before the shuffle, documents
-never move), and vectors are made row by row in one Arrow UDF. The vocabulary is small by
-``max_features`` and lives on the driver and each executor, as the models'
-coefficients do; no key is needed, so repeated or null keys change nothing.
+Plan shape: both term counts, per fold too, and the number of rows come out of
+one aggregation by term over one read of the rows (partial counts before the
+shuffle; documents never move); a fold's vocabulary is the total less the fold's
+own counts. Vectors are made row by row in the JVM: Spark ML's count vectorizer
+looks the terms up, and array functions weigh its sparse counts with the idf, a
+constant of the plan. The vocabulary is small by ``max_features`` and lives on the
+driver and each executor, as the models' coefficients do; no key is needed, so
+repeated or null keys change nothing.
 """
 
 from __future__ import annotations
 
 import json
 import math
+import uuid
 from dataclasses import dataclass, field
 
-from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimflow.functions.stopwords import ENGLISH_STOP_WORDS
 from claimflow.functions.text import evaluate_once
-from claimflow.session import write_stage
+from claimflow.session import scratch_path, write_stage
 
 MODEL_TOKEN_PATTERN = r"[a-z0-9_]{2,}"
-MAX_VOCABULARY = 4_000_000  # terms without ``max_features``; more is an error
+UNFITTED = "no vocabulary yet: must be fitted first"
 
 
 def model_tokens(text, stop_words=ENGLISH_STOP_WORDS) -> Column:
@@ -50,25 +55,39 @@ def ngrams_1_2(tokens) -> Column:
     return F.concat(t, bigrams)
 
 
-_ENTRIES = T.ArrayType(T.StructType([T.StructField("term", T.StringType()), T.StructField("idx", T.IntegerType()),
-                                     T.StructField("tf", T.LongType()), T.StructField("weight", T.DoubleType())]))
+VECTOR_SCHEMA = T.StructType([T.StructField("v", VectorUDT())])
 
 
-def _weigher(terms: list, idf: list):
-    """Function from a row's terms to its (idx, weight, tf) lists, by idx."""
-    index = {t: i for i, t in enumerate(terms)}
+def sparse_struct(size: int, indices: Column, values: Column) -> Column:
+    """The struct that a sparse vector is stored as."""
+    return F.struct(F.lit(0).cast("byte").alias("type"), F.lit(size).alias("size"), indices.alias("indices"), values.alias("values"))
 
-    def weigh(row):
-        tf: dict = {}
-        for t in (() if row is None else row):
-            i = index.get(t)
-            if i is not None:
-                tf[i] = tf.get(i, 0) + 1
-        idx = sorted(tf)
-        w = [(1.0 + math.log(tf[i])) * idf[i] for i in idx]
-        norm = math.sqrt(sum(x * x for x in w))
-        return idx, [x / norm for x in w], [tf[i] for i in idx]
-    return weigh
+
+def as_vector(struct: Column) -> Column:
+    """A stored vector as a vector column. Spark casts no struct to a vector;
+    its JSON reader takes one by the vector's own schema, digit for digit."""
+    return F.from_json(F.to_json(F.struct(struct.alias("v"))), VECTOR_SCHEMA)["v"]
+
+
+def write_vectors(df: DataFrame, size: int, indices: Column, values: Column, keep: list, name: str, out: str = "features") -> DataFrame:
+    """``keep`` columns and a sparse vector column, as a written table: a stored
+    struct is read back as the vector it is, without a conversion."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    rows = df.select(*keep)
+    df.select(*keep, sparse_struct(size, indices, values).alias(out)).write.parquet(path)
+    return df.sparkSession.read.schema(T.StructType([*rows.schema.fields, T.StructField(out, VectorUDT())])).parquet(path)
+
+
+def term_frequencies(docs: DataFrame, terms_col: str, vocabulary: list) -> DataFrame:
+    """Adds ``_tf``, the sparse counts of the row's known terms as a struct with
+    ``indices`` and ``values``; a null row of terms has none."""
+    counts = CountVectorizerModel.from_vocabulary(vocabulary or [""], inputCol="_known", outputCol="_counts")
+    known = docs.withColumn("_known", F.coalesce(F.col(terms_col), F.array().cast("array<string>")))
+    return evaluate_once(counts.transform(known), _tf=F.unwrap_udt("_counts")).drop("_known", "_counts")
+
+
+def _constant(values: list, kind: str) -> Column:
+    return F.from_json(F.lit(json.dumps(values)), f"array<{kind}>")
 
 
 @dataclass
@@ -87,41 +106,57 @@ class TfidfModel:
     def size(self) -> int:
         return len(self.terms)
 
+    def weighed(self, docs: DataFrame) -> DataFrame:
+        """Adds ``_tf`` (``term_frequencies``) and ``_weights``, the normalised
+        weights of its indices."""
+        idf = _constant(self.idf, "double")
+        x = term_frequencies(docs, self.terms_col, self.terms)
+        x = evaluate_once(x, _raw=F.zip_with("_tf.indices", "_tf.values", lambda i, n: (1.0 + F.log(n)) * F.get(idf, i)))
+        norm = F.sqrt(F.aggregate("_raw", F.lit(0.0), lambda total, w: total + w * w))
+        x = evaluate_once(x, _norm=norm)
+        return x.withColumn("_weights", F.transform("_raw", lambda w: w / F.col("_norm"))).drop("_raw", "_norm")
+
     def vectors(self, docs: DataFrame, out: str = "features", bias: bool = False) -> DataFrame:
         """F8: ``docs`` (with its terms column) plus one sparse vector per
         row; unseen terms are ignored, a row without known terms gets zeros.
         ``bias`` adds a constant 1.0 in the last column (penalised intercept)."""
-        weigh, size = _weigher(self.terms, self.idf), self.size + bias
-
-        @F.udf(returnType=VectorUDT(), useArrow=True)
-        def vector(row):
-            idx, w, _ = weigh(row)
-            return SparseVector(size, idx + [size - 1], w + [1.0]) if bias else SparseVector(size, idx, w)
-        return docs.withColumn(out, vector(self.terms_col))
+        x, indices, values = self.weighed(docs), F.col("_tf.indices"), F.col("_weights")
+        if bias:
+            indices, values = F.concat(indices, F.array(F.lit(self.size))), F.concat(values, F.array(F.lit(1.0)))
+        return x.withColumn(out, as_vector(sparse_struct(self.size + bias, indices, values))).drop("_tf", "_weights")
 
     def transform(self, docs: DataFrame, doc_col: str | None = None) -> DataFrame:
         """F4/F5 long form: (doc, term, idx, tf, weight); rows without known
         terms have none. Columns of ``docs`` other than the terms stay."""
-        weigh, terms = _weigher(self.terms, self.idf), self.terms
-
-        @F.udf(returnType=_ENTRIES, useArrow=True)
-        def entries(row):
-            return [(terms[i], i, n, w) for i, w, n in zip(*weigh(row))]
+        terms = _constant(self.terms, "string")
         key = doc_col or self.doc_col
         keep = [key] + [c for c in docs.columns if c not in (self.terms_col, key)]
-        return docs.withColumn("_e", entries(self.terms_col)).select(*keep, F.inline("_e"))
+        entries = F.transform(F.arrays_zip(F.col("_tf.indices").alias("i"), F.col("_tf.values").alias("n"), F.col("_weights").alias("w")), lambda e: F.struct(
+            F.get(terms, e["i"]).alias("term"), e["i"].alias("idx"), e["n"].cast("long").alias("tf"), e["w"].alias("weight")))
+        return self.weighed(docs).select(*keep, F.inline(entries))
 
     def feature_names(self) -> DataFrame:
         """terms in column order."""
         return self.vocab.select("idx", "term").orderBy("idx")
 
 
-def term_stats(docs: DataFrame, terms_col: str = "terms") -> DataFrame:
-    """``term, df, cf`` of all rows: every term counts for ``cf``, every
-    distinct term of a row for ``df``, in one aggregation with partial sums."""
-    every = docs.select(F.explode(terms_col).alias("term"), F.lit(0).alias("d"), F.lit(1).alias("c"))
-    once = docs.select(F.explode(F.array_distinct(terms_col)).alias("term"), F.lit(1).alias("d"), F.lit(0).alias("c"))
-    return every.unionByName(once).groupBy("term").agg(F.sum("d").alias("df"), F.sum("c").alias("cf"))
+def term_stats(docs: DataFrame, terms_col: str = "terms", fold_col: str | None = None, n_folds: int = 0, min_df: int = 1) -> DataFrame:
+    """``term, df, cf`` of all rows, and ``df_k, cf_k`` of the rows of each fold
+    k: every term counts for ``cf``, every distinct term of a row for ``df``.
+    Each row also counts once for the null term, so that term's ``df`` is the
+    number of rows. Terms of fewer than ``min_df`` rows are left out. One read of
+    the rows, one aggregation with partial sums."""
+    def entry(t, d, c):
+        return F.struct(t.alias("term"), F.lit(d).alias("d"), F.lit(c).alias("c"))
+    terms = F.coalesce(F.col(terms_col), F.array().cast("array<string>"))
+    entries = F.concat(F.array(entry(F.lit(None).cast("string"), 1, 0)), F.transform(terms, lambda t: entry(t, 0, 1)),
+                       F.transform(F.array_distinct(terms), lambda t: entry(t, 1, 0)))
+    rows = docs.select(*([F.col(fold_col).alias("fold")] if fold_col else []), F.inline(entries))
+    sums = [F.sum("d").alias("df"), F.sum("c").alias("cf")]
+    for k in range(n_folds):
+        mine = F.col("fold") == k
+        sums += [F.sum(F.when(mine, F.col("d")).otherwise(0)).alias(f"df_{k}"), F.sum(F.when(mine, F.col("c")).otherwise(0)).alias(f"cf_{k}")]
+    return rows.groupBy("term").agg(*sums).where(F.col("term").isNull() | (F.col("df") >= min_df))
 
 
 def most_frequent(stats: DataFrame, n: int) -> DataFrame:
@@ -141,24 +176,40 @@ def most_frequent(stats: DataFrame, n: int) -> DataFrame:
     return stats
 
 
-def fit_tfidf(docs: DataFrame, doc_col: str = "doc_id", terms_col: str = "terms", min_df: int = 3,
-              max_df: float = 0.95, max_features: int | None = 10_000, stop_words=ENGLISH_STOP_WORDS) -> TfidfModel:
-    """fit the vocabulary on ``docs`` (the training split only). Without
-    ``max_features`` all kept terms count, up to ``MAX_VOCABULARY``."""
-    stats = write_stage(term_stats(docs, terms_col), "term-stats")
-    n_docs = docs.count()
-    kept = stats.where((F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df * n_docs)))
+def model_of_stats(stats: DataFrame, min_df: int = 3, max_df: float = 0.95, max_features: int | None = 10_000, fold: int | None = None,
+                   doc_col: str = "doc_id", terms_col: str = "terms", stop_words=ENGLISH_STOP_WORDS) -> TfidfModel:
+    """F3 on written ``term_stats``: the vocabulary of all rows or, with ``fold``,
+    of the rows outside that fold (the totals less the fold's counts)."""
+    df, cf = (F.col(c) if fold is None else F.col(c) - F.col(f"{c}_{fold}") for c in ("df", "cf"))
+    counts = stats.select("term", df.alias("df"), cf.alias("cf"))
+    rows = counts.where("term is null").first()
+    n_docs = rows["df"] if rows else 0
+    kept = counts.where(F.col("term").isNotNull() & (F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df * n_docs)))
     if max_features is not None:
         kept = most_frequent(kept, max_features)
-    rows = kept.limit((max_features or MAX_VOCABULARY) + 1).collect()
-    if max_features is None and len(rows) > MAX_VOCABULARY:
-        raise ValueError(f"the vocabulary has more than {MAX_VOCABULARY} terms: set max_features")
     rows = [(r["term"], i, r["df"], r["cf"], math.log((1.0 + n_docs) / (1.0 + r["df"])) + 1.0)
-            for i, r in enumerate(sorted(rows, key=lambda r: r["term"].encode()))]
-    vocab = docs.sparkSession.createDataFrame(rows, "term string, idx int, df long, cf long, idf double")
+            for i, r in enumerate(sorted(kept.collect(), key=lambda r: r["term"].encode()))]
+    vocab = stats.sparkSession.createDataFrame(rows, "term string, idx int, df long, cf long, idf double")
     return TfidfModel(vocab, [r[0] for r in rows], [r[4] for r in rows], n_docs, doc_col, terms_col, tuple(stop_words or ()))
 
 
+def fit_tfidf(docs: DataFrame, doc_col: str = "doc_id", terms_col: str = "terms", min_df: int = 3,
+              max_df: float = 0.95, max_features: int | None = 10_000, stop_words=ENGLISH_STOP_WORDS) -> TfidfModel:
+    """fit the vocabulary on ``docs`` (the training split only). Without
+    ``max_features`` all kept terms count."""
+    stats = write_stage(term_stats(docs, terms_col, min_df=min_df), "term-stats")
+    return model_of_stats(stats, min_df, max_df, max_features, None, doc_col, terms_col, stop_words)
+
+
+def fit_fold_models(docs: DataFrame, fold_col: str, n_folds: int, doc_col: str = "doc_id", terms_col: str = "terms", min_df: int = 3,
+                    max_df: float = 0.95, max_features: int | None = 10_000, stop_words=ENGLISH_STOP_WORDS) -> tuple[TfidfModel, list[TfidfModel]]:
+    """The vocabulary of all rows and, for every fold, that of the other
+    folds' rows, all from one pass over ``docs``."""
+    stats = write_stage(term_stats(docs, terms_col, fold_col, n_folds, min_df), "term-stats")
+    models = [model_of_stats(stats, min_df, max_df, max_features, k, doc_col, terms_col, stop_words) for k in (None, *range(n_folds))]
+    return models[0], models[1:]
+
+
 def add_terms(df: DataFrame, text_col: str = "text_processed", out: str = "terms",
               stop_words=ENGLISH_STOP_WORDS) -> DataFrame:
     """F1+F2 as a column of model terms (the token regex runs once per row)."""
@@ -215,7 +266,7 @@ class TfidfVectorizer:
     def transform(self, df: DataFrame) -> DataFrame:
         """Long-form (doc, term, idx, tf, weight)."""
         if not self.is_fitted:
-            raise ValueError("Vectorizer must be fitted before transform")
+            raise ValueError(UNFITTED)
         return self.model.transform(self._terms(df).select(self.doc_col, "terms"), self.doc_col)
 
     def fit_transform(self, df: DataFrame) -> DataFrame:
@@ -223,5 +274,5 @@ class TfidfVectorizer:
 
     def feature_names(self) -> DataFrame:
         if not self.is_fitted:
-            raise ValueError("Vectorizer must be fitted before transform")
+            raise ValueError(UNFITTED)
         return self.model.feature_names()

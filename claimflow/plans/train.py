@@ -20,18 +20,24 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.feature import ElementwiseProduct, Normalizer, VectorAssembler
+from pyspark.ml.linalg import Vectors
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimflow.functions.stopwords import ENGLISH_STOP_WORDS
 from claimflow.functions.text import clean_text, evaluate_once, join_tokens, tokenize
-from claimflow.operators.aggregates import fold_score_stats, with_balanced_weights
-from claimflow.operators.features import TfidfModel, add_terms, encode_labels, fit_tfidf, label_classes
+from claimflow.operators.aggregates import fold_score_stats
+from claimflow.operators.features import (
+    TfidfModel, add_terms, encode_labels, fit_fold_models, fit_tfidf, label_classes, term_frequencies, write_vectors,
+)
 from claimflow.operators.split import TRAIN, VALIDATION, stratified_split
 from claimflow.session import write_stage
 
 MODEL_ORDER = ("logistic_regression", "linear_svm")  # ties go to the first
+ROWS_PER_PARTITION = 2_000  # of the vectors that a solver reads again and again
 
 
 @dataclass
@@ -129,34 +135,40 @@ def train_classifier(df: DataFrame, key: str, label_col: str = "label", text_col
     x, classes = encode_labels(x, label_col, "label_idx", classes or label_classes(x, label_col))
     timings["prepare"] = round(time.time() - t0, 3)
 
-    train = x.where(F.col("split") == TRAIN)
-    vec = fit_tfidf(train, key, "terms", cfg.min_df, cfg.max_df, cfg.max_features, cfg.stop_words)
-    train_w = with_balanced_weights(train, "label_idx")
-    n_train = vec.n_docs
-    train_v = vec.vectors(train_w).select("features", "label_idx", "weight").persist(StorageLevel.MEMORY_AND_DISK)
-    val_v = vec.vectors(x.where(F.col("split") == VALIDATION))
-    timings["vocabulary_and_weights"] = round(time.time() - t0 - timings["prepare"], 3)
-
+    train = x.where((F.col("split") == TRAIN) & F.col("label_idx").isNotNull())
+    options = dict(doc_col=key, min_df=cfg.min_df, max_df=cfg.max_df, max_features=cfg.max_features, stop_words=cfg.stop_words)
+    if cfg.refit_vocab_per_fold:
+        vec, fold_vecs = fit_fold_models(train, "fold", cfg.n_folds, **options)
+    else:
+        vec = fit_tfidf(train, **options)
+        fold_vecs = [vec] * cfg.n_folds
+    # Rows per class and fold: the class weights of all fits.
+    sizes = {(r["label_idx"], r["fold"]): r["count"] for r in train.groupBy("label_idx", "fold").count().collect()}
+    n_train = sum(sizes.values())
+    weighed = vec.weighed(x.where(F.col("split").isin(TRAIN, VALIDATION)).withColumn("weight", class_weight(sizes)))
+    vectors = write_vectors(weighed, vec.size, F.col("_tf.indices"), F.col("_weights"), ["split", "label_idx", "weight"], "vectors")
     if cfg.penalize_intercept:
-        train_b = with_zero_row(vec.vectors(train_w, bias=True), vec.size)
-        val_b = vec.vectors(x.where(F.col("split") == VALIDATION), bias=True)
-        train_acc_b = vec.vectors(train_w, bias=True)
+        one = VectorAssembler(inputCols=["features", "one"], outputCol="with_one")
+        biased = one.transform(vectors.withColumn("one", F.lit(1.0))).select("split", "label_idx", "weight", F.col("with_one").alias("features"))
+    train_v = for_solver(vectors.where(F.col("split") == TRAIN), n_train)
+    val_v = vectors.where(F.col("split") == VALIDATION)
+    timings["vocabulary_and_weights"] = round(time.time() - t0 - timings["prepare"], 3)
 
     def fit_main(item):
         name, est = item
         if name == "logistic_regression" and cfg.penalize_intercept:
-            model = est.fit(train_b)
-            return name, model, _accuracy(model.transform(train_acc_b)), _accuracy(model.transform(val_b))
+            mine = biased.where(F.col("split") == TRAIN)
+            model = est.fit(with_zero_row(mine, vec.size))
+            return name, model, _accuracy(model.transform(mine)), _accuracy(model.transform(biased.where(F.col("split") == VALIDATION)))
         model = est.fit(train_v)
         return name, model, _accuracy(model.transform(train_v)), _accuracy(model.transform(val_v))
 
     # The two final fits and the CV folds are independent jobs; the scheduler
     # runs what is submitted from threads side by side.
     t1 = time.time()
-    shared = vec if not cfg.refit_vocab_per_fold else None
     with ThreadPoolExecutor(max_workers=2) as pool:
         main = pool.map(fit_main, list(_models(cfg, n_train).items()))
-        folds = cross_validate(train, key, cfg, shared)
+        folds = cross_validate(train, fold_vecs, sizes, cfg)
         timings["cross_validation"] = round(time.time() - t1, 3)
         main = list(main)
     timings["fits_total"] = round(time.time() - t1, 3)
@@ -172,25 +184,55 @@ def train_classifier(df: DataFrame, key: str, label_col: str = "label", text_col
     return TrainResult(classes, vec, fitted, best, metrics, folds, x, {"timings": timings})
 
 
-def cross_validate(train: DataFrame, key: str, cfg: TrainConfig, shared_vec: TfidfModel | None) -> DataFrame:
-    """M7: per fold, fit (vocabulary,) weights and both models on the other
-    folds and score macro F1 on the held-out fold."""
+def class_weight(sizes: dict, without_fold: int | None = None) -> Column:
+    """A3 for ``label_idx`` from the rows per (class, fold), all or without one
+    fold's: a constant per class."""
+    per_class: dict = {}
+    for (label, fold), n in sizes.items():
+        if fold != without_fold:
+            per_class[label] = per_class.get(label, 0) + n
+    n, weight = sum(per_class.values()), F.lit(None).cast("double")
+    for label, n_c in per_class.items():
+        weight = F.when(F.col("label_idx") == label, F.lit(n / (len(per_class) * n_c))).otherwise(weight)
+    return weight
+
+
+def for_solver(vectors: DataFrame, n_rows: int) -> DataFrame:
+    """The rows that a solver goes over in every iteration: cached, in partitions
+    that are worth a task."""
+    parts = max(1, n_rows // ROWS_PER_PARTITION)
+    return vectors.select("features", "label_idx", "weight").coalesce(parts).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def cross_validate(train: DataFrame, fold_vecs: list[TfidfModel], sizes: dict, cfg: TrainConfig) -> DataFrame:
+    """M7: per fold, both models on the other folds' rows under their own
+    vocabulary and class weights, and macro F1 on the held-out fold.
+
+    One written table holds every row's ``1 + ln(tf)`` over all folds' terms; a
+    fold's vectors are its idf (0 for terms outside its vocabulary, whose
+    coefficients then stay 0) times that, normalised."""
     spark = train.sparkSession
+    terms = sorted(set().union(*(v.terms for v in fold_vecs)), key=str.encode)
+    counted = term_frequencies(train, "terms", terms)
+    raw = write_vectors(counted, max(len(terms), 1), F.col("_tf.indices"), F.transform("_tf.values", lambda n: 1.0 + F.log(n)),
+                        ["label_idx", "fold"], "fold-vectors", "raw")
 
     def one_fold(k):
-        fit_part = train.where(F.col("fold") != k)
-        held = train.where(F.col("fold") == k)
-        vec = shared_vec or fit_tfidf(fit_part, key, "terms", cfg.min_df, cfg.max_df, cfg.max_features, cfg.stop_words)
-        fit_w = with_balanced_weights(fit_part, "label_idx")
-        n = vec.n_docs if shared_vec is None else fit_part.count()
-        fit_v = vec.vectors(fit_w).select("features", "label_idx", "weight").persist(StorageLevel.MEMORY_AND_DISK)
+        idf = dict(zip(fold_vecs[k].terms, fold_vecs[k].idf))
+        steps = [ElementwiseProduct(scalingVec=Vectors.dense([idf.get(t, 0.0) for t in terms] or [0.0]), inputCol="raw", outputCol="scaled"),
+                 Normalizer(p=2.0, inputCol="scaled", outputCol="features")]
+        vectors = PipelineModel(steps).transform(raw.withColumn("weight", class_weight(sizes, k)))
+        n = sum(v for (_, fold), v in sizes.items() if fold != k)
+        fit_v, held = for_solver(vectors.where(F.col("fold") != k), n), vectors.where(F.col("fold") == k)
 
         def one_model(item):
             name, est = item
             if name == "logistic_regression" and cfg.penalize_intercept:
-                fitted = est.fit(with_zero_row(vec.vectors(fit_w, bias=True), vec.size))
-                return name, k, macro_f1(fitted.transform(vec.vectors(held, bias=True)))
-            return name, k, macro_f1(est.fit(fit_v).transform(vec.vectors(held)))
+                one = VectorAssembler(inputCols=["features", "one"], outputCol="with_one")
+                def biased(df):
+                    return one.transform(df.withColumn("one", F.lit(1.0))).select("label_idx", "weight", F.col("with_one").alias("features"))
+                return name, k, macro_f1(est.fit(with_zero_row(biased(fit_v), max(len(terms), 1))).transform(biased(held)))
+            return name, k, macro_f1(est.fit(fit_v).transform(held))
 
         with ThreadPoolExecutor(max_workers=2) as inner:  # the two models side by side
             out = list(inner.map(one_model, _models(cfg, n).items()))
@@ -202,6 +244,38 @@ def cross_validate(train: DataFrame, key: str, cfg: TrainConfig, shared_vec: Tfi
     return spark.createDataFrame(rows, "model string, fold int, f1 double")
 
 
+def stored_vectors(features: DataFrame, labels: DataFrame, size: int, key: str = "doc_id") -> DataFrame:
+    """S8 -> M4: long-form features (key, idx, weight) assembled to vectors, one
+    row per row of ``labels`` (key and more columns; a row without known terms
+    gets zeros). A row's features are gathered, never more."""
+    entries = F.array_sort(F.collect_list(F.struct(F.col("idx").cast("int").alias("idx"), "weight")))
+    rows = labels.join(features.groupBy(key).agg(entries.alias("_e")), key, "left")
+    none_i, none_w = F.array().cast("array<int>"), F.array().cast("array<double>")
+    return write_vectors(rows, size, F.coalesce(F.col("_e.idx"), none_i), F.coalesce(F.col("_e.weight"), none_w), labels.columns, "stored-vectors")
+
+
+def train_stored(features: DataFrame, labels: DataFrame, size: int, key: str = "doc_id", label_col: str = "label_idx",
+                 cfg: TrainConfig | None = None) -> dict:
+    """M4/M5 from stored features: ``features`` as ``read_features`` gives them
+    (with ``split``, the folder's partition column, so that each part is read
+    alone), ``labels`` (key, label code). Returns both models and their accuracy
+    on the train and the validation part."""
+    cfg, out = cfg or TrainConfig(), {}
+    parts = {}
+    for split in (TRAIN, VALIDATION):
+        mine = features.where(F.col("split") == split).drop("split")
+        keys = labels.select(key, F.col(label_col).alias("label_idx")).join(mine.select(key).distinct(), key, "left_semi")
+        parts[split] = stored_vectors(mine, keys, size, key)
+    sizes = {(r["label_idx"], None): r["count"] for r in parts[TRAIN].groupBy("label_idx").count().collect()}
+    n = sum(sizes.values())
+    train_v = for_solver(parts[TRAIN].withColumn("weight", class_weight(sizes, -1)), n)
+    for name, est in _models(cfg, n).items():
+        model = est.fit(train_v)
+        out[name] = (model, _accuracy(model.transform(train_v)), _accuracy(model.transform(parts[VALIDATION])))
+    train_v.unpersist()
+    return out
+
+
 def best_models(metrics: DataFrame, by=("niche",)) -> DataFrame:
     """M8 per group: the model of highest CV mean; equal means go to the one
     of lower ``model_order``."""

@@ -46,7 +46,9 @@ SUMMARY_SCHEMA = T.StructType([
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Header CSV with quoted multi-line fields, explicit schema."""
+    """Header CSV with quoted multi-line fields, explicit schema. A record
+    may hold line breaks, so a file can't be split: it is one task, and large
+    inputs should come as many files, or better as Parquet."""
     return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
 
 
@@ -110,21 +112,14 @@ def union_niches(frames: dict, warn=print) -> DataFrame:
 
 
 def save_vectorizer(vec, path: str) -> None:
-    """Vocabulary as Parquet plus a small JSON of scalars."""
-    vec.vocab.write.mode("overwrite").parquet(f"{path}/vocab")
-    meta = {"n_docs": vec.n_docs, "doc_col": vec.doc_col, "terms_col": vec.terms_col, "stop_words": list(vec.stop_words)}
-    spark = vec.vocab.sparkSession
-    spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1) \
-        .write.mode("overwrite").text(f"{path}/meta")
+    """A fitted vocabulary as the Spark ML model that it is."""
+    from claimflow.operators.tfidf_ml import TfidfVectorModel
+    TfidfVectorModel.of(vec).write().overwrite().save(path)
 
 
-def load_vectorizer(spark: SparkSession, path: str):
-    from claimflow.operators.features import TfidfModel
-    meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
-    vocab = spark.read.parquet(f"{path}/vocab")
-    rows = vocab.orderBy("idx").select("term", "idf").collect()
-    return TfidfModel(vocab, [r["term"] for r in rows], [r["idf"] for r in rows], meta["n_docs"], meta["doc_col"],
-                      meta["terms_col"], tuple(meta["stop_words"]))
+def load_vectorizer(spark: SparkSession, path: str, doc_col: str = "doc_id", terms_col: str = "terms"):
+    from claimflow.operators.tfidf_ml import TfidfVectorModel
+    return TfidfVectorModel.load(path).fitted(spark, doc_col, terms_col)
 
 
 def save_models(result, path: str, niche: str) -> DataFrame:
@@ -148,10 +143,11 @@ def load_model(path: str, name: str):
 
 
 def append_metrics(metrics: DataFrame, path: str, niche: str, stamp: str, best: str) -> None:
-    """Append per-model metrics with niche, timestamp and best model."""
+    """Add per-model metrics with niche, timestamp and best model. A repeated
+    call (a rerun, a retried job) replaces the rows of its niche and timestamp."""
     (metrics.withColumn("niche", F.lit(niche)).withColumn("trained_at", F.to_timestamp(F.lit(stamp)))
      .withColumn("is_best", F.col("model") == best)
-     .write.mode("append").partitionBy("niche").parquet(path))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("niche", "trained_at").parquet(path))
 
 
 def write_statements(df: DataFrame, directory: str) -> None:

@@ -103,9 +103,44 @@ def test_scoring_and_weights_move_no_rows(spark):
     docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text")
     out = score(docs, Scorer(m, Dummy(), ["a", "b"], has_probability=False))
     p = out._jdf.queryExecution().executedPlan().toString()
-    assert p.count("ArrowEvalPython") == 1 and "BatchEvalPython" not in p
-    assert "Exchange" not in p and "Join" not in p and "InMemoryTableScan" not in p
-    assert "Exchange" not in m.transform(add_terms(docs.withColumnRenamed("text", "text_processed")))._jdf.queryExecution().executedPlan().toString()
+    long_form = m.transform(add_terms(docs.withColumnRenamed("text", "text_processed")))._jdf.queryExecution().executedPlan().toString()
+    for plan in (p, long_form):
+        assert not any(x in plan for x in ("Exchange", "Join", "InMemoryTableScan", "EvalPython", "InArrow", "InPandas"))
+
+
+def test_fold_vocabularies_equal_a_fit_on_the_other_folds(spark):
+    from conftest import SF001
+    from claimflow.operators.features import fit_fold_models, term_stats
+    from claimflow.plans.catalog import _preprocessed
+    docs = add_terms(_preprocessed(spark, SF001)).select((F.col("doc_id") % 4).cast("int").alias("fold"), "doc_id", "terms").cache()
+    for limit in (300, None):
+        whole, folds = fit_fold_models(docs, "fold", 4, min_df=2, max_df=0.5, max_features=limit)
+        alone = [fit_tfidf(d, min_df=2, max_df=0.5, max_features=limit) for d in (docs, *(docs.where(F.col("fold") != k) for k in range(4)))]
+        for a, b in zip([whole, *folds], alone):
+            assert (a.n_docs, a.terms, a.idf) == (b.n_docs, b.terms, b.idf) and a.size > 200
+            assert sorted(a.vocab.collect()) == sorted(b.vocab.collect())
+    plan = term_stats(docs, "terms", "fold", 4)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("InMemoryRelation") == 1 and plan.split("InMemoryRelation")[0].count("Generate") == 1
+
+
+def test_weights_equal_plain_arithmetic_and_survive_the_vector_form(spark):
+    import random
+    rng = random.Random(4)
+    rows = [(i, [rng.choice(["a", "b", "c d", "é", "zz"]) for _ in range(rng.randint(0, 9))]) for i in range(40)] + [(99, None), (None, ["a", "a"])]
+    docs = spark.createDataFrame(rows, "doc_id long, terms array<string>")
+    m = fit_tfidf(docs, min_df=2, max_df=1.0)
+    assert m.n_docs == len(rows)
+    for r, (key, terms) in zip(m.vectors(docs).collect(), rows):
+        raw = {i: (1 + math.log(terms.count(t))) * m.idf[i] for i, t in enumerate(m.terms) if t in (terms or ())}
+        norm = math.sqrt(sum(w * w for w in raw.values()))
+        assert r.doc_id == key and list(r.features.indices) == sorted(raw)
+        assert all(abs(x - raw[i] / norm) < 1e-12 for i, x in zip(r.features.indices, r.features.values))
+    with_bias = m.vectors(docs, bias=True).first().features
+    assert with_bias.size == m.size + 1 and with_bias[m.size] == 1.0
+    long_form = {(r.doc_id, r.term): (r.tf, r.weight) for r in m.transform(docs).where("doc_id = 3").collect()}
+    assert {t: n for (_, t), (n, _) in long_form.items()} == {t: rows[3][1].count(t) for t in rows[3][1] if t in m.terms}
+    none = fit_tfidf(docs.where("false"))
+    assert none.size == 0 and none.n_docs == 0 and none.vectors(docs).first().features.numNonzeros() == 0
 
 
 def test_repeated_and_null_keys_are_vectorised_alone(spark):
