@@ -6,22 +6,19 @@ class). Every output is a tidy DataFrame; all metrics are doubles.
 
 Curves (E4-E6) need running sums in descending score order. A plain
 window over all scores is one task (hazard H5), so the per-score table is
-cut into score ranges of about ``SCORES_PER_BUCKET`` rows at approximate
-quantiles, each range's totals are prefix-summed on a table with one row per
-range and joined back, and the running sum inside a range uses a window
-partitioned by range. Exact for any bucketing; the quantiles only balance the
-work. Every metric is null where it is not defined (no rows, one class).
+range-partitioned by score (``operators.ranges``): one total per range, running
+sums inside, no bound in the plan and the same rows for any number of ranges.
+Every metric is null where it is not defined (no rows, one class).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimflow.operators.ranges import running_sums
 from claimflow.session import write_stage
 
-SCORES_PER_BUCKET = 50_000
-
 
 def _ratio(a: Column, b: Column) -> Column:
     """a / b as double, 0 when b is 0."""
@@ -96,39 +93,14 @@ def score_table(pred: DataFrame, positive) -> DataFrame:
 def running_by_score(per_score: DataFrame, cols=("pos_n", "neg_n"), n_buckets: int | None = None,
                      with_next: bool = False) -> DataFrame:
     """Inclusive running sums of ``cols`` in descending score order; with
-    ``with_next`` also the next lower score's ``cols`` (null for the last)."""
-    if n_buckets is None:
-        n_buckets = max(1, -(-per_score.count() // SCORES_PER_BUCKET))
-    qs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = sorted(set(per_score.approxQuantile("score", qs, 0.001))) if qs else []
-    arr = F.array(*[F.lit(float(b)) for b in bounds]) if bounds else F.array().cast("array<double>")
-    # bucket = number of bounds at or above the score: 0 for the top range
-    x = per_score.withColumn("_bk", F.size(F.filter(arr, lambda b: b >= F.col("score"))))
-    tot = x.groupBy("_bk").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
-    wb = Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per range: one ordered partition is fine here.
-    off = tot.select("_bk", *[F.coalesce(F.sum(f"_t_{c}").over(wb), F.lit(0)).alias(f"_o_{c}") for c in cols])
-    x = x.join(off, "_bk")
-    w = Window.partitionBy("_bk").orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    for c in cols:
-        x = x.withColumn(f"cum_{c}", F.sum(c).over(w) + F.col(f"_o_{c}"))
-    if with_next:
-        # The next (lower) score's counts: ``lead`` inside a range, and for a
-        # range's last row the first row of the following non-empty range
-        # (a table of at most n_buckets rows).
-        wl = Window.partitionBy("_bk").orderBy(F.col("score").desc())
-        firsts = (x.groupBy("_bk").agg(F.max_by(F.struct(*cols), "score").alias("_f"))
-                  .withColumn("_nf", F.lead("_f").over(Window.orderBy("_bk"))).select("_bk", "_nf"))
-        x = x.join(firsts, "_bk")
-        for c in cols:
-            x = x.withColumn(f"next_{c}", F.coalesce(F.lead(c).over(wl), F.col(f"_nf.{c}")))
-        x = x.drop("_nf")
-    return x.drop("_bk", *[f"_o_{c}" for c in cols])
+    ``with_next`` also the next lower score's ``cols`` (null for the last).
+    ``n_buckets`` sets the number of score ranges; the result is the same."""
+    return running_sums(per_score, [F.col("score").desc()], list(cols), n_ranges=n_buckets, with_next=with_next, name="score-ranges")
 
 
 def _curve_base(pred: DataFrame, positive, n_buckets: int | None, with_next: bool = False) -> DataFrame:
-    # One row per distinct score, read by the quantile, total and running-sum
-    # jobs below: written once.
+    # One row per distinct score, read by the total and the range jobs below:
+    # written once.
     st = write_stage(score_table(pred, positive), "scores")
     # Two class totals: one tiny aggregate read on the driver as literals.
     t = st.agg(F.sum("pos_n").alias("P"), F.sum("neg_n").alias("N")).first()

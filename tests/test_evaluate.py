@@ -109,3 +109,19 @@ def test_curves_do_not_depend_on_the_ranges(spark):
     df = spark.range(0, 500).selectExpr("cast(id % 7 = 0 as int) as actual", "cast(id * 37 % 101 as double) as score")
     a = sorted(tuple(r) for r in E.roc_curve(df, n_buckets=1).collect())
     assert a == sorted(tuple(r) for r in E.roc_curve(df, n_buckets=13).collect()) and len(a) == 102
+
+
+def test_curves_over_a_million_scores_have_no_bounds_in_the_plan(spark):
+    n = 1_000_000
+    df = spark.range(0, n).selectExpr("cast((id * 7919) % 3 = 0 as int) as actual", f"cast((id * 611953) % {n} as double) / {n} as score")
+    a = E.roc_curve(df)
+    plan = a._jdf.queryExecution().optimizedPlan().toString()
+    assert "filter(" not in plan and len(plan) < 50_000
+    assert a.count() == n + 1
+    many, few = (E.curve_summary(df, n_buckets=k).first() for k in (61, 2))
+    assert abs(many.roc_auc - few.roc_auc) < 1e-12 and abs(many.average_precision - few.average_precision) < 1e-12
+    import numpy as np
+    i = np.arange(n, dtype=np.int64)
+    actual = ((i * 7919) % 3 == 0)[np.argsort(-((i * 611953) % n))]
+    hits = np.cumsum(actual)
+    assert abs(many.average_precision - float((hits / np.arange(1, n + 1))[actual].mean())) < 1e-9
