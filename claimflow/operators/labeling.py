@@ -11,7 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimflow.sources.rules import with_rules
+from claimflow.functions.text import evaluate_once
+from claimflow.operators.phrases import PLAIN_LIST, phrase_hits
+from claimflow.sources.rules import RULE_COLUMNS, RuleSet, with_rules
 
 UNLABELED = "unlabeled"
 POSITIVE = "positive"
@@ -30,6 +32,23 @@ def _hits(phrases: str, haystack: Column) -> Column:
     return F.filter(F.col(phrases), lambda p: haystack.contains(p))
 
 
+def _indexed(rules) -> list[RuleSet]:
+    """The rule sets, when one of them has so many phrases that an index pays."""
+    if isinstance(rules, DataFrame):
+        return []
+    sets = [rules] if isinstance(rules, RuleSet) else list(rules)
+    return sets if any(max(len(r.positive_phrases), len(r.negative_phrases)) > PLAIN_LIST for r in sets) else []
+
+
+def _indexed_hits(sets: list[RuleSet], side: str) -> Column:
+    """L2 through each niche's phrase index."""
+    hits = None
+    for r in sets:
+        mine = phrase_hits(F.col("_text_lower"), list(getattr(r, side)))
+        hits = F.when(F.col("niche") == r.niche, mine) if hits is None else hits.when(F.col("niche") == r.niche, mine)
+    return hits
+
+
 def _any_domain(domains: str, source_lower: Column, match: str = "substring") -> Column:
     if match == "substring":  # the original rule: ``ew.com`` also hits ``crew.com``
         return F.exists(F.col(domains), lambda d: source_lower.contains(d))
@@ -46,16 +65,22 @@ def score_rules(df: DataFrame, rules, match: str = "substring") -> DataFrame:
     Adds ``pos_domain``/``neg_domain`` (bool), ``pos_hits``/``neg_hits``
     (array), ``positive_score``/``negative_score`` (int), ``tie`` (bool),
     ``label`` and ``heuristics`` (array of evidence strings). A null text
-    scores 0 instead of failing the run.
+    scores 0 instead of failing the run. Rule sets with long phrase lists are
+    searched through an index (``operators.phrases``); their lists don't become
+    columns.
     """
-    x = with_rules(df, rules)
-    x = x.withColumn("_text_lower", F.lower(F.coalesce(F.col("text"), F.lit("")))) \
-         .withColumn("_source_lower", F.lower(F.coalesce(F.col("source"), F.lit(""))))
+    sets = _indexed(rules)
+    x = with_rules(df, rules, [c for c in RULE_COLUMNS if not (sets and c.endswith("_phrases"))])
+    text_lower = F.lower(F.coalesce(F.col("text"), F.lit("")))
+    x = evaluate_once(x, _text_lower=text_lower) if sets else x.withColumn("_text_lower", text_lower)
+    x = x.withColumn("_source_lower", F.lower(F.coalesce(F.col("source"), F.lit(""))))
     tl, sl = F.col("_text_lower"), F.col("_source_lower")
+    if sets:
+        x = evaluate_once(x, pos_hits=_indexed_hits(sets, "positive_phrases"), neg_hits=_indexed_hits(sets, "negative_phrases"))
+    else:
+        x = x.withColumn("pos_hits", _hits("positive_phrases", tl)).withColumn("neg_hits", _hits("negative_phrases", tl))
     x = x.withColumn("pos_domain", _any_domain("positive_domains", sl, match)) \
-         .withColumn("neg_domain", _any_domain("negative_domains", sl, match)) \
-         .withColumn("pos_hits", _hits("positive_phrases", tl)) \
-         .withColumn("neg_hits", _hits("negative_phrases", tl))
+         .withColumn("neg_domain", _any_domain("negative_domains", sl, match))
     ps = F.when(F.col("pos_domain"), 2).otherwise(0) + F.size("pos_hits")
     ns = F.when(F.col("neg_domain"), 2).otherwise(0) + F.size("neg_hits")
     x = x.withColumn("positive_score", ps.cast("int")).withColumn("negative_score", ns.cast("int"))
