@@ -686,3 +686,95 @@ def eval_length_summary(spark, sf_dir):
     """E4 and E6 over many distinct scores."""
     from claimflow.operators.evaluate import curve_summary
     return curve_summary(_length_predictions(spark, sf_dir), positive=1).select(*_r6(["roc_auc", "average_precision"]))
+
+
+# ----------------------------- many phrases, models, feeds --------------------
+
+PHRASE_NICHE = "benchmark_phrases"
+
+
+def phrase_rule_set(spark, sf_dir):
+    """Rules of many phrases: every one to three words in a row of the benchmark
+    items, even items against odd ones."""
+    from claimflow.sources.rules import RuleSet
+    words = F.split(F.lower(F.coalesce("text", F.lit(""))), " ")
+    runs = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(3)), lambda n: F.transform(
+        F.sequence(F.lit(1), F.greatest(F.size("w") - n + 1, F.lit(1))), lambda i: F.array_join(F.slice("w", i, n), " "))))
+    b = evaluate_once(read_table(spark, sf_dir, "benchmark"), w=words)
+    sides = [r[0] for k in (0, 1) for r in b.where(F.col("item_id") % 2 == k).select(F.explode(runs).alias("p")).where("p <> ''")
+             .distinct().agg(F.array_sort(F.collect_list("p"))).collect()]
+    return RuleSet.from_mapping({"niche": PHRASE_NICHE, "positive_label": "even", "negative_label": "odd", "positive_phrases": sides[0],
+                                 "negative_phrases": sides[1], "positive_domains": ["src1"], "negative_domains": ["src2"]})
+
+
+@query("phrase_index_labels")
+def phrase_index_labels(spark, sf_dir):
+    """L2-L5 with thousands of phrases through the phrase index."""
+    d = I.labeling_documents(spark, sf_dir).withColumn("niche", F.lit(PHRASE_NICHE))
+    x = L.label_dataset(d, [phrase_rule_set(spark, sf_dir)], key="doc_id", date=I.LABEL_DATE)
+    return x.select("doc_id", "label", "positive_score", "negative_score", F.md5(L.heuristics_string()).alias("evidence"))
+
+
+def _given_scorers(spark, sf_dir):
+    """Two niches' given models on the documents' vocabulary: the first knows
+    every other term."""
+    from claimflow.operators.features import TfidfModel
+    from claimflow.operators.score import LinearModel, Scorer
+    _, m = _fitted(spark, sf_dir)
+    rows = sorted(m.vocab.collect(), key=lambda r: r["idx"])
+    half = [r for r in rows if r["idx"] % 2 == 0]
+    def coefficients(rs, a, b):
+        return [((r["cf"] * a + r["df"] * b) % 1001 - 500) / 500 for r in rs]
+    first = TfidfModel(m.vocab, [r["term"] for r in half], [r["idf"] for r in half], m.n_docs, stop_words=m.stop_words)
+    return {"first": Scorer(first, LinearModel(coefficients(half, 31, 17), 0.1), ["no", "yes"]),
+            "second": Scorer(m, LinearModel(coefficients(rows, 13, 7), -0.2), ["bad", "good"])}
+
+
+def _niche_documents(spark, sf_dir):
+    niche = F.element_at(F.array(F.lit("first"), F.lit("second"), F.lit("other")), (F.col("doc_id") % 3 + 1).cast("int"))
+    return read_table(spark, sf_dir, "documents").select("doc_id", "text", niche.alias("niche"))
+
+
+@query("score_niches")
+def score_niches(spark, sf_dir):
+    """Documents of three niches scored in one pass by two given models."""
+    from claimflow.operators.score import score_by_niche
+    x = score_by_niche(_niche_documents(spark, sf_dir), _given_scorers(spark, sf_dir))
+    top = F.element_at("probabilities", F.when(F.col("niche") == "first", F.lit("yes")).otherwise(F.lit("good")))
+    return x.select("doc_id", "niche", "prediction", F.round("confidence", 6).alias("confidence"), F.round(top, 6).alias("positive"), "error")
+
+
+@query("score_file_summary")
+def score_file_summary(spark, sf_dir):
+    """C4: documents written as CSV, scored from file to file by a given model;
+    the summary."""
+    from claimflow.operators.score import score_file
+    from claimflow.sources.io import write_csv
+    source = _scratch(spark, "texts")
+    write_csv(read_table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("body")), source)
+    out = score_file(spark, source, _scratch(spark, "scored"), _given_scorers(spark, sf_dir)["second"], text_col="body")
+    return out.select("prediction", "n", *_r6(["mean_confidence", "share"]))
+
+
+@query("feed_documents")
+def feed_documents(spark, sf_dir):
+    """P7 from feed documents: each document's lines as the entries of an RSS or
+    (every third) an Atom feed; every seventh feed is cut off and rejected."""
+    from claimflow.sources import feeds
+    d = read_table(spark, sf_dir, "documents").select("doc_id", F.split(F.coalesce("text", F.lit("")), "\n").alias("_lines"))
+    lines = evaluate_once(d, lines=F.transform("_lines", lambda t: clean_text(t))).drop("_lines")
+    def entry(line, i, rss):
+        day = F.date_sub(F.to_date(F.lit("2024-06-01")), (i * 37 % 730).cast("int"))
+        link = F.concat(F.lit("https://h.org/"), F.col("doc_id").cast("string"), F.lit("/"), i.cast("string"))
+        if rss:
+            when = F.when(i % 5 != 0, F.concat(F.lit("<pubDate>Mon, "), F.date_format(day, "dd MMM yyyy"), F.lit(" 00:00:00 GMT</pubDate>"))).otherwise("")
+            return F.concat(F.lit("<item><title>t"), i.cast("string"), F.lit("</title><link>"), link, F.lit("</link>"), when, F.lit("<description>"), line, F.lit("</description></item>"))
+        when = F.when(i % 5 != 0, F.concat(F.lit("<updated>"), day.cast("string"), F.lit("T00:00:00Z</updated>"))).otherwise("")
+        return F.concat(F.lit("<entry><title>t"), i.cast("string"), F.lit('</title><link rel="self" href="x"/><link href="'), link, F.lit('"/>'), when, F.lit("<summary>"), line, F.lit("</summary></entry>"))
+    rss = F.concat(F.lit("<rss><channel><title>x</title>"), F.array_join(F.transform("lines", lambda t, i: entry(t, i, True)), ""), F.lit("</channel></rss>"))
+    atom = F.concat(F.lit("<feed>"), F.array_join(F.transform("lines", lambda t, i: entry(t, i, False)), ""), F.lit("</feed>"))
+    xml = F.when(F.col("doc_id") % 3 == 0, atom).otherwise(rss)
+    xml = F.when(F.col("doc_id") % 7 == 0, F.substring(xml, F.lit(1), F.length(xml) - 5)).otherwise(xml)
+    rows = lines.select(F.col("doc_id").alias("feed"), xml.alias("xml"))
+    kept = P.recent_feed_entries(feeds.feed_entries(rows), as_of="2024-06-01 00:00:00", max_articles=100)
+    return kept.select("feed", F.col("entry_pos").cast("int").alias("entry_pos"), "title", "link", "published", "summary")

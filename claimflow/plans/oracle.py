@@ -12,7 +12,7 @@ from claimflow.functions.text import (
 )
 from claimflow.functions.text import decode_entities_sql
 from claimflow.operators.pages import (
-    HOST_PATTERN, HREF_PATTERN, HREF_QUOTES, NO_LINKS_PATTERN, SCHEME_PATTERN, SKIP_URL_PATTERN,
+    HOST_PATTERN, HREF_PATTERN, HREF_QUOTES, PLAIN_NO_LINKS_PATTERN, SCHEME_PATTERN, SKIP_URL_PATTERN,
 )
 from claimflow.plans import inputs as I
 
@@ -132,11 +132,11 @@ def _build():
     o["page_text"] = (
         f"SELECT page_id, title, text, source, length(text) > 50 AS success, "
         f"CASE WHEN NOT (length(text) > 50) THEN 'No content found' END AS error FROM ({page_text_sql()})")
-    markup = f"regexp_replace(coalesce(html, ''), {q(NO_LINKS_PATTERN)}, '', 'g')"
+    markup = f"regexp_replace(coalesce(html, ''), {q(PLAIN_NO_LINKS_PATTERN)}, '', 'g')"
     raw = (f"SELECT page_id, domain, unnest(h) AS raw, unnest(generate_series(0, len(h) - 1)) AS pos FROM ("
            f"SELECT page_id, {url_authority_sql('url')} AS domain, regexp_extract_all({markup}, {q(HREF_PATTERN)}, 1) AS h FROM pages)")
     bare = f"SELECT page_id, domain, pos, regexp_replace(raw, {q(HREF_QUOTES)}, '', 'g') AS bare FROM ({raw})"
-    links = f"SELECT page_id, domain, pos, trim({decode_entities_sql('bare')}) AS href FROM ({bare})"
+    links = f"SELECT page_id, domain, pos, trim({decode_entities_sql('bare', legacy=False)}) AS href FROM ({bare})"
     resolved = (f"SELECT page_id, domain, pos, CASE WHEN regexp_matches(href, {q(SCHEME_PATTERN)}) THEN href "
                 f"WHEN starts_with(href, '//') THEN 'https:' || href "
                 f"WHEN starts_with(href, '/') OR starts_with(href, '?') OR starts_with(href, '#') THEN 'https://' || domain || href "
@@ -428,3 +428,53 @@ ORACLE["eval_length_roc_curve"] = (
 ORACLE["eval_length_summary"] = (
     f"SELECT round(sum(CAST(neg_n AS DOUBLE) * (2 * (cp - pos_n) + pos_n) / 2.0) / (CAST(max(P) AS DOUBLE) * max(N)), 6) AS roc_auc, "
     f"round(sum(CAST(pos_n AS DOUBLE) / P * CAST(cp AS DOUBLE) / (cp + cn)), 6) AS average_precision FROM ({length_curve_sql()})")
+
+
+# ----------------------------- many phrases, models, feeds --------------------
+
+def _phrase_list_sql(k: int) -> str:
+    return (f"(SELECT list(p ORDER BY p) FROM (SELECT DISTINCT array_to_string(w[i:i + n - 1], ' ') AS p FROM "
+            f"(SELECT w, n, unnest(range(1, greatest(len(w) - n + 1, 1) + 1)) AS i FROM "
+            f"(SELECT string_split(lower(coalesce(text, '')), ' ') AS w, unnest([1, 2, 3]) AS n FROM benchmark WHERE item_id % 2 = {k}))) WHERE p <> '')")
+
+
+_PHRASE_INPUT = doc_input_sql()
+ORACLE["phrase_index_labels"] = (
+    f"WITH l AS (SELECT {_phrase_list_sql(0)} AS pos, {_phrase_list_sql(1)} AS neg), "
+    f"h AS (SELECT doc_id, source, domain_type, contains(lower(coalesce(source, '')), 'src1') AS pd, contains(lower(coalesce(source, '')), 'src2') AS nd, "
+    f"list_filter(l.pos, lambda p: contains(lower(coalesce(text, '')), p)) AS ph, list_filter(l.neg, lambda p: contains(lower(coalesce(text, '')), p)) AS nh "
+    f"FROM ({_PHRASE_INPUT}), l), "
+    f"s AS (SELECT *, CAST((CASE WHEN pd THEN 2 ELSE 0 END) + len(ph) AS INTEGER) AS positive_score, CAST((CASE WHEN nd THEN 2 ELSE 0 END) + len(nh) AS INTEGER) AS negative_score FROM h) "
+    f"SELECT doc_id, CASE WHEN positive_score > negative_score THEN 'even' WHEN negative_score > positive_score THEN 'odd' WHEN domain_type = 'positive' THEN 'even' "
+    f"WHEN domain_type = 'negative' THEN 'odd' ELSE 'unlabeled' END AS label, positive_score, negative_score, "
+    f"md5(concat_ws('|', CASE WHEN pd THEN 'positive_domain:' || source END, CASE WHEN nd THEN 'negative_domain:' || source END, "
+    f"CASE WHEN len(ph) > 0 THEN 'positive_phrases:' || array_to_string(ph, ',') END, CASE WHEN len(nh) > 0 THEN 'negative_phrases:' || array_to_string(nh, ',') END, "
+    f"CASE WHEN positive_score = negative_score THEN (CASE domain_type WHEN 'positive' THEN 'domain_type_fallback:positive' "
+    f"WHEN 'negative' THEN 'domain_type_fallback:negative' ELSE 'no_heuristics_match' END) END)) AS evidence FROM s")
+
+_GIVEN = (f"WITH {tfidf_ctes()}, c AS (SELECT term, idx, df, cf FROM vocab), "
+          f"x AS (SELECT w.doc_id, w.w, CASE w.doc_id % 3 WHEN 0 THEN CAST((cf * 31 + df * 17) % 1001 - 500 AS DOUBLE) / 500 "
+          f"ELSE CAST((cf * 13 + df * 7) % 1001 - 500 AS DOUBLE) / 500 END AS coef FROM w JOIN c USING (term) WHERE @where), "
+          f"m AS (SELECT doc_id, sum(w * coef) / sqrt(sum(w * w)) AS m FROM x GROUP BY doc_id), "
+          f"d AS (SELECT doc_id, ['first', 'second', 'other'][doc_id % 3 + 1] AS niche, len({tokenize_sql(clean_text_sql('text'))}) = 0 AS empty FROM documents)")
+ORACLE["score_niches"] = (
+    _GIVEN.replace("@where", "w.doc_id % 3 = 1 OR (w.doc_id % 3 = 0 AND c.idx % 2 = 0)")
+    + ", r AS (SELECT d.*, (CASE niche WHEN 'first' THEN 0.1::DOUBLE ELSE -0.2::DOUBLE END) + coalesce(m, 0) AS m FROM d LEFT JOIN m USING (doc_id)), "
+    "p AS (SELECT *, 1 / (1 + exp(-m)) AS p FROM r) "
+    "SELECT doc_id, niche, CASE WHEN niche = 'other' OR empty THEN 'Unknown' WHEN niche = 'first' THEN (CASE WHEN m > 0 THEN 'yes' ELSE 'no' END) "
+    "WHEN m > 0 THEN 'good' ELSE 'bad' END AS prediction, round(CASE WHEN niche = 'other' OR empty THEN CAST(0 AS DOUBLE) ELSE greatest(p, 1 - p) END, 6) AS confidence, "
+    "round(CASE WHEN niche = 'other' THEN NULL WHEN empty THEN CAST(0.5 AS DOUBLE) ELSE p END, 6) AS positive, "
+    "CASE WHEN niche = 'other' THEN 'no trained model for niche other' WHEN empty THEN 'Empty text after preprocessing' END AS error FROM p")
+ORACLE["score_file_summary"] = (
+    f"WITH {tfidf_ctes()}, x AS (SELECT w.doc_id, w.w, CAST((cf * 13 + df * 7) % 1001 - 500 AS DOUBLE) / 500 AS coef FROM w JOIN vocab USING (term)), "
+    f"m AS (SELECT doc_id, sum(w * coef) / sqrt(sum(w * w)) AS m FROM x GROUP BY doc_id), "
+    f"d AS (SELECT doc_id, len({tokenize_sql(clean_text_sql('text'))}) = 0 AS empty FROM documents), "
+    f"p AS (SELECT empty, 1 / (1 + exp(-(coalesce(m, 0) - 0.2))) AS p FROM d LEFT JOIN m USING (doc_id)), "
+    f"r AS (SELECT CASE WHEN empty THEN 'Unknown' WHEN p > 0.5 THEN 'good' ELSE 'bad' END AS prediction, CASE WHEN empty THEN CAST(0 AS DOUBLE) ELSE greatest(p, 1 - p) END AS c FROM p) "
+    f"SELECT prediction, count(*) AS n, round(avg(c), 6) AS mean_confidence, round(CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM r), 6) AS share FROM r GROUP BY prediction")
+ORACLE["feed_documents"] = (
+    f"WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS t, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS i FROM documents), "
+    f"e AS (SELECT doc_id, i, {clean_text_sql('t')} AS t, CASE WHEN i % 5 <> 0 THEN TIMESTAMP '2024-06-01 00:00:00' - to_days(CAST((i * 37) % 730 AS INTEGER)) END AS published "
+    f"FROM l WHERE doc_id % 7 <> 0 AND i < 100) "
+    f"SELECT doc_id AS feed, CAST(i AS INTEGER) AS entry_pos, 't' || CAST(i AS VARCHAR) AS title, 'https://h.org/' || CAST(doc_id AS VARCHAR) || '/' || CAST(i AS VARCHAR) AS link, "
+    f"published, substring(t, 1, 200) AS summary FROM e WHERE published IS NULL OR published >= TIMESTAMP '2023-06-02 00:00:00'")

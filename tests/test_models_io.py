@@ -95,6 +95,97 @@ def test_model_round_trip(spark, trained, tmp_dir):
     assert list(lr.coefficients) == list(trained.models["logistic_regression"].coefficients)
 
 
+def test_native_scores_equal_the_models_own(spark, trained):
+    from pyspark.ml.functions import vector_to_array
+
+    from claimflow.functions.text import clean_text, join_tokens, tokenize
+    from claimflow.operators.features import add_terms
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(TEXTS[:8])] + [(90, "no known words")], "k long, text string")
+    rows = add_terms(df.withColumn("p", join_tokens(tokenize(clean_text("text")))), "p", "terms", trained.vectorizer.stop_words)
+    for name in trained.models:
+        has = name == "logistic_regression"
+        own = trained.models[name].transform(trained.vectorizer.vectors(rows))
+        own = own.withColumn("top", F.array_max(vector_to_array("probability")) if has else F.lit(0.0)).collect()
+        got = {r.k: r for r in score(df, Scorer(trained.vectorizer, trained.models[name], trained.classes, has_probability=has)).collect()}
+        for r in own:
+            assert got[r.k].prediction == trained.classes[int(r.prediction)] and got[r.k].confidence == pytest.approx(r.top, abs=1e-12)
+
+
+def test_many_niches_in_one_pass_equal_each_model_alone(spark, trained):
+    from claimflow.operators.features import add_terms, fit_tfidf
+    from claimflow.operators.score import LinearModel, score_by_niche
+    other = fit_tfidf(add_terms(spark.createDataFrame([(1, "hoax scam study"), (2, "study climate")], "doc_id long, text_processed string")), min_df=1, max_df=1.0)
+    scorers = {"a": Scorer(trained.vectorizer, trained.models["logistic_regression"], trained.classes),
+               "b": Scorer(other, LinearModel([((7 * i) % 5 - 2) / 2 for i in range(other.size)], 0.25), ["legit", "scam"]),
+               "c": Scorer(trained.vectorizer, trained.models["linear_svm"], trained.classes, has_probability=False)}
+    rows = [(i, t, "abcd"[i % 4]) for i, (t, _) in enumerate(TEXTS)] + [(90, "???", "a"), (91, None, "b"), (92, "hoax", None)]
+    df = spark.createDataFrame(rows, "k long, text string, niche string")
+    out = score_by_niche(df, scorers)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("Exchange", "Join", "EvalPython"))
+    got = {r.k: r for r in out.collect()}
+    assert len(got) == len(rows)
+    for n, s in scorers.items():
+        for r in score(df.where(F.col("niche") == n), s).collect():
+            assert (got[r.k].prediction, got[r.k].error) == (r.prediction, r.error) and got[r.k].confidence == pytest.approx(r.confidence, abs=1e-12)
+    assert got[3].prediction == "Unknown" and got[3].error.endswith("niche d") and got[92].error.endswith("niche null")
+    with pytest.raises(ValueError):
+        score_by_niche(df.drop("niche"), scorers)
+
+
+def test_score_a_file_end_to_end(spark, trained, tmp_dir):
+    from pyspark.sql import types as T
+
+    from claimflow.operators.score import score_file
+    sc = Scorer(trained.vectorizer, trained.models["logistic_regression"], trained.classes)
+    rows = [(str(i), t, 'say "hi",\nthen') for i, (t, _) in enumerate(TEXTS)] + [("90", None, None), ("91", "!!!", "")]
+    df = spark.createDataFrame(rows, "id string, body string, note string")
+    io.write_csv(df, f"{tmp_dir}/in")
+    summary = {r.prediction: r.n for r in score_file(spark, f"{tmp_dir}/in", f"{tmp_dir}/out", sc, text_col="body").collect()}
+    assert summary == {"claim": 12, "scientific": 12, "Unknown": 2}
+    names = ["id", "body", "note", "prediction", "confidence", "error", "prob_claim", "prob_scientific"]
+    back = io.read_csv(spark, f"{tmp_dir}/out", T.StructType([T.StructField(n, T.StringType()) for n in names]))
+    got = {r.id: r for r in back.collect()}
+    assert len(got) == 26 and got["0"].note == rows[0][2] and float(got["0"].prob_claim) > 0.5 and got["91"].prediction == "Unknown"
+    df.write.parquet(f"{tmp_dir}/in.parquet")
+    again = score_file(spark, f"{tmp_dir}/in.parquet", f"{tmp_dir}/out2", sc, text_col="body", sink_format="parquet")
+    assert {r.prediction: r.n for r in again.collect()} == summary
+    with pytest.raises(ValueError, match="body"):
+        score_file(spark, f"{tmp_dir}/in", f"{tmp_dir}/out3", sc, text_col="words")
+
+
+def test_training_from_stored_features_equals_training_in_memory(spark, trained, tmp_dir):
+    from claimflow.plans.train import train_stored
+    w = trained.vectorizer.transform(trained.data.select("k", "split", "terms"), "k")
+    io.write_features(w.select("k", "split", "idx", "weight"), f"{tmp_dir}/features")
+    back = io.read_features(spark, f"{tmp_dir}/features")
+    assert "PartitionFilters: [isnotnull(split" in back.where("split = 'train'")._jdf.queryExecution().executedPlan().toString()
+    got = train_stored(back, trained.data.select("k", "label_idx"), trained.vectorizer.size, "k", cfg=TrainConfig())
+    want = {r.model: r for r in trained.metrics.collect()}
+    for name, (model, train_accuracy, val_accuracy) in got.items():
+        assert max(abs(model.coefficients.toArray() - trained.models[name].coefficients.toArray())) < 1e-6
+        assert abs(model.intercept - trained.models[name].intercept) < 1e-6
+        assert (train_accuracy, val_accuracy) == (want[name].train_accuracy, want[name].val_accuracy)
+
+
+def test_estimator_survives_a_pipeline_round_trip(spark, tmp_dir):
+    from pyspark.ml import Pipeline, PipelineModel
+    from pyspark.ml.classification import LogisticRegression
+
+    from claimflow.operators.features import add_terms, fit_tfidf
+    from claimflow.operators.tfidf_ml import TfidfEstimator
+    df = spark.createDataFrame([(i, t.lower(), float(l == "claim")) for i, (t, l) in enumerate(TEXTS)] + [(90, None, 0.0)], "doc_id long, words string, label double")
+    stages = [TfidfEstimator(inputCol="words", outputCol="features", minDF=2, vocabSize=40, stopWords=["the", "of"]), LogisticRegression(maxIter=5)]
+    Pipeline(stages=stages).save(f"{tmp_dir}/pipeline")
+    fitted = Pipeline.load(f"{tmp_dir}/pipeline").fit(df)
+    fitted.save(f"{tmp_dir}/model")
+    back = PipelineModel.load(f"{tmp_dir}/model")
+    a, b = ([(r.doc_id, r.features, r.probability) for r in m.transform(df).orderBy("doc_id").collect()] for m in (fitted, back))
+    assert a == b and a[0][1].numNonzeros() > 0 and a[-1][1].numNonzeros() == 0
+    plain = fit_tfidf(add_terms(df, "words", "terms", ("the", "of")), min_df=2, max_features=40, stop_words=("the", "of"))
+    assert [r.features for r in plain.vectors(add_terms(df, "words", "terms", ("the", "of"))).orderBy("doc_id").collect()] == [x[1] for x in a]
+
+
 def test_csv_round_trip_multiline_quotes(spark, tmp_dir):
     from pyspark.sql import types as T
     rows = [(1, 'He said "hi"\nthen left,  ok '), (2, ""), (3, None), (4, "  lead")]
@@ -154,6 +245,11 @@ def test_metrics_and_features_tables(spark, trained, tmp_dir):
     io.append_metrics(trained.metrics, f"{tmp_dir}/metrics", "n1", "2024-01-02 00:00:00", trained.best)
     m = spark.read.parquet(f"{tmp_dir}/metrics")
     assert m.count() == 4 and m.where("is_best").count() == 2
+    before = sorted(map(str, m.collect()))
+    io.append_metrics(trained.metrics, f"{tmp_dir}/metrics", "n1", "2024-01-02 00:00:00", trained.best)
+    io.append_metrics(trained.metrics, f"{tmp_dir}/metrics", "n2", "2024-01-02 00:00:00", trained.best)
+    again = spark.read.parquet(f"{tmp_dir}/metrics")
+    assert sorted(map(str, again.where("niche = 'n1'").collect())) == before and again.count() == 6
     w = trained.vectorizer.transform(trained.data.select("k", "terms"), "k").join(trained.data.select("k", "split"), "k")
     io.write_features(w, f"{tmp_dir}/features")
     back = spark.read.parquet(f"{tmp_dir}/features")
