@@ -79,10 +79,11 @@ def cut_points(buf: np.ndarray, w: Words) -> tuple[np.ndarray, np.ndarray]:
     source[stop - 1] = 0
     plain = buf[source] if len(source) else np.zeros(0, np.uint8)
     plain[stop - 1] = 0x20
-    gear = np.zeros(len(stop), np.uint32)
-    for k in range(GEAR_BYTES):
-        gear += GEAR[plain[np.maximum(stop - 1 - k, 0)]] << np.uint32(k)
-    cuts = np.flatnonzero(gear >> np.uint32(GEAR_BYTES - CUT_BITS) == 0)
+    gear, n = GEAR[plain], 1
+    while n < GEAR_BYTES:               # sums over 2, 4, ... bytes, each byte shifted by its distance
+        gear[n:] += gear[:-n] << np.uint32(n)
+        n *= 2
+    cuts = np.flatnonzero(gear[stop - 1] >> np.uint32(GEAR_BYTES - CUT_BITS) == 0)
     return cuts, np.searchsorted(stop - size, stop[cuts] - GEAR_BYTES, side="right") - 1
 
 

@@ -1,4 +1,5 @@
 """Toxicity, quality, language ID: learning, held-out accuracy, odd rows."""
+import random
 import zlib
 from collections import Counter
 
@@ -168,3 +169,74 @@ def test_language_of_odd_rows(spark, net):
     assert language_id.predict(empty(spark), net).count() == 0
     assert language_id.fit(empty(spark)).labels == []
     assert language_id.fit(spark.createDataFrame([(1, "abc", "xx"), (2, None, "yy"), (3, "q", None)], "doc_id long, text string, lang string")).labels == ["xx"]
+
+
+def test_leader_updates_equal_a_plain_loop():
+    import math
+    rng = random.Random(17)
+    model = quality.FollowTheLeader(bits=6)
+    z, n = [0.0] * 65, [0.0] * 65
+
+    def weight(i):
+        if abs(z[i]) <= quality.L1:
+            return 0.0
+        return -(z[i] - math.copysign(quality.L1, z[i])) / ((quality.BETA + math.sqrt(n[i])) / quality.ALPHA + quality.L2)
+    for _ in range(300):
+        slots = sorted(rng.sample(range(65), rng.randint(1, 9)))
+        values, y, importance = [rng.uniform(0, 2) for _ in slots], rng.randint(0, 1), rng.uniform(0.2, 3)
+        model.update(np.array(slots), np.array(values), y, importance)
+        w = [weight(i) for i in slots]
+        p = 1 / (1 + math.exp(-sum(a * b for a, b in zip(w, values))))
+        for i, v, old in zip(slots, values, w):
+            g = importance * (p - y) * v
+            z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / quality.ALPHA * old
+            n[i] += g * g
+    assert np.allclose(model.weights(), [weight(i) for i in range(65)], atol=1e-9) and np.count_nonzero(model.weights()) > 20
+
+
+def test_samples_are_bounded_in_bytes(spark):
+    docs = spark.createDataFrame([(i, ("long " * 2000 if i % 10 == 0 else "short") + str(i)) for i in range(200)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, y int")
+    every, sizes = labelled_sample(docs, labels, "y", F.lit(True))
+    few, same = labelled_sample(docs, labels, "y", F.lit(True), most_bytes=30_000)
+    assert sizes == same == {0: 100, 1: 100} and len(every) == 200
+    assert sum(len(t) for t, _ in few) <= 30_000 and 100 < len(few) < 190 and set(few) < set(every)
+    assert few == labelled_sample(docs.repartition(7), labels, "y", F.lit(True), most_bytes=30_000)[0]
+
+
+def test_network_equals_a_plain_loop():
+    import math
+    net = language_id.Network(["a", "b", "c"], hidden=3, seed=5)
+    net.bias += np.array([0.1, -0.2, 0.05], np.float32)
+
+    def soft(x):
+        return x / (1 + abs(x))
+
+    def states(side, window):
+        e, u = side.p["E"].tolist(), side.p["U"].tolist()
+        h, out = [0.0] * 3, []
+        for byte in window:
+            def gate(i, scale):
+                return [soft(e[i][byte][k] + scale[k] * sum(h[j] * u[i][j][k] for j in range(3))) for k in range(3)]
+            z, r = gate(0, [1] * 3), gate(1, [1] * 3)
+            n = gate(2, [0.5 + 0.5 * x for x in r])
+            h = [n[k] + (0.5 + 0.5 * z[k]) * (h[k] - n[k]) for k in range(3)]
+            out.append([sum(h[k] * float(side.p["W"][k][c]) for k in range(3)) for c in range(3)])
+        return out
+
+    def document(text):
+        total, w = [0.0] * 3, language_id.WINDOW
+        for k in range(-(-len(text) // w)):
+            start = min(k * w, max(len(text) - w, 0))
+            window = text[start:start + w].ljust(w)
+            scores = zip(states(net.sides[0], window), reversed(states(net.sides[1], window[::-1])))
+            for at, (x, y) in enumerate(scores):
+                if k * w <= start + at < len(text):
+                    p = [math.exp(x[c] + y[c] + float(net.bias[c])) for c in range(3)]
+                    total = [t + v / sum(p) for t, v in zip(total, p)]
+        return [t / max(len(text), 1) for t in total]
+    rng = random.Random(19)
+    texts = [bytes(rng.randrange(256) for _ in range(n)) for n in (0, 1, 40, 128, 129, 300)]
+    at = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    got = net.documents(np.frombuffer(b"".join(texts), np.uint8), at)
+    assert np.allclose(got, [document(t) for t in texts], atol=1e-4)

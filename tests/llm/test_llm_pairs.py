@@ -180,6 +180,10 @@ def test_gear_cuts_move_only_next_to_an_insertion():
         w = words(buf, at, NON_SPACE)
         found, reach = substring_dedup.cut_points(buf, w)
         assert all(r < c for c, r in zip(found, reach))
+        plain = b"".join(x.encode() + b" " for x in text.split())
+        for i, end in zip(range(60, 90), np.cumsum([len(x.encode()) + 1 for x in text.split()])[60:90].tolist()):
+            rolled = sum(int(substring_dedup.GEAR[b]) << k for k, b in enumerate(reversed(plain[end - 32:end]))) % 2 ** 32
+            assert (i in found) == (rolled >> 29 == 0)
         return found
     for _ in range(20):
         text = prose(rng, 3000).split()
