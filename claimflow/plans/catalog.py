@@ -110,11 +110,9 @@ def clean_text_q(spark, sf_dir):
 @query("preprocessed_documents")
 def preprocessed_documents(spark, sf_dir):
     """Tokens joined, documents with no tokens dropped."""
+    from claimflow.plans.train import preprocess
     d = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    toks = evaluate_once(d, tokens=tokenize(clean_text("text")))
-    return (toks.where(F.size("tokens") > 0)
-            .select("doc_id", join_tokens("tokens").alias("text_processed"),
-                    F.size("tokens").alias("n_tokens")))
+    return preprocess(d).select("doc_id", "text_processed", F.size("tokens").alias("n_tokens"))
 
 
 # ----------------------------- pages (P) ------------------------------------
@@ -200,10 +198,11 @@ def split_class_counts(spark, sf_dir):
 
 def _unified(spark, sf_dir):
     """J2 + L10: labeled documents and pages under their niches, 1/0 target."""
+    from claimflow.sources.io import union_niches
     docs = L.niche_label_to_binary(_doc_labels(spark, sf_dir), I.doc_rules())
     pages = L.niche_label_to_binary(_page_labels(spark, sf_dir), I.page_rules())
     cols = ["id", "niche", "label", "label_binary", "text"]
-    return docs.select(*cols).unionByName(pages.select(*cols))
+    return union_niches({I.DOC_NICHE: docs.select(*cols), I.PAGE_NICHE: pages.select(*cols)})
 
 
 @query("unified_split_counts")

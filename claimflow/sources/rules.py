@@ -8,6 +8,7 @@ A niche has one rule set.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 from pathlib import Path
 
@@ -135,6 +136,8 @@ _RULE_TYPES = {f.name: f.dataType for f in RULE_SCHEMA.fields}
 
 
 def _literal(value, dtype) -> Column:
+    if isinstance(dtype, T.ArrayType) and len(value) > 64:      # one literal, not one a word
+        return F.from_json(F.lit(json.dumps(list(value))), "array<string>")
     if isinstance(dtype, T.ArrayType):
         return F.array(*[F.lit(v) for v in value]).cast(dtype)
     return F.lit(value).cast(dtype)

@@ -32,19 +32,19 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-# Row keys of the text tables; text work is CPU-bound regex per row.
-TEXT_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id",
-             "benchmark": "item_id"}
+# What tells the rows of the text tables apart; text work is CPU-bound regex per row.
+ROW_KEYS = {"documents": ("doc_id",), "pages": ("page_id",), "conversations": ("conv_id", "turn"), "benchmark": ("item_id",)}
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition by ``key`` when the scan yields fewer splits than the
-    cluster has cores (a file written as one row group is one task);
-    otherwise leave the scan alone, so on a large input this adds nothing."""
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal the rows out by their hash when the scan yields fewer splits than the
+    cluster has cores (a file written as one row group is one task); otherwise
+    leave the scan alone, so on a large input this adds nothing. The keys should
+    tell rows apart, so that no group of rows lands in one task."""
     n = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= n:
         return df
-    return df.repartition(n, key)
+    return df.repartition(n, *keys)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread_text: bool = True) -> DataFrame:
@@ -52,6 +52,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread_text: bool =
     if name in SCHEMAS:
         reader = reader.schema(SCHEMAS[name])
     df = reader.parquet(table_path(sf_dir, name))
-    if spread_text and name in TEXT_KEYS:
-        df = spread(df, TEXT_KEYS[name])
+    if spread_text and name in ROW_KEYS:
+        df = spread(df, *ROW_KEYS[name])
     return df
