@@ -55,3 +55,25 @@ def test_labels_with_long_lists_equal_labels_phrase_by_phrase(spark, monkeypatch
     assert "positive_phrases" not in score_rules(df, sets).columns
     monkeypatch.setattr("claimflow.operators.labeling.PLAIN_LIST", 10 ** 9)
     assert got == sorted(map(str, label_dataset(df, sets, "id", "2024-01-01").collect()))
+
+
+def test_tree_and_keys_find_the_same_and_the_tree_reads_a_text_once(spark, monkeypatch):
+    rng = random.Random(4)
+    phrases = list(dict.fromkeys(random_phrase(rng) for _ in range(600))) + ["", "no", "no", "nono", "a.b", "a+", "$", "x\\y"]
+    texts = ["  ".join(random_phrase(rng) for _ in range(rng.randint(0, 6))) for _ in range(60)] + [None, "", "nonono", "axb a.b a+ aa $x\\y", "no" * 3000]
+    df = spark.createDataFrame(list(enumerate(texts)), "k long, text string")
+    tree = df.withColumn("hits", P.phrase_hits(F.col("text"), phrases))
+    assert "contains" not in tree._jdf.queryExecution().optimizedPlan().toString().lower()
+    tree = sorted(map(str, tree.collect()))
+    monkeypatch.setattr(P, "TREE_BYTES", 0)
+    assert tree == sorted(map(str, df.withColumn("hits", P.phrase_hits(F.col("text"), phrases)).collect()))
+
+
+def test_tree_pattern_gives_the_longest_phrase_at_each_place():
+    import re
+    phrases = ["an", "and", "and the", "a", "the", "é", "th.", "b"]
+    text = "band theé and th. an"
+    longest = [max((p for p in phrases if text.startswith(p, i)), key=len, default=None) for i in range(len(text))]
+    pattern = re.sub(r"\\x\{([0-9a-f]+)\}", lambda m: re.escape(chr(int(m[1], 16))), P.tree_pattern(phrases))
+    assert [m.group(1) for m in re.finditer(f"(?=({pattern}))", text)] == [p for p in longest if p is not None]
+    assert P.leading_places(["a", "an", "and", "an", "", "b"]) == {"a": [0], "an": [0, 1, 3], "and": [0, 1, 3, 2], "b": [5]}
