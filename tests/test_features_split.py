@@ -204,3 +204,23 @@ def test_vectorizer_defaults_and_unfitted_error(spark):
         v.transform(df)
     w = TfidfVectorizer(max_features=50, min_df=1, max_df=1.0).fit_transform(df)
     assert w.select("doc_id").distinct().count() == 4
+
+
+def test_vocabulary_from_hash_bounds_equals_that_of_all_counts(spark):
+    import random
+
+    from claimflow.operators.features import fit_fold_models, frequent_stats, model_of_stats, term_stats
+    rng = random.Random(5)
+    # "often" fills few rows many times, so that the first cutoff proves nothing.
+    rows = [(i % 3 if i % 7 else None, [f"t{int(rng.paretovariate(0.6)) % 400}" for _ in range(rng.randint(0, 40))]
+             + ([f"often{j}" for j in range(60)] * 30 if i == 0 else [])) for i in range(120)] + [(1, None)]
+    docs = spark.createDataFrame(rows, "fold int, terms array<string>")
+    whole = term_stats(docs, "terms", "fold", 3, 2)
+    for n in (1, 10, 25, 10_000):
+        few = frequent_stats(docs, "terms", "fold", 3, 2, 0.9, n)
+        assert few.count() < whole.count() or n == 10_000
+        want = [model_of_stats(whole, 2, 0.9, n, k) for k in (None, 0, 1, 2)]
+        got = fit_fold_models(docs, "fold", 3, min_df=2, max_df=0.9, max_features=n)
+        for a, b in zip(want, [got[0], *got[1]]):
+            assert (a.terms, a.idf, a.n_docs) == (b.terms, b.idf, b.n_docs)
+            assert sorted(map(tuple, a.vocab.collect())) == sorted(map(tuple, b.vocab.collect()))
