@@ -360,3 +360,30 @@ def test_collect_results_reads_pretty_json_with_rule_labels(spark, tmp_dir):
                                                   rules=[load_rule_set("hustle_scams")]).collect()}
     assert res["hustle_scams"].positive == 360 and res["hustle_scams"].negative == 340
     assert res["TOTAL"].total == 700
+
+
+def test_one_gradient_an_evaluation_reaches_the_driver(spark):
+    import math
+    import random
+
+    from pyspark.ml.classification import LinearSVC
+    from pyspark.ml.linalg import Vectors
+
+    from claimflow.plans.train import for_solver, solver_layout
+    for n in (1, 14_000, 100_000, 2_000_000, 10_000_000, 300_000_000):
+        parts, depth = solver_layout(n)
+        left, scale = parts, max(math.ceil(parts ** (1 / depth)), 2)
+        while left > scale + math.ceil(left / scale):   # as RDD.treeAggregate does
+            left //= scale
+        assert left == 1 and n <= parts * 50_000
+    rng = random.Random(1)
+    rows = [(Vectors.dense([rng.random(), rng.random()]), float(i % 2), 1.0) for i in range(300)]
+    v = for_solver(spark.createDataFrame(rows, ["features", "label_idx", "weight"]), 20_000)
+    assert v.rdd.getNumPartitions() == 28 and v.count() == 300
+    group = "one-gradient"
+    spark.sparkContext.setJobGroup(group, group)
+    LinearSVC(labelCol="label_idx", weightCol="weight", maxIter=3, aggregationDepth=solver_layout(20_000)[1]).fit(v)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    last = [tracker.getStageInfo(max(tracker.getJobInfo(j).stageIds)) for j in tracker.getJobIdsForGroup(group)]
+    assert sum(s.numTasks == 1 for s in last if s) >= 3
