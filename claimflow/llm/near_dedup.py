@@ -15,12 +15,13 @@ standard errors under the threshold go, the others are confirmed on full sets.
 Scale: documents with equal sets are one node from the start, so copies are never
 paired. First every node is compared with the smallest node among its buckets; the
 links join components, and a bucket whose members are in one component is done.
-The members of the others are laid out in blocks of bounded size, ordered by
-component, and every two blocks that meet in a bucket are one task, which compares
-their nodes exactly and returns a spanning forest of the links, one row per node
-at most. So pairs are never rows, a text is sent once per pair of blocks and not
-once per band, and nothing is capped. Tables that later steps don't read are
-deleted as the work goes on.
+The members of the others are laid out in blocks of bounded size, components that
+share a bucket next to each other, so that a bucket lies in few blocks; every two
+blocks that meet in a bucket are one task, which compares their nodes exactly and
+returns a spanning forest of the links, one row per node at most. So pairs are
+never rows, a text is sent once per pair of blocks and not once per band, and
+nothing is capped. Tables that later steps don't read are deleted as the work
+goes on.
 """
 
 from __future__ import annotations
@@ -240,15 +241,21 @@ def _first_tasks(members: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def _block_tasks(members: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
     """Every two blocks that meet in a bucket of several components: the nodes
-    that bring them together, but not two blocks of one and the same component."""
+    that bring them together, but not two blocks of one and the same component.
+    A bucket's members lie in one cluster, so its rows (members times blocks) grow
+    with its members until a cluster alone is larger than a block."""
     labelled = members.select("key", "node").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     labelled = stage_table(labelled, "labelled-members")
-    unsettled = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
+    unsettled = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key", "lo")
     unsettled = stage_table(labelled.join(unsettled, "key"), "unsettled")
-    laid = unsettled.select("node", "component").distinct().join(nodes.select("node", "n"), "node")
-    laid = running_sums(laid, [F.col("component"), F.col("node")], ["n"], name="near-blocks")
+    # Components that buckets connect are a cluster; in it each lies by the smallest one that it meets.
+    clusters = connected_components(unsettled, "component", "lo").select(F.col("node").alias("component"), F.col("component").alias("cluster"))
+    beside = stage_table(unsettled.groupBy("component").agg(F.min("lo").alias("beside")).join(clusters, "component"), "clusters")
+    laid = unsettled.select("node", "component").distinct().join(nodes.select("node", "n"), "node").join(if_small(beside), "component")
+    laid = running_sums(laid, [F.col("cluster"), F.col("beside"), F.col("component"), F.col("node")], ["n"], name="near-blocks")
     laid = stage_table(laid.select("node", F.expr(f"cum_n div {BLOCK_SHINGLES}").alias("block")), "blocks")
-    placed = stage_table(unsettled.join(laid, "node"), "placed-members")
+    discard(clusters, beside)
+    placed = stage_table(unsettled.drop("lo").join(laid, "node"), "placed-members")
     held = placed.groupBy("key", F.col("block").alias("other")).agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     met = placed.join(held, "key").where(~((F.col("lo") == F.col("component")) & (F.col("hi") == F.col("component"))))
     tasks = met.select(F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),

@@ -151,6 +151,22 @@ def test_one_large_group_around_the_threshold(spark, monkeypatch):
     assert out == want and 1 < len(set(want.values())) < 500
 
 
+def test_a_bucket_lies_in_few_blocks(spark, monkeypatch):
+    """Buckets of nodes whose numbers lie far apart: a node is in two tasks at
+    most, and every two nodes of a bucket meet."""
+    monkeypatch.setattr(near_dedup, "BLOCK_SHINGLES", 100)
+    groups = [[g + 50 * j for j in range(8)] for g in range(50)]
+    members = spark.createDataFrame([(3 * g + b, x) for g, nodes in enumerate(groups) for b in range(3) for x in nodes], "key long, node long")
+    nodes = spark.createDataFrame([(x, 10) for g in groups for x in g], "node long, n long")
+    tasks = near_dedup._block_tasks(members, spark.createDataFrame([], "node long, component long"), nodes).collect()
+    held = Counter(t.node for t in tasks)
+    assert set(held) == set(range(400)) and max(held.values()) <= 2
+    at = {}
+    for t in tasks:
+        at.setdefault(t.node, set()).add((t.x, t.y))
+    assert all(at[a] & at[b] for g in groups for a in g for b in g)
+
+
 def test_long_words_of_equal_sums_are_different(spark):
     word = "a"
     for _ in range(10):
