@@ -387,3 +387,22 @@ def test_one_gradient_an_evaluation_reaches_the_driver(spark):
     tracker = spark.sparkContext.statusTracker()
     last = [tracker.getStageInfo(max(tracker.getJobInfo(j).stageIds)) for j in tracker.getJobIdsForGroup(group)]
     assert sum(s.numTasks == 1 for s in last if s) >= 3
+
+
+def test_evaluations_carry_no_lineage_of_the_fit_rows(spark):
+    from pathlib import Path
+
+    from pyspark.ml.linalg import Vectors
+
+    from claimflow.plans.train import for_solver
+    from claimflow.session import discard_checkpoint
+    rows = [(Vectors.dense([float(i)]), float(i % 2), 1.0) for i in range(300)]
+    for n, parts in ((300, 1), (20_000, 28)):
+        v = for_solver(spark.createDataFrame(rows, ["features", "label_idx", "weight"]), n)
+        lineage = v._jdf.queryExecution().toRdd().toDebugString()
+        assert "ReliableCheckpointRDD" in lineage and "ShuffledRowRDD" not in lineage and "PythonRDD" not in lineage
+        assert v.rdd.getNumPartitions() == parts and sorted(r.features[0] for r in v.collect()) == [float(i) for i in range(300)]
+        files = Path(v._jdf.queryExecution().logical().rdd().getCheckpointFile().get().removeprefix("file:"))
+        assert files.is_dir()
+        discard_checkpoint(v)
+        assert not files.exists()
